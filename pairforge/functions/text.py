@@ -48,6 +48,11 @@ def strip_echo(text: Column | str, prompt: Column | str) -> Column:
     return _col(text).substr(F.length(_col(prompt)) + 1, F.lit(_MAX_INT))
 
 
+def drop_chars(text: Column | str, n: Column) -> Column:
+    """P6 when only the prompt's length is at hand: drop the first ``n`` characters."""
+    return _col(text).substr(n + 1, F.lit(_MAX_INT))
+
+
 def strip_echo_all(texts: Column | str, prompt: Column | str) -> Column:
     """``strip_echo`` applied to every element of an array of returned texts."""
     p = _col(prompt)

@@ -28,15 +28,18 @@ def to_long(df: DataFrame, arrays: Sequence[str] = ("responses", "rewards"),
 
 def to_wide(df: DataFrame, key: str = "row_id", index: str = "k",
             values: Sequence[str] = ("response", "reward"),
-            arrays: Sequence[str] = ("responses", "rewards")) -> DataFrame:
+            arrays: Sequence[str] = ("responses", "rewards"),
+            carry: Sequence[str] = ()) -> DataFrame:
     """Long -> wide, arrays in index order.
 
     One shuffle on ``key``; each group is one prompt's K candidates.
     ``collect_list`` has no order, so entries carry their index and are sorted.
+    ``carry`` columns are constant per key (e.g. the prompt) and ride along.
     """
     packed = F.array_sort(F.collect_list(F.struct(F.col(index).alias("_i"), *[F.col(v) for v in values])))
-    grouped = df.groupBy(key).agg(packed.alias("_packed"))
-    return grouped.select(key, *[F.transform("_packed", _field(v)).alias(a) for v, a in zip(values, arrays)])
+    grouped = df.groupBy(key).agg(packed.alias("_packed"), *[F.first(c).alias(c) for c in carry])
+    return grouped.select(key, *carry,
+                          *[F.transform("_packed", _field(v)).alias(a) for v, a in zip(values, arrays)])
 
 
 def _field(name: str):

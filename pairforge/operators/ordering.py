@@ -79,6 +79,16 @@ def exclusive_prefix_sum(df: DataFrame, key: str, values: Sequence[str],
     )
 
 
+def prefix_sums(df: DataFrame, key: str, values: Sequence[str], suffix: str = "_before") -> DataFrame:
+    """Exclusive prefix sums in ``key`` order for a table with one row per unique
+    integer ``key``; the key range (one small aggregation) sets the number of levels."""
+    lo, hi, _ = key_stats(df, key)
+    shifted = df.withColumn("_pk", F.col(key) - F.lit(lo))
+    bits = max(1, _bit_length(hi - lo) + 1)
+    out = exclusive_prefix_sum(shifted, "_pk", values, key_bits=bits, suffix=suffix)
+    return out.drop("_pk")
+
+
 def key_stats(df: DataFrame, key: str) -> tuple[int, int, int]:
     """(min, max, count) of ``key`` in one small aggregation (an action)."""
     r = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()

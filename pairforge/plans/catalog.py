@@ -2,24 +2,63 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the given
 tables (or data Spark derives from them).  Output columns are scalars with the
-same names and types as the SQL twin in ``oracle.py``.
+same names and types as the SQL twin in ``oracle.py``: integers as ``bigint``,
+transcendental results rounded to 6 places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.chat import END_OF_TURN
-from ..operators.pairs import build_pairs
+from ..functions.arrays import first_score
+from ..functions.ints import idiv
+from ..functions.chat import END_OF_TURN, normalise_chat, render_chat, reward_model_text
+from ..functions.text import strip_echo, strip_echo_all, token_ids
+from ..operators import losses as LS
+from ..operators import tokens as TK
+from ..operators.candidates import (drop_short, join_candidates, overlength_guard, render_prompts,
+                                    to_long, to_wide)
+from ..operators.hooks import generate_candidates, score_candidates
+from ..operators.ordering import (head_n, shard_cover, shard_floor, shard_round_robin, shuffle,
+                                  with_ordinal)
+from ..operators.pairs import (STRATEGIES, best_vs_rest, build_eval_pairs, build_pairs,
+                               build_pairs_multi, pair_outcomes)
+from ..operators.summaries import run_record as run_record_op
+from ..operators.summaries import score_summary as score_summary_op
+from ..operators.summaries import shard_counts as shard_counts_op
+from ..schemas import SCORED
+from ..session import shared_dir
 from ..sources import fixtures as fx
+from ..sources.jsonl import read_shards, write_sharded
+from ..sources.tables import read_table
+from .iteration import IterationConfig, run_iterations
+from .stand_ins import echo_generator, md5_scorer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the contract queries.
+K = fx.K
 LENGTH_PENALTY = 1.0 / 256
 EOT = END_OF_TURN
+# beta = 1/8 keeps every non-transcendental value dyadic, hence exact in both engines.
+BETA = 0.125
+EXACT_LOSSES = ("hinge", "ipo", "sppo_hard")
+ROBUST_EPS = 0.125
+ALPHA = 0.125
+RPO_ALPHA = 0.5
+MAX_INPUT_LENGTH = 3000
+SHARDS = 7
+SHUFFLE_SEED = 42
+PACK_LEN = 4096
+MAX_LENGTH = 2048
+MAX_PROMPT_LENGTH = 1000
+HEAD_N = 50
+ROLE_TO_SHAREGPT = {"system": "system", "user": "human", "assistant": "gpt"}
+SHAREGPT_ROLES = {"system": "system", "human": "user", "gpt": "assistant"}
 
 QUERIES: dict[str, Query] = {}
 
@@ -31,7 +70,117 @@ def query(name: str):
     return register
 
 
-# --- pair selection (C1-C6, C8, F2, F3, P9-P12) ------------------------------------
+def r6(c: Column | str) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _long(c: str) -> Column:
+    return F.col(c).cast("long").alias(c)
+
+
+# --- rendering (P1-P6, P13, P14) ---------------------------------------------------
+
+@query("render_sft")
+def render_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = fx.chats(spark, sf_dir)
+    return chats.select("row_id", render_chat(F.col("messages")).alias("text"))
+
+
+@query("render_prompt")
+def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = render_prompts(fx.prompts(spark, sf_dir), out="prompt")
+    return p.select("row_id", "prompt")
+
+
+@query("render_rm_text")
+def render_rm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = to_long(fx.scored(spark, sf_dir), arrays=("responses",), names=("response",), keep=("prompt",))
+    return long.select("row_id", _long("k"), reward_model_text(F.col("prompt"), F.col("response")).alias("rm_text"))
+
+
+@query("strip_echo")
+def strip_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = render_prompts(fx.scored(spark, sf_dir), messages="prompt", out="prompt_text")
+    echoed = F.transform("responses", lambda r: F.concat(F.col("prompt_text"), r))
+    stripped = s.select("row_id", F.posexplode(strip_echo_all(echoed, F.col("prompt_text"))).alias("k", "response"))
+    return stripped.select("row_id", _long("k"), "response")
+
+
+@query("normalise_chat")
+def normalise_chat_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = fx.chats(spark, sf_dir)
+    to_sg = F.create_map(*[F.lit(x) for kv in ROLE_TO_SHAREGPT.items() for x in kv])
+    sharegpt = chats.select("row_id", F.transform(
+        "messages", lambda m: F.struct(F.element_at(to_sg, m["role"]).alias("from"), m["content"].alias("value"))
+    ).alias("conversations"))
+    norm = sharegpt.select("row_id", F.posexplode(normalise_chat(F.col("conversations"), SHAREGPT_ROLES))
+                           .alias("turn", "m"))
+    return norm.select("row_id", _long("turn"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@query("role_mask")
+def role_mask_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("row_id"), "turn", "role", F.col("text").alias("content"))
+    toks = TK.role_mask(conv)
+    trained = F.col("label") != F.lit(-100)
+    return toks.groupBy("row_id", "turn").agg(
+        F.count(F.lit(1)).alias("n_tokens"),
+        F.count_if(trained).cast("long").alias("n_trained"),
+        F.coalesce(F.sum(F.when(trained, F.col("label"))), F.lit(0)).cast("long").alias("trained_id_sum"),
+    )
+
+
+# --- candidates (J1, P7, G2, G4, G5, P8, F1) ------------------------------------------
+
+@query("candidates_join")
+def candidates_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = to_wide(fx.candidates_long(spark, sf_dir, with_reward=False), values=("response",), arrays=("responses",))
+    j = join_candidates(fx.prompts(spark, sf_dir), wide)
+    return j.select(
+        "row_id",
+        F.size("prompt").cast("long").alias("n_messages"),
+        F.size("responses").cast("long").alias("n_responses"),
+        F.aggregate("responses", F.lit(0).cast("long"), lambda acc, r: acc + F.length(r)).alias("response_chars"),
+    )
+
+
+@query("candidates_wide")
+def candidates_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = to_wide(fx.candidates_long(spark, sf_dir))
+    z = wide.select("row_id", F.posexplode(F.arrays_zip("responses", "rewards")).alias("k", "z"))
+    return z.select("row_id", _long("k"), F.col("z.responses").alias("response"), F.col("z.rewards").alias("reward"))
+
+
+@query("candidates_long")
+def candidates_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_long(fx.scored_all(spark, sf_dir)).select("row_id", _long("k"), "response", "reward")
+
+
+@query("first_score")
+def first_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = fx.candidates_long(spark, sf_dir)
+    outputs = F.array(
+        F.struct(F.lit("LABEL_0").alias("label"), F.col("reward").alias("score")),
+        F.struct(F.lit("LABEL_1").alias("label"), (1.0 - F.col("reward")).alias("score")),
+    )
+    return long.select("row_id", _long("k"), first_score(outputs).alias("score"))
+
+
+@query("overlength_guard")
+def overlength_guard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = render_prompts(fx.scored_all(spark, sf_dir), messages="prompt", out="prompt_text")
+    g = overlength_guard(s, MAX_INPUT_LENGTH, F.col("prompt_text"))
+    return g.select("row_id", F.size("responses").cast("long").alias("n_responses"))
+
+
+@query("drop_short")
+def drop_short_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_short(fx.scored_all(spark, sf_dir), K)
+    return kept.select("row_id", F.size("responses").cast("long").alias("n_responses"))
+
+
+# --- pair selection (C1-C9, F2, F3, P9-P12, A4, L1, L2) -------------------------------
 
 def _pairs(strategy: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,5 +190,257 @@ def _pairs(strategy: str) -> Query:
     return run
 
 
-for _s in ("random", "max_random", "max_min", "max_max", "max_min_p"):
+for _s in STRATEGIES:
     QUERIES[f"pairs_{_s}"] = _pairs(_s)
+
+
+@query("pair_outcomes")
+def pair_outcomes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_outcomes(fx.scored_all(spark, sf_dir), length_penalty=LENGTH_PENALTY)
+
+
+@query("pairs_multi")
+def pairs_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_pairs_multi(fx.scored(spark, sf_dir), best_vs_rest, eot_token=EOT)
+
+
+@query("pairs_eval")
+def pairs_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_eval_pairs(fx.scored(spark, sf_dir), eot_token=EOT)
+
+
+@query("pairs_head")
+def pairs_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return head_n(build_pairs(fx.scored(spark, sf_dir), "max_min", eot_token=EOT), HEAD_N)
+
+
+# --- summaries (A1-A3, A5, A8, S6) -----------------------------------------------------
+
+@query("score_summary")
+def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_summary_op(fx.scored_all(spark, sf_dir), K)
+
+
+@query("run_record")
+def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three prompt sets (contiguous L4 shards of the scored rows), one record each."""
+    sets = shard_cover(fx.scored(spark, sf_dir), 3)
+    rec = run_record_op(sets.withColumn("iteration", (F.col("shard") + 1).cast("long")))
+    return rec.select("iteration", "n", "mean_score", "top1_score")
+
+
+@query("shard_counts")
+def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rr = shard_round_robin(fx.scored(spark, sf_dir).select("row_id"), 8)
+    return shard_counts_op(rr).select(_long("shard"), "n")
+
+
+# --- ordering and shards (L3-L8, U1, U2) ------------------------------------------------
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").select("o_orderkey")
+
+
+@query("shard_floor")
+def shard_floor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_floor(_orders(spark, sf_dir), SHARDS, key="o_orderkey").select("o_orderkey", "ordinal", _long("shard"))
+
+
+@query("shard_cover")
+def shard_cover_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_cover(_orders(spark, sf_dir), SHARDS, key="o_orderkey").select("o_orderkey", "ordinal", _long("shard"))
+
+
+@query("shard_round_robin")
+def shard_round_robin_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_round_robin(_orders(spark, sf_dir), SHARDS, key="o_orderkey").select("o_orderkey", _long("shard"))
+
+
+@query("ordinal")
+def ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_ordinal(_orders(spark, sf_dir), key="o_orderkey")
+
+
+@query("shuffle_merge")
+def shuffle_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 8 contiguous shards (L4), concatenated (U1/U2) and shuffled."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    sharded = shard_cover(docs, 8, key="doc_id").drop("ordinal")
+    return shuffle(sharded, SHUFFLE_SEED, key="doc_id").select("doc_id", _long("shard"), "position")
+
+
+# --- losses (Z1-Z3, X1-X14, A6, A7, A9, J2, J5) ---------------------------------------
+
+def _loss(loss_type: str, **kw) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = LS.preference_loss(fx.logps(spark, sf_dir), loss_type, beta=BETA, **kw)
+        if loss_type in ("aot", "aot_pair"):
+            return out.select("batch_id", "rank", r6("loss").alias("loss"))
+        loss = F.col("loss") if loss_type in EXACT_LOSSES else r6("loss")
+        return out.select("pair_id", "batch_id", loss.alias("loss"), "chosen_reward", "rejected_reward")
+    return run
+
+
+for _t in LS.LOSS_TYPES:
+    QUERIES[f"loss_{_t}"] = _loss(_t, label_smoothing=ROBUST_EPS if _t == "robust" else 0.0)
+QUERIES["loss_sigmoid_alpha"] = _loss("sigmoid", f_divergence="alpha_divergence", alpha=ALPHA)
+QUERIES["loss_sigmoid_js"] = _loss("sigmoid", f_divergence="js_divergence")
+QUERIES["loss_sigmoid_ref_free"] = _loss("sigmoid", reference_free=True)
+
+
+@query("implicit_rewards")
+def implicit_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cr, rj = LS.implicit_rewards(BETA)
+    return fx.logps(spark, sf_dir).select("pair_id", cr.alias("chosen_reward"), rj.alias("rejected_reward"))
+
+
+@query("batch_loss")
+def batch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    losses = LS.preference_loss(fx.logps(spark, sf_dir), "sigmoid", beta=BETA)
+    return LS.batch_loss(losses).select("batch_id", r6("loss").alias("loss"))
+
+
+def _token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy log-probs per pair from the token table (J4 stack/split of T2)."""
+    t = fx.with_pair_keys(fx.tokens(spark, sf_dir))
+    chosen = t.filter(F.col("side") == "chosen").drop("side")
+    rejected = t.filter(F.col("side") == "rejected").drop("side")
+    return TK.stack_split(chosen, rejected)
+
+
+def _policy_with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pol = _token_pairs(spark, sf_dir).select(
+        "pair_id",
+        idiv(F.col("pair_id"), fx.PAIRS_PER_BATCH).alias("batch_id"),
+        F.col("chosen_logps").alias(LS.PC), F.col("rejected_logps").alias(LS.PR))
+    return LS.with_reference(pol, fx.logps(spark, sf_dir))
+
+
+@query("ref_logps_join")
+def ref_logps_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _policy_with_reference(spark, sf_dir)
+    return j.select("pair_id", *[r6(c).alias(c) for c in (LS.PC, LS.PR, LS.RC, LS.RR)])
+
+
+def _nll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TK.batch_nll(fx.with_pair_keys(fx.tokens(spark, sf_dir)))
+
+
+@query("loss_rpo")
+def loss_rpo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    losses = LS.preference_loss(_policy_with_reference(spark, sf_dir), "sigmoid", beta=BETA)
+    out = LS.add_rpo(losses, _nll(spark, sf_dir), RPO_ALPHA)
+    return out.select("pair_id", "batch_id", r6("loss").alias("loss"))
+
+
+@query("batch_metrics")
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    losses = LS.preference_loss(_policy_with_reference(spark, sf_dir), "sigmoid", beta=BETA)
+    logits = TK.logits_sums(fx.with_pair_keys(fx.tokens(spark, sf_dir)))
+    nll = _nll(spark, sf_dir)
+    train = LS.batch_metrics(losses, "train", logits=logits, nll=nll)
+    evals = LS.batch_metrics(head_n(losses, 100, "pair_id"), "eval", logits=logits, nll=nll)
+    return train.unionByName(evals).select("split", "batch_id", "metric", r6("value").alias("value"))
+
+
+# --- tokens (T1-T9, J4) -----------------------------------------------------------------
+
+@query("seq_logps")
+def seq_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = TK.sequence_logps(fx.tokens(spark, sf_dir))
+    return s.select("seq_id", r6("logps").alias("logps"), "n_tokens")
+
+
+@query("seq_logps_avg")
+def seq_logps_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = TK.sequence_logps(fx.tokens(spark, sf_dir), average=True)
+    return s.select("seq_id", r6("logps").alias("logps"))
+
+
+@query("batch_nll")
+def batch_nll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nll(spark, sf_dir).select("batch_id", r6("nll_loss").alias("nll_loss"))
+
+
+@query("stack_split")
+def stack_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _token_pairs(spark, sf_dir)
+    return s.select("pair_id", r6("chosen_logps").alias("chosen_logps"), r6("rejected_logps").alias("rejected_logps"),
+                    "chosen_tokens", "rejected_tokens")
+
+
+@query("align_labels")
+def align_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels start at position 2 (8 per sequence); logits cover all 10 positions."""
+    t = fx.tokens(spark, sf_dir)
+    labels = t.filter(F.col("pos") >= 2).select("seq_id", (F.col("pos") - 2).cast("int").alias("pos"), "label")
+    logits = t.select("seq_id", "pos", "logits")
+    checked = TK.check_shapes(labels, TK.align_to_labels(logits, labels).select("seq_id", "pos", "logits"))
+    s = TK.sequence_logps(checked)
+    return s.select("seq_id", r6("logps").alias("logps"), "n_tokens")
+
+
+@query("pack_blocks")
+def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", TK.text_token_counts("text").alias("n_tokens"))
+    return TK.pack_spans(docs, PACK_LEN)
+
+
+@query("truncate_end")
+def truncate_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = build_pairs(fx.scored(spark, sf_dir), "max_min", eot_token=EOT)
+    p, c, r = TK.truncate_pair(token_ids("prompt"), token_ids("chosen"), token_ids("rejected"),
+                               MAX_LENGTH, MAX_PROMPT_LENGTH, "keep_end")
+    t = pairs.select("row_id", p.alias("p"), c.alias("c"), r.alias("r"))
+    return t.select(
+        "row_id",
+        F.size("p").cast("long").alias("prompt_len"),
+        F.size("c").cast("long").alias("chosen_len"),
+        F.size("r").cast("long").alias("rejected_len"),
+        F.get("p", 0).alias("prompt_first"),
+        F.get("c", F.size("c") - 1).alias("chosen_last"),
+        F.get("r", F.size("r") - 1).alias("rejected_last"),
+    )
+
+
+# --- hooks, sources/sinks, iteration (G1, G3, S1-S6, I1-I3) ------------------------------
+
+@query("generate_hook")
+def generate_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = render_prompts(fx.prompts(spark, sf_dir))
+    gen = generate_candidates(p, echo_generator, K, max_input_length=MAX_INPUT_LENGTH)
+    joined = gen.join(p.select("row_id", "prompt_text"), "row_id", "inner")
+    return joined.select("row_id", _long("k"), strip_echo(F.col("response"), F.col("prompt_text")).alias("response"))
+
+
+@query("score_hook")
+def score_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = to_long(fx.scored(spark, sf_dir), arrays=("responses",), names=("response",), keep=("prompt",))
+    s = score_candidates(long, md5_scorer, reward_model_text(F.col("prompt"), F.col("response")))
+    return s.select("row_id", _long("k"), "reward")
+
+
+@query("jsonl_round_trip")
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 (sharded JSONL write) -> S3/S1 (typed read of shards 0..3) -> U1 -> G4."""
+    path = shared_dir(spark, "jsonl_round_trip", unique=True)
+    sharded = shard_round_robin(fx.scored_all(spark, sf_dir), 4).drop("ordinal")
+    write_sharded(sharded, path)
+    back = read_shards(spark, path, 4, T.StructType([*SCORED.fields, T.StructField("shard", T.IntegerType())]))
+    return to_long(back).select("row_id", _long("k"), "response", "reward")
+
+
+@query("iterate3")
+def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three iterations over contiguous thirds of the prompts; the generator of
+    iteration i tags its texts with i (a different model each time)."""
+    prompts = shard_cover(fx.prompts(spark, sf_dir), 3)
+    cfg = IterationConfig(k=K, choose_type="max_min", eot_token=EOT, max_input_length=MAX_INPUT_LENGTH,
+                          record_path=shared_dir(spark, "run_records", unique=True))
+
+    def generator_for(i: int):
+        return lambda ps, k, **kw: echo_generator(ps, k, tag=f"iter{i} ", **kw)
+
+    pairs = run_iterations(spark, cfg, lambda i: prompts.filter(F.col("shard") == i - 1).drop("shard", "ordinal"),
+                           generator_for, md5_scorer, iterations=3)
+    return pairs.select(F.col("iteration").cast("long").alias("iteration"), "row_id", "chosen", "rejected", "margin")
