@@ -36,16 +36,35 @@ def stable_sorted(arr: Column | str) -> Column:
     return F.array_sort(tagged)
 
 
+def _last_index(a: Column, value: Column) -> Column:
+    """0-based index of the last occurrence of ``value`` (null if absent)."""
+    pos = F.array_position(F.reverse(a), value)
+    return F.when(pos > 0, F.size(a) - pos)
+
+
 def argsort_last_two(arr: Column | str) -> tuple[Column, Column]:
-    """(index of the largest, index of the second largest) under a stable ascending sort."""
-    s = stable_sorted(arr)
-    n = F.size(s)
-    return F.get(s, n - 1)["i"], F.get(s, n - 2)["i"]
+    """(index of the largest, index of the second largest) under a stable ascending sort.
+
+    Native array functions only (no lambda): the largest is the last occurrence of
+    the maximum; the second is the previous occurrence of the maximum if it occurs
+    twice, else the last occurrence of the maximum of the rest.
+    """
+    a = _col(arr)
+    m = F.array_max(a)
+    last = _last_index(a, m)
+    repeated = F.size(a) - F.size(F.array_remove(a, m)) >= 2
+    before = _last_index(F.slice(a, 1, F.coalesce(last, F.lit(0))), m)
+    rest_max = F.array_max(F.array_remove(a, m))
+    second = F.when(repeated, before).otherwise(_last_index(a, rest_max))
+    return last.cast("int"), second.cast("int")
 
 
 def has_missing(arr: Column | str) -> Column:
-    """True if any element is null or NaN (``isnan(null)`` is false, so both tests)."""
-    return F.exists(_col(arr), lambda x: x.isNull() | F.isnan(x))
+    """True if any element is null or NaN, with native (codegen) functions only:
+    ``sort_array`` puts nulls first, and ``array_max`` is NaN when a NaN is present."""
+    a = _col(arr)
+    has_null = (F.size(a) > 0) & F.get(F.sort_array(a), 0).isNull()
+    return has_null | F.isnan(F.coalesce(F.array_max(a), F.lit(0.0)))
 
 
 def is_missing(x: Column) -> Column:

@@ -35,9 +35,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Last UTF-8 byte of each whitespace code point (derived from the set above).
+_WS_LAST_BYTES = sorted({ch.encode("utf-8")[-1] for ch in PY_WHITESPACE})
+
+
 def py_strip(c: Column | str) -> Column:
-    """``str.strip()``: trim every Unicode whitespace code point from both ends."""
-    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
+    """``str.strip()``: trim every Unicode whitespace code point from both ends.
+
+    ``btrim`` with an explicit set walks and allocates per character, and a
+    negative ``substring`` counts characters over the whole string; so the
+    exact trim only runs when the first character is whitespace or the last
+    *byte* could end a whitespace code point (an O(1) superset test on the
+    binary view).
+    """
+    s = _col(c)
+    first_ws = F.substring(s, 1, 1).isin(*PY_WHITESPACE)
+    last_ws = F.substring(s.cast("binary"), -1, 1).isin(*[F.lit(bytes([b])) for b in _WS_LAST_BYTES])
+    return F.when(first_ws | last_ws, F.btrim(s, F.lit(PY_WHITESPACE))).otherwise(s)
 
 
 def strip_echo(text: Column | str, prompt: Column | str) -> Column:

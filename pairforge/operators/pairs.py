@@ -81,7 +81,12 @@ def outcome(choose_type: str, rewards: Column, r0: Column, r1: Column) -> Column
 def _annotate(df: DataFrame, choose_type: str, length_penalty: float,
               rewards: str, responses: str) -> DataFrame:
     rw, rs = F.col(rewards), F.col(responses)
-    i0, i1 = select_indices(choose_type, rw, rs, length_penalty)
+    if choose_type == "max_min_p":
+        # the penalised array is a lambda over every response: compute it once
+        df = df.withColumn("_pen", penalised(rw, rs, length_penalty))
+        i0, i1 = argmax_first(F.col("_pen")), argmin_first(F.col("_pen"))
+    else:
+        i0, i1 = select_indices(choose_type, rw, rs, length_penalty)
     return (
         df.withColumn("_i0", i0)
         .withColumn("_i1", i1)
@@ -115,13 +120,21 @@ def build_pairs(df: DataFrame, choose_type: str, margin_scale: float = 1.0,
     t0, t1 = F.get(F.col(responses), F.col("_i0")), F.get(F.col(responses), F.col("_i1"))
     first_wins = r0 > r1
     eot = F.lit(eot_token)
-    return a.filter(F.col("_outcome") == "kept").select(
-        *keep,
+    cols = [
+        *[F.col(c) for c in keep],
         render_chat(F.col(prompt), bos=bos, add_generation_prompt=True).alias("prompt"),
         F.concat(F.when(first_wins, t0).otherwise(t1), eot).alias("chosen"),
         F.concat(F.when(first_wins, t1).otherwise(t0), eot).alias("rejected"),
         (F.when(first_wins, r0 - r1).otherwise(r1 - r0) * F.lit(float(margin_scale))).alias("margin"),
-    )
+    ]
+    kept = F.col("_outcome") == "kept"
+    if choose_type == "max_min_p":
+        # A Filter would be pushed below the projections with the aliases inlined,
+        # re-running the lambda over all responses once per reference; a
+        # generator over a 0-or-1 element array evaluates it once per row.
+        return a.select(F.inline(F.when(kept, F.array(F.struct(*cols)))))
+    # cheap native selection: a plain Filter stays inside whole-stage codegen
+    return a.filter(kept).select(*cols)
 
 
 def pair_outcomes(df: DataFrame, strategies: tuple[str, ...] = STRATEGIES,
