@@ -67,3 +67,41 @@ def score_candidates(df: DataFrame, scorer: Callable, text: Column | str, out: s
         raise ValueError(f"unknown scorer kind {kind!r}")
     udf = pandas_udf(lambda s: pd.Series(scorer(s), dtype="float64"), "double")
     return df.withColumn(out, udf(t))
+
+
+def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
+                  out: str = "responses", partitions: int | None = None, **params) -> DataFrame:
+    """G1, wide and shuffle-free: ``mapInArrow`` appends ``responses array<string>``
+    to every input row (all input columns ride along, so prompts and responses
+    stay in one row and no join is needed to put them back together)."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    src = df.repartition(partitions) if partitions else df
+    schema = T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        for batch in batches:
+            prompts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            outs = generate(prompts, k, **params)
+            yield batch.append_column(out, pa.array([list(o or []) for o in outs], type=pa.list_(pa.string())))
+
+    return src.mapInArrow(run, schema)
+
+
+def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewards") -> DataFrame:
+    """G3, wide and shuffle-free: ``texts`` is one array of scorer inputs per row;
+    each Arrow batch is flattened into one Series for a single vectorised scorer
+    call and split back into per-row ``rewards`` arrays (parallel to the texts)."""
+    import numpy as np
+
+    @pandas_udf("array<double>")
+    def score(col: pd.Series) -> pd.Series:
+        lengths = col.map(lambda a: 0 if a is None else len(a)).to_numpy()
+        flat = pd.Series([t for a in col if a is not None for t in a], dtype="object")
+        vals = np.asarray(scorer(flat), dtype="float64") if len(flat) else np.zeros(0)
+        bounds = np.cumsum(lengths)[:-1]
+        parts = np.split(vals, bounds) if len(lengths) else []
+        return pd.Series([None if a is None else list(p) for a, p in zip(col, parts)])
+
+    return df.withColumn(out, score(texts))

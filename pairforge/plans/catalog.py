@@ -22,7 +22,7 @@ from ..operators import losses as LS
 from ..operators import tokens as TK
 from ..operators.candidates import (drop_short, join_candidates, overlength_guard, render_prompts,
                                     to_long, to_wide)
-from ..operators.hooks import generate_candidates, score_candidates
+from ..operators.hooks import generate_candidates, generate_wide, score_candidates, score_wide
 from ..operators.ordering import (head_n, shard_cover, shard_floor, shard_round_robin, shuffle,
                                   with_ordinal)
 from ..operators.pairs import (STRATEGIES, best_vs_rest, build_eval_pairs, build_pairs,
@@ -420,6 +420,24 @@ def score_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("row_id", _long("k"), "reward")
 
 
+@query("generate_hook_wide")
+def generate_hook_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 in wide form: responses appended to each prompt row (no join, no shuffle)."""
+    p = render_prompts(fx.prompts(spark, sf_dir))
+    gen = generate_wide(p, echo_generator, K, max_input_length=MAX_INPUT_LENGTH)
+    stripped = gen.select("row_id", F.posexplode(strip_echo_all("responses", F.col("prompt_text"))).alias("k", "response"))
+    return stripped.select("row_id", _long("k"), "response")
+
+
+@query("score_hook_wide")
+def score_hook_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 in wide form: one vectorised scorer call per Arrow batch, rewards parallel to responses."""
+    s = fx.scored(spark, sf_dir)
+    texts = F.transform("responses", lambda r: reward_model_text(F.col("prompt"), r))
+    scored = score_wide(s.drop("rewards"), md5_scorer, texts)
+    return scored.select("row_id", F.posexplode("rewards").alias("k", "reward")).select("row_id", _long("k"), "reward")
+
+
 @query("jsonl_round_trip")
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 (sharded JSONL write) -> S3/S1 (typed read of shards 0..3) -> U1 -> G4."""
@@ -430,6 +448,19 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_long(back).select("row_id", _long("k"), "response", "reward")
 
 
+@query("stream_pairs")
+def stream_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored sets land as JSONL; Structured Streaming selects max_min pairs into a file sink."""
+    from ..sources.jsonl import write_jsonl
+    from ..streaming import stream_pairs
+
+    root = shared_dir(spark, "stream_pairs", unique=True)
+    write_jsonl(fx.scored(spark, sf_dir), f"{root}/landing")
+    q = stream_pairs(spark, f"{root}/landing", f"{root}/pairs", "max_min", checkpoint=f"{root}/ckpt", eot_token=EOT)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/pairs")
+
+
 @query("iterate3")
 def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three iterations over contiguous thirds of the prompts; the generator of

@@ -1,10 +1,12 @@
 """The iteration driver (I1-I3): render -> generate -> merge -> score -> pairs.
 
-Each stage's output is written once to the shared folder (the cluster's
-checkpoint directory) and read back, partitioned by iteration: that is the
-stage hand-off of the reference, and it cuts lineage so that a lost executor
-recomputes from the last written stage.  The scored table feeds two sinks
-(pairs and the run record) from one written copy.
+The whole iteration is row-local: prompts, their K responses and their rewards
+stay in one row (wide form), so no stage shuffles.  Each stage's output is
+written once to the shared folder (the cluster's checkpoint directory) and read
+back, partitioned by iteration: that is the stage hand-off of the reference,
+and it cuts lineage, so a lost executor recomputes from the last written
+stage -- which matters for generation, whose sampling is not repeatable.  The
+scored table feeds two sinks (pairs and the run record) from one written copy.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import DEFAULT_BOS, reward_model_text
-from ..functions.text import drop_chars
-from ..operators.candidates import drop_short, join_candidates, render_prompts, to_long, to_wide
-from ..operators.hooks import generate_candidates, score_candidates
+from ..functions.text import strip_echo_all
+from ..operators.candidates import drop_short, render_prompts
+from ..operators.hooks import generate_wide, score_wide
 from ..operators.ordering import sanity_cut
 from ..operators.pairs import build_pairs
 from ..operators.summaries import run_record
@@ -51,17 +53,17 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     base = f"{out}/iteration={iteration}"
     rendered = render_prompts(prompts, bos=cfg.bos)
 
-    # generate (G1) -> strip the echoed prompt (P6) -> merge to wide (G5) -> join prompts
-    gen = generate_candidates(rendered, generator, cfg.k, partitions=cfg.partitions,
-                              max_input_length=cfg.max_input_length, **dict(cfg.sampling))
-    gen = gen.withColumn("response", drop_chars(F.col("response"), F.col("prompt_chars")))
-    wide = to_wide(gen, values=("response",), arrays=("responses",))
-    candidates = materialise(join_candidates(rendered, wide), f"{base}/candidates")
-
-    # drop short sets before scoring (F1), score per response (G4, P5, G3), back to wide
-    long = to_long(drop_short(candidates, cfg.k), arrays=("responses",), names=("response",), keep=("prompt",))
-    scored_long = score_candidates(long, scorer, reward_model_text(F.col("prompt"), F.col("response"), cfg.bos))
-    scored = materialise(to_wide(scored_long, carry=("prompt",)), f"{base}/scored")
+    # generate K texts per prompt in the prompt's own row (G1), strip the echoed prompt
+    gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions,
+                        max_input_length=cfg.max_input_length, **dict(cfg.sampling))
+    candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
+                            strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"))
+    candidates = materialise(candidates, f"{base}/candidates")
+
+    # drop short sets before scoring (F1); score every (prompt, response) text of a row
+    full = drop_short(candidates, cfg.k)
+    texts = F.transform("responses", lambda r: reward_model_text(F.col("prompt"), r, cfg.bos))
+    scored = materialise(score_wide(full, scorer, texts), f"{base}/scored")
 
     if cfg.record_path:
         append_record(run_record(scored.withColumn("iteration", F.lit(iteration)))

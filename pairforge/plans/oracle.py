@@ -505,3 +505,7 @@ SELECT a.iteration, p.row_id,
        CASE WHEN a.reward > b.reward THEN a.reward - b.reward ELSE b.reward - a.reward END AS margin
 FROM pick p JOIN sc a ON a.row_id = p.row_id AND a.k = p.i0 JOIN sc b ON b.row_id = p.row_id AND b.k = p.i1
 WHERE a.reward <> b.reward"""
+
+SQL["generate_hook_wide"] = SQL["generate_hook"]
+SQL["score_hook_wide"] = SQL["score_hook"]
+SQL["stream_pairs"] = SQL["pairs_max_min"]
