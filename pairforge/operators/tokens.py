@@ -9,7 +9,7 @@ sequences (packing) uses the hierarchical prefix sum.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ints import idiv
@@ -22,9 +22,15 @@ from .ordering import prefix_sums
 def shift_labels(tokens: DataFrame, seq: str = "seq_id", pos: str = "pos", label: str = "label",
                  out: str = "target") -> DataFrame:
     """Logits at ``pos`` predict the label at ``pos + 1``; the last position drops.
-    (Not applied for encoder-decoder models: use ``target = label``.)"""
-    w = Window.partitionBy(seq).orderBy(pos)
-    return tokens.withColumn(out, F.lead(label).over(w)).filter(F.col(out).isNotNull())
+    (Not applied for encoder-decoder models: use ``target = label``.)
+
+    An equi-join on the unique ``(seq_id, pos)`` key with the label column moved
+    one position back -- not a window over ``seq_id``, which would put a whole
+    sequence (however long) into one sort; the join's hash spreads every token.
+    Positions are dense from 0 within a sequence.
+    """
+    nxt = tokens.select(seq, (F.col(pos) - 1).cast(tokens.schema[pos].dataType).alias(pos), F.col(label).alias(out))
+    return tokens.join(nxt, [seq, pos], "inner")
 
 
 def token_logp(target: Column, logits: Column, pad: int = LABEL_PAD) -> Column:
@@ -48,7 +54,8 @@ def sequence_logps(tokens: DataFrame, shift: bool = True, average: bool = False,
                    pad: int = LABEL_PAD, seq: str = "seq_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """T2 (sum of label log-probs and count of unmasked labels per sequence), T3 with ``average``.
 
-    One shuffle on ``seq_id``: the shift window and the grouping share it.
+    The per-token log-prob is row-local; the sum per sequence is a partial
+    (map-side) aggregation, so a long sequence is pre-summed in every task.
     """
     t = _per_token(tokens, shift, pad)
     out = t.groupBy(seq, *keep).agg(
