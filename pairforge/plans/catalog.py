@@ -57,6 +57,7 @@ PACK_LEN = 4096
 MAX_LENGTH = 2048
 MAX_PROMPT_LENGTH = 1000
 HEAD_N = 50
+MARGIN_SCALE = 0.5
 ROLE_TO_SHAREGPT = {"system": "system", "user": "human", "assistant": "gpt"}
 SHAREGPT_ROLES = {"system": "system", "human": "user", "gpt": "assistant"}
 
@@ -194,6 +195,12 @@ for _s in STRATEGIES:
     QUERIES[f"pairs_{_s}"] = _pairs(_s)
 
 
+@query("pairs_max_min_scaled")
+def pairs_max_min_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 with a margin scale: margin = (hi - lo) * 0.5."""
+    return build_pairs(fx.scored(spark, sf_dir), "max_min", margin_scale=MARGIN_SCALE, eot_token=EOT)
+
+
 @query("pair_outcomes")
 def pair_outcomes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_outcomes(fx.scored_all(spark, sf_dir), length_penalty=LENGTH_PENALTY)
@@ -256,6 +263,19 @@ def shard_round_robin_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_round_robin(_orders(spark, sf_dir), SHARDS, key="o_orderkey").select("o_orderkey", _long("shard"))
 
 
+@query("shard_union")
+def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + U2: documents in 8 contiguous shards (L4) written as shard folders (S5),
+    every shard read back and concatenated (S3): counts per shard equal the input's."""
+    from ..sources.jsonl import write_sharded as _ws
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    path = shared_dir(spark, "shard_union", unique=True)
+    _ws(shard_cover(docs, 8, key="doc_id").drop("ordinal"), path)
+    back = read_shards(spark, path, 8, "doc_id long, lang string, shard int")
+    return back.groupBy(_long("shard")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
 @query("ordinal")
 def ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ordinal(_orders(spark, sf_dir), key="o_orderkey")

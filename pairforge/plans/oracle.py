@@ -509,3 +509,8 @@ WHERE a.reward <> b.reward"""
 SQL["generate_hook_wide"] = SQL["generate_hook"]
 SQL["score_hook_wide"] = SQL["score_hook"]
 SQL["stream_pairs"] = SQL["pairs_max_min"]
+SQL["pairs_max_min_scaled"] = pairs_sql("max_min", scale="CAST(0.5 AS DOUBLE)")
+SQL["shard_union"] = """
+SELECT CAST(o // (n // 8 + 1) AS BIGINT) AS shard, count(*) AS n, count(DISTINCT doc_id) AS n_docs
+FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, count(*) OVER () AS n FROM documents) t
+GROUP BY 1"""
