@@ -33,8 +33,24 @@ def relu(x: Column) -> Column:
     return F.greatest(x, F.lit(0.0))
 
 
-def log_softmax_at(logits: Column, index: Column) -> Column:
-    """logits[index] - logsumexp(logits), computed with the max shift."""
-    m = F.array_max(logits)
-    lse = m + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, v: acc + F.exp(v - m)))
-    return F.get(logits, index) - lse
+def log_sum_exp(logits: Column, row_max: Column | None = None) -> Column:
+    """log(sum(exp(logits))) with the max shift.
+
+    ``row_max``: ``array_max(logits)`` already materialised in a column below a
+    plan barrier (e.g. a join); the fold is then a plain double sum.  Without it,
+    the max rides in the fold's initial accumulator, which is evaluated once per
+    row -- a max referenced inside the lambda would be recomputed per element.
+    """
+    if row_max is not None:
+        return row_max + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, v: acc + F.exp(v - row_max)))
+    start = F.struct(F.array_max(logits).alias("m"), F.lit(0.0).alias("s"))
+    return F.aggregate(
+        logits, start,
+        lambda acc, v: F.struct(acc["m"].alias("m"), (acc["s"] + F.exp(v - acc["m"])).alias("s")),
+        lambda acc: acc["m"] + F.log(acc["s"]),
+    )
+
+
+def log_softmax_at(logits: Column, index: Column, row_max: Column | None = None) -> Column:
+    """logits[index] - logsumexp(logits)."""
+    return F.get(logits, index) - log_sum_exp(logits, row_max)

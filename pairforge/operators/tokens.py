@@ -33,21 +33,25 @@ def shift_labels(tokens: DataFrame, seq: str = "seq_id", pos: str = "pos", label
     return tokens.join(nxt, [seq, pos], "inner")
 
 
-def token_logp(target: Column, logits: Column, pad: int = LABEL_PAD) -> Column:
+def token_logp(target: Column, logits: Column, pad: int = LABEL_PAD, row_max: Column | None = None) -> Column:
     """T2 + T4 per token: log-softmax(logits)[target], 0 where target is the pad.
     The index is replaced before the lookup so that it never goes out of range."""
     masked = target == F.lit(pad)
     idx = F.when(masked, F.lit(0)).otherwise(target)
-    return F.when(masked, F.lit(0.0)).otherwise(log_softmax_at(logits, idx))
+    return F.when(masked, F.lit(0.0)).otherwise(log_softmax_at(logits, idx, row_max))
 
 
 def _per_token(tokens: DataFrame, shift: bool, pad: int) -> DataFrame:
-    t = shift_labels(tokens) if shift else tokens.withColumn("target", F.col("label"))
     if "token_logp" in tokens.columns:
+        t = shift_labels(tokens) if shift else tokens.withColumn("target", F.col("label"))
         lp = F.when(F.col("target") == F.lit(pad), F.lit(0.0)).otherwise(F.col("token_logp"))
-    else:
-        lp = token_logp(F.col("target"), F.col("logits"), pad)
-    return t.withColumn("_lp", lp)
+        return t.withColumn("_lp", lp)
+    if shift:
+        # the row max is computed below the shift join, so the exp-sum fold reads a column
+        t = shift_labels(tokens.withColumn("_lmax", F.array_max("logits")))
+        return t.withColumn("_lp", token_logp(F.col("target"), F.col("logits"), pad, F.col("_lmax"))).drop("_lmax")
+    t = tokens.withColumn("target", F.col("label"))
+    return t.withColumn("_lp", token_logp(F.col("target"), F.col("logits"), pad))
 
 
 def sequence_logps(tokens: DataFrame, shift: bool = True, average: bool = False,
