@@ -63,9 +63,12 @@ def main() -> None:
     spark = get_session()
     base = shared_dir(spark, "bench", unique=True)
 
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+
     def stage(df: DataFrame, name: str) -> DataFrame:
+        # a multi-file table, as real inputs are: one file per slot, round-robin
         path = f"{base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.repartition(2 * cpus).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
     scored = stage(replicate(fx.scored(spark, sf_dir), "row_id", REPLICATE), "scored_x100")
@@ -108,7 +111,7 @@ def main() -> None:
         "rows_per_sec": rps,
         "input_rows": rows,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-        "cpus": int(os.environ.get("BENCH_CPUS", "8")),
+        "cpus": cpus,
         "runs": runs,
     }))
 
