@@ -70,10 +70,15 @@ def score_candidates(df: DataFrame, scorer: Callable, text: Column | str, out: s
 
 
 def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
-                  out: str = "responses", partitions: int | None = None, **params) -> DataFrame:
+                  out: str = "responses", partitions: int | None = None,
+                  setup: Callable[[], object] | None = None, **params) -> DataFrame:
     """G1, wide and shuffle-free: ``mapInArrow`` appends ``responses array<string>``
     to every input row (all input columns ride along, so prompts and responses
-    stay in one row and no join is needed to put them back together)."""
+    stay in one row and no join is needed to put them back together).
+
+    ``setup`` (optional) loads the model once per task; its result is passed to
+    ``generate`` as ``model=`` for every batch of that task.
+    """
     import pyarrow as pa
     from pyspark.sql import types as T
 
@@ -81,9 +86,10 @@ def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "promp
     schema = T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
 
     def run(batches):
+        extra = {"model": setup()} if setup is not None else {}
         for batch in batches:
             prompts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            outs = generate(prompts, k, **params)
+            outs = generate(prompts, k, **extra, **params)
             yield batch.append_column(out, pa.array([list(o or []) for o in outs], type=pa.list_(pa.string())))
 
     return src.mapInArrow(run, schema)
@@ -105,3 +111,15 @@ def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewar
         return pd.Series([None if a is None else list(p) for a, p in zip(col, parts)])
 
     return df.withColumn(out, score(texts))
+
+
+def score_with_model(df: DataFrame, make_predict_fn: Callable, text: Column | str, out: str = "reward",
+                     batch_size: int = 256) -> DataFrame:
+    """G3 through ``predict_batch_udf``: ``make_predict_fn()`` loads the model once
+    per Python worker (and is cached there); the returned function maps a numpy
+    array of texts (``batch_size`` at a time) to a numpy array of rewards."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import DoubleType
+
+    udf = predict_batch_udf(make_predict_fn, return_type=DoubleType(), batch_size=batch_size)
+    return df.withColumn(out, udf(F.col(text) if isinstance(text, str) else text))

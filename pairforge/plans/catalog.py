@@ -22,7 +22,8 @@ from ..operators import losses as LS
 from ..operators import tokens as TK
 from ..operators.candidates import (drop_short, join_candidates, overlength_guard, render_prompts,
                                     to_long, to_wide)
-from ..operators.hooks import generate_candidates, generate_wide, score_candidates, score_wide
+from ..operators.hooks import (generate_candidates, generate_wide, score_candidates, score_wide,
+                               score_with_model)
 from ..operators.ordering import (head_n, shard_cover, shard_floor, shard_round_robin, shuffle,
                                   with_ordinal)
 from ..operators.pairs import (STRATEGIES, best_vs_rest, build_eval_pairs, build_pairs,
@@ -36,7 +37,7 @@ from ..sources import fixtures as fx
 from ..sources.jsonl import read_shards, write_sharded
 from ..sources.tables import read_table
 from .iteration import IterationConfig, run_iterations
-from .stand_ins import echo_generator, md5_scorer
+from .stand_ins import echo_generator, make_md5_predict, md5_scorer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -458,6 +459,15 @@ def score_hook_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row_id", F.posexplode("rewards").alias("k", "reward")).select("row_id", _long("k"), "reward")
 
 
+@query("score_hook_batch")
+def score_hook_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 through predict_batch_udf (model cached per Python worker, fixed batch size)."""
+    long = to_long(fx.scored(spark, sf_dir), arrays=("responses",), names=("response",), keep=("prompt",))
+    texts = long.withColumn("rm_text", reward_model_text(F.col("prompt"), F.col("response")))
+    s = score_with_model(texts, make_md5_predict, "rm_text", batch_size=64)
+    return s.select("row_id", _long("k"), "reward")
+
+
 @query("jsonl_round_trip")
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 (sharded JSONL write) -> S3/S1 (typed read of shards 0..3) -> U1 -> G4."""

@@ -514,3 +514,4 @@ SQL["shard_union"] = """
 SELECT CAST(o // (n // 8 + 1) AS BIGINT) AS shard, count(*) AS n, count(DISTINCT doc_id) AS n_docs
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, count(*) OVER () AS n FROM documents) t
 GROUP BY 1"""
+SQL["score_hook_batch"] = SQL["score_hook"]

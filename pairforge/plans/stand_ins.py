@@ -25,3 +25,13 @@ def echo_generator(prompts: list[str], k: int, max_input_length: int | None = No
 def md5_scorer(texts: pd.Series) -> pd.Series:
     """reward = (first 4 hex digits of md5(text) mod 41) / 8 - 2.5."""
     return texts.map(lambda t: (int(hashlib.md5(t.encode("utf-8")).hexdigest()[:4], 16) % 41) / 8 - 2.5)
+
+
+def make_md5_predict():
+    """``predict_batch_udf`` factory for the same scorer (numpy array in, numpy array out)."""
+    import numpy as np
+
+    def predict(texts: "np.ndarray") -> "np.ndarray":
+        return md5_scorer(pd.Series(texts)).to_numpy(dtype="float64")
+
+    return predict

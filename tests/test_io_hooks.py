@@ -80,3 +80,23 @@ def test_iterations(spark):
     assert {r.iteration for r in rows} <= {1, 2, 3}
     assert all(f"it{r.iteration} " in r.chosen for r in rows)
     assert spark.read.option("sep", "\t").csv(record).count() == 3
+
+
+def test_generate_wide_with_setup(spark):
+    from pairforge.operators.hooks import generate_wide
+    prompts = spark.createDataFrame([(1, "ab", 7), (2, "c", 8)], "row_id long, prompt_text string, extra int")
+
+    def gen(ps, k, model=None, **_):
+        return [[f"{model}:{p}:{i}" for i in range(k)] for p in ps]
+
+    out = {r.row_id: r for r in generate_wide(prompts, gen, 2, setup=lambda: "M").collect()}
+    assert out[1].responses == ["M:ab:0", "M:ab:1"] and out[2].extra == 8
+
+
+def test_predict_batch_scorer(spark):
+    from pairforge.operators.hooks import score_with_model
+    from pairforge.plans.stand_ins import make_md5_predict
+    df = spark.createDataFrame([(t,) for t in ["a", "bb", "é😀"]], "t string")
+    a = sorted((r.t, r.reward) for r in score_with_model(df, make_md5_predict, "t", batch_size=2).collect())
+    b = sorted((r.t, r.reward) for r in score_candidates(df, md5_scorer, "t").collect())
+    assert a == b
