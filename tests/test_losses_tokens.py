@@ -165,3 +165,16 @@ def test_truncate_pair(spark):
     p, c, r = TK.truncate_pair(F.col("p"), F.col("c"), F.col("r"), max_length=8, max_prompt_length=4)
     row = df.select(p.alias("p"), c.alias("c"), r.alias("r")).first()
     assert row.p == [6, 7, 8, 9] and row.c == [100, 101, 102, 103] and row.r == [200, 201, 202]
+
+
+def test_rank_pairing_range_sort_equals_window(spark):
+    import random
+    rng = random.Random(9)
+    # one hot batch holding most rows, plus small ones; ties included
+    rows = [(i, 0 if i < 300 else 1 + i % 5, -float(rng.randint(0, 40)) / 8, -float(rng.randint(0, 40)) / 8,
+             -float(rng.randint(0, 40)) / 8, -float(rng.randint(0, 40)) / 8) for i in range(400)]
+    df = logps_rows(spark, rows)
+    for lt in ("aot", "aot_pair"):
+        w = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5).collect()))
+        r = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5, max_window_rows=10).collect()))
+        assert w == r and len(w) == 400
