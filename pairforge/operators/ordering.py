@@ -101,17 +101,50 @@ def _bucket_shift(lo: int, hi: int, n: int) -> int:
     return max(0, min(span_bits, span_bits - max(0, n_bits - BUCKET_ROWS_BITS)))
 
 
-def with_ordinal(df: DataFrame, key: str = "row_id", out: str = "ordinal",
-                 tiebreak: Sequence[str] = (), stats: tuple[int, int, int] | None = None) -> DataFrame:
-    """Dense 0-based ordinal in ``key`` order (``key`` a unique non-null integer).
+MAX_BUCKET_ROWS = 1 << 20
+
 
-    ``tiebreak`` columns only order rows that share a key (e.g. hash collisions).
+def global_positions(df: DataFrame, order: Sequence[str], out: str = "_pos",
+                     partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in ``order`` without a single-task sort.
+
+    ``repartitionByRange`` splits the rows into balanced ranges (sampled
+    bounds), so even one hot value of the first column is spread over tasks as
+    long as later columns vary; a window per range gives the row number inside
+    it, and the ranges' prefix offsets (one row per range) make it global.  The
+    ranged frame is checkpointed to the shared folder so that every reference
+    sees the same ranges.
+    """
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    s = s.withColumn("_idx", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
+    s = s.checkpoint()
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = exclusive_prefix_sum(counts, "_pid", ["_n"], key_bits=31)
+    placed = s.join(offsets.select("_pid", "_n_before"), "_pid")
+    return placed.withColumn(out, (F.col("_n_before") + F.col("_idx")).cast("long")).drop("_pid", "_idx", "_n_before")
+
+
+def with_ordinal(df: DataFrame, key: str = "row_id", out: str = "ordinal",
+                 tiebreak: Sequence[str] = (), stats: tuple[int, int, int] | None = None,
+                 max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+    """Dense 0-based ordinal in ``key`` order (``key`` a non-null integer).
+
+    ``tiebreak`` columns order rows that share a key.  With unique keys a bucket
+    holds at most ``2**shift`` rows; if copies of a key overfill a bucket beyond
+    ``max_bucket_rows`` (checked on the bucket counts), the ordinal comes from
+    ``global_positions`` instead, with a per-row salt as the last order column
+    so that even exact copies spread over tasks (their mutual order is free).
     """
     lo, hi, n = stats if stats is not None else key_stats(df, key)
     shift = _bucket_shift(lo, hi, n)
     bucket = F.shiftright(F.col(key) - F.lit(lo), shift)
     b = df.withColumn("_bucket", bucket)
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    if (counts.agg(F.max("_n")).first()[0] or 0) > max_bucket_rows:
+        salted = df.withColumn("_salt", F.monotonically_increasing_id())
+        pos = global_positions(salted, [key, *tiebreak, "_salt"], out="_pos")
+        return pos.select(*df.columns, F.col("_pos").alias(out))
     bucket_bits = max(1, _bit_length(hi - lo) - shift + 1)
     offsets = exclusive_prefix_sum(counts, "_bucket", ["_n"], key_bits=bucket_bits).select("_bucket", "_n_before")
     w = Window.partitionBy("_bucket").orderBy(F.col(key), *[F.col(c) for c in tiebreak])

@@ -77,3 +77,15 @@ def test_head_n(spark):
     df = keyed(spark, [5, 3, 9, 1])
     assert [r.row_id for r in head_n(df, 2).collect()] == [1, 3]
     assert head_n(df, 0).count() == 4
+
+
+def test_ordinal_with_hot_duplicate_key(spark):
+    # a third of the rows share one key: the bucket path would overfill a bucket
+    keys = [7] * 200 + list(range(100, 500))
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "row_id long, v long")
+    out = with_ordinal(df, max_bucket_rows=50).toPandas()
+    assert sorted(out["ordinal"]) == list(range(len(keys)))
+    by_key = out.sort_values("ordinal")["row_id"].tolist()
+    assert by_key == sorted(keys)
+    same = with_ordinal(df, max_bucket_rows=50, tiebreak=["v"]).toPandas().sort_values("ordinal")
+    assert same[same.row_id == 7]["v"].tolist() == list(range(200))
