@@ -21,3 +21,25 @@ def logps_rows(spark, rows):
         T.StructField("reference_rejected_logps", T.DoubleType()),
     ])
     return spark.createDataFrame(rows, schema)
+
+
+def single_partition_shuffle_records(df):
+    """Run ``df`` (collect) and return the records written by every shuffle
+    exchange with a single output partition, read from the final AQE plan."""
+    df.collect()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange" and node.outputPartitioning().numPartitions() == 1:
+            out.append(int(node.metrics().apply("shuffleRecordsWritten").value()))
+        ch = node.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out

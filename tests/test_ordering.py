@@ -31,13 +31,6 @@ def test_prefix_sum_multilevel(spark):
     assert list(got2["v_before"]) == list(got["v_before"])
 
 
-def test_ordinal_plan_has_no_single_partition_exchange_on_data(spark):
-    df = keyed(spark, range(0, 5000))
-    plan = with_ordinal(df)._jdf.queryExecution().executedPlan().toString()
-    # the only unpartitioned window runs over the bucket table, after an aggregation
-    assert "Window" in plan
-
-
 def test_shard_floor_drops_tail(spark):
     n, w = 103, 7
     out = shard_floor(keyed(spark, range(n)), w).toPandas()
@@ -89,3 +82,23 @@ def test_ordinal_with_hot_duplicate_key(spark):
     assert by_key == sorted(keys)
     same = with_ordinal(df, max_bucket_rows=50, tiebreak=["v"]).toPandas().sort_values("ordinal")
     assert same[same.row_id == 7]["v"].tolist() == list(range(200))
+
+
+def test_no_data_sized_single_partition_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from helpers import single_partition_shuffle_records
+    from pairforge.operators.losses import bco_running_delta
+    from pairforge.operators.tokens import pack_spans
+
+    n = 200_000
+    dense = spark.range(0, n).withColumnRenamed("id", "row_id")
+    sparse = spark.range(0, n).select((F.col("id") * 7919 + 13).alias("row_id"))
+    docs = spark.range(0, n).select(F.col("id").alias("doc_id"), (F.col("id") % 17).alias("n_tokens"))
+    batches = spark.range(0, n).select(F.col("id").alias("pair_id"), F.col("id").alias("batch_id"),
+                                       *[(-(F.col("id") % 7)).cast("double").alias(c) for c in (
+                                           "policy_chosen_logps", "policy_rejected_logps",
+                                           "reference_chosen_logps", "reference_rejected_logps")])
+    for df in (with_ordinal(dense), with_ordinal(sparse), pack_spans(docs, 64), bco_running_delta(batches)):
+        recs = single_partition_shuffle_records(df)
+        assert all(r <= 2 ** 16 for r in recs), recs
