@@ -100,3 +100,23 @@ def test_predict_batch_scorer(spark):
     a = sorted((r.t, r.reward) for r in score_with_model(df, make_md5_predict, "t", batch_size=2).collect())
     b = sorted((r.t, r.reward) for r in score_candidates(df, md5_scorer, "t").collect())
     assert a == b
+
+
+def test_score_wide_handles_empty_and_null(spark):
+    from pairforge.operators.hooks import score_wide
+    df = spark.createDataFrame([(1, ["a", "bb"]), (2, []), (3, None), (4, ["é😀"])], "row_id long, t array<string>")
+    got = {r.row_id: r.rewards for r in score_wide(df, md5_scorer, F.col("t")).collect()}
+    exp = {1: list(md5_scorer(__import__("pandas").Series(["a", "bb"]))), 2: [], 3: None,
+           4: list(md5_scorer(__import__("pandas").Series(["é😀"])))}
+    assert got == exp
+
+
+def test_read_prompts_parquet_and_table(spark):
+    from pairforge.sources.tables import read_prompts
+    df = spark.createDataFrame([(1, [("user", "q")])], "row_id long, msgs array<struct<role:string,content:string>>")
+    path = shared_dir(spark, "t_prompts", unique=True)
+    df.write.parquet(path)
+    got = read_prompts(spark, path, key="msgs").collect()
+    assert got[0].row_id == 1 and got[0].context_messages[0].content == "q"
+    df.createOrReplaceTempView("t_prompt_view")
+    assert read_prompts(spark, "t_prompt_view", key="msgs", fmt="table").count() == 1
