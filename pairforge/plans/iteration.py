@@ -44,6 +44,7 @@ class IterationConfig:
     output_dir: str | None = None
     record_path: str | None = None
     partitions: int | None = None
+    stage_format: str = "parquet"  # or "json": JSONL stage files, as the reference hands them on
 
 
 def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, prompts: DataFrame,
@@ -58,12 +59,12 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
                         max_input_length=cfg.max_input_length, **dict(cfg.sampling))
     candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
                             strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"))
-    candidates = materialise(candidates, f"{base}/candidates")
+    candidates = materialise(candidates, f"{base}/candidates", cfg.stage_format)
 
     # drop short sets before scoring (F1); score every (prompt, response) text of a row
     full = drop_short(candidates, cfg.k)
     texts = F.transform("responses", lambda r: reward_model_text(F.col("prompt"), r, cfg.bos))
-    scored = materialise(score_wide(full, scorer, texts), f"{base}/scored")
+    scored = materialise(score_wide(full, scorer, texts), f"{base}/scored", cfg.stage_format)
 
     if cfg.record_path:
         append_record(run_record(scored.withColumn("iteration", F.lit(iteration)))
@@ -72,7 +73,7 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     pairs = build_pairs(scored, cfg.choose_type, margin_scale=cfg.margin_scale,
                         length_penalty=cfg.length_penalty, eot_token=cfg.eot_token, bos=cfg.bos)
     pairs = sanity_cut(pairs, cfg.sanity_check)
-    return materialise(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs")
+    return materialise(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs", cfg.stage_format)
 
 
 def run_iterations(spark: SparkSession, cfg: IterationConfig, prompt_sets: Callable[[int], DataFrame],

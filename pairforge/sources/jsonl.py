@@ -48,6 +48,11 @@ def append_record(df: DataFrame, path: str) -> None:
 
 def materialise(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Write a stage's output to the shared folder and read it back: cuts lineage,
-    so a lost executor recomputes from this table, not from the first stage."""
+    so a lost executor recomputes from this table, not from the first stage.
+    ``fmt="json"`` writes JSONL (the reference's hand-off format) and reads it
+    back with the written schema (no inference scan)."""
+    if fmt == "json":
+        write_jsonl(df, path)
+        return read_jsonl(df.sparkSession, path, df.schema)
     df.write.mode("overwrite").format(fmt).save(path)
     return df.sparkSession.read.format(fmt).load(path)

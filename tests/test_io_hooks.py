@@ -120,3 +120,16 @@ def test_read_prompts_parquet_and_table(spark):
     assert got[0].row_id == 1 and got[0].context_messages[0].content == "q"
     df.createOrReplaceTempView("t_prompt_view")
     assert read_prompts(spark, "t_prompt_view", key="msgs", fmt="table").count() == 1
+
+
+def test_iteration_with_jsonl_stages(spark):
+    from pairforge.plans.iteration import IterationConfig, run_iteration
+    prompts = spark.createDataFrame([(i, [("user", f"q{i}")]) for i in range(5)],
+                                    "row_id long, context_messages array<struct<role:string,content:string>>")
+    out = shared_dir(spark, "t_iter_json", unique=True)
+    cfg = IterationConfig(k=4, stage_format="json", output_dir=out)
+    pairs = run_iteration(spark, cfg, 1, prompts, echo_generator, md5_scorer)
+    cfg_p = IterationConfig(k=4, output_dir=shared_dir(spark, "t_iter_pq", unique=True))
+    pq = run_iteration(spark, cfg_p, 1, prompts, echo_generator, md5_scorer)
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pq.collect()))
+    assert spark.read.json(f"{out}/iteration=1/scored").count() == 5
