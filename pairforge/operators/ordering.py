@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ints import idiv
+from ..session import shared_dir
 
 GROUP_BITS = 16
 BUCKET_ROWS_BITS = 16
@@ -115,6 +116,7 @@ def global_positions(df: DataFrame, order: Sequence[str], out: str = "_pos",
     ranged frame is checkpointed to the shared folder so that every reference
     sees the same ranges.
     """
+    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a fresh one in tests
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
     s = s.withColumn("_idx", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
@@ -140,7 +142,10 @@ def with_ordinal(df: DataFrame, key: str = "row_id", out: str = "ordinal",
     shift = _bucket_shift(lo, hi, n)
     bucket = F.shiftright(F.col(key) - F.lit(lo), shift)
     b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket: written once to the checkpoint folder, then both the
+    # size check and the offsets read it instead of re-scanning the input
+    shared_dir(df.sparkSession)
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
     if (counts.agg(F.max("_n")).first()[0] or 0) > max_bucket_rows:
         salted = df.withColumn("_salt", F.monotonically_increasing_id())
         pos = global_positions(salted, [key, *tiebreak, "_salt"], out="_pos")
