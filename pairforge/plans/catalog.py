@@ -407,6 +407,15 @@ def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TK.pack_spans(docs, PACK_LEN)
 
 
+@query("sft_pack")
+def sft_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SFT path: whole conversations rendered (P1), tokenised (hook default),
+    packed into 4096-token blocks in row order (T8); no sample limit (F4, n <= 0)."""
+    chats = head_n(fx.chats(spark, sf_dir), 0)
+    texts = chats.select("row_id", TK.text_token_counts(render_chat(F.col("messages"))).alias("n_tokens"))
+    return TK.pack_spans(texts, PACK_LEN, key="row_id")
+
+
 @query("truncate_end")
 def truncate_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = build_pairs(fx.scored(spark, sf_dir), "max_min", eot_token=EOT)

@@ -515,3 +515,19 @@ SELECT CAST(o // (n // 8 + 1) AS BIGINT) AS shard, count(*) AS n, count(DISTINCT
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, count(*) OVER () AS n FROM documents) t
 GROUP BY 1"""
 SQL["score_hook_batch"] = SQL["score_hook"]
+
+SQL["sft_pack"] = f"""
+WITH r AS (
+  SELECT conv_id AS row_id, string_agg(p, '' ORDER BY turn) AS text
+  FROM (SELECT conv_id, turn, {piece('role', 'text', 'turn = min(turn) OVER (PARTITION BY conv_id)')} AS p
+        FROM conversations) x
+  GROUP BY conv_id
+),
+d AS (SELECT row_id, CAST(len({toks('text')}) AS BIGINT) AS n FROM r),
+o AS (SELECT row_id, n, CAST(coalesce(sum(n) OVER (ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
+      FROM d),
+b AS (SELECT row_id, s, s + n AS e, unnest(range(s // 4096, (s + n - 1) // 4096 + 1)) AS block_id FROM o WHERE n > 0)
+SELECT block_id, row_id, greatest(s, block_id * 4096) - block_id * 4096 AS start_in_block,
+       greatest(s, block_id * 4096) - s AS offset_in_seq,
+       least(e, (block_id + 1) * 4096) - greatest(s, block_id * 4096) AS n_tokens
+FROM b"""
