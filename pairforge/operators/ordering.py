@@ -80,10 +80,13 @@ def exclusive_prefix_sum(df: DataFrame, key: str, values: Sequence[str],
     )
 
 
-def prefix_sums(df: DataFrame, key: str, values: Sequence[str], suffix: str = "_before") -> DataFrame:
+def prefix_sums(df: DataFrame, key: str, values: Sequence[str], suffix: str = "_before",
+                bounds: tuple[int, int] | None = None) -> DataFrame:
     """Exclusive prefix sums in ``key`` order for a table with one row per unique
-    integer ``key``; the key range (one small aggregation) sets the number of levels."""
-    lo, hi, _ = key_stats(df, key)
+    integer ``key``; the key range sets the number of levels.  ``bounds``
+    (min, max) may come from a cheaper source (e.g. the un-aggregated input);
+    otherwise one small aggregation computes them."""
+    lo, hi = bounds if bounds is not None else key_stats(df, key)[:2]
     shifted = df.withColumn("_pk", F.col(key) - F.lit(lo))
     bits = max(1, _bit_length(hi - lo) + 1)
     out = exclusive_prefix_sum(shifted, "_pk", values, key_bits=bits, suffix=suffix)
