@@ -29,18 +29,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def render_message(role: Column, content: Column) -> Column:
+    """One rendered message without BOS: header(role) + strip(content) + end-of-turn."""
+    return F.concat(F.lit(HEADER_START), role, F.lit(HEADER_END), py_strip(content), F.lit(END_OF_TURN))
+
+
 def render_chat(messages: Column | str, bos: str = DEFAULT_BOS,
                 add_generation_prompt: bool = False) -> Column:
     """Render a message list to model text (P1); with the generation header."""
     def piece(m: Column, i: Column) -> Column:
-        return F.concat(
-            F.when(i == 0, F.lit(bos)).otherwise(F.lit("")),
-            F.lit(HEADER_START),
-            m["role"],
-            F.lit(HEADER_END),
-            py_strip(m["content"]),
-            F.lit(END_OF_TURN),
-        )
+        return F.concat(F.when(i == 0, F.lit(bos)).otherwise(F.lit("")), render_message(m["role"], m["content"]))
 
     text = F.array_join(F.transform(_col(messages), piece), "")
     if add_generation_prompt:
@@ -62,6 +60,16 @@ def reward_model_text(messages: Column | str, response: Column | str,
     return F.replace(rendered, F.lit(bos), F.lit(""))
 
 
+def reward_model_text_rendered(rendered_prompt: Column | str, response: Column | str,
+                               bos: str = DEFAULT_BOS, role: str = "assistant") -> Column:
+    """P5 from a prompt already rendered by ``render_chat`` (no generation header):
+    equal to ``reward_model_text`` because every BOS is removed after the
+    concatenation, so where the template would put BOS does not matter.  Lets a
+    per-response lambda read one rendered column instead of re-rendering."""
+    return F.replace(F.concat(_col(rendered_prompt), render_message(F.lit(role), _col(response))),
+                     F.lit(bos), F.lit(""))
+
+
 def normalise_chat(conversation: Column | str, role_map: Mapping[str, str],
                    from_field: str = "from", value_field: str = "value") -> Column:
     """Role/value chat -> standard messages (P13); an unknown role raises."""

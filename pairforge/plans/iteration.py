@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.chat import DEFAULT_BOS, reward_model_text
+from ..functions.chat import DEFAULT_BOS, render_chat, reward_model_text_rendered
 from ..functions.text import strip_echo_all
 from ..operators.candidates import drop_short, render_prompts
 from ..operators.hooks import generate_wide, score_wide
@@ -58,13 +58,15 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions,
                         max_input_length=cfg.max_input_length, **dict(cfg.sampling))
     candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
-                            strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"))
+                            strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"),
+                            render_chat(F.col("context_messages"), bos=cfg.bos).alias("prompt_rendered"))
     candidates = materialise(candidates, f"{base}/candidates", cfg.stage_format)
 
     # drop short sets before scoring (F1); score every (prompt, response) text of a row
     full = drop_short(candidates, cfg.k)
-    texts = F.transform("responses", lambda r: reward_model_text(F.col("prompt"), r, cfg.bos))
-    scored = materialise(score_wide(full, scorer, texts), f"{base}/scored", cfg.stage_format)
+    # the prompt was rendered once per row in the written candidates stage
+    texts = F.transform("responses", lambda r: reward_model_text_rendered(F.col("prompt_rendered"), r, cfg.bos))
+    scored = materialise(score_wide(full, scorer, texts).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
 
     if cfg.record_path:
         append_record(run_record(scored.withColumn("iteration", F.lit(iteration)))

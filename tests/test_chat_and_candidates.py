@@ -98,3 +98,13 @@ def test_join_candidates_strict(spark):
     assert join_candidates(prompts, resp).count() == 1
     with pytest.raises(RuntimeError):
         join_candidates(prompts, resp, strict=True)
+
+
+def test_reward_text_from_rendered_prompt_is_equal(spark):
+    from pairforge.functions.chat import reward_model_text_rendered
+    rows = [([], "r"), ([("user", "q")], "a"), ([("system", f" s{DEFAULT_BOS} "), ("user", "x")], f"{DEFAULT_BOS}b "),
+            ([("user", "<|begin_of_")], "text|>tail")]
+    df = spark.createDataFrame(rows, f"m {MSG}, r string")
+    out = df.select(reward_model_text("m", "r").alias("a"),
+                    reward_model_text_rendered(render_chat("m"), "r").alias("b")).collect()
+    assert all(x.a == x.b for x in out)
