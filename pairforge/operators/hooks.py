@@ -21,7 +21,8 @@ LONG_SCHEMA = "row_id long, k int, response string, prompt_chars int"
 
 
 def generate_candidates(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
-                        key: str = "row_id", partitions: int | None = None, **params) -> DataFrame:
+                        key: str = "row_id", partitions: int | None = None,
+                        setup: Callable[[], object] | None = None, **params) -> DataFrame:
     """G1: ``mapInPandas`` over (row_id, prompt text) -> long
     ``(row_id, k, response, prompt_chars)``; ``prompt_chars`` lets P6 strip an echo.
 
@@ -34,8 +35,9 @@ def generate_candidates(df: DataFrame, generate: Generator, k: int, text: str =
         src = src.repartition(partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        extra = {"model": setup()} if setup is not None else {}  # one model load per task
         for pdf in batches:
-            outs = generate(pdf[text].tolist(), k, **params)
+            outs = generate(pdf[text].tolist(), k, **extra, **params)
             ids, ks, texts, lens = [], [], [], []
             for rid, prompt, returned in zip(pdf[key].tolist(), pdf[text].tolist(), outs):
                 for i, t in enumerate(returned or []):

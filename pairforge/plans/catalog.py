@@ -500,6 +500,20 @@ def stream_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/pairs")
 
 
+@query("stream_loss_sigmoid")
+def stream_loss_sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-prob rows land as JSONL; Structured Streaming computes the sigmoid loss into a file sink."""
+    from ..sources.jsonl import write_jsonl
+    from ..streaming import stream_losses
+
+    root = shared_dir(spark, "stream_losses", unique=True)
+    write_jsonl(fx.logps(spark, sf_dir), f"{root}/landing")
+    q = stream_losses(spark, f"{root}/landing", f"{root}/losses", "sigmoid", checkpoint=f"{root}/ckpt", beta=BETA)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/losses")
+    return out.select("pair_id", "batch_id", r6("loss").alias("loss"), "chosen_reward", "rejected_reward")
+
+
 @query("iterate3")
 def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three iterations over contiguous thirds of the prompts; the generator of

@@ -531,3 +531,4 @@ SELECT block_id, row_id, greatest(s, block_id * 4096) - block_id * 4096 AS start
        greatest(s, block_id * 4096) - s AS offset_in_seq,
        least(e, (block_id + 1) * 4096) - greatest(s, block_id * 4096) AS n_tokens
 FROM b"""
+SQL["stream_loss_sigmoid"] = SQL["loss_sigmoid"]

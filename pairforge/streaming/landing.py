@@ -1,10 +1,11 @@
 """The row-local operators over a JSONL landing folder (Structured Streaming).
 
-Scored candidate sets land as JSONL files; pair selection is row-local, so the
-same ``build_pairs`` plan runs unchanged on the stream and writes through the
-file sink (exactly-once via its commit log).  The run record (mean / top-1 score
-per micro-batch, S6) is written by ``foreachBatch``, one folder per epoch, so a
-replayed epoch overwrites rather than duplicates.
+Scored candidate sets (or log-prob rows) land as JSONL files.  Pair selection
+and the row-local losses need no state, so the same plans run unchanged on
+the stream and write through the file sink (exactly-once via its commit log).
+The run record (mean / top-1 score per micro-batch, S6) is written by
+``foreachBatch``, one folder per epoch, so a replayed epoch overwrites rather
+than duplicates.
 """
 
 from __future__ import annotations
@@ -41,6 +42,24 @@ def stream_pairs(spark: SparkSession, landing: str, out: str, choose_type: str,
     return writer.start()
 
 
+def stream_losses(spark: SparkSession, landing: str, out: str, loss_type: str,
+                  checkpoint: str | None = None, available_now: bool = True, fmt: str = "parquet",
+                  **loss_args) -> StreamingQuery:
+    """Row-local preference losses (every type but bco_pair / aot / aot_pair, which
+    need whole batches) over landed log-prob rows, appended to ``out``."""
+    from ..operators.losses import preference_loss
+    from ..schemas import LOGPS
+
+    if loss_type in ("bco_pair", "aot", "aot_pair"):
+        raise ValueError(f"{loss_type} needs whole batches; run it on the landed table instead")
+    losses = preference_loss(read_landing(spark, landing, LOGPS), loss_type, **loss_args)
+    ckpt = checkpoint or shared_dir(spark, "streams", "losses", unique=True)
+    writer = losses.writeStream.format(fmt).outputMode("append").option("path", out) \
+        .option("checkpointLocation", ckpt)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
 def stream_run_records(spark: SparkSession, landing: str, record: str, k: int,
                        checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Per micro-batch score summary (A1-A3) written to ``record/epoch=<id>``."""
