@@ -45,6 +45,12 @@ class IterationConfig:
     record_path: str | None = None
     partitions: int | None = None
     stage_format: str = "parquet"  # or "json": JSONL stage files, as the reference hands them on
+    # training side: the preference loss applied to the pairs' log-prob table
+    loss_type: str = "sigmoid"
+    beta: float = 0.1
+    label_smoothing: float = 0.0
+    f_divergence: str = "reverse_kl"
+    rpo_alpha: float | None = None
 
 
 def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, prompts: DataFrame,
@@ -90,3 +96,20 @@ def run_iterations(spark: SparkSession, cfg: IterationConfig, prompt_sets: Calla
         pairs = run_iteration(spark, cfg, i, prompt_sets(i), generator_for(i), scorer)
         result = pairs if result is None else result.unionByName(pairs)
     return result
+
+
+def iteration_losses(cfg: IterationConfig, logps, nll=None, split: str = "train"):
+    """Loss and batch metrics for one iteration's pairs, given their log-prob
+    table (``pair_id, batch_id`` + the four log-probs, from the caller's model):
+    returns ``(per-pair losses, batch loss, batch metrics)`` under ``cfg``'s
+    loss type, beta, label smoothing, divergence and optional RPO term."""
+    from ..operators import losses as LS
+
+    losses = LS.preference_loss(logps, cfg.loss_type, beta=cfg.beta, label_smoothing=cfg.label_smoothing,
+                                f_divergence=cfg.f_divergence)
+    if cfg.loss_type in ("aot", "aot_pair"):
+        return losses, LS.batch_loss(losses), None
+    if cfg.rpo_alpha is not None and nll is not None:
+        losses = LS.add_rpo(losses, nll, cfg.rpo_alpha)
+    metrics = LS.batch_metrics(losses, split, nll=nll if cfg.rpo_alpha is not None else None)
+    return losses, LS.batch_loss(losses), metrics

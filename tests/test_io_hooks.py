@@ -133,3 +133,12 @@ def test_iteration_with_jsonl_stages(spark):
     pq = run_iteration(spark, cfg_p, 1, prompts, echo_generator, md5_scorer)
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pq.collect()))
     assert spark.read.json(f"{out}/iteration=1/scored").count() == 5
+
+
+def test_iteration_losses_uses_config(spark):
+    from helpers import logps_rows
+    from pairforge.plans.iteration import IterationConfig, iteration_losses
+    df = logps_rows(spark, [(i, i // 2, -1.0 - i, -2.0, -1.5, -1.5) for i in range(6)])
+    losses, batch, metrics = iteration_losses(IterationConfig(loss_type="hinge", beta=0.5), df)
+    assert losses.count() == 6 and batch.count() == 3
+    assert metrics.filter("metric = 'rewards/accuracies'").count() == 3
