@@ -1,9 +1,11 @@
 """Candidate sets: long <-> wide, prompt join, completeness and length filters.
 
 Wide form: ``row_id, prompt, responses array<string>[, rewards array<double>]``.
-Long form: one row per ``(row_id, k)``.  Scoring hooks run on the long form so
-that a model call is one row; the pair builder runs on the wide form so that
-pair selection is row-local.
+Long form: one row per ``(row_id, k)``.  The iteration driver stays wide from
+generation to pairs (no shuffle at all); the long form serves data that arrives
+one response per row (a per-response scoring service, merged shard files), and
+``to_wide`` brings it back with one shuffle on ``row_id`` whose groups hold a
+prompt's K responses.
 """
 
 from __future__ import annotations

@@ -2,9 +2,10 @@
 
 Token table: one row per ``(seq_id, pos)`` with ``label int`` (-100 = masked)
 and either ``logits array<double>`` or a precomputed ``token_logp double`` (a
-real vocabulary is too wide to store per token).  Sequences are bounded by the
-model context, so per-sequence windows are bounded; everything that spans
-sequences (packing) uses the hierarchical prefix sum.
+real vocabulary is too wide to store per token).  The label shift is an
+equi-join on the unique ``(seq_id, pos)`` key and every per-sequence or
+per-batch sum is a partial aggregation, so no sequence is gathered into one
+task; packing offsets across sequences use the hierarchical prefix sum.
 """
 
 from __future__ import annotations
