@@ -32,3 +32,65 @@ def test_pack_spans_equals_brute_force(spark, counts, block):
             exp[-1][4] += 1
         pos += n
     assert got == sorted(tuple(x) for x in exp)
+
+
+def _expected_pair(rewards, responses, strategy, lam):
+    import math
+
+    import numpy as np
+
+    def missing(x):
+        return x is None or (isinstance(x, float) and math.isnan(x))
+
+    if len(rewards) < 2:
+        return None
+    if strategy == "random":
+        i0, i1 = 0, 1
+        if missing(rewards[0]) or missing(rewards[1]):
+            return None
+    else:
+        if any(missing(x) for x in rewards):
+            return None
+        r = np.array(rewards, dtype=float)
+        if strategy == "max_random":
+            i0 = int(np.argmax(r))
+            i1 = 1 if i0 == 0 else 0
+        elif strategy == "max_min":
+            i0, i1 = int(np.argmax(r)), int(np.argmin(r))
+        elif strategy == "max_max":
+            s = np.argsort(r, kind="stable")
+            i0, i1 = int(s[-1]), int(s[-2])
+        else:
+            p = np.array([x - lam * len(t) for x, t in zip(rewards, responses)])
+            i0, i1 = int(np.argmax(p)), int(np.argmin(p))
+    r0, r1 = rewards[i0], rewards[i1]
+    if r0 > r1:
+        return responses[i0], responses[i1], r0 - r1
+    if r0 < r1:
+        return responses[i1], responses[i0], r1 - r0
+    return None
+
+
+REWARD = st.one_of(st.sampled_from([-1.0, 0.0, 0.5, 1.0, 2.0]), st.just(float("nan")), st.none())
+
+
+@FAST
+@given(st.lists(st.tuples(st.lists(REWARD, max_size=6), st.integers(min_value=0, max_value=9)), min_size=1, max_size=40))
+def test_build_pairs_equals_brute_force(spark, rows):
+    from helpers import scored_rows
+    from pairforge.operators.pairs import STRATEGIES, build_pairs
+
+    data = []
+    for i, (rewards, seed) in enumerate(rows):
+        responses = [f"r{i}_{j}_" + "x" * ((seed * (j + 3)) % 11) for j in range(len(rewards))]
+        data.append((i, rewards, responses))
+    df = scored_rows(spark, data)
+    for s in STRATEGIES:
+        lam = 0.25 if s == "max_min_p" else 0.0
+        got = {r.row_id: (r.chosen, r.rejected, r.margin) for r in build_pairs(df, s, length_penalty=lam).collect()}
+        exp = {}
+        for i, rewards, responses in data:
+            e = _expected_pair(rewards, responses, s, lam)
+            if e is not None:
+                exp[i] = e
+        assert got == exp, s
