@@ -94,3 +94,43 @@ def test_build_pairs_equals_brute_force(spark, rows):
             if e is not None:
                 exp[i] = e
         assert got == exp, s
+
+
+LOGP = st.floats(min_value=-200.0, max_value=0.0, allow_nan=False)
+
+
+@FAST
+@given(st.lists(st.tuples(LOGP, LOGP, LOGP, LOGP), min_size=1, max_size=30),
+       st.sampled_from([0.05, 0.1, 0.5, 2.0]), st.sampled_from([0.0, 0.1, 0.3]))
+def test_row_losses_equal_formulas(spark, rows, beta, eps):
+    import math
+
+    from helpers import logps_rows
+    from pairforge.operators.losses import preference_loss
+
+    def ls(x):
+        return min(x, 0.0) - math.log1p(math.exp(-abs(x)))
+
+    def sig(x):
+        return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
+
+    df = logps_rows(spark, [(i, 0, *r) for i, r in enumerate(rows)])
+    for lt in ("sigmoid", "robust", "exo_pair", "hinge", "ipo", "sppo_hard", "nca_pair", "apo_zero", "apo_down"):
+        got = {r.pair_id: r.loss for r in preference_loss(df, lt, beta=beta, label_smoothing=eps).collect()}
+        for i, (pc, pr, rc, rr) in enumerate(rows):
+            w, l = pc - rc, pr - rr
+            z = (pc - pr) - (rc - rr)
+            bz = beta * z
+            e = eps if eps else 1e-3
+            exp = {
+                "sigmoid": -ls(bz) * (1 - eps) - ls(-bz) * eps,
+                "robust": (-ls(bz) * (1 - eps) + ls(-bz) * eps) / (1 - 2 * eps),
+                "exo_pair": sig(bz) * (ls(bz) - math.log(1 - e)) + sig(-bz) * (ls(-bz) - math.log(e)),
+                "hinge": max(0.0, 1 - bz),
+                "ipo": (z - 1 / (2 * beta)) ** 2,
+                "sppo_hard": (w - 0.5 / beta) ** 2 + (l + 0.5 / beta) ** 2,
+                "nca_pair": -ls(beta * w) - 0.5 * ls(-beta * w) - 0.5 * ls(-beta * l),
+                "apo_zero": 1 - sig(beta * w) + sig(beta * l),
+                "apo_down": sig(beta * w) + 1 - sig(beta * (w - l)),
+            }[lt]
+            assert math.isclose(got[i], exp, rel_tol=1e-9, abs_tol=1e-9), (lt, got[i], exp)
