@@ -514,6 +514,21 @@ def stream_loss_sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("pair_id", "batch_id", r6("loss").alias("loss"), "chosen_reward", "rejected_reward")
 
 
+@query("pairs_from_jsonl")
+def pairs_from_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference-format files in, reference-format pairs out: scored sets written
+    as id-less JSONL ({prompt, responses, rewards}), read back with the fixed
+    schema, given row ids, and turned into {prompt, chosen, rejected, margin}."""
+    from ..schemas import SCORED_JSONL
+    from ..sources.jsonl import add_row_ids, read_jsonl, write_jsonl
+
+    path = shared_dir(spark, "pairs_from_jsonl", unique=True)
+    write_jsonl(fx.scored(spark, sf_dir).drop("row_id"), path)
+    sets = add_row_ids(read_jsonl(spark, path, SCORED_JSONL))
+    pairs = build_pairs(sets, "max_min", eot_token=EOT)
+    return pairs.select("prompt", "chosen", "rejected", "margin")
+
+
 @query("iterate3")
 def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three iterations over contiguous thirds of the prompts; the generator of

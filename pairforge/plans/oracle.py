@@ -532,3 +532,4 @@ SELECT block_id, row_id, greatest(s, block_id * 4096) - block_id * 4096 AS start
        least(e, (block_id + 1) * 4096) - greatest(s, block_id * 4096) AS n_tokens
 FROM b"""
 SQL["stream_loss_sigmoid"] = SQL["loss_sigmoid"]
+SQL["pairs_from_jsonl"] = "SELECT prompt, chosen, rejected, margin FROM (" + pairs_sql("max_min") + ") t"

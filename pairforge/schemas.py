@@ -37,6 +37,10 @@ SCORED = T.StructType([
     T.StructField("rewards", T.ArrayType(T.DoubleType())),
 ])
 
+# The same sets as JSONL files from the reference's stages carry no row id.
+CANDIDATES_JSONL = T.StructType([f for f in CANDIDATES.fields if f.name != "row_id"])
+SCORED_JSONL = T.StructType([f for f in SCORED.fields if f.name != "row_id"])
+
 # Long form of D3/D4: one row per (row_id, k).
 CANDIDATE_LONG = T.StructType([
     T.StructField("row_id", T.LongType()),

@@ -19,6 +19,19 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     return spark.read.schema(schema).option("mode", "FAILFAST").json(p)
 
 
+def add_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Give rows read from id-less files (the reference's JSONL) a unique ``row_id``.
+
+    ``monotonically_increasing_id`` right after the scan: unique and increasing
+    in file-split order, with gaps; it depends only on the files and the split
+    size, so a recomputed task assigns the same ids.  ``with_ordinal`` turns it
+    into a dense 0..n-1 when positions matter.
+    """
+    from pyspark.sql import functions as F
+
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Whole-output overwrite; null fields kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -142,3 +142,20 @@ def test_iteration_losses_uses_config(spark):
     losses, batch, metrics = iteration_losses(IterationConfig(loss_type="hinge", beta=0.5), df)
     assert losses.count() == 6 and batch.count() == 3
     assert metrics.filter("metric = 'rewards/accuracies'").count() == 3
+
+
+def test_reference_format_jsonl_to_pairs(spark):
+    import os
+
+    from pairforge.operators.pairs import build_pairs
+    from pairforge.schemas import SCORED_JSONL
+    from pairforge.sources.jsonl import add_row_ids
+    path = shared_dir(spark, "t_ref_jsonl", unique=True).replace("file:", "")
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/data.jsonl", "w", encoding="utf8") as f:
+        f.write('{"prompt": [{"role": "user", "content": "hi"}], "responses": ["a", "bb", "c"], "rewards": [0.5, 2.0, -1.0]}\n')
+        f.write('{"prompt": [{"role": "user", "content": "yo"}], "responses": ["x", "y"], "rewards": [1.0, 1.0]}\n')
+    sets = add_row_ids(read_jsonl(spark, path, SCORED_JSONL))
+    pairs = build_pairs(sets, "max_min").collect()
+    assert [(p.chosen, p.rejected, p.margin) for p in pairs] == [("bb", "c", 3.0)]
+    assert sets.select("row_id").distinct().count() == 2
