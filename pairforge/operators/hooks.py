@@ -19,6 +19,18 @@ from pyspark.sql.pandas.functions import pandas_udf
 Generator = Callable[..., list]
 LONG_SCHEMA = "row_id long, k int, response string, prompt_chars int"
 
+# Models loaded by ``setup`` callables, kept per Python worker: Spark reuses a
+# worker across tasks (``spark.python.worker.reuse``), so a model loads once per
+# worker, not once per task or batch.
+_WORKER_MODELS: dict[str, object] = {}
+
+
+def _model(setup: Callable[[], object]) -> object:
+    key = f"{getattr(setup, '__module__', '')}.{getattr(setup, '__qualname__', repr(setup))}"
+    if key not in _WORKER_MODELS:
+        _WORKER_MODELS[key] = setup()
+    return _WORKER_MODELS[key]
+
 
 def generate_candidates(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
                         key: str = "row_id", partitions: int | None = None,
@@ -35,7 +47,7 @@ def generate_candidates(df: DataFrame, generate: Generator, k: int, text: str =
         src = src.repartition(partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extra = {"model": setup()} if setup is not None else {}  # one model load per task
+        extra = {"model": _model(setup)} if setup is not None else {}  # one load per Python worker
         for pdf in batches:
             outs = generate(pdf[text].tolist(), k, **extra, **params)
             ids, ks, texts, lens = [], [], [], []
@@ -78,8 +90,8 @@ def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "promp
     to every input row (all input columns ride along, so prompts and responses
     stay in one row and no join is needed to put them back together).
 
-    ``setup`` (optional) loads the model once per task; its result is passed to
-    ``generate`` as ``model=`` for every batch of that task.
+    ``setup`` (optional) loads the model once per Python worker; its result is
+    passed to ``generate`` as ``model=`` for every batch.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
@@ -88,7 +100,7 @@ def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "promp
     schema = T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
 
     def run(batches):
-        extra = {"model": setup()} if setup is not None else {}
+        extra = {"model": _model(setup)} if setup is not None else {}
         for batch in batches:
             prompts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             outs = generate(prompts, k, **extra, **params)
@@ -97,17 +109,20 @@ def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "promp
     return src.mapInArrow(run, schema)
 
 
-def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewards") -> DataFrame:
+def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewards",
+               setup: Callable[[], object] | None = None) -> DataFrame:
     """G3, wide and shuffle-free: ``texts`` is one array of scorer inputs per row;
     each Arrow batch is flattened into one Series for a single vectorised scorer
-    call and split back into per-row ``rewards`` arrays (parallel to the texts)."""
+    call and split back into per-row ``rewards`` arrays (parallel to the texts).
+    ``setup`` (optional) loads a model once per Python worker, passed as ``model=``."""
     import numpy as np
 
     @pandas_udf("array<double>")
     def score(col: pd.Series) -> pd.Series:
+        extra = {"model": _model(setup)} if setup is not None else {}
         lengths = col.map(lambda a: 0 if a is None else len(a)).to_numpy()
         flat = pd.Series([t for a in col if a is not None for t in a], dtype="object")
-        vals = np.asarray(scorer(flat), dtype="float64") if len(flat) else np.zeros(0)
+        vals = np.asarray(scorer(flat, **extra), dtype="float64") if len(flat) else np.zeros(0)
         bounds = np.cumsum(lengths)[:-1]
         parts = np.split(vals, bounds) if len(lengths) else []
         return pd.Series([None if a is None else list(p) for a, p in zip(col, parts)])

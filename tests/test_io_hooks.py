@@ -159,3 +159,14 @@ def test_reference_format_jsonl_to_pairs(spark):
     pairs = build_pairs(sets, "max_min").collect()
     assert [(p.chosen, p.rejected, p.margin) for p in pairs] == [("bb", "c", 3.0)]
     assert sets.select("row_id").distinct().count() == 2
+
+
+def test_score_wide_with_setup(spark):
+    from pairforge.operators.hooks import score_wide
+    df = spark.createDataFrame([(1, ["a", "bb"])], "row_id long, t array<string>")
+
+    def scorer(texts, model=None):
+        return texts.map(lambda t: model * len(t))
+
+    got = score_wide(df, scorer, F.col("t"), setup=lambda: 2.0).first().rewards
+    assert got == [2.0, 4.0]
