@@ -45,6 +45,9 @@ class IterationConfig:
     record_path: str | None = None
     partitions: int | None = None
     stage_format: str = "parquet"  # or "json": JSONL stage files, as the reference hands them on
+    # model loaders, called once per Python worker; results reach the hooks as ``model=``
+    generator_setup: Callable[[], object] | None = None
+    scorer_setup: Callable[[], object] | None = None
     # training side: the preference loss applied to the pairs' log-prob table
     loss_type: str = "sigmoid"
     beta: float = 0.1
@@ -61,7 +64,7 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     rendered = render_prompts(prompts, bos=cfg.bos)
 
     # generate K texts per prompt in the prompt's own row (G1), strip the echoed prompt
-    gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions,
+    gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions, setup=cfg.generator_setup,
                         max_input_length=cfg.max_input_length, **dict(cfg.sampling))
     candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
                             strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"),
@@ -72,7 +75,7 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     full = drop_short(candidates, cfg.k)
     # the prompt was rendered once per row in the written candidates stage
     texts = F.transform("responses", lambda r: reward_model_text_rendered(F.col("prompt_rendered"), r, cfg.bos))
-    scored = materialise(score_wide(full, scorer, texts).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
+    scored = materialise(score_wide(full, scorer, texts, setup=cfg.scorer_setup).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
 
     if cfg.record_path:
         append_record(run_record(scored.withColumn("iteration", F.lit(iteration)))
