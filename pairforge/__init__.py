@@ -13,3 +13,16 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+from .functions.chat import normalise_chat, render_chat, reward_model_text  # noqa: E402
+from .operators.candidates import drop_short, join_candidates, overlength_guard, to_long, to_wide  # noqa: E402
+from .operators.hooks import generate_candidates, generate_wide, score_candidates, score_wide, score_with_model  # noqa: E402
+from .operators.losses import batch_loss, batch_metrics, preference_loss  # noqa: E402
+from .operators.ordering import (head_n, sanity_cut, shard_cover, shard_floor, shard_round_robin,  # noqa: E402
+                                 shuffle, with_ordinal)
+from .operators.pairs import build_eval_pairs, build_pairs, build_pairs_multi, pair_outcomes  # noqa: E402
+from .operators.summaries import run_record, score_summary, shard_counts  # noqa: E402
+from .operators.tokens import (batch_nll, pack_spans, pack_tokens, role_mask, sequence_logps,  # noqa: E402
+                               stack_split, truncate_pair)
+from .plans.iteration import IterationConfig, iteration_losses, run_iteration, run_iterations  # noqa: E402
+from .sources.jsonl import add_row_ids, append_record, read_jsonl, read_shards, write_jsonl, write_sharded  # noqa: E402
