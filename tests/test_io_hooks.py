@@ -170,3 +170,16 @@ def test_score_wide_with_setup(spark):
 
     got = score_wide(df, scorer, F.col("t"), setup=lambda: 2.0).first().rewards
     assert got == [2.0, 4.0]
+
+
+def test_iteration_passes_scorer_model(spark):
+    from pairforge.plans.iteration import IterationConfig, run_iteration
+    prompts = spark.createDataFrame([(i, [("user", f"q{i}")]) for i in range(3)],
+                                    "row_id long, context_messages array<struct<role:string,content:string>>")
+
+    def scorer(texts, model=None):  # responses differ only in their index digit
+        return texts.map(lambda t: model * (sum(map(ord, t)) % 11))
+
+    cfg = IterationConfig(k=4, scorer_setup=lambda: 0.5, output_dir=shared_dir(spark, "t_iter_model", unique=True))
+    pairs = run_iteration(spark, cfg, 1, prompts, echo_generator, scorer).collect()
+    assert pairs and all(p.margin % 0.5 == 0 for p in pairs)

@@ -25,3 +25,12 @@ def test_stream_matches_batch(spark):
     r.awaitTermination(120)
     lines = spark.read.option("sep", "\t").csv(record).collect()
     assert sum(int(x[0]) for x in lines) == 40
+
+
+def test_stream_losses_rejects_batch_losses(spark):
+    import pytest
+
+    from pairforge.streaming import stream_losses
+    for lt in ("bco_pair", "aot", "aot_pair"):
+        with pytest.raises(ValueError):
+            stream_losses(spark, "/nonexistent", "/nonexistent-out", lt)
