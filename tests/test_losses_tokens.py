@@ -178,3 +178,14 @@ def test_rank_pairing_range_sort_equals_window(spark):
         w = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5).collect()))
         r = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5, max_window_rows=10).collect()))
         assert w == r and len(w) == 400
+
+
+def test_truncate_pair_keep_start_and_validation(spark):
+    df = spark.createDataFrame([(list(range(10)), list(range(100, 106)), list(range(200, 203)))],
+                               "p array<int>, c array<int>, r array<int>")
+    p, c, r = TK.truncate_pair(F.col("p"), F.col("c"), F.col("r"), max_length=12, max_prompt_length=4,
+                               mode="keep_start")
+    row = df.select(p.alias("p"), c.alias("c"), r.alias("r")).first()
+    assert row.p == [0, 1, 2, 3] and row.c == list(range(100, 106))
+    with pytest.raises(ValueError):
+        TK.truncate_pair(F.col("p"), F.col("c"), F.col("r"), 12, 4, mode="middle")
