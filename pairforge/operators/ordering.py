@@ -3,13 +3,15 @@
 Spark rows have no position, so every table carries a unique integer key
 (``row_id``).  A dense ordinal 0..n-1 in key order (L7) is built as:
 
-1. bucket = (key - min) >> shift.  Keys are unique, so a bucket holds at most
-   ``2**shift`` rows; ``shift`` is chosen from (min, max, count) so that there
-   are about ``n / 2**16`` buckets.
-2. per-bucket counts (map-side partial aggregation) -> exclusive prefix sums
-   over the bucket table (``exclusive_prefix_sum``: hierarchical, every window
-   partition holds at most ``2**16`` rows).
-3. ``row_number()`` within the bucket + the bucket's offset.
+1. bucket = (key - min) >> shift, with ``shift`` chosen from (min, max, count)
+   so that there are about ``n / 2**16`` buckets (about 2**16 rows each for
+   dense or evenly spread keys).
+2. per-bucket counts (map-side partial aggregation, written once) -> exclusive
+   prefix sums over the bucket table (``exclusive_prefix_sum``: hierarchical,
+   every window partition holds at most ``2**16`` rows).
+3. ``row_number()`` within the bucket + the bucket's offset.  If clustered keys
+   or copies put more than ``MAX_BUCKET_ROWS`` rows in a bucket, a salted
+   range-partitioned sort (``global_positions``) is used instead.
 
 The same prefix sum serves packing (T8) and the running mean of ``bco_pair``
 (X6).  Never ``Window.orderBy`` alone over a data-sized table (one task), never
@@ -135,9 +137,9 @@ def with_ordinal(df: DataFrame, key: str = "row_id", out: str = "ordinal",
                  max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
     """Dense 0-based ordinal in ``key`` order (``key`` a non-null integer).
 
-    ``tiebreak`` columns order rows that share a key.  With unique keys a bucket
-    holds at most ``2**shift`` rows; if copies of a key overfill a bucket beyond
-    ``max_bucket_rows`` (checked on the bucket counts), the ordinal comes from
+    ``tiebreak`` columns order rows that share a key.  If clustered keys or
+    copies put more than ``max_bucket_rows`` rows in a bucket (checked on the
+    bucket counts), the ordinal comes from
     ``global_positions`` instead, with a per-row salt as the last order column
     so that even exact copies spread over tasks (their mutual order is free).
     """
