@@ -79,8 +79,10 @@ def score_candidates(df: DataFrame, scorer: Callable, text: Column | str, out: s
         return df.withColumn(out, scorer(t).cast("double"))
     if kind != "pandas":
         raise ValueError(f"unknown scorer kind {kind!r}")
-    udf = pandas_udf(lambda s: pd.Series(scorer(s), dtype="float64"), "double")
-    return df.withColumn(out, udf(t))
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(scorer(texts), dtype="float64")
+
+    return df.withColumn(out, pandas_udf(run, "double")(t))
 
 
 def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
