@@ -46,6 +46,26 @@ def render_chat(messages: Column | str, bos: str = DEFAULT_BOS,
     return text
 
 
+def render_long(messages, key: str = "row_id", order: str = "turn", role: str = "role",
+                content: str = "content", bos: str = DEFAULT_BOS, add_generation_prompt: bool = False,
+                out: str = "text"):
+    """P1/P2 from a long message table (one row per message): each message is
+    rendered by plain column expressions (whole-stage codegen, no lambda), then
+    the rendered pieces of a conversation are gathered in ``order`` and joined --
+    one shuffle on ``key``.  Equal to ``render_chat`` over the collected list;
+    BOS goes in front of the first message of each conversation."""
+    from pyspark.sql import Window
+
+    first = F.col(order) == F.min(order).over(Window.partitionBy(key))
+    piece = F.concat(F.when(first, F.lit(bos)).otherwise(F.lit("")), render_message(F.col(role), F.col(content)))
+    pieces = messages.select(key, order, piece.alias("_p"))
+    joined = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_p"))).alias("_ps"))
+    text = F.array_join(F.col("_ps._p"), "")
+    if add_generation_prompt:
+        text = F.concat(text, F.lit(GENERATION_HEADER))
+    return joined.select(key, text.alias(out))
+
+
 def append_turn(messages: Column | str, response: Column | str,
                 role: str = "assistant") -> Column:
     """Prompt messages + one ``{role, content: response}`` message."""

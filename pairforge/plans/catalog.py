@@ -88,6 +88,16 @@ def render_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("row_id", render_chat(F.col("messages")).alias("text"))
 
 
+@query("render_sft_long")
+def render_sft_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 straight from the long conversations table (pieces rendered in codegen, then joined)."""
+    from ..functions.chat import render_long
+
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("row_id"), "turn", "role", F.col("text").alias("content"))
+    return render_long(conv)
+
+
 @query("render_prompt")
 def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = render_prompts(fx.prompts(spark, sf_dir), out="prompt")

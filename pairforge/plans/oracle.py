@@ -533,3 +533,4 @@ SELECT block_id, row_id, greatest(s, block_id * 4096) - block_id * 4096 AS start
 FROM b"""
 SQL["stream_loss_sigmoid"] = SQL["loss_sigmoid"]
 SQL["pairs_from_jsonl"] = "SELECT prompt, chosen, rejected, margin FROM (" + pairs_sql("max_min") + ") t"
+SQL["render_sft_long"] = SQL["render_sft"]

@@ -108,3 +108,14 @@ def test_reward_text_from_rendered_prompt_is_equal(spark):
     out = df.select(reward_model_text("m", "r").alias("a"),
                     reward_model_text_rendered(render_chat("m"), "r").alias("b")).collect()
     assert all(x.a == x.b for x in out)
+
+
+def test_render_long_equals_render_chat(spark):
+    from pairforge.functions.chat import render_long
+    rows = [(1, 2, "assistant", " a "), (1, 0, "system", "s"), (1, 1, "user", f"q{DEFAULT_BOS}"), (2, 5, "user", "solo")]
+    long = spark.createDataFrame(rows, "row_id long, turn long, role string, content string")
+    got = {r.row_id: r.text for r in render_long(long, add_generation_prompt=True).collect()}
+    lists = {1: [("system", "s"), ("user", f"q{DEFAULT_BOS}"), ("assistant", " a ")], 2: [("user", "solo")]}
+    wide = spark.createDataFrame([(k, v) for k, v in lists.items()], f"row_id long, m {MSG}")
+    exp = {r.row_id: r.text for r in wide.select("row_id", render_chat("m", add_generation_prompt=True).alias("text")).collect()}
+    assert got == exp
