@@ -12,8 +12,10 @@ from .bpe import bpe_round_trip
 from .common import table
 from .langid import identify
 from .licenses import scan_licenses
+from .mixing import mix
 from .secrets import secret_digest
 from .topk import top_k
+from .toxicity import toxicity
 from .urls import url_filter
 
 URL_RULES = (
@@ -33,6 +35,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
@@ -41,6 +47,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -52,8 +62,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
+    "op3_mix": op3_mix,
     "op5_top_k": op5_top_k,
     "op6_secret_scan": op6_secret_scan,
+    "op7_toxicity": op7_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
 }
