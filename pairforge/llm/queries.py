@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .fingerprints import fingerprints
 from .langid import identify
 from .licenses import scan_licenses
 from .mixing import mix
@@ -51,6 +52,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_top_k": op5_top_k,
     "op6_secret_scan": op6_secret_scan,
     "op7_toxicity": op7_toxicity,
+    "op8_fingerprints": op8_fingerprints,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
 }
