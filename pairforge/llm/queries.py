@@ -14,6 +14,7 @@ from .fingerprints import fingerprints
 from .langid import identify
 from .licenses import scan_licenses
 from .mixing import mix
+from .ngram_join import ngram_jaccard_join
 from .secrets import secret_digest
 from .topk import top_k
 from .toxicity import toxicity
@@ -40,6 +41,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
     "op3_mix": op3_mix,
+    "op4_ngram_join": op4_ngram_join,
     "op5_top_k": op5_top_k,
     "op6_secret_scan": op6_secret_scan,
     "op7_toxicity": op7_toxicity,
