@@ -41,3 +41,11 @@ def keep_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     ids = written(ids.select(key).where(F.col(key).isNotNull()).distinct())
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_merge")
     return df.join(side, key, how)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as a column is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

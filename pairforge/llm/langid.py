@@ -25,13 +25,14 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from .common import held_out, small_batches
 
@@ -188,26 +189,23 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 _SCORERS: dict[str, Scorer] = {}
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, lang_pred, score`` for every row; the model goes out once as a broadcast variable."""
-    small_batches(docs.sparkSession)
-    shared, name = docs.sparkSession.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
+def predictor(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """Text column -> struct(lang_pred, score); the model goes out once as a broadcast variable."""
+    small_batches(spark)
+    shared, name = spark.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @pandas_udf("struct<lang_pred:string,score:double>")
+    def run(texts: pd.Series) -> pd.DataFrame:
         if name not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[name] = Scorer(Model(*shared.value))
-        scorer = _SCORERS[name]
-        for batch in batches:
-            out = pd.DataFrame(scorer.predict(batch["_text"].tolist()), columns=["lang_pred", "score"])
-            out.insert(0, key, batch["_key"].to_numpy())
-            yield out
+        return pd.DataFrame(_SCORERS[name].predict(texts.tolist()), columns=["lang_pred", "score"])
 
-    src = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-    return src.mapInPandas(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double")
+    return run
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Fit on the labelled rows that aren't held out, then predict every row."""
-    out = predict(docs, fit(docs, key, text, lang), key, text)
-    return out.select(key, held_out(F.col(key)).alias("held_out"), "lang_pred", "score")
+    judge = predictor(docs.sparkSession, fit(docs, key, text, lang))
+    out = docs.select(F.col(key).alias("_key"), judge(F.col(text)).alias("_judged"))
+    return out.select(F.col("_key").alias(key), held_out(F.col("_key")).alias("held_out"), "_judged.lang_pred", "_judged.score")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import BROADCAST_ROWS, free_name, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -127,6 +127,10 @@ def _solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"src": pdf["src"], "size": pdf["size"], "copies": copies, "n": pdf["n"]})
 
 
+def _order(seed: str, key: str, text: str) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(key), F.col(text))
+
+
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, seed: str = "mix") -> DataFrame:
     """``key, size, source_size, target, taken, copies, order_hash`` for every row.
@@ -135,7 +139,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     src = F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
     rows = written(df.select(
         F.col(key).alias("id"), src.alias("src"), F.col(source).cast("string").alias("source"),
-        n_words(F.col(text)).alias("size"), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("h"))
+        n_words(F.col(text)).alias("size"), _order(seed, key, text).alias("h"))
         .withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")))
     buckets = rows.groupBy("src", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
     classes = buckets.groupBy("src", "size").agg(F.sum("n").alias("n"))
@@ -155,3 +159,21 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     out = ranked.select("src", "id", "size", "h", copies).join(aims.select("src", "words", "target"), "src")
     return out.select(F.col("id").alias(key), "size", F.col("words").alias("source_size"), "target",
                       (F.col("size") * F.col("copies")).alias("taken"), "copies", F.col("h").alias("order_hash"))
+
+
+def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+                    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, seed: str = "mix") -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them; a row without words, which the mix can't weigh, stays once.
+
+    Rows get their number of copies by (id, hash).  The plan is broadcast behind a count, else both sides are shuffled;
+    rows that repeat an (id, hash) are taken once and repeated by their copies' sum."""
+    name, h = free_name(df, "_copies"), free_name(df, "_h")
+    plan = mix(df, key, text, source, weights, share, seed).withColumn("n", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")))
+    plan = written(plan.groupBy(F.col(key).alias("_k"), F.col("order_hash").alias("_o")).agg(F.sum("n").cast("int").alias(name), F.count(F.lit(1)).alias("_rows")))
+    side = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
+    hashed = df.withColumn(h, _order(seed, key, text))
+    rows = hashed.join(side, hashed[key].eqNullSafe(side["_k"]) & (hashed[h] == side["_o"]))
+    if not plan.where("_rows > 1").isEmpty():
+        repeated = rows.where("_rows > 1").dropDuplicates(["_k", "_o"])
+        rows = rows.where("_rows = 1").unionByName(repeated)
+    return rows.select(*[hashed[c] for c in df.columns], F.explode(F.array_repeat(F.lit(1), F.col(name))).alias(name)).drop(name)

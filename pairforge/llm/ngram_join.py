@@ -45,14 +45,14 @@ LIST_ROWS = 2_048
 #: Shingles per group of the counting step, about.
 GROUP_SHINGLES = 1 << 19
 CACHE_WORDS = 500_000
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit integers that looks random; one per seed."""
-    x = x + _MIX[0] * np.uint64(2 * seed + 1)
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+    x = x + np.uint64(_MIX[0] * (2 * seed + 1) % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[1])
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[2])
     return x ^ (x >> np.uint64(31))
 
 

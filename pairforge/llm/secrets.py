@@ -25,9 +25,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -35,6 +36,7 @@ from .common import small_batches
 
 KINDS = ("assign", "access", "hex", "random")
 FDR = 0.01
+MARK = "[SECRET]"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -169,24 +171,28 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", fdr: fl
     return df.select(df[key].alias(key), spans(df[text]).alias("spans"))
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every covered stretch replaced by ``mark`` (touching or overlapping spans become one)."""
+def redact_text(text: str | None, fdr: float = FDR, mark: str = MARK) -> str | None:
+    """The text with every covered stretch replaced (touching or overlapping spans become one)."""
+    spans = sorted((s, e) for _, s, e in all_spans(text, fdr))
+    if not spans:
+        return text
+    parts, at, upto = [], 0, -1
+    for s, e in spans:
+        if s > upto:
+            parts += [text[at:s], mark]
+        upto = at = max(upto, e)
+    return "".join([*parts, text[at:]])
+
+
+def redactor(spark: SparkSession, fdr: float = FDR, mark: str = MARK) -> Callable[[Column], Column]:
+    """Text column -> redacted text column; a null stays null."""
+    small_batches(spark)
 
     @pandas_udf("string")
-    def run(texts: pd.Series, found: pd.Series) -> pd.Series:
-        out = []
-        for t, row in zip(texts, found):
-            if t is not None and row is not None and len(row):
-                parts, at, upto = [], 0, -1
-                for s, e in sorted((x["start"], x["end"]) for x in row):
-                    if s > upto:
-                        parts += [t[at:s], mark]
-                    upto = at = max(upto, e)
-                t = "".join([*parts, t[at:]])
-            out.append(t)
-        return pd.Series(out, dtype="object")
-
-    return run(text, spans)
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([redact_text(t, fdr, mark) for t in texts], dtype="object")
+
+    return run
 
 
 def secret_digest(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
