@@ -8,9 +8,9 @@ Base kinds (leftmost non-overlapping per kind, failing matches dropped):
 * ``hex``: ``[0-9a-f]+`` of at least 16 characters.
 
 The battery adds kind ``random``: runs of ``[A-Za-z0-9+/_-]`` that touch no base span.  The encoding is the
-smallest alphabet that holds the run.  Three tests of "every symbol is drawn evenly and independently" follow:
-chi-squared over the alphabet, Wald-Wolfowitz runs around the alphabet's middle, and lag-1 serial correlation.
-A run's p-value is the Bonferroni minimum of the three.  All runs of a text are judged together by the
+smallest alphabet that holds the run.  Tests of "every symbol is drawn evenly and independently" follow:
+chi-squared over the alphabet and over its character classes, Wald-Wolfowitz runs around the alphabet's middle, and
+lag-1 serial correlation.  A run's p-value is the Bonferroni minimum of the four.  All runs of a text are judged together by the
 Benjamini-Hochberg step-up with weights in proportion to the run's length (a longer run has more power), at
 false-discovery rate ``FDR``: a run whose randomness is rejected is ordinary text.  Length-aware: a run counts
 only if it is long enough for its alphabet that text would be rejected (``ENCODINGS``), and if it shows every
@@ -35,7 +35,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from .common import small_batches
 
 KINDS = ("assign", "access", "hex", "random")
-FDR = 0.01
+FDR = 0.02
 MARK = "[SECRET]"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.ASCII | re.IGNORECASE)
@@ -89,6 +89,16 @@ def uniformity_p(values: list[int], size: int) -> float:
     return _upper_normal(z)
 
 
+def classes_p(run: str, alphabet: str) -> float:
+    """Chi-squared test that digits, small and capital letters take the alphabet's shares: uniformity on a coarser
+    scale, which has power where a run is short for its alphabet."""
+    shares = [len(set(c) & set(alphabet)) / len(alphabet) for c in (_DIGITS, _LOW, _UP)]
+    seen = [sum(map(c.__contains__, run)) for c in (_DIGITS, _LOW, _UP)]
+    used = [(o, s * len(run)) for o, s in zip(seen, shares) if s]
+    x, df = sum((o - e) ** 2 / e for o, e in used), len(used) - 1
+    return math.exp(-x / 2) if df == 2 else math.erfc(math.sqrt(x / 2))
+
+
 def runs_p(values: list[int], size: int) -> float:
     """Wald-Wolfowitz test around the middle of the alphabet, two-sided."""
     side = [v * 2 >= size for v in values]
@@ -117,7 +127,8 @@ def randomness_p(run: str, alphabet: str) -> float:
     """Bonferroni minimum over the battery: the smaller, the less the run looks evenly and independently drawn."""
     at = {c: i for i, c in enumerate(alphabet)}
     values = [at[c] for c in run]
-    return min(1.0, 3 * min(uniformity_p(values, len(alphabet)), runs_p(values, len(alphabet)), serial_p(values)))
+    return min(1.0, 4 * min(uniformity_p(values, len(alphabet)), classes_p(run, alphabet), runs_p(values, len(alphabet)),
+                            serial_p(values)))
 
 
 def rejected(p: list[float], lengths: list[int], fdr: float = FDR) -> list[bool]:
