@@ -27,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from pairforge.functions.chat import END_OF_TURN, render_chat  # noqa: E402
+from pairforge.functions.chat import END_OF_TURN, render_long  # noqa: E402
 from pairforge.operators import losses as LS  # noqa: E402
 from pairforge.operators import tokens as TK  # noqa: E402
 from pairforge.operators.ordering import shard_cover, shard_floor, shard_round_robin, with_ordinal  # noqa: E402
@@ -37,6 +37,7 @@ from pairforge.sources import fixtures as fx  # noqa: E402
 from pairforge.sources.tables import read_table  # noqa: E402
 
 REPLICATE = 100
+SMALL_REPLICATE = 10  # losses, turns and ordinals: times the rows of the given tables
 
 
 def run(df: DataFrame) -> None:
@@ -53,10 +54,10 @@ def timed(fn, runs: int) -> float:
     return statistics.median(ts)
 
 
-def replicate(df: DataFrame, key: str, times: int) -> DataFrame:
-    """x``times`` copies with fresh unique keys (row-local explode, no join)."""
+def replicate(df: DataFrame, key: str, times: int, *more: str) -> DataFrame:
+    """x``times`` copies with fresh unique keys (row-local explode, no join); ``more`` keys become fresh alike."""
     return df.select(F.explode(F.sequence(F.lit(0), F.lit(times - 1))).alias("_rep"), "*") \
-        .withColumn(key, F.col(key) * times + F.col("_rep")).drop("_rep")
+        .withColumns({k: F.col(k) * times + F.col("_rep") for k in (key, *more)}).drop("_rep")
 
 
 def main() -> None:
@@ -74,10 +75,11 @@ def main() -> None:
         return spark.read.parquet(path)
 
     scored = stage(replicate(fx.scored(spark, sf_dir), "row_id", REPLICATE), "scored_x100")
-    logps = stage(fx.logps(spark, sf_dir), "logps")
+    logps = stage(replicate(fx.logps(spark, sf_dir), "pair_id", SMALL_REPLICATE, "batch_id"), "logps_x10")
     tokens = stage(replicate(fx.tokens(spark, sf_dir), "seq_id", REPLICATE), "tokens_x100")
-    conv = read_table(spark, sf_dir, "conversations")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    conv = stage(replicate(read_table(spark, sf_dir, "conversations"), "conv_id", SMALL_REPLICATE), "turns_x10") \
+        .withColumnsRenamed({"conv_id": "row_id", "text": "content"})
+    orders = stage(replicate(read_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", SMALL_REPLICATE), "orders_x10")
 
     rows = {
         "scored": scored.count(), "logps": logps.count(), "tokens": tokens.count(),
@@ -89,14 +91,13 @@ def main() -> None:
         lam = 1.0 / 256 if s == "max_min_p" else 0.0
         plans[f"pairs_{s}"] = ("scored", lambda s=s, lam=lam: build_pairs(scored, s, length_penalty=lam,
                                                                           eot_token=END_OF_TURN))
-    plans["render_chat"] = ("turns", lambda: fx.chats(spark, sf_dir).select(
-        "row_id", render_chat(F.col("messages")).alias("text")))
+    plans["render_chat"] = ("turns", lambda: render_long(conv))
     for t in LS.LOSS_TYPES:
         plans[f"loss_{t}"] = ("logps", lambda t=t: LS.preference_loss(logps, t, beta=0.1))
     plans["seq_logps"] = ("tokens", lambda: TK.sequence_logps(tokens))
     plans["ordinal"] = ("orders", lambda: with_ordinal(orders, key="o_orderkey"))
     plans["shards"] = ("orders", lambda: shard_cover(orders, 7, key="o_orderkey")
-                       .unionByName(shard_floor(orders, 7, key="o_orderkey"))
+                       .unionByName(shard_floor(orders, 7, drop_tail=True, key="o_orderkey"))
                        .unionByName(shard_round_robin(orders, 7, key="o_orderkey")))
 
     secs, rps = {}, {}

@@ -22,6 +22,7 @@ from pairforge.plans.iteration import IterationConfig, run_iterations  # noqa: E
 from pairforge.plans.stand_ins import echo_generator, md5_scorer  # noqa: E402
 from pairforge.session import get_session, shared_dir  # noqa: E402
 from pairforge.sources import fixtures  # noqa: E402
+from pairforge.sources.jsonl import read_records  # noqa: E402
 
 
 def main() -> None:
@@ -30,17 +31,14 @@ def main() -> None:
     prompts = shard_cover(fixtures.prompts(spark, sf_dir), 3)  # one prompt set per iteration
     record = shared_dir(spark, "example_records", unique=True)
     cfg = IterationConfig(k=4, choose_type="max_min", eot_token="<|eot_id|>", max_input_length=3000,
-                          record_path=record, stage_format="json")
-
-    def generator_for(i: int):
-        return lambda ps, k, **kw: echo_generator(ps, k, tag=f"iter{i} ", **kw)
+                          record_path=record, stage_format="json",
+                          generator_setup=lambda i: lambda: f"iter{i} ")  # iteration i's own model
 
     pairs = run_iterations(spark, cfg, lambda i: prompts.filter(F.col("shard") == i - 1).drop("shard", "ordinal"),
-                           generator_for, md5_scorer, iterations=3)
+                           lambda i: echo_generator, md5_scorer, iterations=3)
     pairs.groupBy("iteration").agg(F.count(F.lit(1)).alias("pairs"), F.avg("margin").alias("mean_margin")) \
         .orderBy("iteration").show()
-    spark.read.option("sep", "\t").csv(record).toDF("iteration", "mean_score", "top1_score") \
-        .orderBy("iteration").show()
+    read_records(spark, record).orderBy("iteration").show()
 
 
 if __name__ == "__main__":

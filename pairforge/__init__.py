@@ -25,4 +25,5 @@ from .operators.summaries import run_record, score_summary, shard_counts  # noqa
 from .operators.tokens import (batch_nll, pack_spans, pack_tokens, role_mask, sequence_logps,  # noqa: E402
                                stack_split, truncate_pair)
 from .plans.iteration import IterationConfig, iteration_losses, run_iteration, run_iterations  # noqa: E402
-from .sources.jsonl import add_row_ids, append_record, read_jsonl, read_shards, write_jsonl, write_sharded  # noqa: E402
+from .sources.jsonl import (add_row_ids, read_jsonl, read_records, read_shard_files, read_shards, write_jsonl,  # noqa: E402
+                            write_record, write_shard_files, write_sharded)  # noqa: E402

@@ -1,7 +1,7 @@
 """Column expressions: every function here returns a ``pyspark.sql.Column``."""
 
 from .arrays import (argmax_first, argmin_first, argsort_last_two, array_sum, first_score,
-                     has_missing, is_missing, stable_sorted)
+                     has_missing, is_missing)
 from .chat import (DEFAULT_BOS, END_OF_TURN, GENERATION_HEADER, append_turn, normalise_chat,
                    render_chat, reward_model_text)
 from .stats import cap_exp, log_sigmoid, log_softmax_at, relu, sigmoid, softplus

@@ -30,12 +30,6 @@ def argmin_first(arr: Column | str) -> Column:
     return (F.array_position(a, F.array_min(a)) - 1).cast("int")
 
 
-def stable_sorted(arr: Column | str) -> Column:
-    """array<struct<v, i>> sorted by (value, index) ascending."""
-    tagged = F.transform(_col(arr), lambda x, i: F.struct(x.alias("v"), i.alias("i")))
-    return F.array_sort(tagged)
-
-
 def _last_index(a: Column, value: Column) -> Column:
     """0-based index of the last occurrence of ``value`` (null if absent)."""
     pos = F.array_position(F.reverse(a), value)

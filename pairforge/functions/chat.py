@@ -30,7 +30,10 @@ def _col(c: Column | str) -> Column:
 
 
 def render_message(role: Column, content: Column) -> Column:
-    """One rendered message without BOS: header(role) + strip(content) + end-of-turn."""
+    """One rendered message without BOS: header(role) + strip(content) + end-of-turn.
+    A null role or content fails the query."""
+    role, content = (F.when(c.isNull(), F.raise_error(F.lit(f"a message without {n}"))).otherwise(c)
+                     for c, n in ((role, "role"), (content, "content")))
     return F.concat(F.lit(HEADER_START), role, F.lit(HEADER_END), py_strip(content), F.lit(END_OF_TURN))
 
 
@@ -54,13 +57,9 @@ def render_long(messages, key: str = "row_id", order: str = "turn", role: str =
     the rendered pieces of a conversation are gathered in ``order`` and joined --
     one shuffle on ``key``.  Equal to ``render_chat`` over the collected list;
     BOS goes in front of the first message of each conversation."""
-    from pyspark.sql import Window
-
-    first = F.col(order) == F.min(order).over(Window.partitionBy(key))
-    piece = F.concat(F.when(first, F.lit(bos)).otherwise(F.lit("")), render_message(F.col(role), F.col(content)))
-    pieces = messages.select(key, order, piece.alias("_p"))
+    pieces = messages.select(key, order, render_message(F.col(role), F.col(content)).alias("_p"))
     joined = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_p"))).alias("_ps"))
-    text = F.array_join(F.col("_ps._p"), "")
+    text = F.concat(F.lit(bos), F.array_join(F.col("_ps._p"), ""))  # a key has a message at least
     if add_generation_prompt:
         text = F.concat(text, F.lit(GENERATION_HEADER))
     return joined.select(key, text.alias(out))

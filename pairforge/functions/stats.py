@@ -1,4 +1,5 @@
-"""Numerically stable scalar functions used by the preference losses."""
+"""Numerically stable scalar functions used by the preference losses; null in, null out
+(``greatest`` and ``least`` would skip a null)."""
 
 from __future__ import annotations
 
@@ -12,12 +13,12 @@ EXP_CAP_DOUBLE = 709.7827
 
 def log_sigmoid(x: Column) -> Column:
     """log(sigmoid(x)) = min(x, 0) - log1p(exp(-|x|)); no overflow for any x."""
-    return F.least(x, F.lit(0.0)) - F.log1p(F.exp(-F.abs(x)))
+    return F.when(x >= 0, F.lit(0.0)).otherwise(x) - F.log1p(F.exp(-F.abs(x)))
 
 
 def softplus(x: Column) -> Column:
     """log(1 + exp(x)) = max(x, 0) + log1p(exp(-|x|))."""
-    return F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
+    return F.when(x <= 0, F.lit(0.0)).otherwise(x) + F.log1p(F.exp(-F.abs(x)))
 
 
 def sigmoid(x: Column) -> Column:
@@ -26,11 +27,11 @@ def sigmoid(x: Column) -> Column:
 
 
 def cap_exp(x: Column, cap: float = EXP_CAP_DOUBLE) -> Column:
-    return F.exp(F.least(x, F.lit(cap)))
+    return F.exp(F.when(x >= cap, F.lit(cap)).otherwise(x))
 
 
 def relu(x: Column) -> Column:
-    return F.greatest(x, F.lit(0.0))
+    return F.when(x <= 0, F.lit(0.0)).otherwise(x)
 
 
 def log_sum_exp(logits: Column, row_max: Column | None = None) -> Column:

@@ -9,9 +9,11 @@ either a Column function (stays in the JVM) or a vectorised
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
@@ -21,38 +23,67 @@ LONG_SCHEMA = "row_id long, k int, response string, prompt_chars int"
 
 # Models loaded by ``setup`` callables, kept per Python worker: Spark reuses a
 # worker across tasks (``spark.python.worker.reuse``), so a model loads once per
-# worker, not once per task or batch.
+# worker, not once per task or batch.  The key is a digest of the pickled loader
+# with its closure, so loaders made by one factory are told apart; a worker keeps
+# at most ``KEPT_MODELS`` models.
+KEPT_MODELS = 2
 _WORKER_MODELS: dict[str, object] = {}
 
 
-def _model(setup: Callable[[], object]) -> object:
-    key = f"{getattr(setup, '__module__', '')}.{getattr(setup, '__qualname__', repr(setup))}"
-    if key not in _WORKER_MODELS:
-        _WORKER_MODELS[key] = setup()
-    return _WORKER_MODELS[key]
+def _loader(setup: Callable[[], object] | None) -> tuple[str, Callable[[], object]] | None:
+    """(digest, loader), made on the driver."""
+    return None if setup is None else (hashlib.sha256(cloudpickle.dumps(setup)).hexdigest(), setup)
+
+
+def _model(loader: tuple[str, Callable[[], object]] | None) -> dict[str, object]:
+    """Extra arguments of a hook: ``model=`` when it has a loader."""
+    if loader is None:
+        return {}
+    name, setup = loader
+    if name not in _WORKER_MODELS:
+        while len(_WORKER_MODELS) >= KEPT_MODELS:
+            _WORKER_MODELS.pop(next(iter(_WORKER_MODELS)))
+        _WORKER_MODELS[name] = setup()
+    return {"model": _WORKER_MODELS[name]}
+
+
+def _returned(generate: Generator, prompts: list[str], k: int, limit: int | None, measure: Callable[[str], int], **extra) -> list[list[str]]:
+    """One list of texts per prompt.  A prompt longer than ``limit`` (G2) isn't handed to the generator and gets none;
+    a generator that returns another number of lists than it got prompts is an error."""
+    fits = [limit is None or measure(p) <= limit for p in prompts]
+    asked = [p for p, ok in zip(prompts, fits) if ok]
+    outs = list(generate(asked, k, **extra)) if asked else []
+    if len(outs) != len(asked):
+        raise ValueError(f"the generator got {len(asked)} prompts and returned {len(outs)} lists")
+    got = iter(outs)
+    return [list(next(got) or []) if ok else [] for ok in fits]
 
 
 def generate_candidates(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
                         key: str = "row_id", partitions: int | None = None,
-                        setup: Callable[[], object] | None = None, **params) -> DataFrame:
+                        setup: Callable[[], object] | None = None, limit: int | None = None,
+                        measure: Callable[[str], int] = len, **params) -> DataFrame:
     """G1: ``mapInPandas`` over (row_id, prompt text) -> long
     ``(row_id, k, response, prompt_chars)``; ``prompt_chars`` lets P6 strip an echo.
 
     Sampling settings (temperature, max_tokens, seed, top_p, top_k, stop ids, ...)
-    pass through ``params``.  ``partitions`` spreads a heavy hook evenly
+    pass through ``params``.  ``limit`` is G2's: prompts longer than that, by ``measure``
+    (characters, or e.g. a tokeniser's count), get no text.  ``partitions`` spreads a heavy hook evenly
     (round-robin ``repartition``) before the model runs.
     """
     src = df.select(key, text)
     if partitions:
         src = src.repartition(partitions)
 
+    loader = _loader(setup)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extra = {"model": _model(setup)} if setup is not None else {}  # one load per Python worker
+        extra = _model(loader)
         for pdf in batches:
-            outs = generate(pdf[text].tolist(), k, **extra, **params)
+            outs = _returned(generate, pdf[text].tolist(), k, limit, measure, **extra, **params)
             ids, ks, texts, lens = [], [], [], []
-            for rid, prompt, returned in zip(pdf[key].tolist(), pdf[text].tolist(), outs):
-                for i, t in enumerate(returned or []):
+            for rid, prompt, returned in zip(pdf[key].tolist(), pdf[text].tolist(), outs, strict=True):
+                for i, t in enumerate(returned):
                     ids.append(rid)
                     ks.append(i)
                     texts.append(t)
@@ -87,13 +118,15 @@ def score_candidates(df: DataFrame, scorer: Callable, text: Column | str, out: s
 
 def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "prompt_text",
                   out: str = "responses", partitions: int | None = None,
-                  setup: Callable[[], object] | None = None, **params) -> DataFrame:
+                  setup: Callable[[], object] | None = None, limit: int | None = None,
+                  measure: Callable[[str], int] = len, **params) -> DataFrame:
     """G1, wide and shuffle-free: ``mapInArrow`` appends ``responses array<string>``
     to every input row (all input columns ride along, so prompts and responses
     stay in one row and no join is needed to put them back together).
 
     ``setup`` (optional) loads the model once per Python worker; its result is
-    passed to ``generate`` as ``model=`` for every batch.
+    passed to ``generate`` as ``model=`` for every batch.  ``limit`` and ``measure``
+    are those of ``generate_candidates``.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
@@ -101,12 +134,14 @@ def generate_wide(df: DataFrame, generate: Generator, k: int, text: str = "promp
     src = df.repartition(partitions) if partitions else df
     schema = T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(T.StringType()))])
 
+    loader = _loader(setup)
+
     def run(batches):
-        extra = {"model": _model(setup)} if setup is not None else {}
+        extra = _model(loader)
         for batch in batches:
             prompts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            outs = generate(prompts, k, **extra, **params)
-            yield batch.append_column(out, pa.array([list(o or []) for o in outs], type=pa.list_(pa.string())))
+            outs = _returned(generate, prompts, k, limit, measure, **extra, **params)
+            yield batch.append_column(out, pa.array(outs, type=pa.list_(pa.string())))
 
     return src.mapInArrow(run, schema)
 
@@ -119,9 +154,11 @@ def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewar
     ``setup`` (optional) loads a model once per Python worker, passed as ``model=``."""
     import numpy as np
 
+    loader = _loader(setup)
+
     @pandas_udf("array<double>")
     def score(col: pd.Series) -> pd.Series:
-        extra = {"model": _model(setup)} if setup is not None else {}
+        extra = _model(loader)
         lengths = col.map(lambda a: 0 if a is None else len(a)).to_numpy()
         flat = pd.Series([t for a in col if a is not None for t in a], dtype="object")
         vals = np.asarray(scorer(flat, **extra), dtype="float64") if len(flat) else np.zeros(0)

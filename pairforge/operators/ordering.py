@@ -1,21 +1,16 @@
 """Order-dependent operators without a single-task sort.
 
-Spark rows have no position, so every table carries a unique integer key
-(``row_id``).  A dense ordinal 0..n-1 in key order (L7) is built as:
-
-1. bucket = (key - min) >> shift, with ``shift`` chosen from (min, max, count)
-   so that there are about ``n / 2**16`` buckets (about 2**16 rows each for
-   dense or evenly spread keys).
-2. per-bucket counts (map-side partial aggregation, written once) -> exclusive
-   prefix sums over the bucket table (``exclusive_prefix_sum``: hierarchical,
-   every window partition holds at most ``2**16`` rows).
-3. ``row_number()`` within the bucket + the bucket's offset.  If clustered keys
-   or copies put more than ``MAX_BUCKET_ROWS`` rows in a bucket, a salted
-   range-partitioned sort (``global_positions``) is used instead.
-
-The same prefix sum serves packing (T8) and the running mean of ``bco_pair``
-(X6).  Never ``Window.orderBy`` alone over a data-sized table (one task), never
-``monotonically_increasing_id`` (gaps, and not stable across recomputation).
+Spark rows have no position, so every table carries an integer key (``row_id``).
+One operator gives positions to ordinals, shards, the shuffle and rank pairing
+(``global_positions``): rows are range-partitioned by the order columns, sorted
+within their range, and numbered by the low 33 bits of
+``monotonically_increasing_id``; the numbered rows are written once, and the
+ranges' prefix offsets (one row per range) make the numbers global.  The input
+is read twice (the sample for the range bounds, and the exchange) whatever its
+size, any 64-bit key works, and null keys are an error.
+
+``exclusive_prefix_sum`` serves packing (T8) and the running mean of ``bco_pair``
+(X6): hierarchical, every window partition holds at most ``2**16`` rows.
 """
 
 from __future__ import annotations
@@ -29,7 +24,6 @@ from ..functions.ints import idiv
 from ..session import shared_dir
 
 GROUP_BITS = 16
-BUCKET_ROWS_BITS = 16
 
 
 def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] = "row_id",
@@ -45,9 +39,12 @@ def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] = "row_id",
     return out
 
 
-def sanity_cut(df: DataFrame, enabled: bool = True, order_by: str = "row_id") -> DataFrame:
-    """L2: ``min(len, 100)`` rows after pair building."""
-    return head_n(df, 100, order_by) if enabled else df
+SANITY_ROWS = 100
+
+
+def sanity_cut(df: DataFrame, enabled: bool = True, order_by: str = "row_id", rows: int = SANITY_ROWS) -> DataFrame:
+    """L2: ``min(len, rows)`` rows after pair building; ``rows <= 0`` keeps all."""
+    return head_n(df, rows, order_by) if enabled else df
 
 
 def _bit_length(x: int) -> int:
@@ -101,82 +98,65 @@ def key_stats(df: DataFrame, key: str) -> tuple[int, int, int]:
     return (r[0] or 0), (r[1] or 0), r[2]
 
 
-def _bucket_shift(lo: int, hi: int, n: int) -> int:
-    span_bits = _bit_length(hi - lo)
-    n_bits = _bit_length(n)
-    return max(0, min(span_bits, span_bits - max(0, n_bits - BUCKET_ROWS_BITS)))
+#: Bytes of input per range, by the optimizer's estimate of the input's size.
+RANGE_BYTES = 256 << 20
+
 
+def required(column: Column | str, what: str) -> Column:
+    """The column, failing the query where it is null."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.when(c.isNull(), F.raise_error(F.lit(f"{what} must not be null"))).otherwise(c)
 
-MAX_BUCKET_ROWS = 1 << 20
+
+def _ranges(df: DataFrame) -> int:
+    """Number of ranges: at least the session's shuffle partitions, more for a large input."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(-(-size // RANGE_BYTES), 1 << 17))
 
 
 def global_positions(df: DataFrame, order: Sequence[str], out: str = "_pos",
                      partitions: int | None = None) -> DataFrame:
     """0-based position of every row in ``order`` without a single-task sort.
 
-    ``repartitionByRange`` splits the rows into balanced ranges (sampled
-    bounds), so even one hot value of the first column is spread over tasks as
-    long as later columns vary; a window per range gives the row number inside
-    it, and the ranges' prefix offsets (one row per range) make it global.  The
-    ranged frame is checkpointed to the shared folder so that every reference
-    sees the same ranges.
+    A per-row salt is the last order column, so that copies of a row spread over
+    ranges (their mutual order is free).  The numbered rows are written to the
+    shared folder, so that every reference sees the same ranges.
     """
-    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a fresh one in tests
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
-    s = s.withColumn("_idx", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
-    s = s.checkpoint()
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = exclusive_prefix_sum(counts, "_pid", ["_n"], key_bits=31)
-    placed = s.join(offsets.select("_pid", "_n_before"), "_pid")
-    return placed.withColumn(out, (F.col("_n_before") + F.col("_idx")).cast("long")).drop("_pid", "_idx", "_n_before")
+    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a local one in tests
+    mono = F.monotonically_increasing_id()
+    salted = df.withColumn("_salt", mono)
+    ranged = salted.repartitionByRange(partitions or _ranges(df), *order, "_salt").sortWithinPartitions(*order, "_salt")
+    numbered = ranged.drop("_salt").withColumn("_m", mono)
+    numbered = numbered.withColumns({"_range": F.shiftright("_m", 33).cast("int"),
+                                     "_index": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_m").checkpoint()
+    counts = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = numbered.join(F.broadcast(offsets), "_range")  # one row per range
+    return placed.withColumn(out, F.col("_before") + F.col("_index")).drop("_range", "_index", "_before")
 
 
 def with_ordinal(df: DataFrame, key: str = "row_id", out: str = "ordinal",
-                 tiebreak: Sequence[str] = (), stats: tuple[int, int, int] | None = None,
-                 max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
-    """Dense 0-based ordinal in ``key`` order (``key`` a non-null integer).
-
-    ``tiebreak`` columns order rows that share a key.  If clustered keys or
-    copies put more than ``max_bucket_rows`` rows in a bucket (checked on the
-    bucket counts), the ordinal comes from
-    ``global_positions`` instead, with a per-row salt as the last order column
-    so that even exact copies spread over tasks (their mutual order is free).
-    """
-    lo, hi, n = stats if stats is not None else key_stats(df, key)
-    shift = _bucket_shift(lo, hi, n)
-    bucket = F.shiftright(F.col(key) - F.lit(lo), shift)
-    b = df.withColumn("_bucket", bucket)
-    # one row per bucket: written once to the checkpoint folder, then both the
-    # size check and the offsets read it instead of re-scanning the input
-    shared_dir(df.sparkSession)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    if (counts.agg(F.max("_n")).first()[0] or 0) > max_bucket_rows:
-        salted = df.withColumn("_salt", F.monotonically_increasing_id())
-        pos = global_positions(salted, [key, *tiebreak, "_salt"], out="_pos")
-        return pos.select(*df.columns, F.col("_pos").alias(out))
-    bucket_bits = max(1, _bit_length(hi - lo) - shift + 1)
-    offsets = exclusive_prefix_sum(counts, "_bucket", ["_n"], key_bits=bucket_bits).select("_bucket", "_n_before")
-    w = Window.partitionBy("_bucket").orderBy(F.col(key), *[F.col(c) for c in tiebreak])
-    ranked = b.withColumn("_rn", F.row_number().over(w))
-    joined = ranked.join(offsets, "_bucket", "inner")
-    return joined.select(*df.columns, (F.col("_n_before") + F.col("_rn") - 1).cast("long").alias(out))
-
-
-def shard_floor(df: DataFrame, w: int, key: str = "row_id", drop_tail: bool = True,
-                out: str = "shard") -> DataFrame:
+                 tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Dense 0-based ordinal in ``key`` order; ``tiebreak`` columns order rows that
+    share a key.  A null key fails the query."""
+    return global_positions(df.withColumn(key, required(key, f"the order key {key}")), [key, *tiebreak], out)
+
+
+def shard_floor(df: DataFrame, w: int, drop_tail: bool, key: str = "row_id", out: str = "shard") -> DataFrame:
     """L3: ``share = n div w``; shard i = ordinals ``[i*share, (i+1)*share)``.
 
     With ``drop_tail`` (the reference behaviour) the last ``n mod w`` rows are in
-    no shard; otherwise they join the last shard.  ``n < w`` gives no rows.
+    no shard; otherwise they join the last shard.  ``n < w`` gives no rows with
+    ``drop_tail``, else one shard.
     """
     if w <= 0:
         raise ValueError("w must be positive")
-    stats = key_stats(df, key)
-    share = stats[2] // w
-    o = with_ordinal(df, key, "ordinal", stats=stats)
+    o = with_ordinal(df, key, "ordinal")
+    share = o.count() // w
     if share == 0:
-        return o.withColumn(out, F.lit(None).cast("int")).filter(F.lit(False))
+        return o.withColumn(out, F.lit(w - 1)).filter(F.lit(not drop_tail))
     shard = idiv(F.col("ordinal"), share).cast("int")
     if drop_tail:
         return o.withColumn(out, shard).filter(F.col(out) < w)
@@ -187,9 +167,8 @@ def shard_cover(df: DataFrame, w: int, key: str = "row_id", out: str = "shard")
     """L4: ``share = n div w + 1``; loses nothing, late shards may be short or empty."""
     if w <= 0:
         raise ValueError("w must be positive")
-    stats = key_stats(df, key)
-    share = stats[2] // w + 1
-    o = with_ordinal(df, key, "ordinal", stats=stats)
+    o = with_ordinal(df, key, "ordinal")
+    share = o.count() // w + 1
     return o.withColumn(out, idiv(F.col("ordinal"), share).cast("int"))
 
 

@@ -17,7 +17,9 @@ Strategies (indices are 0-based):
 The response with the higher raw reward becomes ``chosen``; equal raw rewards
 emit nothing.  A row whose compared rewards include NaN/null emits nothing
 (``max_*``: any NaN/null in the row; ``random``: NaN/null in the first two).
-Rows with fewer than two responses are dropped (``strict=False``) or raise.
+Rows with fewer than two responses are dropped (``strict=False``) or raise.  A row
+whose responses and rewards differ in number, or one of whose two selected
+responses is null, emits nothing and counts as ``uneven``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from ..functions.chat import DEFAULT_BOS, render_chat
 
 STRATEGIES = ("random", "max_random", "max_min", "max_max", "max_min_p")
 
-OUTCOMES = ("kept", "tied", "nan", "short")
+OUTCOMES = ("kept", "tied", "nan", "short", "uneven")
 
 
 def _check_strategy(choose_type: str) -> None:
@@ -41,9 +43,9 @@ def _check_strategy(choose_type: str) -> None:
 
 
 def penalised(rewards: Column, responses: Column, length_penalty: float) -> Column:
-    """``reward_i - length_penalty * len(response_i)`` (characters)."""
+    """``reward_i - length_penalty * len(response_i)`` (characters; a null response has none)."""
     lam = F.lit(float(length_penalty))
-    return F.zip_with(rewards, responses, lambda r, t: r - lam * F.length(t))
+    return F.zip_with(rewards, responses, lambda r, t: r - lam * F.coalesce(F.length(t), F.lit(0)))
 
 
 def select_indices(choose_type: str, rewards: Column, responses: Column,
@@ -63,8 +65,8 @@ def select_indices(choose_type: str, rewards: Column, responses: Column,
     return argmax_first(p), argmin_first(p)
 
 
-def outcome(choose_type: str, rewards: Column, r0: Column, r1: Column) -> Column:
-    """A4 outcome of one row: kept / tied / nan / short."""
+def outcome(choose_type: str, rewards: Column, r0: Column, r1: Column, responses: Column, t0: Column, t1: Column) -> Column:
+    """A4 outcome of one row: kept / tied / nan / short / uneven."""
     n = F.size(rewards)
     if choose_type == "random":
         missing = is_missing(r0) | is_missing(r1)
@@ -72,7 +74,9 @@ def outcome(choose_type: str, rewards: Column, r0: Column, r1: Column) -> Column
         missing = has_missing(rewards)
     return (
         F.when(n.isNull() | (n < 2), F.lit("short"))
+        .when(F.size(responses) != n, F.lit("uneven"))
         .when(missing, F.lit("nan"))
+        .when(t0.isNull() | t1.isNull(), F.lit("uneven"))
         .when(r0 == r1, F.lit("tied"))
         .otherwise(F.lit("kept"))
     )
@@ -92,7 +96,9 @@ def _annotate(df: DataFrame, choose_type: str, length_penalty: float,
         .withColumn("_i1", i1)
         .withColumn("_r0", F.get(rw, F.col("_i0")))
         .withColumn("_r1", F.get(rw, F.col("_i1")))
-        .withColumn("_outcome", outcome(choose_type, rw, F.col("_r0"), F.col("_r1")))
+        .withColumn("_t0", F.get(rs, F.col("_i0")))
+        .withColumn("_t1", F.get(rs, F.col("_i1")))
+        .withColumn("_outcome", outcome(choose_type, rw, F.col("_r0"), F.col("_r1"), rs, F.col("_t0"), F.col("_t1")))
     )
 
 
@@ -117,7 +123,7 @@ def build_pairs(df: DataFrame, choose_type: str, margin_scale: float = 1.0,
                    F.raise_error(F.lit("a candidate set has fewer than two responses"))).otherwise(F.col("_outcome")),
         )
     r0, r1 = F.col("_r0"), F.col("_r1")
-    t0, t1 = F.get(F.col(responses), F.col("_i0")), F.get(F.col(responses), F.col("_i1"))
+    t0, t1 = F.col("_t0"), F.col("_t1")
     first_wins = r0 > r1
     eot = F.lit(eot_token)
     cols = [
@@ -144,16 +150,17 @@ def pair_outcomes(df: DataFrame, strategies: tuple[str, ...] = STRATEGIES,
 
     Each row gets one outcome per strategy (row-local), the outcomes are
     unpivoted with ``stack`` and counted; the count is a partial (map-side)
-    aggregation over at most ``5 strategies x 4 outcomes`` keys.
+    aggregation over at most ``5 strategies x 5 outcomes`` keys.
     """
     rw, rs = F.col(rewards), F.col(responses)
     cols = []
+    if "max_min_p" in strategies:  # a lambda over every response: once per row, below the explode
+        df = df.withColumn("_pen", penalised(rw, rs, length_penalty))
     for s in strategies:
         _check_strategy(s)
-        lam = length_penalty if s == "max_min_p" else 0.0
-        i0, i1 = select_indices(s, rw, rs, lam)
+        i0, i1 = (argmax_first(F.col("_pen")), argmin_first(F.col("_pen"))) if s == "max_min_p" else select_indices(s, rw, rs)
         cols.append(F.struct(F.lit(s).alias("strategy"),
-                             outcome(s, rw, F.get(rw, i0), F.get(rw, i1)).alias("outcome")))
+                             outcome(s, rw, F.get(rw, i0), F.get(rw, i1), rs, F.get(rs, i0), F.get(rs, i1)).alias("outcome")))
     per_row = df.select(F.explode(F.array(*cols)).alias("_o"))
     return per_row.groupBy(F.col("_o.strategy").alias("strategy"), F.col("_o.outcome").alias("outcome")) \
         .agg(F.count(F.lit(1)).alias("n"))
@@ -197,9 +204,10 @@ EVAL_LIMIT = 100
 
 
 def build_eval_pairs(df: DataFrame, eot_token: str = "", margin_scale: float = 1.0,
-                     bos: str = DEFAULT_BOS, order_by: str = "row_id") -> DataFrame:
-    """Eval pairs use ``random`` without length penalty, first 100 by row order (L2)."""
+                     bos: str = DEFAULT_BOS, order_by: str = "row_id", limit: int | None = EVAL_LIMIT) -> DataFrame:
+    """Eval pairs use ``random`` without length penalty; the first ``limit`` by row order (L2), or all
+    with ``None``."""
     from .ordering import head_n
 
     pairs = build_pairs(df, "random", margin_scale=margin_scale, eot_token=eot_token, bos=bos)
-    return head_n(pairs, EVAL_LIMIT, order_by=order_by)
+    return head_n(pairs, limit or 0, order_by=order_by)

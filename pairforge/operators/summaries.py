@@ -14,6 +14,7 @@ from ..functions.arrays import array_sum
 
 def _reward_aggs(rewards: Column, keep: Column | None = None) -> list[Column]:
     """A2 (element-weighted mean of all rewards) and A1 (mean of each row's max)."""
+    rewards = F.array_compact(rewards)  # a null reward counts neither in the sum nor in the size
     total = array_sum(rewards)
     size = F.size(rewards).cast("long")
     best = F.array_max(rewards)
@@ -51,10 +52,3 @@ def run_record(scored: DataFrame, iteration: str = "iteration", rewards: str = "
 def shard_counts(df: DataFrame, shard: str = "shard") -> DataFrame:
     """A5: rows per shard."""
     return df.groupBy(shard).agg(F.count(F.lit(1)).alias("n"))
-
-
-def long_score_summary(long: DataFrame, key: str = "row_id", reward: str = "reward") -> DataFrame:
-    """A1/A2 over the long form: ``avg(reward)``; top-1 needs the per-row max first."""
-    per_row = long.groupBy(key).agg(F.max(reward).alias("_best"), F.sum(reward).alias("_s"),
-                                    F.count(F.lit(1)).alias("_n"))
-    return per_row.agg((F.sum("_s") / F.sum("_n")).alias("mean_score"), F.avg("_best").alias("top1_score"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ints import idiv
 from ..functions.stats import log_softmax_at
-from ..functions.text import token_ids
+from ..functions.text import token_ids, whitespace_pieces
 from ..schemas import LABEL_PAD
 from .ordering import prefix_sums
 
@@ -36,7 +36,9 @@ def shift_labels(tokens: DataFrame, seq: str = "seq_id", pos: str = "pos", label
 
 def token_logp(target: Column, logits: Column, pad: int = LABEL_PAD, row_max: Column | None = None) -> Column:
     """T2 + T4 per token: log-softmax(logits)[target], 0 where target is the pad.
-    The index is replaced before the lookup so that it never goes out of range."""
+    A null label, or one outside the vocabulary, fails the query."""
+    bad = target.isNull() | ((target != F.lit(pad)) & ((target < 0) | (target >= F.size(logits))))
+    target = F.when(bad, F.raise_error(F.lit("a label is outside the vocabulary"))).otherwise(target)
     masked = target == F.lit(pad)
     idx = F.when(masked, F.lit(0)).otherwise(target)
     return F.when(masked, F.lit(0.0)).otherwise(log_softmax_at(logits, idx, row_max))
@@ -97,17 +99,18 @@ def logits_sums(tokens: DataFrame, batch: str = "batch_id", side: str = "side")
 
 def stack_split(chosen: DataFrame, rejected: DataFrame, pad: int = LABEL_PAD,
                 pair: str = "pair_id", shift: bool = True, average: bool = False) -> DataFrame:
-    """Both halves through one pass (union with a ``side`` tag, one T2
-    aggregation), then split back per pair by conditional aggregation."""
+    """Both halves through one pass (union with a ``side`` tag), token log-probs summed
+    straight to the pair by conditional sums.  A pair has one sequence per side."""
     both = chosen.withColumn("side", F.lit("chosen")).unionByName(rejected.withColumn("side", F.lit("rejected")))
-    per_seq = sequence_logps(both, shift=shift, average=average, pad=pad, keep=(pair, "side"))
-    is_c = F.col("side") == "chosen"
-    return per_seq.groupBy(pair).agg(
-        F.sum(F.when(is_c, F.col("logps"))).alias("chosen_logps"),
-        F.sum(F.when(~is_c, F.col("logps"))).alias("rejected_logps"),
-        F.sum(F.when(is_c, F.col("n_tokens"))).alias("chosen_tokens"),
-        F.sum(F.when(~is_c, F.col("n_tokens"))).alias("rejected_tokens"),
-    )
+    t = _per_token(both, shift, pad)
+    counted = F.col("target") != F.lit(pad)
+    of = lambda side, v: F.sum(F.when(F.col("side") == side, v))
+    out = t.groupBy(pair).agg(
+        of("chosen", F.col("_lp")).alias("chosen_logps"), of("rejected", F.col("_lp")).alias("rejected_logps"),
+        of("chosen", counted.cast("long")).alias("chosen_tokens"), of("rejected", counted.cast("long")).alias("rejected_tokens"))
+    if average:
+        out = out.withColumns({f"{s}_logps": F.try_divide(F.col(f"{s}_logps"), F.col(f"{s}_tokens")) for s in ("chosen", "rejected")})
+    return out
 
 
 def check_shapes(labels: DataFrame, logits: DataFrame, seq: str = "seq_id", pos: str = "pos") -> DataFrame:
@@ -118,7 +121,7 @@ def check_shapes(labels: DataFrame, logits: DataFrame, seq: str = "seq_id", pos:
     bad_idx = (F.col("label") != F.lit(LABEL_PAD)) & ((F.col("label") < 0) | (F.col("label") >= F.size("logits")))
     return j.withColumn(
         "label",
-        F.when(bad_pos, F.raise_error(F.lit("Logits (batch and sequence length dim) and labels must have the same shape.")))
+        F.when(bad_pos, F.raise_error(F.lit("a position has a label without logits, or logits without a label")))
         .when(bad_idx, F.raise_error(F.lit("label outside the logits range")))
         .otherwise(F.col("label")),
     )
@@ -138,8 +141,8 @@ def align_to_labels(logits: DataFrame, labels: DataFrame, seq: str = "seq_id", p
 
 
 def text_token_counts(text: Column | str = "text") -> Column:
-    """Number of default-tokeniser tokens of a text."""
-    return F.size(token_ids(F.col(text) if isinstance(text, str) else text)).cast("long")
+    """Number of default-tokeniser tokens of a text: pieces are counted, no id is computed."""
+    return F.size(whitespace_pieces(text)).cast("long")
 
 
 def pack_spans(df: DataFrame, seq_len: int, key: str = "doc_id", n_tokens: str = "n_tokens") -> DataFrame:

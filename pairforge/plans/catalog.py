@@ -16,16 +16,16 @@ from pyspark.sql import types as T
 
 from ..functions.arrays import first_score
 from ..functions.ints import idiv
-from ..functions.chat import END_OF_TURN, normalise_chat, render_chat, reward_model_text
-from ..functions.text import strip_echo, strip_echo_all, token_ids
+from ..functions.chat import DEFAULT_BOS, END_OF_TURN, normalise_chat, render_chat, reward_model_text
+from ..functions.text import drop_chars, strip_echo_all, token_ids
 from ..operators import losses as LS
 from ..operators import tokens as TK
 from ..operators.candidates import (drop_short, join_candidates, overlength_guard, render_prompts,
                                     to_long, to_wide)
 from ..operators.hooks import (generate_candidates, generate_wide, score_candidates, score_wide,
                                score_with_model)
-from ..operators.ordering import (head_n, shard_cover, shard_floor, shard_round_robin, shuffle,
-                                  with_ordinal)
+from ..operators.ordering import (head_n, in_order, sanity_cut, shard_cover, shard_floor, shard_round_robin,
+                                  shuffle, with_ordinal)
 from ..operators.pairs import (STRATEGIES, best_vs_rest, build_eval_pairs, build_pairs,
                                build_pairs_multi, pair_outcomes)
 from ..operators.summaries import run_record as run_record_op
@@ -34,8 +34,9 @@ from ..operators.summaries import shard_counts as shard_counts_op
 from ..schemas import SCORED
 from ..session import shared_dir
 from ..sources import fixtures as fx
-from ..sources.jsonl import read_shards, write_sharded
-from ..sources.tables import read_table
+from ..sources.jsonl import (add_row_ids, read_jsonl, read_records, read_shard_files, read_shards,
+                             write_shard_files, write_sharded)
+from ..sources.tables import read_prompts, read_table
 from .iteration import IterationConfig, run_iterations
 from .stand_ins import echo_generator, make_md5_predict, md5_scorer
 
@@ -58,7 +59,10 @@ PACK_LEN = 4096
 MAX_LENGTH = 2048
 MAX_PROMPT_LENGTH = 1000
 HEAD_N = 50
+EVAL_EVERY = 5
 MARGIN_SCALE = 0.5
+#: White space that ``str.strip`` removes beyond the blank, and none.
+PADS = (" \t", "\u3000", "", "\u2028\n", "\u00a0 ", "\x1c")
 ROLE_TO_SHAREGPT = {"system": "system", "user": "human", "assistant": "gpt"}
 SHAREGPT_ROLES = {"system": "system", "human": "user", "gpt": "assistant"}
 
@@ -242,7 +246,7 @@ def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("run_record")
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three prompt sets (contiguous L4 shards of the scored rows), one record each."""
-    sets = shard_cover(fx.scored(spark, sf_dir), 3)
+    sets = shard_cover(fx.scored(spark, sf_dir).select("row_id", "rewards"), 3)
     rec = run_record_op(sets.withColumn("iteration", (F.col("shard") + 1).cast("long")))
     return rec.select("iteration", "n", "mean_score", "top1_score")
 
@@ -261,7 +265,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shard_floor")
 def shard_floor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_floor(_orders(spark, sf_dir), SHARDS, key="o_orderkey").select("o_orderkey", "ordinal", _long("shard"))
+    return shard_floor(_orders(spark, sf_dir), SHARDS, drop_tail=True, key="o_orderkey").select("o_orderkey", "ordinal", _long("shard"))
 
 
 @query("shard_cover")
@@ -369,9 +373,9 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     losses = LS.preference_loss(_policy_with_reference(spark, sf_dir), "sigmoid", beta=BETA)
     logits = TK.logits_sums(fx.with_pair_keys(fx.tokens(spark, sf_dir)))
     nll = _nll(spark, sf_dir)
-    train = LS.batch_metrics(losses, "train", logits=logits, nll=nll)
-    evals = LS.batch_metrics(head_n(losses, 100, "pair_id"), "eval", logits=logits, nll=nll)
-    return train.unionByName(evals).select("split", "batch_id", "metric", r6("value").alias("value"))
+    split = F.when(F.pmod("pair_id", F.lit(EVAL_EVERY)) == 1, F.lit("eval")).otherwise(F.lit("train"))
+    out = LS.batch_metrics(losses, split, logits=logits, nll=nll)
+    return out.select("split", "batch_id", "metric", r6("value").alias("value"))
 
 
 # --- tokens (T1-T9, J4) -----------------------------------------------------------------
@@ -448,9 +452,8 @@ def truncate_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("generate_hook")
 def generate_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = render_prompts(fx.prompts(spark, sf_dir))
-    gen = generate_candidates(p, echo_generator, K, max_input_length=MAX_INPUT_LENGTH)
-    joined = gen.join(p.select("row_id", "prompt_text"), "row_id", "inner")
-    return joined.select("row_id", _long("k"), strip_echo(F.col("response"), F.col("prompt_text")).alias("response"))
+    gen = generate_candidates(p, echo_generator, K)
+    return gen.select("row_id", _long("k"), drop_chars("response", F.col("prompt_chars")).alias("response"))
 
 
 @query("score_hook")
@@ -464,7 +467,7 @@ def score_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
 def generate_hook_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 in wide form: responses appended to each prompt row (no join, no shuffle)."""
     p = render_prompts(fx.prompts(spark, sf_dir))
-    gen = generate_wide(p, echo_generator, K, max_input_length=MAX_INPUT_LENGTH)
+    gen = generate_wide(p, echo_generator, K)
     stripped = gen.select("row_id", F.posexplode(strip_echo_all("responses", F.col("prompt_text"))).alias("k", "response"))
     return stripped.select("row_id", _long("k"), "response")
 
@@ -539,17 +542,111 @@ def pairs_from_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("prompt", "chosen", "rejected", "margin")
 
 
-@query("iterate3")
-def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three iterations over contiguous thirds of the prompts; the generator of
-    iteration i tags its texts with i (a different model each time)."""
+def _iterations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(pairs, folder of the run records)"""
     prompts = shard_cover(fx.prompts(spark, sf_dir), 3)
-    cfg = IterationConfig(k=K, choose_type="max_min", eot_token=EOT, max_input_length=MAX_INPUT_LENGTH,
-                          record_path=shared_dir(spark, "run_records", unique=True))
+    records = shared_dir(spark, "run_records", unique=True)
+    cfg = IterationConfig(k=K, choose_type="max_min", eot_token=EOT, record_path=records,
+                          generator_setup=lambda i: lambda: f"iter{i} ")
+    return run_iterations(spark, cfg, lambda i: prompts.filter(F.col("shard") == i - 1).drop("shard", "ordinal"),
+                          lambda i: echo_generator, md5_scorer, iterations=3), records
+
+
+@query("iterate3_records")
+def iterate3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record lines that three iterations wrote, read back."""
+    return read_records(spark, _iterations(spark, sf_dir)[1])
+
+
+@query("shard_files")
+def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5/S3/U1 under the reference's file names, with late shards that are empty: the regions (L4 in 8
+    shards of ``n div 8 + 1`` rows) are written as ``base + i + ".json"`` and read back in file order (S1)."""
+    base = shared_dir(spark, "shard_files", unique=True) + "/docs_"
+    rows = shard_cover(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 8, key="r_regionkey")
+    write_shard_files(rows.drop("ordinal"), base, 8)
+    back = read_shard_files(spark, base, 8, "r_regionkey long, r_name string")
+    return back.select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name", _long("shard"))
+
+
+@query("jsonl_file_order")
+def jsonl_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id-less JSONL files of very different sizes get row ids by file and line."""
+    base = shared_dir(spark, "file_order", unique=True) + "/part_"
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    shard = F.when(F.col("doc_id") < 3, 0).when(F.col("doc_id") < 150, 1).when(F.col("doc_id") < 160, 2).otherwise(10)
+    rows = docs.withColumn("shard", shard).repartition("shard").sortWithinPartitions("doc_id")
+    write_shard_files(rows, base, 11)
+    scan = read_jsonl(spark, f"{base}*.json", "doc_id long")
+    return add_row_ids(scan).select("doc_id", "row_id")
+
+
+@query("ordinal_hash_keys")
+def ordinal_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 over keys that span 64 bits, with ties: a hash of the order's customer, both signs."""
+    h = F.conv(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 15), 16, 10).cast("long")
+    keys = read_table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 2 == 0, h).otherwise(-h).alias("hash_key"))
+    wide = keys.withColumn("hash_key", F.col("hash_key") * 8)
+    return with_ordinal(wide, key="hash_key", tiebreak=["o_orderkey"])
+
+
+@query("read_prompts")
+def read_prompts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts written as a table, read by ``read_prompts``; contents in key order."""
+    path = shared_dir(spark, "prompt_table", unique=True)
+    fx.prompts(spark, sf_dir).write.parquet(path)
+    p = read_prompts(spark, path)
+    return in_order(p.select("row_id", F.size("context_messages").cast("long").alias("n_messages"),
+                             F.aggregate("context_messages", F.lit(0).cast("long"), lambda a, m: a + F.length(m["content"])).alias("n_chars")))
+
+
+@query("render_padded")
+def render_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 and P5 where they bite: contents padded with white space of several kinds, and
+    with the BOS string inside; the reward-model text of the conversation plus one reply."""
+    pads = F.array(*map(F.lit, PADS))
+    pad = lambda shift: F.element_at(pads, (F.pmod(F.col("conv_id") + F.col("turn") + shift, F.lit(len(PADS))) + 1).cast("int"))
+    conv = read_table(spark, sf_dir, "conversations")
+    content = F.concat(pad(0), F.col("text"), F.lit(DEFAULT_BOS), F.col("role"), pad(1))
+    msgs = F.array_sort(F.collect_list(F.struct("turn", "role", content.alias("content"))))
+    chats = conv.groupBy(F.col("conv_id").alias("row_id")).agg(msgs.alias("_m"))
+    messages = F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return chats.select("row_id", reward_model_text(messages, F.lit("\u2003ok\u00a0")).alias("rm_text"))
+
+
+@query("pair_outcomes_broken")
+def pair_outcomes_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3, C6 and A4 where they bite: NaN rewards, null rewards, a reward too many, null responses
+    and short sets, by a rule on ``row_id``."""
+    return pair_outcomes(_broken(fx.scored_all(spark, sf_dir)), length_penalty=LENGTH_PENALTY)
+
+
+@query("score_summary_nulls")
+def score_summary_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/A2 with null rewards, which count neither in the sum nor in the size."""
+    s = fx.scored_all(spark, sf_dir)
+    first = F.when(F.col("row_id") % 5 == 1, F.lit(None)).otherwise(F.get("rewards", 0)).cast("double")
+    return score_summary_op(s.withColumn("rewards", F.concat(F.array(first), F.slice("rewards", 2, 99))), K)
+
+
+def _broken(s: DataFrame) -> DataFrame:
+    rule = F.col("row_id") % 6
+    first = F.when(rule == 1, F.lit(float("nan"))).when(rule == 2, F.lit(None).cast("double")).otherwise(F.get("rewards", 0))
+    rewards = F.concat(F.array(first), F.slice("rewards", 2, 99), F.when(rule == 3, F.array(F.lit(0.0))).otherwise(F.array().cast("array<double>")))
+    responses = F.when(rule == 4, F.transform("responses", lambda r: F.lit(None).cast("string"))).otherwise(F.col("responses"))
+    cut = F.when(rule == 5, 1).otherwise(99)
+    return s.withColumns({"rewards": F.slice(rewards, F.lit(1), cut), "responses": F.slice(responses, F.lit(1), cut)})
+
+
+@query("sanity_cut")
+def sanity_cut_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 where it bites: the first 100 of the orders in key order."""
+    return sanity_cut(_orders(spark, sf_dir), order_by="o_orderkey")
 
-    def generator_for(i: int):
-        return lambda ps, k, **kw: echo_generator(ps, k, tag=f"iter{i} ", **kw)
 
-    pairs = run_iterations(spark, cfg, lambda i: prompts.filter(F.col("shard") == i - 1).drop("shard", "ordinal"),
-                           generator_for, md5_scorer, iterations=3)
+@query("iterate3")
+def iterate3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three iterations over contiguous thirds of the prompts; iteration i loads its own
+    model, which shows in its texts."""
+    pairs = _iterations(spark, sf_dir)[0]
     return pairs.select(F.col("iteration").cast("long").alias("iteration"), "row_id", "chosen", "rejected", "margin")

@@ -5,7 +5,8 @@ stay in one row (wide form), so no stage shuffles.  Each stage's output is
 written once to the shared folder (the cluster's checkpoint directory) and read
 back, partitioned by iteration: that is the stage hand-off of the reference,
 and it cuts lineage, so a lost executor recomputes from the last written
-stage -- which matters for generation, whose sampling is not repeatable.  The
+stage, and a rerun of an iteration reuses the stages that are finished --
+which matters for generation, whose sampling is not repeatable.  The
 scored table feeds two sinks (pairs and the run record) from one written copy.
 """
 
@@ -25,7 +26,7 @@ from ..operators.ordering import sanity_cut
 from ..operators.pairs import build_pairs
 from ..operators.summaries import run_record
 from ..session import shared_dir
-from ..sources.jsonl import append_record, materialise
+from ..sources.jsonl import stage, write_record
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,9 @@ class IterationConfig:
     partitions: int | None = None
     stage_format: str = "parquet"  # or "json": JSONL stage files, as the reference hands them on
     # model loaders, called once per Python worker; results reach the hooks as ``model=``
-    generator_setup: Callable[[], object] | None = None
+    # ``generator_setup(i)`` is the loader of iteration i's model, trained in i - 1
+    generator_setup: Callable[[int], Callable[[], object]] | None = None
+    measure: Callable[[str], int] = len  # unit of ``max_input_length``: characters, or a tokeniser's count
     scorer_setup: Callable[[], object] | None = None
     # training side: the preference loss applied to the pairs' log-prob table
     loss_type: str = "sigmoid"
@@ -64,27 +67,28 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     rendered = render_prompts(prompts, bos=cfg.bos)
 
     # generate K texts per prompt in the prompt's own row (G1), strip the echoed prompt
-    gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions, setup=cfg.generator_setup,
-                        max_input_length=cfg.max_input_length, **dict(cfg.sampling))
+    gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions,
+                        setup=cfg.generator_setup(iteration) if cfg.generator_setup else None,
+                        limit=cfg.max_input_length, measure=cfg.measure, **dict(cfg.sampling))
     candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
                             strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"),
                             render_chat(F.col("context_messages"), bos=cfg.bos).alias("prompt_rendered"))
-    candidates = materialise(candidates, f"{base}/candidates", cfg.stage_format)
+    candidates = stage(candidates, f"{base}/candidates", cfg.stage_format)
 
     # drop short sets before scoring (F1); score every (prompt, response) text of a row
     full = drop_short(candidates, cfg.k)
     # the prompt was rendered once per row in the written candidates stage
     texts = F.transform("responses", lambda r: reward_model_text_rendered(F.col("prompt_rendered"), r, cfg.bos))
-    scored = materialise(score_wide(full, scorer, texts, setup=cfg.scorer_setup).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
+    scored = stage(score_wide(full, scorer, texts, setup=cfg.scorer_setup).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
 
     if cfg.record_path:
-        append_record(run_record(scored.withColumn("iteration", F.lit(iteration)))
-                      .select("iteration", "mean_score", "top1_score"), cfg.record_path)
+        write_record(run_record(scored.withColumn("iteration", F.lit(iteration)))
+                     .select("iteration", "mean_score", "top1_score"), cfg.record_path, iteration)
 
     pairs = build_pairs(scored, cfg.choose_type, margin_scale=cfg.margin_scale,
                         length_penalty=cfg.length_penalty, eot_token=cfg.eot_token, bos=cfg.bos)
     pairs = sanity_cut(pairs, cfg.sanity_check)
-    return materialise(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs", cfg.stage_format)
+    return stage(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs", cfg.stage_format)
 
 
 def run_iterations(spark: SparkSession, cfg: IterationConfig, prompt_sets: Callable[[int], DataFrame],

@@ -7,10 +7,11 @@ Transcendental results are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-from ..functions.text import PY_WHITESPACE
-
 NL2 = "chr(10) || chr(10)"
-WS = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+# What Python's str.strip() removes, written here on its own (not taken from the code under test).
+WS_CODES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201,
+            8202, 8232, 8233, 8239, 8287, 12288)
+WS = " || ".join(f"chr({c})" for c in WS_CODES)
 BOS = "'<|begin_of_text|>'"
 HDR = "'<|start_header_id|>'"
 HDR_END = f"'<|end_header_id|>' || {NL2}"
@@ -306,7 +307,7 @@ _METRICS = [
 
 def _metrics_sql() -> str:
     parts = []
-    for split, src in (("train", "polref"), ("eval", "(SELECT * FROM polref ORDER BY pair_id LIMIT 100)")):
+    for split, src in (("train", "(SELECT * FROM polref WHERE pair_id % 5 <> 1)"), ("eval", "(SELECT * FROM polref WHERE pair_id % 5 = 1)")):
         prefix = "eval_" if split == "eval" else ""
         for name, expr in _METRICS:
             parts.append(
@@ -479,19 +480,25 @@ FROM n3"""
 
 SQL["generate_hook"] = with_ctes(PROMPT_MSGS, PROMPT_TEXT) + """
 SELECT pt.row_id, CAST(k.k AS BIGINT) AS k, 'response ' || k.k || ' of ' || length(pt.prompt) AS response
-FROM prompt_text pt JOIN (SELECT unnest(range(4)) AS k) k ON length(pt.prompt) <= 3000"""
+FROM prompt_text pt CROSS JOIN (SELECT unnest(range(4)) AS k) k"""
 
 SQL["score_hook"] = with_ctes(PROMPT_MSGS, PROMPT_PLAIN, SCORED_LONG) + f"""
 SELECT f.row_id, f.k, {md5_reward(rm_text('pp.ptxt', 'f.response'))} AS reward
 FROM full_long f JOIN prompt_plain pp ON pp.row_id = f.row_id"""
 
-SQL["iterate3"] = with_ctes(PROMPT_MSGS, PROMPT_TEXT, PROMPT_PLAIN, """
+_GEN_SCORED = (PROMPT_MSGS, PROMPT_TEXT, PROMPT_PLAIN, """
 sets AS (SELECT row_id, prompt, row_number() OVER (ORDER BY row_id) - 1 AS o, count(*) OVER () AS n FROM prompt_text),
 gen AS (SELECT s.row_id, CAST(s.o // (s.n // 3 + 1) + 1 AS BIGINT) AS iteration, k.k,
                'iter' || CAST(s.o // (s.n // 3 + 1) + 1 AS VARCHAR) || ' response ' || k.k || ' of ' || length(s.prompt) AS response
-        FROM sets s JOIN (SELECT unnest(range(4)) AS k) k ON length(s.prompt) <= 3000)""", f"""
+        FROM sets s CROSS JOIN (SELECT unnest(range(4)) AS k) k)""", f"""
 sc AS (SELECT g.*, {md5_reward(rm_text('pp.ptxt', 'g.response'))} AS reward
-       FROM gen g JOIN prompt_plain pp ON pp.row_id = g.row_id),
+       FROM gen g JOIN prompt_plain pp ON pp.row_id = g.row_id)""")
+
+SQL["iterate3_records"] = with_ctes(*_GEN_SCORED) + """
+SELECT iteration, avg(reward) AS mean_score, avg(mx) AS top1_score
+FROM (SELECT *, CASE WHEN k = 0 THEN max(reward) OVER (PARTITION BY row_id) END AS mx FROM sc) t GROUP BY iteration"""
+
+SQL["iterate3"] = with_ctes(*_GEN_SCORED, """
 pick AS (
   SELECT row_id, max(CASE WHEN rmax = 1 THEN k END) AS i0, max(CASE WHEN rmin = 1 THEN k END) AS i1
   FROM (SELECT row_id, k,
@@ -534,3 +541,45 @@ FROM b"""
 SQL["stream_loss_sigmoid"] = SQL["loss_sigmoid"]
 SQL["pairs_from_jsonl"] = "SELECT prompt, chosen, rejected, margin FROM (" + pairs_sql("max_min") + ") t"
 SQL["render_sft_long"] = SQL["render_sft"]
+
+
+# --- cases that the plain inputs lack ----------------------------------------------------
+
+SQL["ordinal_hash_keys"] = """
+SELECT o_orderkey, hash_key, row_number() OVER (ORDER BY hash_key, o_orderkey) - 1 AS ordinal
+FROM (SELECT o_orderkey, 8 * CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE -1 END
+             * CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 15) AS BIGINT) AS hash_key FROM orders) t"""
+
+SQL["shard_files"] = """
+SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name,
+       CAST((row_number() OVER (ORDER BY r_regionkey) - 1) // ((SELECT count(*) FROM region) // 8 + 1) AS BIGINT) AS shard
+FROM region"""
+
+SQL["jsonl_file_order"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents"
+
+SQL["read_prompts"] = with_ctes(PROMPT_MSGS) + """
+SELECT row_id, count(*) AS n_messages, CAST(sum(length(content)) AS BIGINT) AS n_chars FROM prompt_msgs GROUP BY row_id"""
+
+_PADS = "[' ' || chr(9), chr(12288), '', chr(8232) || chr(10), chr(160) || ' ', chr(28)]"
+_PADDED = f"({_PADS}[CAST((conv_id + turn) % 6 + 1 AS INTEGER)] || text || {BOS} || role || {_PADS}[CAST((conv_id + turn + 1) % 6 + 1 AS INTEGER)])"
+SQL["render_padded"] = f"""
+SELECT row_id, {rm_text('t', "chr(8195) || 'ok' || chr(160)")} AS rm_text
+FROM (SELECT row_id, string_agg(p, '' ORDER BY turn) AS t
+      FROM (SELECT conv_id AS row_id, turn, {piece('role', _PADDED, 'false')} AS p FROM conversations) x GROUP BY row_id) y"""
+
+# rows by row_id mod 6: 0 as they are, 1 a NaN, 2 a null reward, 3 a reward too many, 4 null responses, 5 one response
+SQL["pair_outcomes_broken"] = _outcomes_sql().replace("SELECT strategy, outcome, count(*) AS n FROM (", """
+SELECT strategy, outcome, count(*) AS n FROM (
+SELECT s.strategy, CASE r.row_id % 6 WHEN 1 THEN 'nan' WHEN 2 THEN 'nan' WHEN 5 THEN 'short' ELSE 'uneven' END AS outcome
+FROM (SELECT DISTINCT row_id FROM scored_long) r
+CROSS JOIN (SELECT unnest(['random', 'max_random', 'max_min', 'max_max', 'max_min_p']) AS strategy) s
+WHERE r.row_id % 6 <> 0
+UNION ALL SELECT strategy, outcome FROM (""").replace(") o GROUP BY", ") plain) o GROUP BY").replace(
+    "ON b.row_id = p.row_id AND b.k = p.i1", "ON b.row_id = p.row_id AND b.k = p.i1 WHERE p.row_id % 6 = 0")
+
+SQL["score_summary_nulls"] = SQL["score_summary"].replace("count(*) AS n, sum(reward) AS s, max(reward) AS mx", """
+  count(*) AS n, sum(r) AS s, max(r) AS mx, count(r) AS m""").replace("FROM scored_long GROUP BY", """
+  FROM (SELECT *, CASE WHEN row_id % 5 = 1 AND k = 0 THEN NULL ELSE reward END AS r FROM scored_long) q GROUP BY""").replace(
+    "/ sum(n) FILTER", "/ sum(m) FILTER")
+
+SQL["sanity_cut"] = "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100"

@@ -1,7 +1,7 @@
 """Deterministic stand-ins for the model hooks, used by the contract queries and
 tests.  They behave like the real services at the interface: the generator
-echoes the prompt in front of each completion (as a completion server does)
-and returns nothing for an over-length prompt; the scorer maps a text to a
+echoes the prompt in front of each completion (as a completion server does);
+the scorer maps a text to a
 reward.  Both are expressible in SQL, so the hook plumbing can be checked."""
 
 from __future__ import annotations
@@ -11,15 +11,9 @@ import hashlib
 import pandas as pd
 
 
-def echo_generator(prompts: list[str], k: int, max_input_length: int | None = None,
-                   tag: str = "", **_: object) -> list[list[str]]:
-    out = []
-    for p in prompts:
-        if max_input_length is not None and len(p) > max_input_length:
-            out.append([])
-            continue
-        out.append([f"{p}{tag}response {i} of {len(p)}" for i in range(k)])
-    return out
+def echo_generator(prompts: list[str], k: int, model: str = "", tag: str = "", **_: object) -> list[list[str]]:
+    """``model``: what a loader returned; it shows in the texts."""
+    return [[f"{p}{model}{tag}response {i} of {len(p)}" for i in range(k)] for p in prompts]
 
 
 def md5_scorer(texts: pd.Series) -> pd.Series:

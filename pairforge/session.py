@@ -2,8 +2,8 @@
 
 ``get_session`` is for local runs and tests; on a cluster the caller owns the
 session and only ``shared_dir`` is used.  ``shared_dir`` reads the cluster's
-``spark.checkpoint.dir`` and only invents a local one when nothing is set
-(tests, laptops).
+``spark.checkpoint.dir``; without one it sets a local folder where the master is
+local (tests, laptops) and is an error anywhere else.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PAIRFORGE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
@@ -41,14 +42,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster-wide checkpoint directory.
 
-    Uses the session's checkpoint directory (``spark.checkpoint.dir``); sets a
-    fresh local one only when the session has none, as in tests.
+    Uses the session's checkpoint directory (``spark.checkpoint.dir``).  Without
+    one, a local master gets a fresh local folder, as in tests; on a cluster
+    executors wouldn't share it, so that is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base is None:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if not conf:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             conf = tempfile.mkdtemp(prefix="pairforge-ckpt-")
         sc.setCheckpointDir(conf)
         base = sc.getCheckpointDir()

@@ -20,16 +20,19 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
 
 
 def add_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Give rows read from id-less files (the reference's JSONL) a unique ``row_id``.
+    """Give rows read from id-less files (the reference's JSONL) a dense ``row_id`` from 0, in file order.
 
-    ``monotonically_increasing_id`` right after the scan: unique and increasing
-    in file-split order, with gaps; it depends only on the files and the split
-    size, so a recomputed task assigns the same ids.  ``with_ordinal`` turns it
-    into a dense 0..n-1 when positions matter.
+    ``df`` must be the file scan itself.  Rows are ordered by file (shorter names
+    first, so that shard 2 comes before shard 10), the split's start within the file,
+    and the line within the split; Spark's own split order follows split sizes instead.
     """
     from pyspark.sql import functions as F
 
-    return df.withColumn(name, F.monotonically_increasing_id())
+    from ..operators.ordering import global_positions
+
+    placed = df.select("*", F.length("_metadata.file_path").alias("_len"), F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line"))
+    return global_positions(placed, ["_len", "_file", "_start", "_line"], name).drop("_len", "_file", "_start", "_line")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -42,21 +45,53 @@ def write_sharded(df: DataFrame, path: str, shard: str = "shard", mode: str = "o
     df.write.mode(mode).option("ignoreNullFields", "false").partitionBy(shard).json(path)
 
 
-def shard_paths(path: str, n: int, shard: str = "shard") -> list[str]:
-    return [f"{path}/{shard}={i}" for i in range(n)]
-
-
 def read_shards(spark: SparkSession, path: str, n: int, schema: StructType | str,
                 shard: str = "shard") -> DataFrame:
-    """S3 + U1: read exactly shards 0..n-1 (an explicit list, not a glob) and
-    concatenate them (UNION ALL semantics); the shard column is kept."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", path) \
-        .json(shard_paths(path, n, shard))
+    """S3 + U1: the rows of shards 0..n-1 (UNION ALL semantics); the shard column is
+    kept.  A shard that got no row has no folder, and adds nothing."""
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return rows.where(f"`{shard}` between 0 and {int(n) - 1}")
+
+
+def write_shard_files(df: DataFrame, base: str, n: int, shard: str = "shard") -> None:
+    """S5 under the reference's names: shard i goes to ``base + i + ".json"``, empty shards too.
+    One job per shard; ``df`` should be a written table."""
+    for i in range(n):
+        write_jsonl(df.where(f"`{shard}` = {i}").drop(shard), f"{base}{i}.json")
+
+
+def read_shard_files(spark: SparkSession, base: str, n: int, schema: StructType | str, shard: str = "shard") -> DataFrame:
+    """S3 + U1 under the reference's names: ``base + i + ".json"`` for i in 0..n-1, with i in ``shard``.
+    Files of other numbers are not read; a shard without a file adds nothing."""
+    from pyspark.sql import functions as F
+
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{base}*.json")
+    stem = base.rstrip("/").rsplit("/", 1)[-1]
+    name = F.regexp_extract(F.col("_metadata.file_path"), rf"\Q{stem}\E(\d+)\.json", 1)
+    return rows.withColumn(shard, name.try_cast("int")).where(f"`{shard}` between 0 and {int(n) - 1}")
+
+
+RECORD_SCHEMA = "iteration long, mean_score double, top1_score double"
+
+
+def write_record(df: DataFrame, path: str, iteration: int) -> None:
+    """The record lines (tab-separated) of one iteration, in a folder of their own under ``path``:
+    a rerun replaces its iteration's lines and appends no second copy."""
+    df.write.mode("overwrite").option("sep", "\t").csv(f"{path}/run={iteration}")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """All record lines under ``path``."""
+    return spark.read.schema(RECORD_SCHEMA).option("sep", "\t").csv(f"{path}/run=*")
 
 
-def append_record(df: DataFrame, path: str) -> None:
-    """Append ``iteration, mean, top1`` lines (tab-separated) to a running record."""
-    df.write.mode("append").option("sep", "\t").csv(path)
+def stage(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """``materialise``, unless a finished output is at ``path`` already, which is then read instead."""
+    spark = df.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return read_jsonl(spark, path, df.schema) if fmt == "json" else spark.read.format(fmt).load(path)
+    return materialise(df, path, fmt)
 
 
 def materialise(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:

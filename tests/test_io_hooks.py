@@ -8,7 +8,7 @@ from pairforge.operators.hooks import generate_candidates, score_candidates
 from pairforge.plans.stand_ins import echo_generator, md5_scorer
 from pairforge.schemas import SCORED
 from pairforge.session import shared_dir
-from pairforge.sources.jsonl import append_record, read_jsonl, read_shards, write_jsonl, write_sharded
+from pairforge.sources.jsonl import read_jsonl, read_records, read_shards, write_jsonl, write_record, write_sharded
 
 
 def test_jsonl_round_trip_identity(spark):
@@ -40,17 +40,17 @@ def test_sharded_write_and_explicit_read(spark):
     assert read_shards(spark, path, 3, schema).count() == 10
 
 
-def test_append_record(spark):
+def test_records_are_read_back_and_a_rerun_adds_none(spark):
     path = shared_dir(spark, "t_record", unique=True)
     rec = spark.createDataFrame([(1, 0.5, 1.0)], "iteration int, mean_score double, top1_score double")
-    append_record(rec, path)
-    append_record(rec.withColumn("iteration", F.lit(2)), path)
-    assert spark.read.option("sep", "\t").csv(path).count() == 2
+    for i in (1, 2, 2):
+        write_record(rec.withColumn("iteration", F.lit(i)), path, i)
+    assert sorted(map(tuple, read_records(spark, path).collect())) == [(1, 0.5, 1.0), (2, 0.5, 1.0)]
 
 
 def test_generate_hook(spark):
     prompts = spark.createDataFrame([(1, "abc"), (2, "x" * 50)], "row_id long, prompt_text string")
-    out = generate_candidates(prompts, echo_generator, 3, max_input_length=10).collect()
+    out = generate_candidates(prompts, echo_generator, 3, limit=10).collect()
     assert sorted((r.row_id, r.k) for r in out) == [(1, 0), (1, 1), (1, 2)]
     assert all(r.response.startswith("abc") and r.prompt_chars == 3 for r in out)
 
@@ -79,7 +79,7 @@ def test_iterations(spark):
     rows = pairs.collect()
     assert {r.iteration for r in rows} <= {1, 2, 3}
     assert all(f"it{r.iteration} " in r.chosen for r in rows)
-    assert spark.read.option("sep", "\t").csv(record).count() == 3
+    assert read_records(spark, record).count() == 3
 
 
 def test_generate_wide_with_setup(spark):

@@ -167,7 +167,8 @@ def test_truncate_pair(spark):
     assert row.p == [6, 7, 8, 9] and row.c == [100, 101, 102, 103] and row.r == [200, 201, 202]
 
 
-def test_rank_pairing_range_sort_equals_window(spark):
+def test_rank_pairing_equals_sorting_each_batch(spark):
+    import math
     import random
     rng = random.Random(9)
     # one hot batch holding most rows, plus small ones; ties included
@@ -175,9 +176,15 @@ def test_rank_pairing_range_sort_equals_window(spark):
              -float(rng.randint(0, 40)) / 8, -float(rng.randint(0, 40)) / 8) for i in range(400)]
     df = logps_rows(spark, rows)
     for lt in ("aot", "aot_pair"):
-        w = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5).collect()))
-        r = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5, max_window_rows=10).collect()))
-        assert w == r and len(w) == 400
+        want = []
+        for b in {r[1] for r in rows}:
+            own = [r[2:] for r in rows if r[1] == b]
+            a = sorted(pc - rc if lt == "aot_pair" else pc - pr for pc, pr, rc, rr in own)
+            c = sorted(pr - rr if lt == "aot_pair" else rc - rr for pc, pr, rc, rr in own)
+            want += [(b, i, math.log1p(math.exp(-0.5 * (x - y)))) for i, (x, y) in enumerate(zip(a, c))]
+        got = sorted(map(tuple, LS.rank_paired_loss(df, lt, beta=0.5).collect()))
+        assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+        assert all(abs(g[2] - w[2]) < 1e-12 for g, w in zip(got, sorted(want)))
 
 
 def test_truncate_pair_keep_start_and_validation(spark):

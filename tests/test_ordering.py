@@ -33,14 +33,15 @@ def test_prefix_sum_multilevel(spark):
 
 def test_shard_floor_drops_tail(spark):
     n, w = 103, 7
-    out = shard_floor(keyed(spark, range(n)), w).toPandas()
+    out = shard_floor(keyed(spark, range(n)), w, drop_tail=True).toPandas()
     assert len(out) == n - n % w
     assert set(out["shard"]) == set(range(w))
     assert out.groupby("shard").size().eq(n // w).all()
 
 
 def test_shard_floor_small_input(spark):
-    assert shard_floor(keyed(spark, range(3)), 7).count() == 0
+    assert shard_floor(keyed(spark, range(3)), 7, drop_tail=True).count() == 0
+    assert shard_floor(keyed(spark, range(3)), 7, drop_tail=False).count() == 3
 
 
 def test_shard_cover_partitions_exactly(spark):
@@ -73,14 +74,14 @@ def test_head_n(spark):
 
 
 def test_ordinal_with_hot_duplicate_key(spark):
-    # a third of the rows share one key: the bucket path would overfill a bucket
+    # a third of the rows share one key
     keys = [7] * 200 + list(range(100, 500))
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "row_id long, v long")
-    out = with_ordinal(df, max_bucket_rows=50).toPandas()
+    out = with_ordinal(df).toPandas()
     assert sorted(out["ordinal"]) == list(range(len(keys)))
     by_key = out.sort_values("ordinal")["row_id"].tolist()
     assert by_key == sorted(keys)
-    same = with_ordinal(df, max_bucket_rows=50, tiebreak=["v"]).toPandas().sort_values("ordinal")
+    same = with_ordinal(df, tiebreak=["v"]).toPandas().sort_values("ordinal")
     assert same[same.row_id == 7]["v"].tolist() == list(range(200))
 
 
