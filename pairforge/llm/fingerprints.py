@@ -3,8 +3,8 @@ r"""I-Match fingerprints with randomised lexicons, in DataFrame functions only.
 A text's terms are its distinct lower-cased runs of letters and digits.  The lexicon holds the terms whose share of
 all documents lies in a chosen band (an inverse-document-frequency band: neither function words nor rare words), at
 least ``LEAST_DF`` documents.  ``K`` randomised lexicon subsets take a term by its hash: subset k of scale s holds the
-terms whose hash is k modulo ``K * 2**s``.  A text with T lexicon terms uses the scale at which a subset holds about
-one of its terms, and the next coarser cut: for both it sorts the terms of every subset and hashes them.  A subset's
+terms whose hash is k modulo ``K * 2**s``.  A text uses the scale at which a subset holds a term or two of it, and the
+next sparser one: for both it sorts the lexicon terms of every subset and hashes them.  A subset's
 hash survives an edit that leaves its few terms alone, so two texts are as alike as their share of equal hashes among
 the subsets that either uses (``likeness``).
 
@@ -32,8 +32,8 @@ from .common import BROADCAST_ROWS, written
 BAND = (0.001, 0.08)
 LEAST_DF = 2
 K = 32
-#: A subset holds between this many and twice as many terms of a text, on average.
-TERMS_PER_SUBSET = 0.75
+#: A subset holds between this many and twice as many terms of a text, on average, before the band is applied.
+TERMS_PER_SUBSET = 1.5
 HASH_DIGITS = 6
 KEYS = ["ik", "th"]
 
@@ -47,26 +47,25 @@ def lexicon(docs: DataFrame, text: Column, band: tuple[float, float] = BAND, lea
     n = docs.count()
     df = docs.select(F.explode(terms(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = df.where((F.col("df") >= max(least_df, band[0] * n)) & (F.col("df") <= max(band[1] * n, least_df)))
-    return kept.select("term", F.xxhash64(F.lit("lexicon"), "term").alias("h"))
+    return kept.select("term", term_hash(F.col("term")).alias("h"))
 
 
-def fingerprint(hashes: Column, terms_hash: Column) -> Column:
-    """Fingerprint of a sorted array of distinct lexicon hashes; the hash of all terms stands in where that is empty."""
-    scale = F.greatest(F.lit(0), F.floor(F.log2(F.size(hashes) / F.lit(K * TERMS_PER_SUBSET)))).cast("int")
+def scale_of(n_terms: Column) -> Column:
+    """Scale of a text with so many terms: a subset then holds ``TERMS_PER_SUBSET`` to twice as many of them."""
+    return F.greatest(F.lit(0), F.floor(F.log2(F.greatest(n_terms, F.lit(1)) / F.lit(K * TERMS_PER_SUBSET)))).cast("int")
 
-    def cut(extra: int) -> Column:
-        modulus = (F.pow(F.lit(2), scale + extra) * K).cast("long")
-        own = F.filter(hashes, lambda h: F.pmod(h, modulus) < K)
 
-        def subset(k: Column) -> Column:
-            part = F.filter(own, lambda h: F.pmod(h, F.lit(K)) == k)
-            return F.when(F.size(part) == 0, F.lit("")).otherwise(
-                F.substring(F.lpad(F.hex(F.xxhash64(part)), 16, "0"), 1, HASH_DIGITS))
+def in_cut(h: Column, scale: Column) -> Column:
+    """Whether a term of hash ``h`` lies in one of the K subsets of ``scale``; its subset is then ``h mod K``."""
+    return F.pmod(h, F.call_function("shiftleft", F.lit(K).cast("long"), scale)) < K
 
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(K - 1)), subset), ",")
 
-    return F.when(F.size(hashes) == 0, F.concat(F.lit("x:"), F.hex(terms_hash))) \
-        .otherwise(F.concat(scale.cast("string"), F.lit(":"), cut(0), F.lit(":"), cut(1)))
+def _hash_text(h: Column) -> Column:
+    return F.substring(F.lpad(F.hex(h), 16, "0"), 1, HASH_DIGITS)
+
+
+def term_hash(term: Column) -> Column:
+    return F.xxhash64(F.lit("lexicon"), term)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -75,9 +74,10 @@ def likeness(a: Column, b: Column) -> Column:
     sa, sb = pa[0].try_cast("int"), pb[0].try_cast("int")
 
     def alike(x: Column, y: Column) -> Column:
-        pairs = F.filter(F.arrays_zip(F.split(x, ",").alias("x"), F.split(y, ",").alias("y")), lambda p: (p["x"] != "") | (p["y"] != ""))
-        same = F.size(F.filter(pairs, lambda p: p["x"] == p["y"]))
-        return F.when(F.size(pairs) == 0, F.lit(0.0)).otherwise(same / F.size(pairs))
+        x, y = (F.array_remove(F.split(z, ","), "") for z in (x, y))
+        subsets = lambda z: F.transform(z, lambda t: F.substring_index(t, ".", 1))
+        used = F.size(F.array_union(subsets(x), subsets(y)))
+        return F.when(used == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(x, y)) / used)
 
     return F.when(a == b, F.lit(1.0)) \
         .when(sa == sb, F.greatest(alike(pa[1], pb[1]), alike(pa[2], pb[2]))) \
@@ -103,10 +103,10 @@ def succession(keys: DataFrame) -> DataFrame:
     return linked.join(onward, "range").select(*keys.columns, following["ik"].alias("next_ik"), following["th"].alias("next_th"))
 
 
-def edit_with_next(docs: DataFrame) -> DataFrame:
-    """``docs`` (id, text) -> one row per distinct pair: id, ik, th, text, n_chars, edited, next_ik, next_th and
-    ``copies``, the number of rows with that pair.  (ik, th) is the pair's key: the id as text, never null, and the
-    text's hash."""
+def edit_with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (id, text) -> (ik, th, text, edited) with one row per distinct pair, and the order of the pairs: id, ik,
+    th, n_chars, next_ik, next_th and ``copies``, the number of rows with that pair.  (ik, th) is the pair's key: the
+    id as text, never null, and the text's hash."""
     ik = F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit(""))
     texts = docs.select("id", ik.alias("ik"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     keys = texts.groupBy(*KEYS).agg(F.min("id").alias("id"), F.max(F.char_length("text")).cast("long").alias("n_chars"),
@@ -119,8 +119,40 @@ def edit_with_next(docs: DataFrame) -> DataFrame:
         .join(chain.join(lead, KEYS), KEYS)
     pieces = placed.select(F.col("prev_ik").alias("ik"), F.col("prev_th").alias("th"), F.substr("text", F.lit(1), F.col("room")).alias("piece"))
     kept = F.expr("left(text, cast(n_chars - floor(n_chars / 3) as int))")
-    return placed.join(pieces, KEYS).select("id", *KEYS, "text", "n_chars", F.concat(kept, F.col("piece")).alias("edited"),
-                                            "next_ik", "next_th", "copies")
+    return placed.join(pieces, KEYS).select(*KEYS, "text", F.concat(kept, F.col("piece")).alias("edited")), chain
+
+
+def both_fingerprints(edited: DataFrame, lex: DataFrame) -> DataFrame:
+    """(ik, th, text, edited) -> (ik, th, edited_sha256, fingerprint, edited_fingerprint).
+
+    Only terms of a text's own subsets are looked up in the lexicon, some ``2 * K * TERMS_PER_SUBSET`` of a text however
+    long it is.  All groupings are by the key that the rows are partitioned by already."""
+    bodies = edited.select(*KEYS, F.inline(F.array(
+        F.struct(F.lit(0).alias("of"), F.col("text").alias("body")), F.struct(F.lit(1).alias("of"), F.col("edited").alias("body")))))
+    counted = bodies.withColumn("terms", terms(F.col("body"))).select(
+        *KEYS, "of", "terms", scale_of(F.size("terms")).alias("scale"), F.xxhash64(F.sort_array("terms")).alias("whole"),
+        F.when(F.col("of") == 1, F.sha2(F.col("body").cast("binary"), 256)).alias("sha"))
+    own = F.filter("terms", lambda t: in_cut(term_hash(t), F.col("scale")))
+    # the empty term is always known: it keeps every text, and carries what belongs to the whole text
+    none = F.lit(None)
+    head = F.struct(F.lit("").alias("term"), F.col("whole").alias("whole"), F.col("sha").alias("sha"))
+    rest = F.transform(own, lambda t: F.struct(t.alias("term"), none.cast("long").alias("whole"), none.cast("string").alias("sha")))
+    rows = counted.select(*KEYS, "of", "scale", F.explode(F.concat(F.array(head), rest)).alias("t")).select(*KEYS, "of", "scale", "t.*")
+    known = rows.join(lex, "term")
+    subsets = known.groupBy(*KEYS, "of", "scale", F.pmod("h", F.lit(K)).alias("k")).agg(
+        F.sort_array(F.collect_list("h")).alias("cut0"),
+        F.sort_array(F.collect_list(F.when(in_cut(F.col("h"), F.col("scale") + 1), F.col("h")))).alias("cut1"),
+        F.max("whole").alias("whole"), F.max("sha").alias("sha"))
+    part = lambda c: F.when(F.col("k").isNotNull() & (F.size(c) > 0), F.concat_ws(".", "k", _hash_text(F.xxhash64(c))))
+    marks = subsets.select(*KEYS, "of", "scale", "whole", "sha", part("cut0").alias("cut0"), part("cut1").alias("cut1"))
+    texts = marks.groupBy(*KEYS, "of", "scale").agg(
+        F.sort_array(F.collect_list("cut0")).alias("cut0"), F.sort_array(F.collect_list("cut1")).alias("cut1"),
+        F.max("whole").alias("whole"), F.max("sha").alias("sha"))
+    made = F.when(F.size("cut0") == 0, F.concat(F.lit("x:"), F.hex("whole"))).otherwise(
+        F.concat_ws(":", "scale", F.array_join("cut0", ","), F.array_join("cut1", ",")))
+    return texts.select(*KEYS, "of", "sha", made.alias("fp")).groupBy(*KEYS).agg(
+        F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("of") == 0, F.col("fp"))).alias("fingerprint"),
+        F.max(F.when(F.col("of") == 1, F.col("fp"))).alias("edited_fingerprint"))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
@@ -128,24 +160,13 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band:
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     lex = written(lexicon(docs, F.col("text"), band))
     n_lex = lex.count()
-    # the empty term is always known, so that every document stays
     lex = lex.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(None).cast("long").alias("h")))
     lex = F.broadcast(lex) if n_lex <= BROADCAST_ROWS else lex.hint("shuffle_merge")
-    whole = lambda column: F.xxhash64(F.array_sort(terms(F.col(column))))
-    tagged = lambda column, of: F.transform(terms(F.col(column)), lambda t: F.struct(t.alias("term"), F.lit(of).alias("of")))
-    own = ["id", *KEYS, "n_chars", "next_ik", "next_th", "copies", "edited_sha256", "terms_hash", "edited_terms_hash"]
-    each = edit_with_next(docs).withColumns({
-        "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256), "terms_hash": whole("text"), "edited_terms_hash": whole("edited"),
-        "t": F.concat(F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("of"))), tagged("text", 0), tagged("edited", 1)),
-    }).select(*own, F.explode("t").alias("t")).select(*own, "t.term", "t.of")
-    sets = each.join(lex, "term").groupBy(*own).agg(
-        F.array_sort(F.collect_set(F.when(F.col("of") == 0, F.col("h")))).alias("hs"),
-        F.array_sort(F.collect_set(F.when(F.col("of") == 1, F.col("h")))).alias("ehs"))
-    made = written(sets.select("id", *KEYS, "n_chars", "next_ik", "next_th", "copies", "edited_sha256",
-                               fingerprint(F.col("hs"), F.col("terms_hash")).alias("fingerprint"),
-                               fingerprint(F.col("ehs"), F.col("edited_terms_hash")).alias("edited_fingerprint")))
+    edited, chain = edit_with_next(docs)
+    made = written(both_fingerprints(edited, lex))
     following = made.select(F.col("ik").alias("next_ik"), F.col("th").alias("next_th"), F.col("fingerprint").alias("next_fingerprint"))
-    out = made.join(following, ["next_ik", "next_th"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = made.join(chain.select("id", *KEYS, "n_chars", "next_ik", "next_th", "copies"), KEYS).join(following, ["next_ik", "next_th"])
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(F.col("id").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
