@@ -127,17 +127,23 @@ def check_shapes(labels: DataFrame, logits: DataFrame, seq: str = "seq_id", pos:
     )
 
 
-def align_to_labels(logits: DataFrame, labels: DataFrame, seq: str = "seq_id", pos: str = "pos") -> DataFrame:
+def trim_logits(logits: DataFrame, labels: DataFrame, seq: str = "seq_id", pos: str = "pos") -> DataFrame:
     """When a sequence has more logit positions than labels, keep the last
     ``n_labels`` logit positions and renumber them onto the label positions.
-    Positions are dense from 0 within a sequence."""
-    n_lab = labels.groupBy(seq).agg(F.count(F.lit(1)).alias("_nl"))
-    n_log = logits.groupBy(seq).agg(F.count(F.lit(1)).alias("_ng"))
-    counts = n_lab.join(n_log, seq, "inner").withColumn("_skip", F.greatest(F.col("_ng") - F.col("_nl"), F.lit(0)))
-    kept = logits.join(counts.select(seq, "_skip"), seq, "inner") \
+    Positions are dense from 0 within a sequence.  Both sides are counted in one
+    pre-aggregated grouping."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = labels.select(seq, one.alias("_nl"), none.alias("_ng")).unionByName(logits.select(seq, none.alias("_nl"), one.alias("_ng")))
+    counts = both.groupBy(seq).agg(F.sum("_nl").alias("_nl"), F.sum("_ng").alias("_ng")).where("_nl > 0")
+    skip = F.greatest(F.col("_ng") - F.col("_nl"), F.lit(0))
+    return logits.join(counts.select(seq, skip.alias("_skip")), seq, "inner") \
         .filter(F.col(pos) >= F.col("_skip")) \
         .withColumn(pos, (F.col(pos) - F.col("_skip")).cast("int")).drop("_skip")
-    return labels.join(kept, [seq, pos], "inner")
+
+
+def align_to_labels(logits: DataFrame, labels: DataFrame, seq: str = "seq_id", pos: str = "pos") -> DataFrame:
+    """T7, joined: every label with the logits of its position."""
+    return labels.join(trim_logits(logits, labels, seq, pos), [seq, pos], "inner")
 
 
 def text_token_counts(text: Column | str = "text") -> Column:

@@ -410,7 +410,7 @@ def align_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.tokens(spark, sf_dir)
     labels = t.filter(F.col("pos") >= 2).select("seq_id", (F.col("pos") - 2).cast("int").alias("pos"), "label")
     logits = t.select("seq_id", "pos", "logits")
-    checked = TK.check_shapes(labels, TK.align_to_labels(logits, labels).select("seq_id", "pos", "logits"))
+    checked = TK.check_shapes(labels, TK.trim_logits(logits, labels))
     s = TK.sequence_logps(checked)
     return s.select("seq_id", r6("logps").alias("logps"), "n_tokens")
 
