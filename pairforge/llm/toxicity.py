@@ -2,15 +2,16 @@
 
 Labelled rows teach three things, all on a bounded sample (``TRAIN_ROWS`` per label, by a hash of the id):
 
-* the vocabulary: words and word beginnings (``PREFIXES`` letters) whose presence differs between the labels
-  (likelihood ratio at least ``LEAST_G2``), at most ``MAX_TERMS`` of them, with their idf;
+* the vocabulary: words and word beginnings (``PREFIXES`` letters) whose presence differs between the labels, beyond
+  chance (likelihood ratio at least ``LEAST_G2``) and by much (odds ratio at least ``LEAST_ODDS``; a language that is
+  toxic a little more often shall not bring in all its words), at most ``MAX_TERMS`` of them, with their idf;
 * the examples: TF-IDF vectors over that vocabulary, in an inverted index in blocks of ``BLOCK`` examples with the
   largest weight of every term in every block;
 * the calibration: isotonic regression of the labels on leave-one-out votes.
 
-A text's neighbours are the ``K`` examples of the highest cosine: blocks are opened by descending upper bound (the
-text's weights times the block maxima), and the search ends when no unopened block can beat the K-th neighbour,
-so neighbours are exact.  They vote with weight 1 / (distance + ``SOFTEN``); the calibrated vote is the score, the
+A text's neighbours are the ``K`` examples of the highest cosine: the blocks of the highest upper bounds (the text's
+weights times the block maxima) are opened first, and then every block whose bound reaches the K-th cosine so far, so
+neighbours are exact.  They vote with weight 1 / (distance + ``SOFTEN``); the calibrated vote is the score, the
 neighbours are the evidence.  A text without any term of the vocabulary has no neighbours and gets the rate of such
 examples.
 
@@ -38,8 +39,10 @@ from .common import held_out, small_batches, written
 TRAIN_ROWS = 8_000
 MAX_TERMS = 4_096
 LEAST_G2 = 24.0
+LEAST_ODDS = 4.0
 PREFIXES = (4, 5, 6)
 BLOCK = 64
+FIRST_BLOCKS = 4
 K = 15
 SOFTEN = 0.05
 PRIOR_WEIGHT = 1.0
@@ -100,30 +103,41 @@ class BlockMaxIndex:
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         order = np.lexsort((ex, term))
         self.ex, self.weight = ex[order], weight[order]
-        cell = term[order] * max(self.blocks, 1) + self.ex // BLOCK
-        self.start = np.searchsorted(cell, np.arange(n_terms * max(self.blocks, 1) + 1))
+        self.block = self.ex // BLOCK
+        self.start = np.searchsorted(term[order], np.arange(n_terms + 1)).tolist()
         self.max = np.zeros((n_terms, max(self.blocks, 1)))
-        np.maximum.at(self.max.reshape(-1), cell, self.weight)
+        np.maximum.at(self.max, (term[order], self.block), self.weight)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-        """(examples, cosines) of the k nearest with a positive cosine, and the number of opened blocks."""
+        """(examples, cosines) of the k nearest with a positive cosine, and the number of opened blocks.
+
+        The blocks of the highest bounds are opened first; their k-th cosine then tells which others can matter."""
         bound = weights @ self.max[terms]
-        near: list[tuple[float, int]] = []
-        opened = 0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(near) == k and bound[b] < near[-1][0] - 1e-12:
-                break
-            opened += 1
-            cos = np.zeros(BLOCK)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        cos = np.zeros(self.n)
+
+        def open_blocks(blocks: np.ndarray) -> None:
+            chosen = np.zeros(self.blocks, bool)
+            chosen[blocks] = True
             for t, w in zip(terms.tolist(), weights.tolist()):
-                s, e = self.start[t * self.blocks + b], self.start[t * self.blocks + b + 1]
-                if s < e:
-                    cos[self.ex[s:e] - b * BLOCK] += w * self.weight[s:e]
-            hit = np.flatnonzero(cos > 0)
-            near += [(round(float(cos[i]), 12), b * BLOCK + i) for i in hit.tolist() if b * BLOCK + i != leave]
-            near.sort(key=lambda x: (-x[0], x[1]))
-            del near[k:]
-        return np.array([i for _, i in near], np.int64), np.array([c for c, _ in near]), opened
+                own = slice(self.start[t], self.start[t + 1])
+                at = chosen[self.block[own]]
+                cos[self.ex[own][at]] += w * self.weight[own][at]
+            if leave >= 0:
+                cos[leave] = 0
+
+        open_blocks(order[:FIRST_BLOCKS])
+        found = cos[cos > 0]
+        least = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bound[rest] >= least - 1e-9]
+        if len(rest):
+            open_blocks(rest)
+        near = np.flatnonzero(cos > 0)
+        exact = np.round(cos[near], 12)
+        best = np.lexsort((near, -exact))[:k]
+        return near[best], exact[best], len(order[:FIRST_BLOCKS]) + len(rest)
 
 
 def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
@@ -227,7 +241,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     a, df = F.col("a"), F.col("a") + F.col("b")
     g2 = 2 * (part(a, df * (toxic / n)) + part(F.col("b"), df * (1 - toxic / n))
               + part(F.lit(toxic) - a, (F.lit(n) - df) * (toxic / n)) + part(F.lit(n - toxic) - F.col("b"), (F.lit(n) - df) * (1 - toxic / n)))
-    kept = terms.withColumn("g2", g2).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
+    odds = (a + 0.5) * (F.lit(n - toxic) - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (F.lit(toxic) - a + 0.5))
+    tells = (F.col("g2") >= LEAST_G2) & ((odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS))
+    kept = terms.withColumn("g2", g2).where(tells).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
     idf = {r["term"]: math.log((n + 1) / (r["a"] + r["b"] + 1)) + 1 for r in kept}
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
