@@ -87,48 +87,60 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self.rows: list[dict[str, int]] = [{} for _ in range(MAX_GRAM + 1)]  # by n, 0 for words
+        for (n, term), at in model.row.items():
+            self.rows[n][term] = at
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.vectors: list[np.ndarray] = []
+        self.known: dict[str, int] = {}  # token -> row
+        self.words: dict[str, int] = {}  # word -> row
+        self.table, self.used = np.zeros((1 << 12, len(self.model.langs) + 1)), 0  # doubled when full
 
     def word(self, word: str) -> np.ndarray:
-        model = self.model
-        at = model.row.get((0, word))
+        logs = self.model.logs
+        at = self.rows[0].get(word)
         if at is not None:
-            return model.logs[at]
+            return logs[at]
         for n in range(MAX_GRAM, 0, -1):
-            rows = [r for g in grams(word, n) if (r := model.row.get((n, g))) is not None]
+            known = self.rows[n]
+            rows = [known[g] for g in grams(word, n) if g in known]
             if rows:
-                return model.logs[rows].mean(0)
-        return np.zeros(len(model.langs))
-
-    def _vector(self, token: str) -> np.ndarray:
-        """Sums over the token's words; the last entry counts the words."""
-        own = _WORD.findall(token)
-        out = np.zeros(len(self.model.langs) + 1)
-        for w in own:
-            out[:-1] += self.word(w)
-        out[-1] = len(own)
-        return out
+                return np.add.reduce(logs[rows], 0) / len(rows)
+        return np.zeros(len(self.model.langs))
+
+    def _add(self, vector: np.ndarray, n_words: int) -> int:
+        if self.used == len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        self.table[self.used, :-1], self.table[self.used, -1] = vector, n_words
+        self.used += 1
+        return self.used - 1
+
+    def _word_row(self, word: str) -> int:
+        at = self.words.get(word)
+        if at is None:
+            at = self.words[word] = self._add(self.word(word), 1)
+        return at
+
+    def _token_row(self, token: str) -> int:
+        """Row of the sums over the token's words; the last column counts them."""
+        own = [self._word_row(w) for w in _WORD.findall(token)]
+        return own[0] if len(own) == 1 else self._add(self.table[own, :-1].sum(0), len(own))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if len(self.known) > CACHE_TOKENS:
             self._reset()
-        known, vectors = self.known, self.vectors
+        known = self.known
         rows = []
         for text in texts:
             row = []
             for token in (text or "").lower().split():
                 at = known.get(token)
                 if at is None:
-                    at = known[token] = len(vectors)
-                    vectors.append(self._vector(token))
+                    at = known[token] = self._token_row(token)
                 row.append(at)
             rows.append(row)
-        table = np.array(vectors)
-        return [self._decide(table[row].sum(0) if row else None) for row in rows]
+        return [self._decide(self.table[row].sum(0) if row else None) for row in rows]
 
     def _decide(self, sums: np.ndarray | None) -> tuple[str, float]:
         if sums is None or not sums[-1] or not self.model.langs:
@@ -182,7 +194,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     terms = counts.groupBy("n", "term").agg(
         F.collect_list(F.struct("lang", "count")).alias("langs"), F.sum("count").alias("total"))
     kept = terms.where(F.col("total") >= LEAST_COUNT).orderBy(F.desc("total"), "n", "term").limit(max_terms)
-    return build_model([(r["n"], r["term"], c["lang"], c["count"]) for r in kept.collect() for c in r["langs"]])
+    rows = kept.select("n", "term", F.inline("langs")).toArrow()  # at most max_terms per language
+    return build_model(list(zip(*(rows.column(c).to_pylist() for c in ("n", "term", "lang", "count")))))
 
 
 #: The scorer of the last model that this Python worker has met.
