@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,12 +40,13 @@ from .common import BROADCAST_ROWS, keep_ids, small_batches, written
 N = 4
 PERCENT = 85
 ORDERS = 3
-HEAVY = 1 << 18
+HEAVY = 1 << 22  # 48 MB as a broadcast
 PIVOTS = 6
 LIST_ROWS = 2_048
 #: Shingles per group of the counting step, about.
 GROUP_SHINGLES = 1 << 19
 CACHE_WORDS = 500_000
+FLUSH_PAIRS = 200_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -56,12 +58,22 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """Word -> 64-bit hash, computed once."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+
 class Shingler:
     """Texts to sorted arrays of distinct 64-bit shingle hashes."""
 
     def __init__(self, n: int = N):
         self.n = n
-        self.known: dict[bytes, int] = {}
+        self.known = _WordHashes()
+        # a shingle hashes to a weighted sum of its words' hashes, mixed; the weights tell the places apart
+        self.weights = [np.uint64(x) for x in mix64(np.arange(1, n + 1, dtype=np.uint64), 99) | np.uint64(1)]
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -69,15 +81,14 @@ class Shingler:
             return np.zeros(0, np.uint64)
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        known = self.known
-        for w in set(words) - known.keys():
-            known[w] = int.from_bytes(blake2b(w, digest_size=8).digest(), "little")
-        h = np.array([known[w] for w in words], np.uint64)
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         span = min(self.n, len(words))
         out = np.full(len(h) - span + 1, span, np.uint64)
         for i in range(span):
-            out = mix64(out ^ h[i:len(h) - span + 1 + i], i + 1)
-        return np.unique(out)
+            out += h[i:len(h) - span + 1 + i] * self.weights[i]
+        out = mix64(out)
+        out.sort()
+        return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -87,49 +98,57 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 class Orders:
     """Global orders: heavy shingles last, rising by count; ties by a hash per order.
 
-    Heavy shingles are known by their top ``32 - shift`` bits more than a group number; see ``count_shingles``."""
+    Heavy shingles are known by all but their lowest ``shift`` bits; see ``survey``."""
 
     def __init__(self, heavy: np.ndarray, counts: np.ndarray, shift: int):
         order = np.argsort(heavy)
-        self.heavy, self.counts, self.shift = heavy[order], counts[order], np.uint64(shift)
+        self.heavy, self.counts, self.shift = heavy[order], np.minimum(counts[order], (1 << 31) - 1).astype(np.int32), np.uint64(shift)
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
         """Count of heavy shingles, 0 for the others."""
         if not len(self.heavy):
-            return np.zeros(len(shingles), np.int64)
+            return np.zeros(len(shingles), np.int32)
         keys = shingles >> self.shift
         at = np.minimum(np.searchsorted(self.heavy, keys), len(self.heavy) - 1)
         return np.where(self.heavy[at] == keys, self.counts[at], 0)
 
     def prefixes(self, shingles: np.ndarray, orders: range, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
         """(shingles, weights) of the prefix under each order."""
-        weight, out = self.weights(shingles), []
+        weight, length = self.weights(shingles), prefix_length(len(shingles), percent)
+        light, out = np.flatnonzero(weight == 0), []
         for order in orders:
-            first = np.lexsort((mix64(shingles, 100 + order), weight))[:prefix_length(len(shingles), percent)]
+            if length < len(light):  # no heavy one gets in: the smallest hashes among the light ones
+                first = light[np.argpartition(mix64(shingles[light], 100 + order), length)[:length]]
+            else:
+                first = np.lexsort((mix64(shingles, 100 + order), weight))[:length]
             out.append((shingles[first], weight[first]))
         return out
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Parity bitmap as bytes: bit i is the parity of the shingles that hash to i; about as many bits as shingles."""
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Parity bitmap: bit i is the parity of the shingles that hash to i; about as many bits as shingles."""
     bits = 1 << min(max(int(len(shingles)).bit_length(), 8), 13)
     parity = np.bincount((mix64(shingles, 7) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(parity.astype(np.uint8))
+    return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def fold(bits: np.ndarray, size: int) -> np.ndarray:
-    """Bitmaps (rows) folded to ``size`` bytes; parity bitmaps of a power of two fold by xor."""
-    while bits.shape[1] > size:
-        half = bits.shape[1] // 2
-        bits = bits[:, :half] ^ bits[:, half:]
-    return bits
+def distance(a: int, bytes_a: int, b: int, bytes_b: int) -> int:
+    """Differing bits of two bitmaps, as integers; the longer one is folded by xor to the shorter one's length.  At
+    most the size of the sets' symmetric difference, for each of its shingles flips one bit."""
+    while bytes_a > bytes_b:
+        bytes_a >>= 1
+        a = (a >> 8 * bytes_a) ^ (a & ((1 << 8 * bytes_a) - 1))
+    while bytes_b > bytes_a:
+        bytes_b >>= 1
+        b = (b >> 8 * bytes_b) ^ (b & ((1 << 8 * bytes_b) - 1))
+    return (a ^ b).bit_count()
 
 
-def may_link(n_a: int, n_b: np.ndarray, distance: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether sets of these sizes whose symmetric difference is at least ``distance`` can link.
+def may_link(n_a: int, n_b: int, differ: int, percent: int = PERCENT) -> bool:
+    """Whether sets of these sizes whose symmetric difference is at least ``differ`` can link.
 
     With the sum S of the sizes and the difference D, intersection and union are (S - D) / 2 and (S + D) / 2."""
-    return 100 * (n_a + n_b - distance) >= percent * (n_a + n_b + distance)
+    return 100 * (n_a + n_b - differ) >= percent * (n_a + n_b + differ)
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -173,90 +192,100 @@ def _shingled(df: DataFrame, run, schema: str) -> DataFrame:
     return df.select("id", "text").mapInArrow(call, schema)
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """(id, n, h1, h2) of every row: the size of its set and a 128-bit hash of it."""
-
-    def run(shingler, batches):
-        for ids, texts in batches:
-            sets = [shingler(t) for t in texts]
-            sums = [[int(mix64(s, seed).sum(dtype=np.uint64)) - (1 << 63) for s in sets] for seed in (11, 12)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64())],
-                names=["id", "n", "h1", "h2"])
-
-    return _shingled(docs, run, "id long, n long, h1 long, h2 long")
-
-
 FLUSH_SHINGLES = 3_000_000
 
 
-def count_shingles(docs: DataFrame, total: int) -> Orders:
-    """Counts of all documents' shingles -> the orders, with the at most ``HEAVY`` most frequent shingles.
+def survey(docs: DataFrame) -> tuple[DataFrame, Orders]:
+    """One pass over all texts: (id, n, h1, h2) of every row, the size of its set and a 128-bit hash of it, and the orders
+    from the counts of all shingles, with the at most ``HEAVY`` most frequent ones.
 
-    Tasks send sorted shingles as packed gaps, cut in groups of about ``GROUP_SHINGLES``; a shingle is known by its
-    group (top bits) and the next 24 bits, so that few are taken for another one."""
-    group_bits = max(0, (total // GROUP_SHINGLES).bit_length())
+    Tasks send sorted shingles as packed gaps, cut in groups of about ``GROUP_SHINGLES``; a shingle is known by its group
+    (top bits) and the next 24 bits, so that few are taken for another one.  Rows about documents travel along, packed
+    as well, in groups of their own."""
+    letters = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    group_bits = (letters // 6 // GROUP_SHINGLES).bit_length()
     shift = 64 - group_bits - 24
 
     def send(shingler, batches):
-        held, size = [], 0
+        held, about, size = [], [], 0
 
         def flush():
-            keys = np.sort(np.concatenate(held)) >> np.uint64(shift)
-            low = (keys & np.uint64((1 << 24) - 1)).astype(np.int64)
-            rows = [(g, pack(low[s:e])) for g, s, e in _grouped((keys >> np.uint64(24)).astype(np.int64))]
+            rows = []
+            if size:
+                keys = np.sort(np.concatenate(held)) >> np.uint64(shift)
+                low = (keys & np.uint64((1 << 24) - 1)).astype(np.int64)
+                rows = [(g, pack(low[s:e])) for g, s, e in _grouped((keys >> np.uint64(24)).astype(np.int64))]
+            if about:
+                facts = np.array(about, np.int64)
+                rows.append((-1 - int(facts[0, 0] & 0xFFFFFF) % (1 << group_bits), facts.tobytes()))
+            held.clear()
+            about.clear()
             return pa.RecordBatch.from_arrays([pa.array([g for g, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())],
-                                              names=["g", "low"])
+                                              names=["g", "data"])
 
-        for _, texts in batches:
-            for t in texts:
-                held.append(shingler(t))
-                size += len(held[-1])
+        for ids, texts in batches:
+            for i, t in zip(ids, texts):
+                own = shingler(t)
+                held.append(own)
+                size += len(own)
+                sums = [int(mix64(own, seed).sum(dtype=np.uint64).view(np.int64)) for seed in (11, 12)] if len(own) else [0, 0]
+                about.append((i or 0, i is not None, len(own), *sums))
             if size > FLUSH_SHINGLES:
                 yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
-
-    def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        low, n = np.unique(np.concatenate([unpack(b) for b in pdf["low"]]), return_counts=True)
+                size = 0
+        yield flush()
+
+    def read(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < 0:
+            facts = np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 5) for b in pdf["data"]])
+            ids = pd.Series(facts[:, 0], dtype="Int64").where(facts[:, 1] == 1)
+            return pd.DataFrame({"id": ids, "n": facts[:, 2], "h1": facts[:, 3], "h2": facts[:, 4], "key": pd.Series([None] * len(facts), dtype="Int64")})
+        low, n = np.unique(np.concatenate([unpack(b) for b in pdf["data"]]), return_counts=True)
         often = n > 2
-        return pd.DataFrame({"key": low[often] + (int(key[0]) << 24), "n": n[often].astype(np.int64)})
+        none = pd.Series([None] * int(often.sum()), dtype="Int64")
+        return pd.DataFrame({"id": none, "n": n[often], "h1": none, "h2": none, "key": low[often] + (int(key[0]) << 24)})
 
-    counts = written(_shingled(docs, send, "g long, low binary").groupBy("g").applyInPandas(count, "key long, n long"))
+    found = written(_shingled(docs, send, "g long, data binary").groupBy("g").applyInPandas(
+        read, "id long, n long, h1 long, h2 long, key long"))
+    counts = found.where("key is not null").select("key", "n")
     least, kept = None, 0
     for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         kept += r["count"]
         if kept > HEAVY:
             break
         least = r["n"]
-    rows = counts.where(F.col("n") >= least).toPandas() if least is not None else pd.DataFrame({"key": [], "n": []})
-    return Orders(rows["key"].to_numpy(np.uint64), rows["n"].to_numpy(np.int64), shift)
+    rows = counts.where(F.col("n") >= (0 if least is None else least)).limit(HEAVY if least is not None else 0).toArrow()
+    orders = Orders(rows.column("key").to_numpy().astype(np.uint64), rows.column("n").to_numpy(), shift)
+    return found.where("key is null").select("id", "n", "h1", "h2"), orders
 
 
-def postings(docs: DataFrame, orders, total: int) -> DataFrame:
-    """(t, id): first-order prefix postings of shingles in at least two prefixes; ``t`` stands for the shingle.
+def postings(docs: DataFrame, orders, total: int) -> tuple[DataFrame, DataFrame]:
+    """(t, id): first-order prefix postings of shingles in at least two prefixes, where ``t`` stands for the shingle; and
+    (id, n, bits): size and bitmap of every set that isn't empty.
 
     Light shingles meet in groups by their top bits, where those of one document drop out.  Heavy ones, known to be
     frequent, are dealt out evenly instead, so a hot shingle never gathers in one group."""
     bits = max(0, (total // GROUP_SHINGLES).bit_length())
-    heavy_groups = 1 << bits
+    groups, bitmap_groups = 1 << bits, -(1 << 40)
 
     def send(shingler, batches):
         own = orders.value
-        held, size = [], 0
+        held, about, size = [], [], 0
 
         def flush():
-            t = np.concatenate([x[0] for x in held])
-            ids = np.concatenate([np.full(len(x[0]), x[2], np.int64) for x in held])
-            heavy = np.concatenate([x[1] > 0 for x in held])
-            t = t >> np.uint64(2)  # 62 bits
-            g = (t >> np.uint64(62 - bits)).astype(np.int64) if bits else np.zeros(len(t), np.int64)
-            spread = (mix64(ids.astype(np.uint64) ^ t, 3) % np.uint64(heavy_groups)).astype(np.int64)
-            g = np.where(heavy, -1 - spread, g)
-            order = np.lexsort((t, g))
-            t, ids, g = t[order], ids[order], g[order]
-            rows = [(k, t[s:e].tobytes(), ids[s:e].tobytes()) for k, s, e in _grouped(g)]
+            rows = [(bitmap_groups - i % groups, data, np.array([i, n], np.int64).tobytes()) for i, n, data in about]
+            if held:
+                t = np.concatenate([x[0] for x in held]) >> np.uint64(2)  # 62 bits
+                ids = np.concatenate([np.full(len(x[0]), x[2], np.int64) for x in held])
+                heavy = np.concatenate([x[1] > 0 for x in held])
+                g = (t >> np.uint64(62 - bits)).astype(np.int64) if bits else np.zeros(len(t), np.int64)
+                spread = (mix64(ids.astype(np.uint64) ^ t, 3) % np.uint64(groups)).astype(np.int64)
+                g = np.where(heavy, -1 - spread, g)
+                order = np.lexsort((t, g))
+                t, ids, g = t[order], ids[order], g[order]
+                rows += [(k, t[s:e].tobytes(), ids[s:e].tobytes()) for k, s, e in _grouped(g)]
+            held.clear()
+            about.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
                                                pa.array([r[2] for r in rows], pa.binary())], names=["g", "t", "ids"])
 
@@ -266,14 +295,17 @@ def postings(docs: DataFrame, orders, total: int) -> DataFrame:
                 if len(shingles):
                     ((first, weight),) = own.prefixes(shingles, range(1))
                     held.append((first, weight, i))
+                    about.append((i, len(shingles), bitmap(shingles)))
                     size += len(first)
             if size > FLUSH_SHINGLES // 4:
                 yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
+                size = 0
+        yield flush()
 
     def meet(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] <= bitmap_groups:
+            facts = np.array([np.frombuffer(b, np.int64) for b in pdf["ids"]])
+            return pd.DataFrame({"t": pd.Series([None] * len(facts), dtype="Int64"), "id": facts[:, 0], "n": facts[:, 1], "bits": pdf["t"].to_numpy()})
         t = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["t"]]).astype(np.int64)
         ids = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["ids"]])
         if key[0] >= 0:
@@ -282,13 +314,16 @@ def postings(docs: DataFrame, orders, total: int) -> DataFrame:
             same = t[1:] == t[:-1]
             keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
             t, ids = t[keep], ids[keep]
-        return pd.DataFrame({"t": t, "id": ids})
+        none = pd.Series([None] * len(t), dtype="object")
+        return pd.DataFrame({"t": t, "id": ids, "n": none.astype("Int64"), "bits": none})
 
-    return _shingled(docs, send, "g long, t binary, ids binary").groupBy("g").applyInPandas(meet, "t long, id long")
+    found = written(_shingled(docs, send, "g long, t binary, ids binary").groupBy("g").applyInPandas(
+        meet, "t long, id long, n long, bits binary"))
+    return found.where("t is not null").select("t", "id"), found.where("t is null").select("id", "n", "bits")
 
 
-def signatures(docs: DataFrame, orders) -> DataFrame:
-    """(id, n, bits, more, shingles): bitmap, prefixes of the further orders as 32-bit hashes, and the whole set."""
+def full_sets(docs: DataFrame, pairs: DataFrame, orders) -> DataFrame:
+    """(id, more, shingles) of the documents in ``pairs``: prefixes of the further orders as 32-bit hashes, and the set."""
 
     def run(shingler, batches):
         own = orders.value
@@ -298,87 +333,103 @@ def signatures(docs: DataFrame, orders) -> DataFrame:
                 s = shingler(text)
                 if len(s):
                     more = [(p & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for p, _ in own.prefixes(s, range(1, ORDERS))]
-                    rows.append((i, len(s), bitmap(s).tobytes(), more, s.tobytes()))
+                    rows.append((i, more, s.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()),
-                 pa.array([r[3] for r in rows], pa.list_(pa.binary())), pa.array([r[4] for r in rows], pa.binary())],
-                names=["id", "n", "bits", "more", "shingles"])
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.binary())),
+                 pa.array([r[2] for r in rows], pa.binary())], names=["id", "more", "shingles"])
+
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    return written(_shingled(keep_ids(docs, ids, "id", "left_semi"), run, "id long, more array<binary>, shingles binary"))
+
 
-    return _shingled(docs, run, "id long, n long, bits binary, more array<binary>, shingles binary")
+class Member(NamedTuple):
+    """A member of a posting list; ``comp`` and ``side`` are 0 in the first round."""
 
+    n: int
+    id: int
+    bits: int
+    n_bytes: int
+    comp: int
+    side: int
 
-def _lists(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Posting lists from a partition sorted by ``keys``; only one list is held beyond its batch."""
-    held: list[pd.DataFrame] = []
+
+def _lists(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[Member]]]:
+    """(keys, members) of the posting lists of a partition sorted by its first ``n_keys`` columns."""
+    last, held = None, []
     for batch in batches:
-        if not len(batch):
-            continue
-        new = np.flatnonzero((batch[keys] != batch[keys].shift()).any(axis=1).to_numpy())
-        new = new[new > 0]
-        if held and tuple(held[-1][keys].iloc[-1]) != tuple(batch[keys].iloc[0]):
-            yield pd.concat(held)
-            held = []
-        start = 0
-        for at in new.tolist():
-            yield pd.concat([*held, batch.iloc[start:at]]) if held else batch.iloc[start:at]
-            held, start = [], at
-        held.append(batch.iloc[start:])
-    if held:
-        yield pd.concat(held)
-
-
-def _passing(n: np.ndarray, bits: dict[int, tuple[np.ndarray, np.ndarray]], n_p: int, bits_p: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which members (a mask) may link with the one of size ``n_p`` and bitmap ``bits_p``."""
-    out = np.zeros(len(n), bool)
-    for width, (rows, maps) in bits.items():
-        ok = among[rows] & may_link(n_p, n[rows], np.abs(n[rows] - n_p))
-        if ok.any():
-            size = min(width, len(bits_p))
-            a, b = fold(maps[ok], size), fold(bits_p[None, :], size)
-            own = rows[ok]
-            out[own] = may_link(n_p, n[own], np.bitwise_count(a ^ b).sum(1, dtype=np.int64))
-    return out
-
-
-def candidates(lists: DataFrame, keys: list[str], every: bool) -> DataFrame:
-    """(a, b), a < b, of posting lists (t, part..., id, n, bits[, comp, side]).
-
-    ``every``: all pairs whose components differ, between the sides of a pair of parts; else pairs with ``PIVOTS`` members."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _lists(batches, keys):
-            if len(rows) < 2:
-                continue
-            ids, n = rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-            comp = rows["comp"].to_numpy(np.int64) if every else None
-            side = rows["side"].to_numpy(np.int64) if every else None
-            maps = [np.frombuffer(b, np.uint8) for b in rows["bits"]]
-            width = np.array([len(m) for m in maps])
-            bits = {int(w): (at := np.flatnonzero(width == w), np.stack([maps[i] for i in at])) for w in np.unique(width)}
-            if every or len(ids) <= PIVOTS + 1:
-                pivots = range(len(ids))
-            else:
-                spread = mix64(ids.astype(np.uint64) ^ np.uint64(int(rows["t"].iloc[0])), 5)
-                pivots = np.argpartition(spread, PIVOTS)[:PIVOTS].tolist()
-            a, b = [], []
-            for p in pivots:
-                among = ids != ids[p]
-                if every:
-                    if side[p] == 2:  # the second part meets the first one only, from the first one's side
-                        continue
-                    among &= (comp != comp[p]) & ((side == 2) if side[p] == 1 else (ids > ids[p]))
-                hit = ids[_passing(n, bits, int(n[p]), maps[p], among)]
-                a.append(np.minimum(hit, ids[p]))
-                b.append(np.maximum(hit, ids[p]))
-            if a and sum(map(len, a)):
-                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
-
-    return lists.mapInPandas(run, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+        for row in zip(*columns):
+            key = row[:n_keys]
+            if key != last:
+                if len(held) > 1:
+                    yield last, held
+                last, held = key, []
+            i, n, bits, *more = row[n_keys:]
+            held.append(Member(n, i, int.from_bytes(bits, "big"), len(bits), *(more or (0, 0))))
+    if len(held) > 1:
+        yield last, held
+
+
+def _near(p: Member, among: list[Member], percent: int = PERCENT) -> Iterator[int]:
+    """Ids of those that may link with ``p``, by set sizes and bitmaps."""
+    for m in among:
+        if may_link(p.n, m.n, abs(p.n - m.n), percent) and may_link(p.n, m.n, distance(p.bits, p.n_bytes, m.bits, m.n_bytes), percent):
+            yield m.id
+
+
+def _pivot_pairs(t: int, members: list[Member]) -> Iterator[tuple[int, int]]:
+    """Pairs of ``PIVOTS`` members, picked by a hash of list and id, with all members."""
+    if len(members) > PIVOTS + 1:
+        order = mix64(np.array([m.id for m in members], np.int64).astype(np.uint64) ^ np.uint64(t), 5)
+        pivots = [members[i] for i in np.argpartition(order, PIVOTS)[:PIVOTS].tolist()]
+    else:
+        pivots = members
+    for p in pivots:
+        for i in _near(p, members):
+            if i != p.id:
+                yield min(p.id, i), max(p.id, i)
+
+
+def _open_pairs(members: list[Member]) -> Iterator[tuple[int, int]]:
+    """Pairs of members in different components: within a part (side 0), or of the first part (1) with the second (2).
+    Members are tried by rising set size, so a member meets only those within the size bound."""
+    second = sorted(m for m in members if m.side == 2)
+    first = sorted(m for m in members if m.side != 2)
+    for at, p in enumerate(first):
+        for m in second if p.side == 1 else first[at + 1:]:
+            if p.side != 1 and 100 * p.n < PERCENT * m.n:
+                break
+            if m.comp != p.comp and m.id != p.id:
+                for i in _near(p, [m]):
+                    yield min(p.id, i), max(p.id, i)
+
+
+def candidates(lists: DataFrame, n_keys: int, every: bool) -> DataFrame:
+    """(a, b), a < b, of posting lists (t, part..., id, n, bits[, comp, side]) in partitions sorted by the first
+    ``n_keys`` columns; ``every``: all pairs whose components differ, else pairs with pivots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+
+        def flush() -> pa.RecordBatch:
+            rows = sorted(seen)
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for key, members in _lists(batches, n_keys):
+            for pair in _open_pairs(members) if every else _pivot_pairs(key[0], members):
+                seen.add(pair)
+                if len(seen) >= FLUSH_PAIRS:
+                    yield flush()
+        yield flush()
+
+    return lists.mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, orders) -> DataFrame:
     """The pairs that pass every further order's prefixes and whose sets link."""
-    own = sets.select("id", "more", "shingles")
+    pairs = written(pairs)
+    own = full_sets(docs, pairs, orders)
     left = own.select(F.col("id").alias("a"), F.col("more").alias("ma"), F.col("shingles").alias("sa"))
     right = own.select(F.col("id").alias("b"), F.col("more").alias("mb"), F.col("shingles").alias("sb"))
 
@@ -420,7 +471,8 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     spark = df.sparkSession
     small_batches(spark)
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = written(set_table(docs))
+    sets, heavy = survey(docs)
+    orders = spark.sparkContext.broadcast(heavy)
     full = sets.where(F.col("id").isNotNull() & (F.col("n") > 0))
 
     # classes of equal sets: only the smallest id of each goes on
@@ -433,9 +485,8 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     leaders = keep_ids(docs, per_id.where(~F.col("stays")), "id", "left_anti")
 
     total = full.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    orders = spark.sparkContext.broadcast(count_shingles(docs, total))
-    posted = written(postings(leaders, orders, total).distinct())
-    signed = written(signatures(keep_ids(leaders, posted, "id", "left_semi"), orders))
+    posted, about = postings(leaders, orders, total)
+    posted = written(posted.distinct())
 
     # lists in parts of about LIST_ROWS members
     hot = written(posted.groupBy("t").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LIST_ROWS)
@@ -443,12 +494,12 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     side = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     parts = F.coalesce("parts", F.lit(1))
     listed = posted.join(side, "t", "left").select("t", "id", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
-    with_bits = listed.join(signed.select("id", "n", "bits"), "id")
+    with_bits = listed.join(about, "id")
     size = posted.count()
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 16)
 
-    lists = with_bits.repartition(spread, "t", "part").sortWithinPartitions("t", "part")
-    first = written(verified(candidates(lists, ["t", "part"], False), signed))
+    lists = with_bits.select("t", "part", "id", "n", "bits").repartition(spread, "t", "part").sortWithinPartitions("t", "part")
+    first = written(verified(candidates(lists, 2, False), leaders, orders))
     linked = components(first)
 
     # second round: every pair of a list across components
@@ -458,8 +509,9 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     paired = open_.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "t", "id", "n", "bits", "comp", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"))
-    lists = paired.repartition(spread, "t", "p", "q").sortWithinPartitions("t", "p", "q")
-    again = written(verified(candidates(lists, ["t", "p", "q"], True), signed))
+    lists = paired.select("t", "p", "q", "id", "n", "bits", "comp", "side") \
+        .repartition(spread, "t", "p", "q").sortWithinPartitions("t", "p", "q")
+    again = written(verified(candidates(lists, 3, True), leaders, orders))
 
     same_id = placed.join(per_id.select("id", "low"), "id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
     every = linked.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(again).unionByName(same_id)
