@@ -9,9 +9,13 @@ Labelled rows teach three things, all on a bounded sample (``TRAIN_ROWS`` per la
   largest weight of every term in every block;
 * the calibration: isotonic regression of the labels on leave-one-out votes.
 
+A label of more than ``TRAIN_ROWS`` rows is sampled, so an example counts as many rows as it stands for: all rows of its
+label / sampled ones (1 below the cap).  Votes, calibration, overall rate and idf use these weights, so scores
+follow the labels' real shares at every size.  Only the choice of terms, a test on the sample, uses plain counts.
+
 A text's neighbours are the ``K`` examples of the highest cosine: the blocks of the highest upper bounds (the text's
 weights times the block maxima) are opened first, and then every block whose bound reaches the K-th cosine so far, so
-neighbours are exact.  They vote with weight 1 / (distance + ``SOFTEN``); the calibrated vote is the score, the
+neighbours are exact.  They vote with the weight of their label / (distance + ``SOFTEN``); the calibrated vote is the score, the
 neighbours are the evidence.  A text without any term of the vocabulary has no neighbours and gets the rate of such
 examples.
 
@@ -140,21 +144,22 @@ class BlockMaxIndex:
         return near[best], exact[best], len(order[:FIRST_BLOCKS]) + len(rest)
 
 
-def vote(cosines: np.ndarray, labels: np.ndarray) -> float:
-    w = 1.0 / (1.0 - np.minimum(cosines, 1.0) + SOFTEN)
+def vote(cosines: np.ndarray, labels: np.ndarray, stands_for: np.ndarray) -> float:
+    w = stands_for / (1.0 - np.minimum(cosines, 1.0) + SOFTEN)
     return float((w * labels).sum() / w.sum())
 
 
-def isotonic(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: (least vote, calibrated rate) of each level, rising."""
+def isotonic(votes: np.ndarray, labels: np.ndarray, prior: float, stands_for: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators: (least vote, calibrated rate) of each level, rising.  An example counts ``stands_for`` rows."""
+    stands_for = np.ones(len(votes)) if stands_for is None else stands_for
     order = np.argsort(votes, kind="stable")
     levels: list[list[float]] = []  # [least vote, sum, n]
-    for v, y in zip(votes[order].tolist(), labels[order].tolist()):
+    for v, y, w in zip(votes[order].tolist(), labels[order].tolist(), stands_for[order].tolist()):
         if levels and levels[-1][0] == v:
-            levels[-1][1] += y
-            levels[-1][2] += 1
+            levels[-1][1] += y * w
+            levels[-1][2] += w
         else:
-            levels.append([v, y, 1])
+            levels.append([v, y * w, w])
         while len(levels) > 1 and levels[-2][1] * levels[-1][2] >= levels[-1][1] * levels[-2][2]:
             _, y2, n2 = levels.pop()
             levels[-1][1] += y2
@@ -166,24 +171,28 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.nd
 class Model:
     """Vocabulary, index and calibration; plain arrays, so that it may be broadcast."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple], without: tuple[int, int], prior: float):
-        """``examples``: (id, label, terms, weights); ``without``: (toxic, all) examples without a term."""
+    def __init__(self, idf: dict[str, float], examples: list[tuple], without: tuple[float, float], prior: float,
+                 stands_for: tuple[float, float] = (1.0, 1.0)):
+        """``examples``: (id, label, terms, weights); ``without``: (toxic, all) rows that the examples without a term
+        stand for; ``stands_for``: rows that an example of label 0 and of label 1 stands for."""
         # neighbours of one strongest term share blocks, which keeps the block maxima tight
         examples = sorted(examples, key=lambda x: (int(x[2][int(np.argmax(x[3]))]), str(x[0])))
         self.idf, self.prior = idf, prior
         self.ids = [str(x[0]) for x in examples]
         self.labels = np.array([x[1] for x in examples], np.float64)
+        self.stands_for = np.where(self.labels > 0, stands_for[1], stands_for[0])
         self.vectors = [(np.asarray(x[2], np.int64), np.asarray(x[3], np.float64)) for x in examples]
         self.index = BlockMaxIndex(len(idf), self.vectors)
         toxic, n = without
         self.rate_without = (toxic + PRIOR_WEIGHT * prior) / (n + PRIOR_WEIGHT)
         votes = [self._vote(*v, leave=i)[0] for i, v in enumerate(self.vectors)]
         seen = np.array([v is not None for v in votes], bool)
-        self.from_vote, self.rate = isotonic(np.array([v for v in votes if v is not None], np.float64), self.labels[seen], prior)
+        self.from_vote, self.rate = isotonic(np.array([v for v in votes if v is not None], np.float64), self.labels[seen], prior,
+                                             self.stands_for[seen])
 
     def _vote(self, terms: np.ndarray, weights: np.ndarray, leave: int = -1) -> tuple[float | None, np.ndarray, np.ndarray]:
         near, cos, _ = self.index.nearest(terms, weights, K, leave)
-        return (vote(cos, self.labels[near]) if len(near) else None), near, cos
+        return (vote(cos, self.labels[near], self.stands_for[near]) if len(near) else None), near, cos
 
     def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, str]:
         """(score, evidence "id:label:cosine,...")."""
@@ -196,26 +205,32 @@ class Model:
         return float(self.rate[level]), ",".join(f"{self.ids[i]}:{int(self.labels[i])}:{c:.3f}" for i, c in zip(near, cos))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> DataFrame:
-    """(id, y, text) of about ``per_label`` labelled rows of each label that aren't held out; ids picked by hash."""
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
+                  per_label: int) -> tuple[DataFrame, tuple[float, float]]:
+    """(id, y, text) of about ``per_label`` labelled rows of each label that aren't held out, ids picked by hash; and how
+    many labelled ids a picked one of label 0 and of label 1 stands for."""
     ids = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))) \
         .groupBy(F.col(key).alias("_id")).agg((F.max(label) > 0).cast("int").alias("_y"))
     n = {r["_y"]: r["count"] for r in ids.groupBy("_y").count().collect()}
     rate = F.when(F.col("_y") == 1, min(1.0, per_label / max(n.get(1, 0), 1))).otherwise(min(1.0, per_label / max(n.get(0, 0), 1)))
     u = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = ids.where(u < rate)
-    return docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
+    chosen = written(ids.where(u < rate))  # bounded by the sample
+    picked = {r["_y"]: r["count"] for r in chosen.groupBy("_y").count().collect()}
+    stands_for = tuple(n.get(y, 0) / picked[y] if picked.get(y) else 1.0 for y in (0, 1))
+    return docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id"), stands_for
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         per_label: int = TRAIN_ROWS) -> Model:
     small_batches(docs.sparkSession)
-    rows = written(training_rows(docs, labels, key, text, label, per_label))
+    rows, stands_for = training_rows(docs, labels, key, text, label, per_label)
+    rows = written(rows)
     size = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     toxic, n = size.get(1, 0), sum(size.values())
-    prior = toxic / n if n else 0.0
+    clean_rows, toxic_rows = (n - toxic) * stands_for[0], toxic * stands_for[1]
+    prior = toxic_rows / (clean_rows + toxic_rows) if n else 0.0
     if toxic in (0, n):
-        return Model({}, [], (toxic, n), prior)
+        return Model({}, [], (toxic_rows, clean_rows + toxic_rows), prior)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, list[int]] = {}
@@ -244,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     odds = (a + 0.5) * (F.lit(n - toxic) - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (F.lit(toxic) - a + 0.5))
     tells = (F.col("g2") >= LEAST_G2) & ((odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS))
     kept = terms.withColumn("g2", g2).where(tells).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
-    idf = {r["term"]: math.log((n + 1) / (r["a"] + r["b"] + 1)) + 1 for r in kept}
+    idf = {r["term"]: math.log((clean_rows + toxic_rows + 1) / (r["a"] * stands_for[1] + r["b"] * stands_for[0] + 1)) + 1 for r in kept}
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Vectorizer(idf)
@@ -256,7 +271,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     made = rows.mapInPandas(vectors, "_id string, _y int, terms array<long>, weights array<double>")
     full = made.where(F.size("terms") > 0).collect()  # bounded by the sample
     examples = [(r["_id"], r["_y"], r["terms"], r["weights"]) for r in full]
-    return Model(idf, examples, (toxic - sum(r["_y"] for r in full), n - len(full)), prior)
+    toxic_without = (toxic - sum(r["_y"] for r in full)) * stands_for[1]
+    clean_without = (n - toxic - sum(1 - r["_y"] for r in full)) * stands_for[0]
+    return Model(idf, examples, (toxic_without, toxic_without + clean_without), prior, stands_for)
 
 
 _MODELS: dict[str, tuple[Model, Vectorizer]] = {}

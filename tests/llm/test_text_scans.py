@@ -308,3 +308,26 @@ def test_calibration_rises():
     votes, labels = np.array([0.1, 0.2, 0.2, 0.6, 0.7, 0.9]), np.array([0, 1, 0, 0, 1, 1])
     at, rate = toxicity.isotonic(votes, labels, 0.3)
     assert (np.diff(rate) >= 0).all() and (np.diff(at) > 0).all() and rate[-1] > 0.6 > rate[0]
+
+
+def test_toxicity_scores_follow_the_real_shares_beyond_the_cap(spark):
+    """Clean rows beyond the cap are doubled: scores stay the rates among all rows, not those of the capped sample."""
+    def tables(n_clean):
+        # of the rows with a mark, clean ones grow with ``n_clean``; "odd" rows have no telling word at all
+        rows = [(i, "vile vile stuff" if i % 10 < 8 else "odd", 1) for i in range(900)]
+        rows += [(1000 + i, "kind stuff" if i % 10 < 7 else "odd" if i % 10 < 9 else "vile stuff", 0) for i in range(n_clean)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        return df.select("doc_id", "text"), df.select("doc_id", "toxic"), rows
+
+    for n_clean in (6000, 12000):
+        docs, labels, rows = tables(n_clean)
+        taught = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+        rate = lambda word: (lambda y: sum(y) / len(y))([r[2] for r in taught if word in r[1]])
+        model = toxicity.fit(docs, labels, per_label=300)
+        assert len(model.ids) < 700  # both labels are sampled
+        assert model.prior == pytest.approx(rate(""), abs=1e-9)
+        whole = toxicity.fit(docs, labels, per_label=10 ** 6)
+        for text in ("vile vile stuff", "kind stuff", "odd"):
+            got, want = (m.score(*toxicity.Vectorizer(m.idf).vector(text))[0] for m in (model, whole))
+            assert got == pytest.approx(want, abs=0.1)  # noise of a sample of 300
+        assert model.rate_without == pytest.approx(rate("odd"), abs=0.1)
