@@ -2,8 +2,8 @@ r"""License scan: ordered signature rules behind a keyword prefilter.
 
 A text is lower-cased (A-Z only) and cut into words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` (ASCII letters and digits,
 and every character from U+0080); the rules read the words joined by single spaces, so a rule's span is a range
-of words.  Every rule is ``(label, priority, confidence, keyword, regex)``; a rule is tried only where its keyword
-occurs.  Detections that lie inside another one of a higher priority, or of the same priority and more words, are
+of words.  Every rule is ``(label, priority, confidence, keywords, regex)``; a rule is tried only where one of its
+keywords occurs, and every match of its regex holds one of them.  Detections that lie inside another one of a higher priority, or of the same priority and more words, are
 suppressed.  The three base phrases are rules of the top priority and are never suppressed.
 
 The rules come from ``FAMILIES`` (how a license is named) and ``FRAMES`` (the wording around a name): every pair
@@ -126,30 +126,31 @@ class Rule(NamedTuple):
     label: str
     priority: int
     confidence: float
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     regex: re.Pattern
 
 
 BASE_PRIORITY = 9
 
 
-def _rule(label: str, priority: int, confidence: float, keyword: bytes, pattern: str) -> Rule:
-    return Rule(label, priority, confidence, keyword, re.compile(b"(?<= )(?:" + pattern.encode() + b")(?= )"))
+def _rule(label: str, priority: int, confidence: float, keywords: tuple[bytes, ...], pattern: str) -> Rule:
+    return Rule(label, priority, confidence, keywords, re.compile(b"(?<= )(?:" + pattern.encode() + b")(?= )"))
 
 
 def rules() -> list[Rule]:
-    """All rules, highest priority first; the keyword of a framed rule is the fixed word of its frame."""
-    keyword = {"identifier": b" spdx ", "grant": b" under ", "terms": b" licen", "name": b" licen", "heading": b" licen"}
-    out = [_rule(label, p, c, keyword[frame], text.replace("NAME", name))
+    """All rules, highest priority first; the keywords of a framed rule are the fixed words of its frame."""
+    keywords = {"identifier": (b" spdx ",), "grant": (b" under ", b" according to "), "terms": (b" licen",),
+                "name": (b" licen",), "heading": (b" licen",)}
+    out = [_rule(label, p, c, keywords[frame], text.replace("NAME", name))
            for label, name in FAMILIES for frame, p, c, text in FRAMES]
-    out += [_rule(*n) for n in NOTICES]
+    out += [_rule(label, p, c, (keyword,), text) for label, p, c, keyword, text in NOTICES]
     return sorted(out, key=lambda r: -r.priority)
 
 
 _RULES = rules()
 #: A name's own fixed start, tried before its frame: the second gate.
 _NAMES = {label: re.compile(b"(?<= )(?:" + name.encode() + b")(?= )") for label, name in FAMILIES}
-_KEYWORDS = tuple({r.keyword for r in _RULES})
+_KEYWORDS = tuple({k for r in _RULES for k in r.keywords})
 #: ASCII: letters to lower case, digits kept, the rest to spaces; bytes of later characters are kept.
 _WORDS = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -191,9 +192,9 @@ def detections(line: bytes) -> list[Detection]:
     named: dict[str, bool] = {}
     found = list(base)
     for rule in _RULES:
-        if rule.keyword not in here:
+        if here.isdisjoint(rule.keywords):
             continue
-        if rule.label in _NAMES and rule.keyword[:1] == b" ":
+        if rule.label in _NAMES and rule.keywords[0][:1] == b" ":
             if rule.label not in named:
                 named[rule.label] = _NAMES[rule.label].search(line) is not None
             if not named[rule.label]:

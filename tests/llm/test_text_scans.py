@@ -243,6 +243,57 @@ def test_license_rules_and_suppression():
     assert licenses.suppress([inner, licenses.Detection("y", 1, 4, 1, 0.5)]) == [licenses.Detection("y", 1, 4, 1, 0.5), inner]
 
 
+def drawn(pattern, rng):
+    """A string that the regex matches, its alternatives and repeats drawn at random."""
+    parser, out = re._parser, []
+
+    def walk(items):
+        for op, arg in items:
+            op = str(op)
+            if op == "LITERAL":
+                out.append(chr(arg))
+            elif op == "IN":
+                kind, value = rng.choice(arg)
+                out.append(chr(value) if str(kind) == "LITERAL" else rng.choice("0123456789"))
+            elif op == "MAX_REPEAT":
+                for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))):
+                    walk(arg[2])
+            elif op == "SUBPATTERN":
+                walk(arg[3])
+            else:
+                assert op == "BRANCH", op
+                walk(rng.choice(arg[1]))
+
+    walk(parser.parse(pattern))
+    return "".join(out)
+
+
+def ungated(line):
+    found = licenses.base_places(line)
+    for rule in licenses.rules():
+        for m in rule.regex.finditer(line):
+            start = line.count(b" ", 0, m.start()) - 1
+            found.append(licenses.Detection(rule.label, start, start + m.group().count(b" ") + 1, rule.priority, rule.confidence))
+    return licenses.suppress(found)
+
+
+def test_license_gates_lose_no_detection(monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    own = licenses.rules()
+    monkeypatch.setattr(licenses, "rules", lambda: own)
+    assert [d.label for d in licenses.scan_text("This program is distributed according to the terms of the GPL version 2")[1]] == ["gpl-2"]
+    patterns = [text.replace("NAME", name) for _, name in licenses.FAMILIES for *_, text in licenses.FRAMES]
+    patterns += [n[-1] for n in licenses.NOTICES]
+    for pattern in patterns:
+        for _ in range(6):
+            text = drawn(pattern, rng)
+            assert re.fullmatch(pattern, text)
+            line = f" a {text} b ".encode()
+            assert licenses.detections(line) == ungated(line) != [], text
+
+
 def test_license_edges(spark):
     docs = with_clashes(edge_documents(spark), ["_key", "labels", "score"])
     got = licenses.scan_licenses(docs).collect()
