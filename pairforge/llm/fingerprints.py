@@ -16,14 +16,23 @@ text once more.
 The lexicon is broadcast: a term needs ``BAND[0]`` of all documents, so it has at most (mean number of terms of a
 document) / ``BAND[0]`` terms whatever the number of documents; beyond ``BROADCAST_ROWS`` it is joined by a shuffle.
 
-Rows: a null text is an empty text.  A text without a lexicon term has the hash of all its terms as fingerprint
-(alike only to equal ones).  Rows that repeat an (id, text) pair stand at one place in the order and get equal
+The band counts copies, so what the members of a large group of (near) copies share is above it, and what a small
+language holds may be below.  A text is weak if its lexicon terms reach fewer than ``LEAST_SHARE`` of the subsets that
+all its terms reach: its fingerprint is ``x:`` and the same subsets over all its terms, whatever their frequency
+(a short text, of fewer than ``LEAST_OWN`` subsets, keeps the fingerprint of its lexicon terms if it has any).
+``near_edited`` and ``near_next`` compare by all terms on both sides as soon as one side is weak; of fingerprints
+alone (``likeness``), one with ``x:`` is only alike to others with it.
+
+Rows: a null text is an empty text.  A text without terms has ``x:`` and a constant as fingerprint (alike only to
+equal ones).  Rows that repeat an (id, text) pair stand at one place in the order and get equal
 results; rows of one id with different texts are ordered by the texts' hashes; a null id comes last.  A
 table of one document is followed by itself.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +44,8 @@ K = 32
 #: A subset holds between this many and twice as many terms of a text, on average, before the band is applied.
 TERMS_PER_SUBSET = 1.5
 HASH_DIGITS = 6
+LEAST_SHARE = 0.25
+LEAST_OWN = 16
 KEYS = ["ik", "th"]
 
 
@@ -68,23 +79,52 @@ def term_hash(term: Column) -> Column:
     return F.xxhash64(F.lit("lexicon"), term)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the share of equal subset hashes at the scales that both fingerprints have; 1 for equal fingerprints."""
-    pa, pb = F.split(a, ":"), F.split(b, ":")
-    sa, sb = pa[0].try_cast("int"), pb[0].try_cast("int")
+def _mark(k: Column, cut: Column) -> Column:
+    """Subset and ``HASH_DIGITS`` digits of its terms' hash in one integer; null for a subset without terms."""
+    bits = 4 * HASH_DIGITS
+    low = F.xxhash64(cut).bitwiseAND(F.lit((1 << bits) - 1))
+    return F.when(k.isNotNull() & (F.size(cut) > 0), (F.shiftleft(k.cast("long"), bits) + low).cast("int"))
+
+
+def _mark_texts(marks: Column) -> Column:
+    bits = 4 * HASH_DIGITS
+    return F.array_join(F.transform(marks, lambda m: F.concat_ws(".", F.shiftright(m, bits), F.lpad(
+        F.hex(m.bitwiseAND(F.lit((1 << bits) - 1))), HASH_DIGITS, "0"))), ",")
+
+
+def _likeness(a: tuple[Column, ...], b: tuple[Column, ...], subset: Callable[[Column], Column]) -> Column:
+    """Share of equal subset hashes of two (scale, hashes at it, hashes at the next), at the scales that both have."""
+    (sa, a0, a1), (sb, b0, b1) = a, b
 
     def alike(x: Column, y: Column) -> Column:
-        x, y = (F.array_remove(F.split(z, ","), "") for z in (x, y))
-        subsets = lambda z: F.transform(z, lambda t: F.substring_index(t, ".", 1))
+        subsets = lambda z: F.transform(z, subset)
         used = F.size(F.array_union(subsets(x), subsets(y)))
         return F.when(used == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(x, y)) / used)
 
-    return F.when(a == b, F.lit(1.0)) \
-        .when(sa == sb, F.greatest(alike(pa[1], pb[1]), alike(pa[2], pb[2]))) \
-        .when(sa == sb - 1, alike(pa[2], pb[1])).when(sa == sb + 1, alike(pa[1], pb[2])) \
+    return F.when(sa == sb, F.greatest(alike(a0, b0), alike(a1, b1))) \
+        .when(sa == sb - 1, alike(a1, b0)).when(sa == sb + 1, alike(a0, b1)).otherwise(F.lit(0.0))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1: the share of equal subset hashes at the scales that both fingerprints have; 1 for equal fingerprints."""
+    def parts(x: Column) -> tuple[Column, ...]:
+        p = F.split(F.regexp_replace(x, "^x:", ""), ":")
+        cut = lambda i: F.array_remove(F.split(F.get(p, F.lit(i)), ","), "")
+        return F.when(F.size(p) == 3, F.get(p, F.lit(0)).try_cast("int")), cut(1), cut(2)
+
+    same_kind = a.startswith("x:") == b.startswith("x:")
+    return F.when(a == b, F.lit(1.0)).when(same_kind, _likeness(parts(a), parts(b), lambda t: F.substring_index(t, ".", 1))) \
         .otherwise(F.lit(0.0))
 
 
+def text_likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """``likeness`` of two texts, each (fingerprint, own): by all terms as soon as one of them is weak."""
+    (fa, x), (fb, y) = a, b
+    marks = lambda o: (o["scale"], o["own0"], o["own1"])
+    return F.when(x["weak"] | y["weak"], _likeness(marks(x), marks(y), lambda m: F.shiftright(m, 4 * HASH_DIGITS))) \
+        .otherwise(likeness(fa, fb))
+
+
 def succession(keys: DataFrame) -> DataFrame:
     """Distinct (id, ik, th) rows in descending id order -> + (next_ik, next_th), the last followed by the first.
 
@@ -123,7 +163,8 @@ def edit_with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def both_fingerprints(edited: DataFrame, lex: DataFrame) -> DataFrame:
-    """(ik, th, text, edited) -> (ik, th, edited_sha256, fingerprint, edited_fingerprint).
+    """(ik, th, text, edited) -> (ik, th, edited_sha256, fingerprint, edited_fingerprint, near_edited, own): ``own`` is
+    the text's subset hashes over all its terms.
 
     Only terms of a text's own subsets are looked up in the lexicon, some ``2 * K * TERMS_PER_SUBSET`` of a text however
     long it is.  All groupings are by the key that the rows are partitioned by already."""
@@ -133,26 +174,34 @@ def both_fingerprints(edited: DataFrame, lex: DataFrame) -> DataFrame:
         *KEYS, "of", "terms", scale_of(F.size("terms")).alias("scale"), F.xxhash64(F.sort_array("terms")).alias("whole"),
         F.when(F.col("of") == 1, F.sha2(F.col("body").cast("binary"), 256)).alias("sha"))
     own = F.filter("terms", lambda t: in_cut(term_hash(t), F.col("scale")))
-    # the empty term is always known: it keeps every text, and carries what belongs to the whole text
+    # the empty term keeps every text, and carries what belongs to the whole text
     none = F.lit(None)
     head = F.struct(F.lit("").alias("term"), F.col("whole").alias("whole"), F.col("sha").alias("sha"))
     rest = F.transform(own, lambda t: F.struct(t.alias("term"), none.cast("long").alias("whole"), none.cast("string").alias("sha")))
     rows = counted.select(*KEYS, "of", "scale", F.explode(F.concat(F.array(head), rest)).alias("t")).select(*KEYS, "of", "scale", "t.*")
-    known = rows.join(lex, "term")
-    subsets = known.groupBy(*KEYS, "of", "scale", F.pmod("h", F.lit(K)).alias("k")).agg(
-        F.sort_array(F.collect_list("h")).alias("cut0"),
-        F.sort_array(F.collect_list(F.when(in_cut(F.col("h"), F.col("scale") + 1), F.col("h")))).alias("cut1"),
+    known = rows.join(lex, "term", "left").withColumn("g", F.when(F.col("term") != "", term_hash(F.col("term"))))
+    next_cut = lambda h: F.when(in_cut(F.col(h), F.col("scale") + 1), F.col(h))
+    subsets = known.groupBy(*KEYS, "of", "scale", F.pmod("g", F.lit(K)).alias("k")).agg(
+        F.sort_array(F.collect_list("h")).alias("cut0"), F.sort_array(F.collect_list(next_cut("h"))).alias("cut1"),
+        F.sort_array(F.collect_list("g")).alias("own0"), F.sort_array(F.collect_list(next_cut("g"))).alias("own1"),
         F.max("whole").alias("whole"), F.max("sha").alias("sha"))
     part = lambda c: F.when(F.col("k").isNotNull() & (F.size(c) > 0), F.concat_ws(".", "k", _hash_text(F.xxhash64(c))))
-    marks = subsets.select(*KEYS, "of", "scale", "whole", "sha", part("cut0").alias("cut0"), part("cut1").alias("cut1"))
+    marks = subsets.select(*KEYS, "of", "scale", "whole", "sha", *[part(c).alias(c) for c in ("cut0", "cut1")],
+                           *[_mark(F.col("k"), F.col(c)).alias(c) for c in ("own0", "own1")])
     texts = marks.groupBy(*KEYS, "of", "scale").agg(
-        F.sort_array(F.collect_list("cut0")).alias("cut0"), F.sort_array(F.collect_list("cut1")).alias("cut1"),
-        F.max("whole").alias("whole"), F.max("sha").alias("sha"))
-    made = F.when(F.size("cut0") == 0, F.concat(F.lit("x:"), F.hex("whole"))).otherwise(
+        *[F.sort_array(F.collect_list(c)).alias(c) for c in ("cut0", "cut1", "own0", "own1")],
+        F.max("whole").alias("whole"), F.max("sha").alias("sha")) \
+        .withColumn("weak", F.size("cut0") < F.size("own0") * LEAST_SHARE)
+    made = F.when(F.size("own0") == 0, F.concat(F.lit("x:"), F.hex("whole"))).when(
+        F.col("weak") & ((F.size("cut0") == 0) | (F.size("own0") >= LEAST_OWN)), F.concat_ws(":", F.lit("x"), "scale", _mark_texts(F.col("own0")), _mark_texts(F.col("own1")))).otherwise(
         F.concat_ws(":", "scale", F.array_join("cut0", ","), F.array_join("cut1", ",")))
-    return texts.select(*KEYS, "of", "sha", made.alias("fp")).groupBy(*KEYS).agg(
-        F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("of") == 0, F.col("fp"))).alias("fingerprint"),
-        F.max(F.when(F.col("of") == 1, F.col("fp"))).alias("edited_fingerprint"))
+    own = F.struct("weak", "scale", "own0", "own1")
+    of = lambda i, c: F.max(F.when(F.col("of") == i, F.col(c)))
+    both = texts.select(*KEYS, "of", "sha", made.alias("fp"), own.alias("own")).groupBy(*KEYS).agg(
+        F.max("sha").alias("edited_sha256"), of(0, "fp").alias("fingerprint"), of(1, "fp").alias("edited_fingerprint"),
+        of(0, "own").alias("own"), of(1, "own").alias("edited_own"))
+    near = text_likeness((F.col("fingerprint"), F.col("own")), (F.col("edited_fingerprint"), F.col("edited_own")))
+    return both.withColumn("near_edited", near).drop("edited_own")
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
@@ -160,13 +209,13 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band:
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     lex = written(lexicon(docs, F.col("text"), band))
     n_lex = lex.count()
-    lex = lex.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(None).cast("long").alias("h")))
     lex = F.broadcast(lex) if n_lex <= BROADCAST_ROWS else lex.hint("shuffle_merge")
     edited, chain = edit_with_next(docs)
     made = written(both_fingerprints(edited, lex))
-    following = made.select(F.col("ik").alias("next_ik"), F.col("th").alias("next_th"), F.col("fingerprint").alias("next_fingerprint"))
+    following = made.select(F.col("ik").alias("next_ik"), F.col("th").alias("next_th"), F.col("fingerprint").alias("next_fingerprint"),
+                            F.col("own").alias("next_own"))
     out = made.join(chain.select("id", *KEYS, "n_chars", "next_ik", "next_th", "copies"), KEYS).join(following, ["next_ik", "next_th"])
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(F.col("id").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                      likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                      likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+                      "near_edited",
+                      text_likeness((F.col("fingerprint"), F.col("own")), (F.col("next_fingerprint"), F.col("next_own"))).alias("near_next"))

@@ -296,6 +296,27 @@ def test_fingerprint_edges(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1
 
 
+def test_fingerprints_of_a_large_group_of_near_copies(spark):
+    """A third of the rows are near copies, and what they share is above the band; edits are new words or words of the band."""
+    rng = random.Random(4)
+    common = [f"common{i}" for i in range(2000)]
+    base = [f"base{i}" for i in range(200)]
+    group = [*range(50), *range(52, 252, 4)]
+    rows = {i: rng.sample(common, 80) for i in range(300)}
+    for i in group:
+        rows[i] = list(base)
+        rows[i][rng.randrange(200)] = f"new{i}"
+        for at in rng.sample(range(200), 6 * (i % 2)):
+            rows[i][at] = rng.choice(common)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprints(docs).collect()}
+    assert min(got[i]["near_edited"] for i in group) > 0.1
+    assert min(got[i]["near_next"] for i in range(1, 50)) > 0.4
+    assert max(got[i]["near_next"] for i in range(51, 300)) < 0.2  # unrelated texts share a few words by chance
+    pairs = spark.createDataFrame([(got[i]["fingerprint"], got[i - 1]["fingerprint"]) for i in range(1, 50)], "a string, b string")
+    assert all(r["x"] > 0.4 for r in pairs.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).collect())
+
+
 def test_fingerprints_run_no_python(spark):
     edited, _ = fingerprints.edit_with_next(edge_documents(spark).select(F.col("doc_id").alias("id"), "text"))
     lex = fingerprints.lexicon(edge_documents(spark), F.col("text"))
