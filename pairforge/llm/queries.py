@@ -17,6 +17,7 @@ from .mixing import mix
 from .negatives import mine_negatives
 from .ngram_join import ngram_jaccard_join
 from .secrets import secret_digest
+from .substring_dedup import dedup_substrings
 from .topk import top_k
 from .toxicity import toxicity
 from .urls import url_filter
@@ -75,6 +76,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, label)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -142,5 +149,19 @@ n AS (
   FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
     AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+""",
+    "op13_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM s),
+f AS (SELECT win, min(doc_id) AS first FROM g GROUP BY win),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM g JOIN f USING (win) WHERE g.doc_id > f.first),
+r AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id),
+k AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+         CASE WHEN gone IS NULL THEN w
+              ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS kept
+  FROM d LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
 """,
 }
