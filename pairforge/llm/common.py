@@ -30,6 +30,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written_by(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """As ``written``, dealt out by a hash of ``key``.  The copy keeps that partitioning, so a later grouping by ``key`` doesn't
+    move its rows again; that takes a plan that isn't re-planned while it runs."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return written(df.repartition(max(partitions, int(conf.get("spark.sql.shuffle.partitions"))), key))
+    finally:
+        conf.set(name, before)
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 3 is 1; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1

@@ -2,11 +2,12 @@ r"""Substring dedup: windows of words that start in an earlier document are foun
 
 Words are the runs ``[^\x20\x09-\x0D]+`` of a text; a window is ``width`` consecutive words of one document.  A window
 is covered by an earlier one if its word sequence also starts in a document of a smaller id; all words of such windows
-are removed, judged on the input.  Windows are told apart by 128-bit hashes of their words.
+are removed, judged on the input.  Windows are told apart by 96-bit hashes of their words (a trillion repeated windows
+hold a pair of equal hashes with a chance of 1 in 100,000).
 
 **Chunks.**  Texts are cut into words once.  A chunk holds the word numbers of some 4 MB of text, with the chunk's own
-vocabulary, compressed; it is written to the shared folder, so its number is stable, and the two later passes read chunks
-instead of texts.
+vocabulary, compressed; chunks are dealt out by their number and written to the shared folder that way, so the numbers are
+stable, and the later passes bring the answers to the chunks without moving them again.
 
 **First pass: sketches.**  A chunk's count-min sketch has ``DEPTH`` rows of cells, ``2**CELL_BITS`` per row and block;
 the block is given by the top bits of a window's hash, and the number of blocks follows the number of windows, so the
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
@@ -44,8 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
-from .ngram_join import _grouped, mix64, pack, unpack
+from .common import small_batches, written, written_by
+from .ngram_join import _grouped, mix64
 
 WIDTH = 13
 DEPTH = 2
@@ -53,9 +55,37 @@ DEPTH = 2
 CELL_BITS = 23
 BLOCK_WINDOWS = 1 << 20
 CHUNK_BYTES = 4 << 20
-CACHE_WORDS = 500_000
-#: Kinds of messages to a chunk.
-_BODY, _CELLS, _EARLIER = 0, 1, 2
+#: Kinds of answers to a chunk.
+_CELLS, _EARLIER = 1, 2
+
+
+def narrow(values: np.ndarray, squeeze: bool = False) -> bytes:
+    """Non-negative integers byte plane by byte plane, as many planes as the largest needs.  ``squeeze`` compresses the upper
+    planes, where small numbers leave mostly zeros."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    low, high = planes[0].tobytes(), b"".join(p.tobytes() for p in planes[1:width])
+    packed = zstandard.ZstdCompressor(level=1).compress(high) if squeeze and high else high
+    short = len(packed) < len(high)
+    return bytes([width, short]) + len(values).to_bytes(4, "little") + low + (packed if short else high)
+
+
+def widen(data: bytes, start: int = 0, end: int | None = None) -> np.ndarray:
+    """The integers of ``narrow``, as int64 bits."""
+    width, short, n = data[start], data[start + 1], int.from_bytes(data[start + 2:start + 6], "little")
+    low, high = data[start + 6:start + 6 + n], data[start + 6 + n:end]
+    high = zstandard.ZstdDecompressor().decompress(high) if short else high
+    planes = np.zeros((8, n), np.uint8)
+    planes[:width] = np.frombuffer(low + high, np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(n)
+
+
+class _Numbers(dict):
+    """Word -> its number, in order of first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 class Chunk:
@@ -66,14 +96,18 @@ class Chunk:
         self.ends = np.cumsum(sizes)
 
     def packed(self) -> bytes:
-        kind = np.uint16 if len(self.vocabulary) < 1 << 16 else np.uint32
-        data = (self.ids, self.known, self.sizes, self.words.astype(kind), b" ".join(self.vocabulary))
+        """Frequent words get small numbers, and numbers are laid out byte plane by byte plane, which compresses better."""
+        counts = np.bincount(self.words, minlength=len(self.vocabulary))
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        data = (self.ids, self.known, self.sizes, narrow(rank[self.words]), b" ".join([self.vocabulary[i] for i in order.tolist()]))
         return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(data, protocol=5))
 
     @classmethod
     def read(cls, blob: bytes) -> Chunk:
         ids, known, sizes, words, vocabulary = pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
-        return cls(ids, known, sizes, words, vocabulary.split())
+        return cls(ids, known, sizes, widen(words), vocabulary.split())
 
     def starts(self, width: int) -> np.ndarray:
         """Places of the windows, of documents whose id is known."""
@@ -84,12 +118,17 @@ class Chunk:
         """Ids of the documents at these places."""
         return self.ids[np.searchsorted(self.ends, places, "right")]
 
+    @cached_property
+    def digests(self) -> np.ndarray:
+        """Two 64-bit hashes of every word of the vocabulary."""
+        return np.frombuffer(b"".join([blake2b(w, digest_size=16).digest() for w in self.vocabulary]), "<u8").reshape(-1, 2)
+
     def hashes(self, places: np.ndarray, width: int, half: int) -> np.ndarray:
-        """64 of the 128 bits of the windows at ``places``."""
-        digests = b"".join(blake2b(w, digest_size=16).digest() for w in self.vocabulary)
-        own = np.frombuffer(digests, "<u8").reshape(-1, 2)[:, half]
+        """One of two 64-bit hashes of the windows at ``places``."""
+        if not len(places):
+            return np.zeros(0, np.uint64)
         weights = mix64(np.arange(1, width + 1, dtype=np.uint64), 50 + half) | np.uint64(1)
-        word, total = own[self.words] if len(own) else np.zeros(0, np.uint64), np.full(len(places), width, np.uint64)
+        word, total = self.digests[:, half][self.words], np.full(len(places), width, np.uint64)
         for i in range(width):
             total += word[places + i] * weights[i]
         return mix64(total, half)
@@ -100,7 +139,7 @@ def chunks(df: DataFrame, key: str, text: str, width: int, chunk_bytes: int = CH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        ids, sizes, words, seen, size = [], [], [], {}, 0
+        ids, sizes, words, seen, size = [], [], [], _Numbers(), 0
 
         def flush() -> pa.RecordBatch:
             nonlocal number
@@ -120,9 +159,6 @@ def chunks(df: DataFrame, key: str, text: str, width: int, chunk_bytes: int = CH
                     yield flush()
                     size = 0
                 own = raw.split()
-                for w in set(own):
-                    if w not in seen:
-                        seen[w] = len(seen)
                 ids.append(i)
                 sizes.append(len(own))
                 words.append(np.fromiter(map(seen.__getitem__, own), np.uint32, len(own)))
@@ -168,10 +204,16 @@ def merged(sketches: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Whether each value is among the sorted known ones."""
+    """Whether each value is among the sorted known ones; most that aren't fall out by their low bits."""
     if not len(known):
         return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+    mask = (1 << max(16, min(22, len(known).bit_length() + 4))) - 1
+    table = np.zeros(mask + 1, bool)
+    table[known & mask] = True
+    out = table[values & mask]
+    at = np.flatnonzero(out)
+    out[at] = known[np.minimum(np.searchsorted(known, values[at]), len(known) - 1)] == values[at]
+    return out
 
 
 def _bits(messages: list[tuple[int, bytes]], sizes: dict[int, int]) -> np.ndarray:
@@ -194,9 +236,9 @@ class Candidates:
             sent = sketch(cells)
             sizes = {b: len(low) for b, low in blocks.split(sent)}
             often = sent[_bits([(b, bits) for r, b, bits in answers if r == row], sizes)]
-            repeated &= _among(cells, np.unique(often))
+            repeated &= _among(cells, often)
         self.places = places[repeated]
-        first, second = first[repeated], chunk.hashes(self.places, width, 1)
+        first, second = first[repeated], chunk.hashes(self.places, width, 1) >> np.uint64(32)
         documents = chunk.documents(self.places)
         order = np.lexsort((documents, second, first))
         same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
@@ -212,7 +254,10 @@ class Candidates:
     def sent(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(block, hashes, documents) messages of the entries."""
         for block, s, e in _grouped(self.block):
-            yield block, self.first[s:e].tobytes() + self.second[s:e].tobytes(), _short(self.least[s:e])
+            gaps, base = np.diff(self.first[s:e], prepend=np.uint64(0)), int(self.least[s:e].min())
+            first = narrow(gaps)
+            yield block, len(first).to_bytes(4, "little") + first + narrow(self.second[s:e]), \
+                base.to_bytes(8, "little", signed=True) + narrow(self.least[s:e] - base)
 
     def removed(self, answers: list[tuple[int, bytes]], size: int, width: int) -> np.ndarray:
         """Which of the chunk's ``size`` words go; ``answers``: (block, bits)."""
@@ -224,20 +269,19 @@ class Candidates:
         return np.cumsum(edges[:-1]) > 0
 
 
-def _short(ids: np.ndarray) -> bytes:
-    """Integers in four bytes each where they fit, else in eight."""
-    small = not len(ids) or (ids.min() >= 0 and ids.max() < 1 << 32)
-    return b"\x04" + ids.astype("<u4").tobytes() if small else b"\x08" + ids.astype("<i8").tobytes()
+def _hashes(data: bytes) -> np.ndarray:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return np.stack([np.cumsum(widen(data, 4, cut).view(np.uint64)), widen(data, cut).view(np.uint64)])
 
 
-def _long(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u4" if data[:1] == b"\x04" else "<i8", offset=1).astype(np.int64)
+def _documents(data: bytes) -> np.ndarray:
+    return widen(data, 8) + int.from_bytes(data[:8], "little", signed=True)
 
 
 def earlier_elsewhere(entries: list[tuple[bytes, bytes]]) -> list[np.ndarray]:
     """For the (hashes, documents) messages of one block, whether each window has an earlier document in another one."""
-    halves = [np.frombuffer(h, np.uint64).reshape(2, -1) for h, _ in entries]
-    documents = [_long(d) for _, d in entries]
+    halves = [_hashes(h) for h, _ in entries]
+    documents = [_documents(d) for _, d in entries]
     hashes, least = np.concatenate(halves, axis=1), np.concatenate(documents)
     order = np.lexsort((least, hashes[1], hashes[0]))
     sorted_ = hashes[:, order]
@@ -251,34 +295,32 @@ def earlier_elsewhere(entries: list[tuple[bytes, bytes]]) -> list[np.ndarray]:
 def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """``key, n_words, n_removed, kept`` for every row: ``kept`` is the remaining words, joined by one space."""
     small_batches(df.sparkSession)
-    cut = written(chunks(df, key, text, width))
+    cut = written_by(chunks(df, key, text, width), "chunk", df.rdd.getNumPartitions())
     blocks = Blocks(cut.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0])
     message = "block long, chunk long, kind int, part int, data binary, more binary"
+    bodies = cut.select("chunk", "data").groupBy("chunk")
 
     def send_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist()):
                 chunk = Chunk.read(blob)
                 first = chunk.hashes(chunk.starts(width), width, 0)
-                rows = [(b, number, _CELLS, r, pack(low), b"") for r in range(DEPTH) for b, low in blocks.split(sketch(blocks.cells(first, r)))]
+                rows = [(b, number, _CELLS, r, narrow(np.diff(low, prepend=0), True), b"") for r in range(DEPTH) for b, low in blocks.split(sketch(blocks.cells(first, r)))]
                 yield _messages(rows)
 
     def merge_cells(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        often = merged([unpack(d) for d in pdf["data"]])
+        often = merged([np.cumsum(widen(d)) for d in pdf["data"]])
         return pd.DataFrame({"block": pdf["block"], "chunk": pdf["chunk"], "kind": _CELLS, "part": pdf["part"],
                              "data": [np.packbits(o).tobytes() for o in often], "more": b""})
 
     answers = written(cut.select("chunk", "data").mapInArrow(send_cells, message).groupBy("part", "block").applyInPandas(merge_cells, message))
-    bodies = cut.select(F.lit(0).cast("long").alias("block"), "chunk", F.lit(_BODY).alias("kind"), F.lit(0).alias("part"), "data",
-                        F.lit(b"").alias("more"))
 
-    def read(pdf: pd.DataFrame) -> tuple[Chunk, Candidates]:
-        chunk = Chunk.read(pdf.loc[pdf["kind"] == _BODY, "data"].iloc[0])
-        own = pdf[pdf["kind"] == _CELLS]
+    def read(body: pd.DataFrame, answers: pd.DataFrame) -> tuple[Chunk, Candidates]:
+        chunk, own = Chunk.read(body["data"].iloc[0]), answers[answers["kind"] == _CELLS]
         return chunk, Candidates(chunk, list(zip(own["part"], own["block"], own["data"])), blocks, width)
 
-    def send_windows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(b, key[0], _EARLIER, 0, h, d) for b, h, d in read(pdf)[1].sent()]
+    def send_windows(key: tuple, body: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        rows = [(b, key[0], _EARLIER, 0, h, d) for b, h, d in read(body, answers)[1].sent()]
         return pd.DataFrame(rows, columns=["block", "chunk", "kind", "part", "data", "more"])
 
     def group_windows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -286,12 +328,12 @@ def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", wid
         return pd.DataFrame({"block": pdf["block"], "chunk": pdf["chunk"], "kind": _EARLIER, "part": 0,
                              "data": [np.packbits(x).tobytes() for x in earlier], "more": b""})
 
-    first = bodies.unionByName(answers)
-    second = written(first.groupBy("chunk").applyInPandas(send_windows, message).groupBy("block").applyInPandas(group_windows, message))
+    second = written(bodies.cogroup(answers.groupBy("chunk")).applyInPandas(send_windows, message)
+                     .groupBy("block").applyInPandas(group_windows, message))
 
-    def remaining(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk, found = read(pdf)
-        own = pdf[pdf["kind"] == _EARLIER]
+    def remaining(key: tuple, body: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        chunk, found = read(body, answers)
+        own = answers[answers["kind"] == _EARLIER]
         gone = found.removed(list(zip(own["block"], own["data"])), len(chunk.words), width)
         kept, removed = [], np.zeros(len(chunk.ids), np.int64)
         for d, (s, e) in enumerate(zip(chunk.ends - chunk.sizes, chunk.ends)):
@@ -300,7 +342,7 @@ def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", wid
             kept.append(b" ".join(map(chunk.vocabulary.__getitem__, chunk.words[s:e][stay].tolist())).decode("utf-8", "surrogatepass"))
         return pd.DataFrame({"id": pd.Series(chunk.ids, dtype="Int64").where(chunk.known), "n_words": chunk.sizes, "n_removed": removed, "kept": kept})
 
-    out = first.unionByName(second).groupBy("chunk").applyInPandas(remaining, "id long, n_words long, n_removed long, kept string")
+    out = bodies.cogroup(answers.unionByName(second).groupBy("chunk")).applyInPandas(remaining, "id long, n_words long, n_removed long, kept string")
     return out.select(F.col("id").cast(df.schema[key].dataType).alias(key), "n_words", "n_removed", "kept")
 
 
