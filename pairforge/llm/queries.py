@@ -17,6 +17,7 @@ from .mixing import mix
 from .negatives import mine_negatives
 from .ngram_join import ngram_jaccard_join
 from .secrets import secret_digest
+from .spelling import group_variants, runs, with_slips, words
 from .substring_dedup import dedup_substrings
 from .topk import top_k
 from .toxicity import toxicity
@@ -71,6 +72,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return group_variants(words(found, with_slips(found)))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine_negatives(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, label)
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_substring_dedup": op13_substring_dedup,
 }
@@ -127,6 +134,43 @@ r AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
+""",
+    "op11_spelling_variants": """
+WITH RECURSIVE
+x AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+r AS (
+  SELECT DISTINCT doc_id, low, n FROM (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    GROUP BY ALL) WHERE length(low) >= 7),
+b AS (SELECT doc_id, low, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || low)) AS hx FROM r),
+h AS (
+  SELECT doc_id, low, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(0, length(hx) // 2), lambda k: ('0x' || substr(hx, 2 * k + 1, 2))::BIGINT)),
+           lambda c, y: xor(x.t[xor(c & 255, y) + 1], c >> 8))) AS h
+  FROM b, x),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(low, 1, (h % length(low))::INTEGER) || substr(low, (h % length(low))::INTEGER + 2) ELSE low END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+g AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM p),
+e AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM g a JOIN g b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT g.word, g.n, v.word, v.n FROM g JOIN v ON v.word = g.less
+  UNION SELECT v.word, v.n, g.word, g.n FROM g JOIN v ON v.word = g.less),
+f AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM e GROUP BY word),
+j AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN f USING (word)),
+c AS (
+  SELECT word, word AS at, form AS onward FROM j
+  UNION ALL SELECT c.word, j.word, j.form FROM c JOIN j ON j.word = c.onward)
+SELECT j.word, form, c.at AS root, n, n_near, form_n FROM j JOIN c ON c.word = j.word AND c.onward IS NULL
 """,
     "op12_hard_negatives": """
 WITH v AS (
