@@ -1,10 +1,11 @@
-"""Model hooks: a user's generator or scorer, run by Spark per Arrow batch.
+"""Model hooks: a user's generator, scorer or tokeniser, run by Spark per Arrow batch (G1, G3; P14, T8, T9).
 
 The models themselves are not part of this library.  A generator is
 ``fn(prompts: list[str], k: int, **params) -> list[list[str]]`` (one list of
 returned texts per prompt, possibly empty for over-length prompts); a scorer is
 either a Column function (stays in the JVM) or a vectorised
-``fn(pd.Series) -> pd.Series`` run as a pandas UDF.
+``fn(pd.Series) -> pd.Series`` run as a pandas UDF.  A tokeniser is
+``fn(texts: list[str]) -> list[list[int]]``.
 """
 
 from __future__ import annotations
@@ -169,6 +170,33 @@ def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewar
     return df.withColumn(out, score(texts))
 
 
+def tokenise(df: DataFrame, tokeniser: Callable[..., list], text: str = "text", out: str = "tokens",
+             setup: Callable[[], object] | None = None) -> DataFrame:
+    """Appends ``out array<long>``, the token ids of ``text``, to every row: P14, T8 and T9 take this column.
+
+    ``tokeniser`` gets the texts of an Arrow batch at once and must return a list of ids for each; a null text
+    isn't handed over and has null ids.  ``setup`` loads a vocabulary once per Python worker (``model=``).
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.LongType()))])
+    loader = _loader(setup)
+
+    def run(batches):
+        extra = _model(loader)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            asked = [t for t in texts if t is not None]
+            ids = list(tokeniser(asked, **extra)) if asked else []
+            if len(ids) != len(asked):
+                raise ValueError(f"the tokeniser got {len(asked)} texts and returned {len(ids)} lists")
+            got = iter(ids)
+            yield batch.append_column(out, pa.array([None if t is None else next(got) for t in texts], type=pa.list_(pa.int64())))
+
+    return df.mapInArrow(run, schema)
+
+
 def score_with_model(df: DataFrame, make_predict_fn: Callable, text: Column | str, out: str = "reward",
                      batch_size: int = 256) -> DataFrame:
     """G3 through ``predict_batch_udf``: ``make_predict_fn()`` loads the model once

@@ -134,10 +134,10 @@ def build_pairs(df: DataFrame, choose_type: str, margin_scale: float = 1.0,
         (F.when(first_wins, r0 - r1).otherwise(r1 - r0) * F.lit(float(margin_scale))).alias("margin"),
     ]
     kept = F.col("_outcome") == "kept"
-    if choose_type == "max_min_p":
+    if choose_type in ("max_min_p", "max_max"):
         # A Filter would be pushed below the projections with the aliases inlined,
-        # re-running the lambda over all responses once per reference; a
-        # generator over a 0-or-1 element array evaluates it once per row.
+        # re-running the lambda over all responses (or the two stable argsort indices) once
+        # per reference; a generator over a 0-or-1 element array evaluates them once per row.
         return a.select(F.inline(F.when(kept, F.array(F.struct(*cols)))))
     # cheap native selection: a plain Filter stays inside whole-stage codegen
     return a.filter(kept).select(*cols)

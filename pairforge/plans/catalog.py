@@ -23,7 +23,7 @@ from ..operators import tokens as TK
 from ..operators.candidates import (drop_short, join_candidates, overlength_guard, render_prompts,
                                     to_long, to_wide)
 from ..operators.hooks import (generate_candidates, generate_wide, score_candidates, score_wide,
-                               score_with_model)
+                               score_with_model, tokenise)
 from ..operators.ordering import (head_n, in_order, sanity_cut, shard_cover, shard_floor, shard_round_robin,
                                   shuffle, with_ordinal)
 from ..operators.pairs import (STRATEGIES, best_vs_rest, build_eval_pairs, build_pairs,
@@ -35,10 +35,10 @@ from ..schemas import SCORED
 from ..session import shared_dir
 from ..sources import fixtures as fx
 from ..sources.jsonl import (add_row_ids, read_jsonl, read_records, read_shard_files, read_shards,
-                             write_shard_files, write_sharded)
+                             write_in_order, write_shard_files, write_sharded)
 from ..sources.tables import read_prompts, read_table
 from .iteration import IterationConfig, run_iterations
-from .stand_ins import echo_generator, make_md5_predict, md5_scorer
+from .stand_ins import echo_generator, make_md5_predict, md5_scorer, trigram_tokeniser
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,8 @@ EOT = END_OF_TURN
 BETA = 0.125
 EXACT_LOSSES = ("hinge", "ipo", "sppo_hard")
 ROBUST_EPS = 0.125
+SMOOTHING = 0.1  # the shipped training setting
+AUX_COEF = 0.5
 ALPHA = 0.125
 RPO_ALPHA = 0.5
 MAX_INPUT_LENGTH = 3000
@@ -320,6 +322,7 @@ for _t in LS.LOSS_TYPES:
     QUERIES[f"loss_{_t}"] = _loss(_t, label_smoothing=ROBUST_EPS if _t == "robust" else 0.0)
 QUERIES["loss_sigmoid_alpha"] = _loss("sigmoid", f_divergence="alpha_divergence", alpha=ALPHA)
 QUERIES["loss_sigmoid_js"] = _loss("sigmoid", f_divergence="js_divergence")
+QUERIES["loss_sigmoid_smoothed"] = _loss("sigmoid", label_smoothing=SMOOTHING)
 QUERIES["loss_sigmoid_ref_free"] = _loss("sigmoid", reference_free=True)
 
 
@@ -335,6 +338,14 @@ def batch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LS.batch_loss(losses).select("batch_id", r6("loss").alias("loss"))
 
 
+@query("batch_loss_aux")
+def batch_loss_aux(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 with an auxiliary loss per batch (a rule on the batch id)."""
+    losses = LS.preference_loss(fx.logps(spark, sf_dir), "sigmoid", beta=BETA)
+    aux = losses.select("batch_id").distinct().withColumn("aux_loss", (F.col("batch_id") % 7) / F.lit(8.0))
+    return LS.batch_loss(losses, aux=aux, aux_coef=AUX_COEF).select("batch_id", r6("loss").alias("loss"))
+
+
 def _token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policy log-probs per pair from the token table (J4 stack/split of T2)."""
     t = fx.with_pair_keys(fx.tokens(spark, sf_dir))
@@ -386,6 +397,13 @@ def seq_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("seq_id", r6("logps").alias("logps"), "n_tokens")
 
 
+@query("seq_logps_chunked")
+def seq_logps_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1/T2 over the array layout, four positions to a chunk: the logits cross no join."""
+    s = TK.chunk_logps(TK.to_chunks(fx.tokens(spark, sf_dir), 4))
+    return s.select("seq_id", r6("logps").alias("logps"), "n_tokens")
+
+
 @query("seq_logps_avg")
 def seq_logps_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = TK.sequence_logps(fx.tokens(spark, sf_dir), average=True)
@@ -421,6 +439,50 @@ def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TK.pack_spans(docs, PACK_LEN)
 
 
+@query("pack_hash_keys")
+def pack_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 over keys that span 64 bits and repeat (97 different ones, of both signs)."""
+    rest = F.col("doc_id") % 97
+    h = F.conv(F.substring(F.md5(rest.cast("string")), 1, 15), 16, 10).cast("long") * 8
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.when(rest % 2 == 0, h).otherwise(-h).alias("hash_key"), TK.text_token_counts("text").alias("n_tokens"))
+    return TK.pack_spans(docs, PACK_LEN, key="hash_key")
+
+
+@query("role_mask_hook")
+def role_mask_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P14 with a tokeniser from outside, whose pieces are not words."""
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("row_id"), "turn", "role", F.col("text").alias("content"))
+    toks = TK.role_mask(tokenise(conv, trigram_tokeniser, "content"), tokens="tokens")
+    trained = F.col("label") != F.lit(-100)
+    return toks.groupBy("row_id", "turn").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.count_if(trained).cast("long").alias("n_trained"),
+        F.coalesce(F.sum(F.when(trained, F.col("label"))), F.lit(0)).cast("long").alias("trained_id_sum"))
+
+
+@query("pack_tokens_hook")
+def pack_tokens_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 with content, by a tokeniser from outside: every block's length, first and last id and sum of ids."""
+    docs = tokenise(read_table(spark, sf_dir, "documents").select("doc_id", "text"), trigram_tokeniser)
+    blocks = TK.pack_tokens(docs.select("doc_id", "tokens"), PACK_LEN)
+    return blocks.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), F.get("tokens", 0).alias("first_id"),
+                         F.element_at("tokens", -1).alias("last_id"), F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"))
+
+
+@query("truncate_hook")
+def truncate_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 (the start of a prompt stays) on ids of a tokeniser from outside."""
+    pairs = build_pairs(fx.scored(spark, sf_dir), "max_min", eot_token=EOT).select("row_id", "prompt", "chosen", "rejected")
+    for text in ("prompt", "chosen", "rejected"):
+        pairs = tokenise(pairs, trigram_tokeniser, text, f"{text}_ids")
+    p, c, r = TK.truncate_pair(F.col("prompt_ids"), F.col("chosen_ids"), F.col("rejected_ids"), MAX_LENGTH, MAX_PROMPT_LENGTH, "keep_start")
+    t = pairs.select("row_id", p.alias("p"), c.alias("c"), r.alias("r"))
+    return t.select("row_id", F.size("p").cast("long").alias("prompt_len"), F.size("c").cast("long").alias("chosen_len"),
+                    F.size("r").cast("long").alias("rejected_len"), F.get("p", F.size("p") - 1).alias("prompt_last"),
+                    F.get("c", F.size("c") - 1).alias("chosen_last"), F.get("r", F.size("r") - 1).alias("rejected_last"))
+
+
 @query("sft_pack")
 def sft_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SFT path: whole conversations rendered (P1), tokenised (hook default),
@@ -560,13 +622,13 @@ def iterate3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shard_files")
 def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5/S3/U1 under the reference's file names, with late shards that are empty: the regions (L4 in 8
-    shards of ``n div 8 + 1`` rows) are written as ``base + i + ".json"`` and read back in file order (S1)."""
+    """S5/S3/U1 under the reference's file names, with late shards that are empty: the documents (L4 in 8 shards) are
+    written in one job as ``base + i + ".json"`` for 12 shards and read back."""
     base = shared_dir(spark, "shard_files", unique=True) + "/docs_"
-    rows = shard_cover(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 8, key="r_regionkey")
-    write_shard_files(rows.drop("ordinal"), base, 8)
-    back = read_shard_files(spark, base, 8, "r_regionkey long, r_name string")
-    return back.select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name", _long("shard"))
+    rows = shard_cover(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), 8, key="doc_id")
+    write_shard_files(rows.drop("ordinal"), base, 12)
+    back = read_shard_files(spark, base, 12, "doc_id long, lang string, n_chars long")
+    return back.select("doc_id", "lang", "n_chars", _long("shard"))
 
 
 @query("jsonl_file_order")
@@ -575,12 +637,22 @@ def jsonl_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "file_order", unique=True) + "/part_"
     docs = read_table(spark, sf_dir, "documents").select("doc_id")
     shard = F.when(F.col("doc_id") < 3, 0).when(F.col("doc_id") < 150, 1).when(F.col("doc_id") < 160, 2).otherwise(10)
-    rows = docs.withColumn("shard", shard).repartition("shard").sortWithinPartitions("doc_id")
+    # ranges of (shard, id): a shard with nearly all rows is spread over many tasks and files
+    rows = docs.withColumn("shard", shard).repartitionByRange("shard", "doc_id").sortWithinPartitions("shard", "doc_id")
     write_shard_files(rows, base, 11)
     scan = read_jsonl(spark, f"{base}*.json", "doc_id long")
     return add_row_ids(scan).select("doc_id", "row_id")
 
 
+@query("ordered_sink")
+def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in the order of a hash; each line's position in the concatenated files."""
+    path = shared_dir(spark, "ordered_sink", unique=True)
+    h = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 15), 16, 10).cast("long")
+    write_in_order(_orders(spark, sf_dir).withColumn("hash_key", h), path, ["hash_key", "o_orderkey"])
+    return add_row_ids(read_jsonl(spark, path, "o_orderkey long, hash_key long"), "position").select("o_orderkey", "position")
+
+
 @query("ordinal_hash_keys")
 def ordinal_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L7 over keys that span 64 bits, with ties: a hash of the order's customer, both signs."""

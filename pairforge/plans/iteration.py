@@ -6,7 +6,9 @@ written once to the shared folder (the cluster's checkpoint directory) and read
 back, partitioned by iteration: that is the stage hand-off of the reference,
 and it cuts lineage, so a lost executor recomputes from the last written
 stage, and a rerun of an iteration reuses the stages that are finished --
-which matters for generation, whose sampling is not repeatable.  The
+which matters for generation, whose sampling is not repeatable.  A stage is
+reused only if it was made of the same things: a digest of the configuration, the
+models and the input, chained from stage to stage, is noted with it and compared.  The
 scored table feeds two sinks (pairs and the run record) from one written copy.
 """
 
@@ -26,7 +28,7 @@ from ..operators.ordering import sanity_cut
 from ..operators.pairs import build_pairs
 from ..operators.summaries import run_record
 from ..session import shared_dir
-from ..sources.jsonl import stage, write_record
+from ..sources.jsonl import content_digest, digest, stage, write_record
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,8 @@ class IterationConfig:
     sampling: tuple[tuple[str, object], ...] = field(default_factory=tuple)
     output_dir: str | None = None
     record_path: str | None = None
+    run: str = "0"  # name of the run in the records: another run appends to the same ``record_path``
+    version: str = ""  # of what a digest can't see, e.g. weights behind a path; another one makes every stage anew
     partitions: int | None = None
     stage_format: str = "parquet"  # or "json": JSONL stage files, as the reference hands them on
     # model loaders, called once per Python worker; results reach the hooks as ``model=``
@@ -65,30 +69,36 @@ def run_iteration(spark: SparkSession, cfg: IterationConfig, iteration: int, pro
     out = cfg.output_dir or shared_dir(spark, "iterations", unique=True)
     base = f"{out}/iteration={iteration}"
     rendered = render_prompts(prompts, bos=cfg.bos)
+    # a model is what its loader loads; without a loader it is the hook itself
+    loader = cfg.generator_setup(iteration) if cfg.generator_setup else None
+    of_candidates = digest(content_digest(prompts), cfg.k, cfg.bos, cfg.max_input_length, cfg.measure, cfg.sampling, cfg.version,
+                           iteration, loader or generator)
+    of_scored = digest(of_candidates, cfg.scorer_setup or scorer)
+    of_pairs = digest(of_scored, cfg.choose_type, cfg.margin_scale, cfg.length_penalty, cfg.eot_token, cfg.sanity_check)
 
     # generate K texts per prompt in the prompt's own row (G1), strip the echoed prompt
     gen = generate_wide(rendered, generator, cfg.k, partitions=cfg.partitions,
-                        setup=cfg.generator_setup(iteration) if cfg.generator_setup else None,
+                        setup=loader,
                         limit=cfg.max_input_length, measure=cfg.measure, **dict(cfg.sampling))
     candidates = gen.select("row_id", F.col("context_messages").alias("prompt"),
                             strip_echo_all(F.col("responses"), F.col("prompt_text")).alias("responses"),
                             render_chat(F.col("context_messages"), bos=cfg.bos).alias("prompt_rendered"))
-    candidates = stage(candidates, f"{base}/candidates", cfg.stage_format)
+    candidates = stage(candidates, f"{base}/candidates", cfg.stage_format, of_candidates)
 
     # drop short sets before scoring (F1); score every (prompt, response) text of a row
     full = drop_short(candidates, cfg.k)
     # the prompt was rendered once per row in the written candidates stage
     texts = F.transform("responses", lambda r: reward_model_text_rendered(F.col("prompt_rendered"), r, cfg.bos))
-    scored = stage(score_wide(full, scorer, texts, setup=cfg.scorer_setup).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format)
+    scored = stage(score_wide(full, scorer, texts, setup=cfg.scorer_setup).drop("prompt_rendered"), f"{base}/scored", cfg.stage_format, of_scored)
 
     if cfg.record_path:
         write_record(run_record(scored.withColumn("iteration", F.lit(iteration)))
-                     .select("iteration", "mean_score", "top1_score"), cfg.record_path, iteration)
+                     .select("iteration", "mean_score", "top1_score"), cfg.record_path, iteration, cfg.run)
 
     pairs = build_pairs(scored, cfg.choose_type, margin_scale=cfg.margin_scale,
                         length_penalty=cfg.length_penalty, eot_token=cfg.eot_token, bos=cfg.bos)
     pairs = sanity_cut(pairs, cfg.sanity_check)
-    return stage(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs", cfg.stage_format)
+    return stage(pairs.withColumn("iteration", F.lit(iteration)), f"{base}/pairs", cfg.stage_format, of_pairs)
 
 
 def run_iterations(spark: SparkSession, cfg: IterationConfig, prompt_sets: Callable[[int], DataFrame],

@@ -276,6 +276,7 @@ for _t in ("sigmoid", "robust", "exo_pair", "hinge", "ipo", "bco_pair", "sppo_ha
     SQL[f"loss_{_t}"] = loss_sql(_t, eps=0.125 if _t == "robust" else 0.0)
 SQL["loss_sigmoid_alpha"] = loss_sql("sigmoid", div="alpha_divergence", alpha=0.125)
 SQL["loss_sigmoid_js"] = loss_sql("sigmoid", div="js_divergence")
+SQL["loss_sigmoid_smoothed"] = loss_sql("sigmoid", eps=0.1)
 SQL["loss_sigmoid_ref_free"] = loss_sql("sigmoid", ref_free=True)
 
 SQL["implicit_rewards"] = with_ctes(LOGPS) + \
@@ -284,6 +285,9 @@ SQL["implicit_rewards"] = with_ctes(LOGPS) + \
 SQL["batch_loss"] = with_ctes(LOGPS) + \
     f"SELECT batch_id, {r6('avg(' + loss_expr('sigmoid') + ')')} AS loss FROM lp GROUP BY batch_id"
 
+SQL["batch_loss_aux"] = with_ctes(LOGPS) + \
+    f"SELECT batch_id, {r6('avg(' + loss_expr('sigmoid') + ') + 0.5 * (batch_id % 7) / 8.0')} AS loss FROM lp GROUP BY batch_id"
+
 SQL["ref_logps_join"] = with_ctes(LOGPS, TOKENS) + """
 SELECT pair_id, round(pc, 6) AS policy_chosen_logps, round(pr, 6) AS policy_rejected_logps,
        round(rc, 6) AS reference_chosen_logps, round(rr, 6) AS reference_rejected_logps FROM polref"""
@@ -325,6 +329,7 @@ lg AS (
 )""") + _metrics_sql()
 
 SQL["seq_logps"] = with_ctes(TOKENS) + "SELECT seq_id, round(logps, 6) AS logps, n_tokens FROM seqs"
+SQL["seq_logps_chunked"] = SQL["seq_logps"]
 SQL["seq_logps_avg"] = with_ctes(TOKENS) + "SELECT seq_id, round(logps / nullif(n_tokens, 0), 6) AS logps FROM seqs"
 SQL["batch_nll"] = with_ctes(TOKENS) + "SELECT batch_id, round(nll_loss, 6) AS nll_loss FROM nll"
 SQL["stack_split"] = with_ctes(TOKENS) + """
@@ -344,6 +349,32 @@ SELECT block_id, doc_id, greatest(s, block_id * 4096) - block_id * 4096 AS start
        least(e, (block_id + 1) * 4096) - greatest(s, block_id * 4096) AS n_tokens
 FROM b"""
 
+_PACK = """
+o AS (SELECT k, n, CAST(coalesce(sum(n) OVER (ORDER BY k, n, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s FROM d),
+b AS (SELECT k, s, s + n AS e, unnest(range(s // 4096, (s + n - 1) // 4096 + 1)) AS block_id FROM o WHERE n > 0)
+SELECT block_id, k AS hash_key, greatest(s, block_id * 4096) - block_id * 4096 AS start_in_block,
+       greatest(s, block_id * 4096) - s AS offset_in_seq,
+       least(e, (block_id + 1) * 4096) - greatest(s, block_id * 4096) AS n_tokens
+FROM b"""
+SQL["pack_hash_keys"] = f"""
+WITH d AS (
+  SELECT doc_id AS i, 8 * CASE WHEN doc_id % 97 % 2 = 0 THEN 1 ELSE -1 END
+         * CAST('0x' || substr(md5(CAST(doc_id % 97 AS VARCHAR)), 1, 15) AS BIGINT) AS k, CAST(len({toks('text')}) AS BIGINT) AS n
+  FROM documents),""" + _PACK
+
+
+def trigrams(text: str) -> str:
+    """SQL for the ids of the pieces of three characters."""
+    return (f"list_transform(range(0, CAST(ceil(length({text}) / 3.0) AS BIGINT)), "
+            f"lambda i: CAST('0x' || substr(md5(substr({text}, 3 * i + 1, 3)), 1, 6) AS BIGINT))")
+
+
+SQL["pack_tokens_hook"] = f"""
+WITH d AS (SELECT doc_id, unnest({trigrams('text')}) AS id, unnest(range(0, CAST(ceil(length(text) / 3.0) AS BIGINT))) AS piece FROM documents),
+p AS (SELECT id, row_number() OVER (ORDER BY doc_id, piece) - 1 AS pos FROM d)
+SELECT pos // 4096 AS block_id, count(*) AS n_tokens, arg_min(id, pos) AS first_id, arg_max(id, pos) AS last_id,
+       CAST(sum(id) AS BIGINT) AS id_sum FROM p GROUP BY 1"""
+
 # --- rendering -----------------------------------------------------------------------
 
 SQL["render_sft"] = f"""
@@ -374,6 +405,13 @@ SELECT row_id, turn, CAST(len(ids) AS BIGINT) AS n_tokens,
 FROM (SELECT conv_id AS row_id, turn, role, {toks('text')} AS ids FROM conversations) x
 WHERE len(ids) > 0"""
 
+SQL["role_mask_hook"] = f"""
+SELECT row_id, turn, CAST(len(ids) AS BIGINT) AS n_tokens,
+       CAST(CASE WHEN role = 'assistant' THEN len(ids) ELSE 0 END AS BIGINT) AS n_trained,
+       CAST(CASE WHEN role = 'assistant' THEN coalesce(list_sum(ids), 0) ELSE 0 END AS BIGINT) AS trained_id_sum
+FROM (SELECT conv_id AS row_id, turn, role, {trigrams('text')} AS ids FROM conversations) x
+WHERE len(ids) > 0"""
+
 # --- candidates ------------------------------------------------------------------------
 
 SQL["candidates_join"] = with_ctes(PROMPT_MSGS, SCORED_LONG) + """
@@ -478,6 +516,19 @@ SELECT row_id, CAST(np2 AS BIGINT) AS prompt_len, CAST(nc2 AS BIGINT) AS chosen_
        CASE WHEN nr2 > 0 THEN r[nr2] END AS rejected_last
 FROM n3"""
 
+SQL["truncate_hook"] = f"""
+WITH pr AS ({pairs_sql('max_min')}),
+t AS (SELECT row_id, {trigrams('prompt')} AS p, {trigrams('chosen')} AS c, {trigrams('rejected')} AS r FROM pr),
+n AS (SELECT *, len(p) AS np, len(c) AS nc, len(r) AS nr, greatest(len(c), len(r)) AS lg FROM t),
+n2 AS (SELECT *, CASE WHEN np + lg > 2048 THEN least(np, 1000) ELSE np END AS np2 FROM n),
+n3 AS (SELECT *, CASE WHEN np2 + lg > 2048 THEN least(nc, 1048) ELSE nc END AS nc2,
+                 CASE WHEN np2 + lg > 2048 THEN least(nr, 1048) ELSE nr END AS nr2 FROM n2)
+SELECT row_id, CAST(np2 AS BIGINT) AS prompt_len, CAST(nc2 AS BIGINT) AS chosen_len, CAST(nr2 AS BIGINT) AS rejected_len,
+       CASE WHEN np2 > 0 THEN p[np2] END AS prompt_last,
+       CASE WHEN nc2 > 0 THEN c[nc2] END AS chosen_last,
+       CASE WHEN nr2 > 0 THEN r[nr2] END AS rejected_last
+FROM n3"""
+
 SQL["generate_hook"] = with_ctes(PROMPT_MSGS, PROMPT_TEXT) + """
 SELECT pt.row_id, CAST(k.k AS BIGINT) AS k, 'response ' || k.k || ' of ' || length(pt.prompt) AS response
 FROM prompt_text pt CROSS JOIN (SELECT unnest(range(4)) AS k) k"""
@@ -551,9 +602,13 @@ FROM (SELECT o_orderkey, 8 * CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE -1 END
              * CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 15) AS BIGINT) AS hash_key FROM orders) t"""
 
 SQL["shard_files"] = """
-SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name,
-       CAST((row_number() OVER (ORDER BY r_regionkey) - 1) // ((SELECT count(*) FROM region) // 8 + 1) AS BIGINT) AS shard
-FROM region"""
+SELECT doc_id, lang, n_chars,
+       CAST((row_number() OVER (ORDER BY doc_id) - 1) // ((SELECT count(*) FROM documents) // 8 + 1) AS BIGINT) AS shard
+FROM documents"""
+
+SQL["ordered_sink"] = """
+SELECT o_orderkey, row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT), o_orderkey) - 1 AS position
+FROM orders"""
 
 SQL["jsonl_file_order"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents"
 

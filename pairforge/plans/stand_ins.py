@@ -21,6 +21,18 @@ def md5_scorer(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: (int(hashlib.md5(t.encode("utf-8")).hexdigest()[:4], 16) % 41) / 8 - 2.5)
 
 
+def trigram_tokeniser(texts: list[str]) -> list[list[int]]:
+    """Pieces of three characters, white space included; a piece's id is the first 24 bits of its MD5."""
+    piece_id = lambda p: int(hashlib.md5(p.encode("utf-8")).hexdigest()[:6], 16)
+    known: dict[str, int] = {}
+    out = []
+    for t in texts:
+        pieces = [t[i:i + 3] for i in range(0, len(t), 3)]
+        known |= {p: piece_id(p) for p in set(pieces) - known.keys()}
+        out.append([known[p] for p in pieces])
+    return out
+
+
 def make_md5_predict():
     """``predict_batch_udf`` factory for the same scorer (numpy array in, numpy array out)."""
     import numpy as np

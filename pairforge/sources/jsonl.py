@@ -7,9 +7,14 @@ null fields and non-ASCII text as is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+import uuid
+from collections.abc import Callable, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -26,8 +31,6 @@ def add_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
     first, so that shard 2 comes before shard 10), the split's start within the file,
     and the line within the split; Spark's own split order follows split sizes instead.
     """
-    from pyspark.sql import functions as F
-
     from ..operators.ordering import global_positions
 
     placed = df.select("*", F.length("_metadata.file_path").alias("_len"), F.col("_metadata.file_path").alias("_file"),
@@ -53,18 +56,42 @@ def read_shards(spark: SparkSession, path: str, n: int, schema: StructType | str
     return rows.where(f"`{shard}` between 0 and {int(n) - 1}")
 
 
+def _path(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_shard_files(df: DataFrame, base: str, n: int, shard: str = "shard") -> None:
-    """S5 under the reference's names: shard i goes to ``base + i + ".json"``, empty shards too.
-    One job per shard; ``df`` should be a written table."""
+    """S5 under the reference's names: shard i of 0..n-1 goes to ``base + i + ".json"``, empty shards too, replacing what is
+    there.  One job reads ``df`` once and writes all shards; their folders then get their names.  Rows keep their
+    order within a shard where ``df`` is sorted by (shard, ...) in its partitions."""
+    spark = df.sparkSession
+    landing = f"{base}-{uuid.uuid4().hex}"
+    df.where(f"`{shard}` between 0 and {int(n) - 1}").withColumn("_shard", F.col(shard)).drop(shard) \
+        .write.option("ignoreNullFields", "false").partitionBy("_shard").json(landing)
     for i in range(n):
-        write_jsonl(df.where(f"`{shard}` = {i}").drop(shard), f"{base}{i}.json")
+        target, fs = _path(spark, f"{base}{i}.json")
+        fs.delete(target, True)
+        written = _path(spark, f"{landing}/_shard={i}")[0]
+        if fs.exists(written):
+            if not fs.rename(written, target):
+                raise OSError(f"{written} could not be renamed to {target}")
+        else:
+            fs.mkdirs(target)
+    landed, fs = _path(spark, landing)
+    fs.delete(landed, True)
+
+
+def write_in_order(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """L8 at a sink: files whose concatenation by name is in ``order``.  Rows are range-partitioned and sorted within
+    ranges, so no task sorts the whole table; ``add_row_ids`` on the files gives every line its position."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def read_shard_files(spark: SparkSession, base: str, n: int, schema: StructType | str, shard: str = "shard") -> DataFrame:
     """S3 + U1 under the reference's names: ``base + i + ".json"`` for i in 0..n-1, with i in ``shard``.
     Files of other numbers are not read; a shard without a file adds nothing."""
-    from pyspark.sql import functions as F
-
     rows = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{base}*.json")
     stem = base.rstrip("/").rsplit("/", 1)[-1]
     name = F.regexp_extract(F.col("_metadata.file_path"), rf"\Q{stem}\E(\d+)\.json", 1)
@@ -74,24 +101,71 @@ def read_shard_files(spark: SparkSession, base: str, n: int, schema: StructType
 RECORD_SCHEMA = "iteration long, mean_score double, top1_score double"
 
 
-def write_record(df: DataFrame, path: str, iteration: int) -> None:
-    """The record lines (tab-separated) of one iteration, in a folder of their own under ``path``:
-    a rerun replaces its iteration's lines and appends no second copy."""
-    df.write.mode("overwrite").option("sep", "\t").csv(f"{path}/run={iteration}")
+def write_record(df: DataFrame, path: str, iteration: int, run: str = "0") -> None:
+    """The record lines (tab-separated) of one iteration, in a folder of their own under ``path``: a rerun replaces
+    its iteration's lines and appends no second copy, and another ``run`` appends its own."""
+    df.write.mode("overwrite").option("sep", "\t").csv(f"{path}/run={run}/{iteration}")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All record lines under ``path``."""
-    return spark.read.schema(RECORD_SCHEMA).option("sep", "\t").csv(f"{path}/run=*")
+    """All record lines under ``path``, of all runs."""
+    return spark.read.schema(RECORD_SCHEMA).option("sep", "\t").csv(f"{path}/run=*/*")
+
+
+def _code(fn: object) -> object:
+    """What a function does, as far as its code and constants tell."""
+    code = getattr(fn, "__code__", fn)
+    if not hasattr(code, "co_code"):
+        return repr(code)
+    return [code.co_code.hex(), list(code.co_names), [_code(c) for c in code.co_consts]]
 
 
-def stage(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """``materialise``, unless a finished output is at ``path`` already, which is then read instead."""
+def digest(*parts: object) -> str:
+    """A digest of values, functions (code and closures), and digests."""
+    def one(x: object) -> object:
+        if callable(x):
+            return [hashlib.sha256(cloudpickle.dumps(x)).hexdigest(), _code(x)]
+        return x if isinstance(x, (str, int, float, bool, type(None))) else repr(x)
+
+    return hashlib.sha256(json.dumps([one(p) for p in parts]).encode()).hexdigest()
+
+
+def content_digest(df: DataFrame) -> str:
+    """A digest of a table's rows, whatever their order or partitioning: one pass, one row back."""
+    columns = [F.col(c) for c in df.columns]
+    first, second = F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
+    r = df.agg(F.count(F.lit(1)), F.sum(first.cast("decimal(38,0)")), F.bit_xor(first), F.sum(second.cast("decimal(38,0)"))).first()
+    return digest(df.schema.json(), *map(str, r))
+
+
+def _manifest(spark: SparkSession, path: str) -> str | None:
+    """The digest noted for the stage at ``path``; null unless both the stage and the note are finished."""
+    for done in (f"{path}/_SUCCESS", f"{path}.manifest/_SUCCESS"):
+        p, fs = _path(spark, done)
+        if not fs.exists(p):
+            return None
+    row = spark.read.text(f"{path}.manifest").first()
+    return row[0] if row else None
+
+
+def stage(df: DataFrame, path: str, fmt: str = "parquet", of: str | None = None) -> DataFrame:
+    """``materialise``, unless the finished output at ``path`` was made of the same things.
+
+    ``of`` is a digest of all that decides the stage's content (configuration, models, input; see ``digest`` and
+    ``content_digest``).  It is noted beside the output once that is finished, and compared before reuse; without
+    one, nothing is reused.  The note is voided before the output is replaced, so a run killed at any point leaves
+    either a stage with its own note or one that is made again.
+    """
     spark = df.sparkSession
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if of is None:
+        return materialise(df, path, fmt)
+    if _manifest(spark, path) == of:
         return read_jsonl(spark, path, df.schema) if fmt == "json" else spark.read.format(fmt).load(path)
-    return materialise(df, path, fmt)
+    note = lambda text: spark.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}.manifest")
+    note("unfinished")
+    out = materialise(df, path, fmt)
+    note(of)
+    return out
 
 
 def materialise(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:

@@ -3,8 +3,10 @@
 import random
 
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
-from pairforge.operators.ordering import (exclusive_prefix_sum, head_n, prefix_sums, shard_cover,
+from pairforge.operators.ordering import (head_n, range_scan, shard_cover,
                                           shard_floor, shard_round_robin, shuffle, with_ordinal)
 
 
@@ -19,16 +21,39 @@ def test_ordinal_sparse_negative_keys(spark):
     assert list(out["ordinal"]) == list(range(len(keys)))
 
 
-def test_prefix_sum_multilevel(spark):
-    # keys spread over 2**50: three levels of grouping
+def test_running_sums_over_sparse_keys(spark):
     rng = random.Random(11)
     keys = sorted(rng.sample(range(0, 2**50), 2000))
     df = keyed(spark, keys)
-    got = exclusive_prefix_sum(df, "row_id", ["v"], key_bits=51).toPandas().sort_values("row_id")
+    got = range_scan(df, ["row_id"], sums=["v"]).toPandas().sort_values("row_id")
     pdf = pd.DataFrame({"row_id": keys, "v": [(k * 7) % 13 for k in keys]})
     assert list(got["v_before"]) == list(pdf["v"].cumsum() - pdf["v"])
-    got2 = prefix_sums(df, "row_id", ["v"]).toPandas().sort_values("row_id")
-    assert list(got2["v_before"]) == list(got["v_before"])
+    assert list(got["_pos"]) == list(range(2000))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_segments_that_fill_many_ranges(spark, partitions):
+    """A segment with most rows, segments of one row, repeated keys, both signs of 64 bits."""
+    rng = random.Random(partitions)
+    groups = [-(1 << 63)] * 3 + [5] * 700 + list(range(6, 40)) + [(1 << 63) - 1] * 200
+    rows = [(g, rng.randrange(50), float(rng.randrange(-8, 9)) / 4, rng.randrange(9)) for g in groups]
+    df = spark.createDataFrame(rows, "g long, k long, x double, n long").repartition(7)
+    got = range_scan(df, ["g", "k", "x", "n"], sums=["x", "n"], segment=["g"], partitions=partitions).collect()
+    want = sorted(rows)
+    assert sorted((r.g, r.k, r.x, r.n) for r in got) == want
+    first = {}
+    for at, r in enumerate(want):
+        first.setdefault(r[0], at)
+    for at, r in enumerate(sorted(got, key=lambda r: r["_pos"])):
+        assert (r["_pos"], r.g, r["_start"]) == (at, want[at][0], first[r.g])
+        assert r.x_before == sum(w[2] for w in want[:at]) and r.n_before == sum(w[3] for w in want[:at])
+
+
+def test_scan_of_an_empty_table_and_of_null_summands(spark):
+    df = keyed(spark, range(4))
+    assert range_scan(df.where("false"), ["row_id"], sums=["v"], segment=["row_id"]).collect() == []
+    with pytest.raises(Exception, match="must not be null"):
+        range_scan(df.withColumn("v", F.when(F.col("row_id") != 2, F.col("v"))), ["row_id"], sums=["v"]).collect()
 
 
 def test_shard_floor_drops_tail(spark):
