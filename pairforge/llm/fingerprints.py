@@ -17,11 +17,11 @@ The lexicon is broadcast: a term needs ``BAND[0]`` of all documents, so it has a
 document) / ``BAND[0]`` terms whatever the number of documents; beyond ``BROADCAST_ROWS`` it is joined by a shuffle.
 
 The band counts copies, so what the members of a large group of (near) copies share is above it, and what a small
-language holds may be below.  A text is weak if its lexicon terms reach fewer than ``LEAST_SHARE`` of the subsets that
-all its terms reach: its fingerprint is ``x:`` and the same subsets over all its terms, whatever their frequency
-(a short text, of fewer than ``LEAST_OWN`` subsets, keeps the fingerprint of its lexicon terms if it has any).
-``near_edited`` and ``near_next`` compare by all terms on both sides as soon as one side is weak; of fingerprints
-alone (``likeness``), one with ``x:`` is only alike to others with it.
+language holds may be below.  So a fingerprint also has the same subsets over all terms, whatever their frequency; a text is
+weak if its lexicon terms reach fewer than ``LEAST_SHARE`` of the subsets that all its terms reach.  Two fingerprints are
+compared by the lexicon's subsets, or by those of all terms as soon as one of them is weak; both is read off the
+fingerprints, so ``near_edited`` and ``near_next`` are the ``likeness`` of the returned columns, on every row.
+A fingerprint without any lexicon term starts with ``x:``.
 
 Rows: a null text is an empty text.  A text without terms has ``x:`` and a constant as fingerprint (alike only to
 equal ones).  Rows that repeat an (id, text) pair stand at one place in the order and get equal
@@ -32,6 +32,7 @@ table of one document is followed by itself.  An empty table gives an empty resu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +46,6 @@ K = 32
 TERMS_PER_SUBSET = 1.5
 HASH_DIGITS = 6
 LEAST_SHARE = 0.25
-LEAST_OWN = 16
 KEYS = ["ik", "th"]
 
 
@@ -82,14 +82,25 @@ def term_hash(term: Column) -> Column:
 def _mark(k: Column, cut: Column) -> Column:
     """Subset and ``HASH_DIGITS`` digits of its terms' hash in one integer; null for a subset without terms."""
     bits = 4 * HASH_DIGITS
-    low = F.xxhash64(cut).bitwiseAND(F.lit((1 << bits) - 1))
-    return F.when(k.isNotNull() & (F.size(cut) > 0), (F.shiftleft(k.cast("long"), bits) + low).cast("int"))
+    high = F.shiftrightunsigned(F.xxhash64(cut), 64 - bits)
+    return F.when(k.isNotNull() & (F.size(cut) > 0), (F.shiftleft(k.cast("long"), bits) + high).cast("int"))
 
 
 def _mark_texts(marks: Column) -> Column:
     bits = 4 * HASH_DIGITS
-    return F.array_join(F.transform(marks, lambda m: F.concat_ws(".", F.shiftright(m, bits), F.lpad(
-        F.hex(m.bitwiseAND(F.lit((1 << bits) - 1))), HASH_DIGITS, "0"))), ",")
+    return F.array_join(F.sort_array(F.transform(marks, lambda m: F.concat_ws(".", F.shiftright(m, bits), F.lpad(
+        F.hex(m.bitwiseAND(F.lit((1 << bits) - 1))), HASH_DIGITS, "0")))), ",")
+
+
+#: What a fingerprint is made of: the hashes of a text's subsets, of lexicon terms and of all terms, at two scales.
+PARTS = ("cut0", "cut1", "own0", "own1")
+
+
+def spelled(parts: Column) -> Column:
+    """The fingerprint of a struct of ``scale``, ``PARTS`` and ``whole``, the hash of all terms."""
+    kind = F.when(F.size(parts["cut0"]) == 0, F.lit("x:")).otherwise(F.lit(""))
+    full = F.concat(kind, F.concat_ws(":", parts["scale"], *[_mark_texts(parts[c]) for c in PARTS]))
+    return F.when(F.size(parts["own0"]) == 0, F.concat(F.lit("x:"), F.hex(parts["whole"]))).otherwise(full)
 
 
 def _likeness(a: tuple[Column, ...], b: tuple[Column, ...], subset: Callable[[Column], Column]) -> Column:
@@ -105,24 +116,31 @@ def _likeness(a: tuple[Column, ...], b: tuple[Column, ...], subset: Callable[[Co
         .when(sa == sb - 1, alike(a1, b0)).when(sa == sb + 1, alike(a0, b1)).otherwise(F.lit(0.0))
 
 
+def _compared(a: dict[str, Column], b: dict[str, Column], subset: Callable[[Column], Column]) -> Column:
+    """By lexicon subsets, or by those of all terms as soon as one side is weak."""
+    weak = lambda x: F.size(x["cut0"]) < F.size(x["own0"]) * LEAST_SHARE
+    by = lambda kind: _likeness(*[(x["scale"], x[kind + "0"], x[kind + "1"]) for x in (a, b)], subset)
+    return F.when(weak(a) | weak(b), by("own")).otherwise(by("cut"))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: the share of equal subset hashes at the scales that both fingerprints have; 1 for equal fingerprints."""
-    def parts(x: Column) -> tuple[Column, ...]:
+    def parts(x: Column) -> dict[str, Column]:
         p = F.split(F.regexp_replace(x, "^x:", ""), ":")
         cut = lambda i: F.array_remove(F.split(F.get(p, F.lit(i)), ","), "")
-        return F.when(F.size(p) == 3, F.get(p, F.lit(0)).try_cast("int")), cut(1), cut(2)
+        return {"scale": F.when(F.size(p) == 5, F.get(p, F.lit(0)).try_cast("int"))} | {c: cut(i + 1) for i, c in enumerate(PARTS)}
 
-    same_kind = a.startswith("x:") == b.startswith("x:")
-    return F.when(a == b, F.lit(1.0)).when(same_kind, _likeness(parts(a), parts(b), lambda t: F.substring_index(t, ".", 1))) \
-        .otherwise(F.lit(0.0))
+    other = _compared(parts(a), parts(b), lambda t: F.substring_index(t, ".", 1))
+    return F.when(a == b, F.lit(1.0)).otherwise(F.coalesce(other, F.lit(0.0)))
 
 
-def text_likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    """``likeness`` of two texts, each (fingerprint, own): by all terms as soon as one of them is weak."""
-    (fa, x), (fb, y) = a, b
-    marks = lambda o: (o["scale"], o["own0"], o["own1"])
-    return F.when(x["weak"] | y["weak"], _likeness(marks(x), marks(y), lambda m: F.shiftright(m, 4 * HASH_DIGITS))) \
-        .otherwise(likeness(fa, fb))
+def parts_likeness(a: Column, b: Column) -> Column:
+    """``likeness`` of two structs of parts."""
+    empty = lambda x: F.size(x["own0"]) == 0
+    alike = reduce(lambda x, y: x & y, [a[c] == b[c] for c in ("scale", *PARTS)])
+    same = F.when(empty(a) & empty(b), a["whole"] == b["whole"]).otherwise(alike)
+    other = _compared(a, b, lambda m: F.shiftright(m, 4 * HASH_DIGITS))
+    return F.when(same, F.lit(1.0)).when(empty(a) | empty(b), F.lit(0.0)).otherwise(other)
 
 
 def succession(keys: DataFrame) -> DataFrame:
@@ -144,9 +162,9 @@ def succession(keys: DataFrame) -> DataFrame:
 
 
 def edit_with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs`` (id, text) -> (ik, th, text, edited) with one row per distinct pair, and the order of the pairs: id, ik,
-    th, n_chars, next_ik, next_th and ``copies``, the number of rows with that pair.  (ik, th) is the pair's key: the
-    id as text, never null, and the text's hash."""
+    """``docs`` (id, text) -> (ik, th, prev_ik, prev_th, text, edited) with one row per distinct pair, and the order of the
+    pairs: id, ik, th, n_chars, next_ik, next_th and ``copies``, the number of rows with that pair.  (ik, th) is the pair's
+    key: the id as text, never null, and the text's hash."""
     ik = F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit(""))
     texts = docs.select("id", ik.alias("ik"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     keys = texts.groupBy(*KEYS).agg(F.min("id").alias("id"), F.max(F.char_length("text")).cast("long").alias("n_chars"),
@@ -159,49 +177,39 @@ def edit_with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .join(chain.join(lead, KEYS), KEYS)
     pieces = placed.select(F.col("prev_ik").alias("ik"), F.col("prev_th").alias("th"), F.substr("text", F.lit(1), F.col("room")).alias("piece"))
     kept = F.expr("left(text, cast(n_chars - floor(n_chars / 3) as int))")
-    return placed.join(pieces, KEYS).select(*KEYS, "text", F.concat(kept, F.col("piece")).alias("edited")), chain
+    return placed.join(pieces, KEYS).select(*KEYS, "prev_ik", "prev_th", "text", F.concat(kept, F.col("piece")).alias("edited")), chain
 
 
 def both_fingerprints(edited: DataFrame, lex: DataFrame) -> DataFrame:
-    """(ik, th, text, edited) -> (ik, th, edited_sha256, fingerprint, edited_fingerprint, near_edited, own): ``own`` is
-    the text's subset hashes over all its terms.
+    """(ik, th, prev_ik, prev_th, text, edited) -> (ik, th, prev_ik, prev_th, sha, own, edited_own): the edited text's
+    SHA-256 and the parts of both fingerprints.
 
     Only terms of a text's own subsets are looked up in the lexicon, some ``2 * K * TERMS_PER_SUBSET`` of a text however
     long it is.  All groupings are by the key that the rows are partitioned by already."""
-    bodies = edited.select(*KEYS, F.inline(F.array(
+    bodies = edited.select(*KEYS, "prev_ik", "prev_th", F.inline(F.array(
         F.struct(F.lit(0).alias("of"), F.col("text").alias("body")), F.struct(F.lit(1).alias("of"), F.col("edited").alias("body")))))
     counted = bodies.withColumn("terms", terms(F.col("body"))).select(
-        *KEYS, "of", "terms", scale_of(F.size("terms")).alias("scale"), F.xxhash64(F.sort_array("terms")).alias("whole"),
-        F.when(F.col("of") == 1, F.sha2(F.col("body").cast("binary"), 256)).alias("sha"))
+        *KEYS, "of", "terms", scale_of(F.size("terms")).alias("scale"), F.struct(
+            F.xxhash64(F.sort_array("terms")).alias("whole"), F.when(F.col("of") == 1, F.unhex(F.sha2(F.col("body").cast("binary"), 256))).alias("sha"),
+            "prev_ik", "prev_th").alias("about"))
     own = F.filter("terms", lambda t: in_cut(term_hash(t), F.col("scale")))
     # the empty term keeps every text, and carries what belongs to the whole text
-    none = F.lit(None)
-    head = F.struct(F.lit("").alias("term"), F.col("whole").alias("whole"), F.col("sha").alias("sha"))
-    rest = F.transform(own, lambda t: F.struct(t.alias("term"), none.cast("long").alias("whole"), none.cast("string").alias("sha")))
-    rows = counted.select(*KEYS, "of", "scale", F.explode(F.concat(F.array(head), rest)).alias("t")).select(*KEYS, "of", "scale", "t.*")
+    cells = F.concat(F.array(F.struct(F.lit("").alias("term"), F.col("about"))),
+                     F.transform(own, lambda t: F.struct(t.alias("term"), F.lit(None).cast(counted.schema["about"].dataType).alias("about"))))
+    rows = counted.select(*KEYS, "of", "scale", F.explode(cells).alias("t")).select(*KEYS, "of", "scale", "t.*")
     known = rows.join(lex, "term", "left").withColumn("g", F.when(F.col("term") != "", term_hash(F.col("term"))))
     next_cut = lambda h: F.when(in_cut(F.col(h), F.col("scale") + 1), F.col(h))
     subsets = known.groupBy(*KEYS, "of", "scale", F.pmod("g", F.lit(K)).alias("k")).agg(
         F.sort_array(F.collect_list("h")).alias("cut0"), F.sort_array(F.collect_list(next_cut("h"))).alias("cut1"),
         F.sort_array(F.collect_list("g")).alias("own0"), F.sort_array(F.collect_list(next_cut("g"))).alias("own1"),
-        F.max("whole").alias("whole"), F.max("sha").alias("sha"))
-    part = lambda c: F.when(F.col("k").isNotNull() & (F.size(c) > 0), F.concat_ws(".", "k", _hash_text(F.xxhash64(c))))
-    marks = subsets.select(*KEYS, "of", "scale", "whole", "sha", *[part(c).alias(c) for c in ("cut0", "cut1")],
-                           *[_mark(F.col("k"), F.col(c)).alias(c) for c in ("own0", "own1")])
-    texts = marks.groupBy(*KEYS, "of", "scale").agg(
-        *[F.sort_array(F.collect_list(c)).alias(c) for c in ("cut0", "cut1", "own0", "own1")],
-        F.max("whole").alias("whole"), F.max("sha").alias("sha")) \
-        .withColumn("weak", F.size("cut0") < F.size("own0") * LEAST_SHARE)
-    made = F.when(F.size("own0") == 0, F.concat(F.lit("x:"), F.hex("whole"))).when(
-        F.col("weak") & ((F.size("cut0") == 0) | (F.size("own0") >= LEAST_OWN)), F.concat_ws(":", F.lit("x"), "scale", _mark_texts(F.col("own0")), _mark_texts(F.col("own1")))).otherwise(
-        F.concat_ws(":", "scale", F.array_join("cut0", ","), F.array_join("cut1", ",")))
-    own = F.struct("weak", "scale", "own0", "own1")
-    of = lambda i, c: F.max(F.when(F.col("of") == i, F.col(c)))
-    both = texts.select(*KEYS, "of", "sha", made.alias("fp"), own.alias("own")).groupBy(*KEYS).agg(
-        F.max("sha").alias("edited_sha256"), of(0, "fp").alias("fingerprint"), of(1, "fp").alias("edited_fingerprint"),
-        of(0, "own").alias("own"), of(1, "own").alias("edited_own"))
-    near = text_likeness((F.col("fingerprint"), F.col("own")), (F.col("edited_fingerprint"), F.col("edited_own")))
-    return both.withColumn("near_edited", near).drop("edited_own")
+        F.max("about").alias("about"))
+    marks = subsets.select(*KEYS, "of", "scale", "about", *[_mark(F.col("k"), F.col(c)).alias(c) for c in PARTS])
+    texts = marks.groupBy(*KEYS, "of", "scale").agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in PARTS], F.max("about").alias("about"))
+    parts = F.struct("scale", *PARTS, F.col("about.whole").alias("whole"))
+    of = lambda i, c: F.max(F.when(F.col("of") == i, c))
+    return texts.groupBy(*KEYS).agg(
+        F.max("about.prev_ik").alias("prev_ik"), F.max("about.prev_th").alias("prev_th"), F.max("about.sha").alias("sha"),
+        of(0, parts).alias("own"), of(1, parts).alias("edited_own"))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
@@ -211,11 +219,17 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", band:
     n_lex = lex.count()
     lex = F.broadcast(lex) if n_lex <= BROADCAST_ROWS else lex.hint("shuffle_merge")
     edited, chain = edit_with_next(docs)
-    made = written(both_fingerprints(edited, lex))
-    following = made.select(F.col("ik").alias("next_ik"), F.col("th").alias("next_th"), F.col("fingerprint").alias("next_fingerprint"),
-                            F.col("own").alias("next_own"))
-    out = made.join(chain.select("id", *KEYS, "n_chars", "next_ik", "next_th", "copies"), KEYS).join(following, ["next_ik", "next_th"])
+    # every text's parts go to its own row and to the row before it, in one exchange
+    both = both_fingerprints(edited, lex)
+    none = lambda c: F.lit(None).cast(both.schema[c].dataType).alias(c)
+    payload = ("sha", "own", "edited_own")
+    sent = both.select(F.inline(F.array(
+        F.struct(*KEYS, *payload, none("own").alias("next_own")),
+        F.struct(F.col("prev_ik").alias("ik"), F.col("prev_th").alias("th"), *[none(c) for c in payload], F.col("own").alias("next_own")))))
+    made = sent.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in (*payload, "next_own")])
+    out = made.join(chain.select("id", *KEYS, "n_chars", "copies"), KEYS)
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return out.select(F.col("id").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                      "near_edited",
-                      text_likeness((F.col("fingerprint"), F.col("own")), (F.col("next_fingerprint"), F.col("next_own"))).alias("near_next"))
+    own, edited_own, next_own = F.col("own"), F.col("edited_own"), F.col("next_own")
+    return out.select(F.col("id").alias(key), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), spelled(own).alias("fingerprint"),
+                      spelled(edited_own).alias("edited_fingerprint"), parts_likeness(own, edited_own).alias("near_edited"),
+                      parts_likeness(own, next_own).alias("near_next"))

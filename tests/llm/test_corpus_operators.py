@@ -258,10 +258,10 @@ def test_fingerprints_equal_brute_force(spark):
     groups, want = {}, {}
     for i, own in words.items():
         scale = max(0, int(np.floor(np.log2(max(len(own), 1) / (32 * 1.5)))))
-        for cut in (0, 1):
-            mod = 32 << (scale + cut)
+        for cut in (0, 1, 2, 3):  # lexicon terms at two scales, then all terms
+            mod = 32 << (scale + cut % 2)
             for k in range(32):
-                terms = tuple(sorted(h[w] for w in own & lex if h[w] % mod == k))
+                terms = tuple(sorted(h[w] for w in (own & lex if cut < 2 else own) if h[w] % mod == k))
                 if terms:
                     groups[terms] = None
                     want.setdefault(i, {}).setdefault(cut, {})[k] = terms
@@ -271,12 +271,33 @@ def test_fingerprints_equal_brute_force(spark):
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
     for i, w in want.items():
         if 0 in w:
-            parts = [",".join(sorted(f"{k}.{groups[t]}" for k, t in w.get(c, {}).items())) for c in (0, 1)]
+            parts = [",".join(sorted(f"{k}.{groups[t]}" for k, t in w.get(c, {}).items())) for c in (0, 1, 2, 3)]
             assert got[i] == ":".join([str(w["scale"]), *parts])
         else:
             assert got[i].startswith("x:")
 
 
+@pytest.mark.parametrize("folder", [SF_SMALL, SF_ORACLE])
+def test_likeness_of_the_returned_fingerprints_is_the_reported_one(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    if folder == SF_SMALL:
+        docs = docs.select("doc_id", "text").unionByName(edge_documents(spark).selectExpr("doc_id + 100000 AS doc_id", "text"))
+    got = fingerprints.fingerprints(docs).where("doc_id is not null")
+    order = got.select("doc_id", "fingerprint").collect()
+    following = {}
+    ids = sorted({r["doc_id"] for r in order}, reverse=True)
+    by = {r["doc_id"]: r["fingerprint"] for r in order}
+    for i, d in enumerate(ids):
+        following[d] = by[ids[(i + 1) % len(ids)]]
+    after = spark.createDataFrame(list(following.items()), "doc_id long, after string")
+    near = fingerprints.likeness
+    rows = got.join(after, "doc_id").select("doc_id", "near_edited", "near_next", near(F.col("fingerprint"), F.col("edited_fingerprint")).alias("a"),
+                                            near(F.col("fingerprint"), F.col("after")).alias("b")).collect()
+    assert len(rows) >= len(ids) and all(r["near_edited"] == r["a"] for r in rows)
+    twice = {100010, 100011, ids[ids.index(100010) - 1] if 100010 in ids else 0, ids[-1]} if folder == SF_SMALL else set()
+    assert all(r["near_next"] == r["b"] for r in rows if r["doc_id"] not in twice | {100012})
+
+
 def test_fingerprint_edges(spark):
     docs = with_clashes(edge_documents(spark), ["id", "ik", "th", "term", "h", "of", "copies", "range", "next_ik"])
     got = fingerprints.fingerprints(docs).collect()
