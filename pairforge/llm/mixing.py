@@ -167,13 +167,13 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
 
     Rows get their number of copies by (id, hash).  The plan is broadcast behind a count, else both sides are shuffled;
     rows that repeat an (id, hash) are taken once and repeated by their copies' sum."""
-    name, h = free_name(df, "_copies"), free_name(df, "_h")
+    name, h, k, o, n_rows = (free_name(df, c) for c in ("_copies", "_h", "_k", "_o", "_rows"))
     plan = mix(df, key, text, source, weights, share, seed).withColumn("n", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")))
-    plan = written(plan.groupBy(F.col(key).alias("_k"), F.col("order_hash").alias("_o")).agg(F.sum("n").cast("int").alias(name), F.count(F.lit(1)).alias("_rows")))
+    plan = written(plan.groupBy(F.col(key).alias(k), F.col("order_hash").alias(o)).agg(F.sum("n").cast("int").alias(name), F.count(F.lit(1)).alias(n_rows)))
     side = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
     hashed = df.withColumn(h, _order(seed, key, text))
-    rows = hashed.join(side, hashed[key].eqNullSafe(side["_k"]) & (hashed[h] == side["_o"]))
-    if not plan.where("_rows > 1").isEmpty():
-        repeated = rows.where("_rows > 1").dropDuplicates(["_k", "_o"])
-        rows = rows.where("_rows = 1").unionByName(repeated)
+    rows = hashed.join(side, hashed[key].eqNullSafe(side[k]) & (hashed[h] == side[o]))
+    if not plan.where(F.col(n_rows) > 1).isEmpty():
+        repeated = rows.where(F.col(n_rows) > 1).dropDuplicates([k, o])
+        rows = rows.where(F.col(n_rows) == 1).unionByName(repeated)
     return rows.select(*[hashed[c] for c in df.columns], F.explode(F.array_repeat(F.lit(1), F.col(name))).alias(name)).drop(name)

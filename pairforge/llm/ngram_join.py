@@ -1,16 +1,21 @@
 r"""N-gram Jaccard join by multiple-global-order prefix filtering, and the components of its links.
 
-A document's set holds the distinct ``N``-word shingles of its words ``[^\x20\x09-\x0D]+``, A-Z lower-cased (a shorter
+A document's set holds the distinct ``n``-word shingles of its words ``[^\x20\x09-\x0D]+``, A-Z lower-cased (a shorter
 text is one shingle; one without words has an empty set and links with nothing).  Two documents link when
-``100 * intersection >= PERCENT * union``.  Documents of equal sets form a class; only classes are compared.
+``100 * intersection >= percent * union``.  Shingles are told apart by 64-bit hashes.  Documents of equal sets form a class; only classes are compared.
 
 Under any total order of shingles, two sets that link share a shingle among the first
-``n - ceil(PERCENT/100 * n) + 1`` of each (prefix filter).  Every order here puts the common shingles last, by their
+``m - ceil(percent/100 * m) + 1`` of each set of size m (prefix filter).  Every order here puts the common shingles last, by their
 counts over all documents (the ``HEAVY`` most frequent ones; which shingles these are changes the work, never the
 result), and breaks ties by a hash of its own.  The first order's prefixes are joined on equal shingles; a pair is a
-candidate only if it also passes, in the same task, the set-size bound, the bound from parity bitmaps
-(``|A xor B|`` is at least the bitmaps' distance) and the prefixes of every further order (``ORDERS``), as 32-bit hashes.
-Candidates are verified on the whole sets, exactly.
+candidate only if it also passes, in the same task, the set-size bound and the bound from parity bitmaps
+(``|A xor B|`` is at least the bitmaps' distance).  Then the prefixes of every further order (``ORDERS``), as 32-bit hashes,
+are brought together, and only pairs that share a shingle under each of them see their sets.
+
+Sets travel as the top bits of their hashes, packed (``packed_set``, about two bytes a shingle).  Their intersection is off
+by the truncated hashes that fall together.  Those within a set are known exactly, so a pair is refused only
+where it surely doesn't link; those across sets are rare and counted against the pair with a margin that they exceed with a
+chance below 1e-12.  A pair that is decided neither way is verified on whole 64-bit hashes, as are small sets from the start.
 
 Groups of near copies link almost all to all, so candidates are taken in two rounds.  In the first, each posting list
 compares its members with ``PIVOTS`` of them; verified links give components.  In the second, every pair of a list whose
@@ -43,6 +48,9 @@ ORDERS = 3
 HEAVY = 1 << 22  # 48 MB as a broadcast
 PIVOTS = 6
 LIST_ROWS = 2_048
+#: Sets of up to this many shingles travel as 64-bit hashes, larger ones as 24 bits, or from the second size on as 32.
+SMALL_SET, LARGE_SET = 256, 4_096
+MARGIN = 4
 #: Shingles per group of the counting step, about.
 GROUP_SHINGLES = 1 << 19
 CACHE_WORDS = 500_000
@@ -152,8 +160,12 @@ def may_link(n_a: int, n_b: int, differ: int, percent: int = PERCENT) -> bool:
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent)
+
+
+def enough(both: int, n_a: int, n_b: int, percent: int = PERCENT) -> bool:
+    """Whether sets of these sizes with ``both`` common members link."""
+    return 100 * both >= percent * (n_a + n_b - both)
 
 
 def pack(low: np.ndarray) -> bytes:
@@ -174,6 +186,36 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(gaps)[gaps < 65535]
 
 
+def packed_set(shingles: np.ndarray) -> bytes:
+    """Sorted hashes, or the top bits of those of a larger set; the first byte tells which."""
+    if len(shingles) <= SMALL_SET:
+        return b"\x40" + shingles.tobytes()
+    if len(shingles) <= LARGE_SET:
+        return b"\x18" + pack(np.unique(shingles >> np.uint64(40)).astype(np.int64))
+    return b"\x20" + np.unique(shingles >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def top_bits(blob: bytes, bits: int) -> np.ndarray:
+    """The distinct top ``bits`` of a packed set's hashes, at most as many as it has."""
+    has = blob[0]
+    values = np.frombuffer(blob, np.uint64, offset=1) if has == 64 else \
+        unpack(blob[1:]).astype(np.uint64) if has == 24 else np.frombuffer(blob, "<u4", offset=1).astype(np.uint64)
+    return values if has == bits else np.unique(values >> np.uint64(has - bits))
+
+
+def judged(n_a: int, a: bytes, n_b: int, b: bytes, percent: int = PERCENT) -> int:
+    """1 if two packed sets of these sizes link, 0 if they don't, 2 if that takes their whole hashes."""
+    bits = min(a[0], b[0])
+    x, y = top_bits(a, bits), top_bits(b, bits)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    if bits == 64:
+        return int(enough(both, n_a, n_b, percent))
+    if not enough(both + min(n_a - len(x), n_b - len(y)), n_a, n_b, percent):
+        return 0
+    chance = max(n_a - both, 0) * max(n_b - both, 0) / 2.0 ** bits  # expected number of others that fall together
+    return 1 if enough(both - MARGIN - int(np.ceil(8 * chance)), n_a, n_b, percent) else 2
+
+
 def _grouped(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(key, start, end) of the runs of a sorted array."""
     if len(keys):
@@ -182,11 +224,11 @@ def _grouped(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(keys[s]), s, e
 
 
-def _shingled(df: DataFrame, run, schema: str) -> DataFrame:
+def _shingled(df: DataFrame, n: int, run, schema: str) -> DataFrame:
     """``run(shingler, batches of (ids, texts))`` over (id, text)."""
 
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = Shingler(n)
         yield from run(shingler, ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches))
 
     return df.select("id", "text").mapInArrow(call, schema)
@@ -195,7 +237,7 @@ def _shingled(df: DataFrame, run, schema: str) -> DataFrame:
 FLUSH_SHINGLES = 3_000_000
 
 
-def survey(docs: DataFrame) -> tuple[DataFrame, Orders]:
+def survey(docs: DataFrame, n: int = N) -> tuple[DataFrame, Orders]:
     """One pass over all texts: (id, n, h1, h2) of every row, the size of its set and a 128-bit hash of it, and the orders
     from the counts of all shingles, with the at most ``HEAVY`` most frequent ones.
 
@@ -240,12 +282,12 @@ def survey(docs: DataFrame) -> tuple[DataFrame, Orders]:
             facts = np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 5) for b in pdf["data"]])
             ids = pd.Series(facts[:, 0], dtype="Int64").where(facts[:, 1] == 1)
             return pd.DataFrame({"id": ids, "n": facts[:, 2], "h1": facts[:, 3], "h2": facts[:, 4], "key": pd.Series([None] * len(facts), dtype="Int64")})
-        low, n = np.unique(np.concatenate([unpack(b) for b in pdf["data"]]), return_counts=True)
-        often = n > 2
+        low, counts = np.unique(np.concatenate([unpack(b) for b in pdf["data"]]), return_counts=True)
+        often = counts > 2
         none = pd.Series([None] * int(often.sum()), dtype="Int64")
-        return pd.DataFrame({"id": none, "n": n[often], "h1": none, "h2": none, "key": low[often] + (int(key[0]) << 24)})
+        return pd.DataFrame({"id": none, "n": counts[often], "h1": none, "h2": none, "key": low[often] + (int(key[0]) << 24)})
 
-    found = written(_shingled(docs, send, "g long, data binary").groupBy("g").applyInPandas(
+    found = written(_shingled(docs, n, send, "g long, data binary").groupBy("g").applyInPandas(
         read, "id long, n long, h1 long, h2 long, key long"))
     counts = found.where("key is not null").select("key", "n")
     least, kept = None, 0
@@ -259,7 +301,7 @@ def survey(docs: DataFrame) -> tuple[DataFrame, Orders]:
     return found.where("key is null").select("id", "n", "h1", "h2"), orders
 
 
-def postings(docs: DataFrame, orders, total: int) -> tuple[DataFrame, DataFrame]:
+def postings(docs: DataFrame, orders, total: int, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(t, id): first-order prefix postings of shingles in at least two prefixes, where ``t`` stands for the shingle; and
     (id, n, bits): size and bitmap of every set that isn't empty.
 
@@ -273,7 +315,7 @@ def postings(docs: DataFrame, orders, total: int) -> tuple[DataFrame, DataFrame]
         held, about, size = [], [], 0
 
         def flush():
-            rows = [(bitmap_groups - i % groups, data, np.array([i, n], np.int64).tobytes()) for i, n, data in about]
+            rows = [(bitmap_groups - i % groups, data, np.array([i, size], np.int64).tobytes()) for i, size, data in about]
             if held:
                 t = np.concatenate([x[0] for x in held]) >> np.uint64(2)  # 62 bits
                 ids = np.concatenate([np.full(len(x[0]), x[2], np.int64) for x in held])
@@ -293,7 +335,7 @@ def postings(docs: DataFrame, orders, total: int) -> tuple[DataFrame, DataFrame]
             for i, text in zip(ids, texts):
                 shingles = shingler(text)
                 if len(shingles):
-                    ((first, weight),) = own.prefixes(shingles, range(1))
+                    ((first, weight),) = own.prefixes(shingles, range(1), percent)
                     held.append((first, weight, i))
                     about.append((i, len(shingles), bitmap(shingles)))
                     size += len(first)
@@ -317,13 +359,14 @@ def postings(docs: DataFrame, orders, total: int) -> tuple[DataFrame, DataFrame]
         none = pd.Series([None] * len(t), dtype="object")
         return pd.DataFrame({"t": t, "id": ids, "n": none.astype("Int64"), "bits": none})
 
-    found = written(_shingled(docs, send, "g long, t binary, ids binary").groupBy("g").applyInPandas(
+    found = written(_shingled(docs, n, send, "g long, t binary, ids binary").groupBy("g").applyInPandas(
         meet, "t long, id long, n long, bits binary"))
     return found.where("t is not null").select("t", "id"), found.where("t is null").select("id", "n", "bits")
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, orders) -> DataFrame:
-    """(id, more, shingles) of the documents in ``pairs``: prefixes of the further orders as 32-bit hashes, and the set."""
+def packed_sets(docs: DataFrame, pairs: DataFrame, orders, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """(id, n, more, shingles) of the documents in ``pairs``: the set's size, its prefixes under the further orders as 32-bit
+    hashes, and the packed set."""
 
     def run(shingler, batches):
         own = orders.value
@@ -332,14 +375,27 @@ def full_sets(docs: DataFrame, pairs: DataFrame, orders) -> DataFrame:
             for i, text in zip(ids, texts):
                 s = shingler(text)
                 if len(s):
-                    more = [(p & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for p, _ in own.prefixes(s, range(1, ORDERS))]
-                    rows.append((i, more, s.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.binary())),
-                 pa.array([r[2] for r in rows], pa.binary())], names=["id", "more", "shingles"])
+                    more = [(p & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for p, _ in own.prefixes(s, range(1, ORDERS), percent)]
+                    rows.append((i, len(s), more, packed_set(s)))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["id", "n", "more", "shingles"])
+
+    return written(_shingled(_of_pairs(docs, pairs), n, run, "id long, n long, more array<binary>, shingles binary"))
+
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    return written(_shingled(keep_ids(docs, ids, "id", "left_semi"), run, "id long, more array<binary>, shingles binary"))
+def whole_sets(docs: DataFrame, pairs: DataFrame, n: int = N) -> DataFrame:
+    """(id, shingles) of the documents in ``pairs``, as 64-bit hashes."""
+
+    def run(shingler, batches):
+        for ids, texts in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([shingler(t).tobytes() for t in texts], pa.binary())],
+                                             names=["id", "shingles"])
+
+    return _shingled(_of_pairs(docs, pairs), n, run, "id long, shingles binary")
+
+
+def _of_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    return keep_ids(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_semi")
 
 
 class Member(NamedTuple):
@@ -377,7 +433,7 @@ def _near(p: Member, among: list[Member], percent: int = PERCENT) -> Iterator[in
             yield m.id
 
 
-def _pivot_pairs(t: int, members: list[Member]) -> Iterator[tuple[int, int]]:
+def _pivot_pairs(t: int, members: list[Member], percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Pairs of ``PIVOTS`` members, picked by a hash of list and id, with all members."""
     if len(members) > PIVOTS + 1:
         order = mix64(np.array([m.id for m in members], np.int64).astype(np.uint64) ^ np.uint64(t), 5)
@@ -385,26 +441,26 @@ def _pivot_pairs(t: int, members: list[Member]) -> Iterator[tuple[int, int]]:
     else:
         pivots = members
     for p in pivots:
-        for i in _near(p, members):
+        for i in _near(p, members, percent):
             if i != p.id:
                 yield min(p.id, i), max(p.id, i)
 
 
-def _open_pairs(members: list[Member]) -> Iterator[tuple[int, int]]:
+def _open_pairs(members: list[Member], percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Pairs of members in different components: within a part (side 0), or of the first part (1) with the second (2).
     Members are tried by rising set size, so a member meets only those within the size bound."""
     second = sorted(m for m in members if m.side == 2)
     first = sorted(m for m in members if m.side != 2)
     for at, p in enumerate(first):
         for m in second if p.side == 1 else first[at + 1:]:
-            if p.side != 1 and 100 * p.n < PERCENT * m.n:
+            if p.side != 1 and 100 * p.n < percent * m.n:
                 break
             if m.comp != p.comp and m.id != p.id:
-                for i in _near(p, [m]):
+                for i in _near(p, [m], percent):
                     yield min(p.id, i), max(p.id, i)
 
 
-def candidates(lists: DataFrame, n_keys: int, every: bool) -> DataFrame:
+def candidates(lists: DataFrame, n_keys: int, every: bool, percent: int = PERCENT) -> DataFrame:
     """(a, b), a < b, of posting lists (t, part..., id, n, bits[, comp, side]) in partitions sorted by the first
     ``n_keys`` columns; ``every``: all pairs whose components differ, else pairs with pivots."""
 
@@ -417,7 +473,7 @@ def candidates(lists: DataFrame, n_keys: int, every: bool) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for key, members in _lists(batches, n_keys):
-            for pair in _open_pairs(members) if every else _pivot_pairs(key[0], members):
+            for pair in _open_pairs(members, percent) if every else _pivot_pairs(key[0], members, percent):
                 seen.add(pair)
                 if len(seen) >= FLUSH_PAIRS:
                     yield flush()
@@ -426,22 +482,39 @@ def candidates(lists: DataFrame, n_keys: int, every: bool) -> DataFrame:
     return lists.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, orders) -> DataFrame:
-    """The pairs that pass every further order's prefixes and whose sets link."""
-    pairs = written(pairs)
-    own = full_sets(docs, pairs, orders)
-    left = own.select(F.col("id").alias("a"), F.col("more").alias("ma"), F.col("shingles").alias("sa"))
-    right = own.select(F.col("id").alias("b"), F.col("more").alias("mb"), F.col("shingles").alias("sb"))
+def _with_both(pairs: DataFrame, own: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs with ``columns`` of both sides, as ``<column>_a`` and ``<column>_b``."""
+    side = lambda k: own.select(F.col("id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in columns])
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+
+
+def _judge(joined: DataFrame, columns: list[str], judge) -> DataFrame:
+    """(a, b, verdict) by ``judge(values of a, values of b)``, pairs of verdict 0 left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for ma, sa, mb, sb in zip(*(batch.column(c).to_pylist() for c in ("ma", "sa", "mb", "sb"))):
-                keep.append(all(len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))) for x, y in zip(ma, mb))
-                            and links(np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            left, right = (zip(*(batch.column(f"{c}_{k}").to_pylist() for c in columns)) for k in ("a", "b"))
+            verdicts = pa.array([judge(x, y) for x, y in zip(left, right)], pa.int32())
+            kept = pa.array([v > 0 for v in verdicts.to_pylist()], pa.bool_())
+            yield batch.select(["a", "b"]).append_column("verdict", verdicts).filter(kept)
+
+    return joined.mapInArrow(run, "a long, b long, verdict int")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, orders, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The pairs that pass every further order's prefixes and whose sets link."""
+    pairs = written(pairs)
+    own = packed_sets(docs, pairs, orders, n, percent)
+
+    def shares(a, b) -> int:
+        return int(all(len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))) for x, y in zip(a[0], b[0])))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "sa", "mb", "sb").mapInArrow(run, "a long, b long")
+    passed = _judge(_with_both(pairs, own, ["more"]), ["more"], shares)
+    decided = written(_judge(_with_both(passed, own, ["n", "shingles"]), ["n", "shingles"], lambda a, b: judged(*a, *b, percent)))
+    unsure = decided.where("verdict = 2").select("a", "b")
+    exact = _judge(_with_both(unsure, whole_sets(docs, unsure, n), ["shingles"]), ["shingles"],
+                   lambda a, b: int(links(np.frombuffer(a[0], np.uint64), np.frombuffer(b[0], np.uint64), percent)))
+    return decided.where("verdict = 1").select("a", "b").unionByName(exact.select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -466,12 +539,12 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id`` for every row."""
+def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """``key, n_shingles, component_id`` for every row: ``n`` words to a shingle, links from ``percent`` of Jaccard on."""
     spark = df.sparkSession
     small_batches(spark)
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sets, heavy = survey(docs)
+    sets, heavy = survey(docs, n)
     orders = spark.sparkContext.broadcast(heavy)
     full = sets.where(F.col("id").isNotNull() & (F.col("n") > 0))
 
@@ -485,7 +558,7 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     leaders = keep_ids(docs, per_id.where(~F.col("stays")), "id", "left_anti")
 
     total = full.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    posted, about = postings(leaders, orders, total)
+    posted, about = postings(leaders, orders, total, n, percent)
     posted = written(posted.distinct())
 
     # lists in parts of about LIST_ROWS members
@@ -499,7 +572,7 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 16)
 
     lists = with_bits.select("t", "part", "id", "n", "bits").repartition(spread, "t", "part").sortWithinPartitions("t", "part")
-    first = written(verified(candidates(lists, 2, False), leaders, orders))
+    first = written(verified(candidates(lists, 2, False, percent), leaders, orders, n, percent))
     linked = components(first)
 
     # second round: every pair of a list across components
@@ -511,7 +584,7 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text") -
         F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"))
     lists = paired.select("t", "p", "q", "id", "n", "bits", "comp", "side") \
         .repartition(spread, "t", "p", "q").sortWithinPartitions("t", "p", "q")
-    again = written(verified(candidates(lists, 3, True), leaders, orders))
+    again = written(verified(candidates(lists, 3, True, percent), leaders, orders, n, percent))
 
     same_id = placed.join(per_id.select("id", "low"), "id").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
     every = linked.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(again).unionByName(same_id)
