@@ -4,7 +4,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is writte
 next one's ``docs``.  All but the last return the columns of ``documents``.
 
 * ``language_id``: keeps documents with a known language and at least ``LEAST_SCORE`` of evidence for it;
-* ``ngram_jaccard_join``: of each group of near copies the document of the smallest id stays (of repeated rows of an id, one);
+* ``ngram_jaccard_join``: of each group of near copies (``SHINGLE`` words, ``PERCENT`` of Jaccard) the document of the smallest id stays (of repeated rows of an id, one);
 * ``secret_scan``: secrets give way to ``[SECRET]``, and ``n_chars`` follows the text; no document goes;
 * ``mix``: a document stays as often as the mix takes it (not at all, once or twice); one without words, which the
   mix can't weigh, stays once;
@@ -25,6 +25,7 @@ from pairforge.llm.common import free_name, keep_ids, written
 from pairforge.session import shared_dir
 
 LEAST_SCORE = 0.5
+SHINGLE, PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -36,15 +37,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    joined = written(ngram_join.ngram_jaccard_join(docs))
+    joined = written(ngram_join.ngram_jaccard_join(docs, n=SHINGLE, percent=PERCENT))
     gone = joined.where(F.col("component_id") != F.col("doc_id"))
     kept = keep_ids(docs, gone, "doc_id", "left_anti")
     twice = written(joined.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"))
     if twice.isEmpty():
         return kept.select(docs.columns)
     # an id that occurs in several rows: one of them, by its text
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    once = keep_ids(kept, twice, "doc_id", "left_semi").withColumn("_rank", rank).where("_rank = 1")
+    rank, name = F.row_number().over(Window.partitionBy("doc_id").orderBy("text")), free_name(docs, "_rank")
+    once = keep_ids(kept, twice, "doc_id", "left_semi").withColumn(name, rank).where(F.col(name) == 1)
     return keep_ids(kept, twice, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
 
 
