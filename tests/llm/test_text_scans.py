@@ -294,6 +294,49 @@ def test_license_gates_lose_no_detection(monkeypatch):
             assert licenses.detections(line) == ungated(line) != [], text
 
 
+def plain_suppress(found):
+    return sorted((d for d in set(found) if d.priority == licenses.BASE_PRIORITY or not any(
+        k.start <= d.start and d.end <= k.end and (k.priority > d.priority or k.priority == d.priority and k.end - k.start > d.end - d.start)
+        for k in found)), key=lambda d: (d.start, d.end, d.label))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 8), st.integers(1, 6), st.sampled_from([1, 2, 3, 9])), max_size=14))
+def test_suppression_equals_all_pairs(rows):
+    found = [licenses.Detection(label, s, s + n, p, 0.5) for label, s, n, p in rows]
+    assert licenses.suppress(found) == plain_suppress(found)
+
+
+@pytest.mark.parametrize("phrase", ["cc by nc", "copyright 2020", "licensed under the mit license"])
+def test_long_license_texts_take_linear_time(phrase):
+    import time
+
+    def seconds(size):
+        text = (phrase + " ") * (size // len(phrase))
+        began = time.process_time()
+        n, found = licenses.scan_text(text)
+        assert n == len(text.split()) and len(found) >= size // len(phrase) - 1
+        return time.process_time() - began
+
+    # four times the text takes about four times as long; work that grows with the square would take sixteen
+    assert seconds(1_000_000) < 9 * max(seconds(250_000), 0.05)
+
+
+def test_notices_of_the_licenses_themselves():
+    labels = lambda t: {d.label for d in licenses.scan_text(t)[1]}
+    for label, notice in {
+        "apache-2": "you may not use this file except in compliance with the License.",
+        "bsd-3-clause": "Neither the name of the University nor the names of its contributors may be used to endorse or promote products",
+        "gpl": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published",
+        "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "cc0": "The person who associated a work with this deed has dedicated the work to the public domain",
+        "classpath-exception": "As a special exception, the copyright holders of this library give you permission to link this library with independent modules",
+        "mit": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    }.items():
+        assert label in labels(notice), label
+
+
 def test_license_edges(spark):
     docs = with_clashes(edge_documents(spark), ["_key", "labels", "score"])
     got = licenses.scan_licenses(docs).collect()
