@@ -46,7 +46,9 @@ N = 4
 PERCENT = 85
 ORDERS = 3
 HEAVY = 1 << 22  # 48 MB as a broadcast
-PIVOTS = 6
+PIVOTS = 8
+PIVOT_CLASSES = 8
+BITMAP = 10
 LIST_ROWS = 2_048
 #: Sets of up to this many shingles travel as 64-bit hashes, larger ones as 24 bits, or from the second size on as 32.
 SMALL_SET, LARGE_SET = 256, 4_096
@@ -134,8 +136,9 @@ class Orders:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parity bitmap: bit i is the parity of the shingles that hash to i; about as many bits as shingles."""
-    bits = 1 << min(max(int(len(shingles)).bit_length(), 8), 13)
+    """Parity bitmap: bit i is the parity of the shingles that hash to i; about as many bits as shingles, at most
+    ``1 << BITMAP``: a long text has many postings, and each carries the bitmap."""
+    bits = 1 << min(max(int(len(shingles)).bit_length(), 8), BITMAP)
     parity = np.bincount((mix64(shingles, 7) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
@@ -434,9 +437,10 @@ def _near(p: Member, among: list[Member], percent: int = PERCENT) -> Iterator[in
 
 
 def _pivot_pairs(t: int, members: list[Member], percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Pairs of ``PIVOTS`` members, picked by a hash of list and id, with all members."""
+    """Pairs of ``PIVOTS`` members with all members.  Pivots are picked by a hash of the id and one of ``PIVOT_CLASSES`` of
+    the list: lists that the same group of near copies fills share their pivots, and so their pairs."""
     if len(members) > PIVOTS + 1:
-        order = mix64(np.array([m.id for m in members], np.int64).astype(np.uint64) ^ np.uint64(t), 5)
+        order = mix64(np.array([m.id for m in members], np.int64).astype(np.uint64) * np.uint64(PIVOT_CLASSES) + np.uint64(t % PIVOT_CLASSES), 5)
         pivots = [members[i] for i in np.argpartition(order, PIVOTS)[:PIVOTS].tolist()]
     else:
         pivots = members
@@ -575,10 +579,11 @@ def ngram_jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", n
     first = written(verified(candidates(lists, 2, False, percent), leaders, orders, n, percent))
     linked = components(first)
 
-    # second round: every pair of a list across components
-    comp = with_bits.join(linked, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
-    mixed = comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("t")
-    open_ = comp.join(mixed, "t", "left_semi")
+    # second round: every pair of a list across components; which lists have any is found before bitmaps join in
+    comp = listed.join(linked, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
+    mixed = written(comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("t"))
+    side = F.broadcast(mixed) if mixed.count() <= BROADCAST_ROWS else mixed
+    open_ = comp.join(side, "t", "left_semi").join(about, "id")
     paired = open_.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "t", "id", "n", "bits", "comp", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"))
