@@ -48,7 +48,7 @@ ORDERS = 3
 HEAVY = 1 << 22  # 48 MB as a broadcast
 PIVOTS = 8
 PIVOT_CLASSES = 8
-BITMAP = 10
+BITMAP = 11
 LIST_ROWS = 2_048
 #: Sets of up to this many shingles travel as 64-bit hashes, larger ones as 24 bits, or from the second size on as 32.
 SMALL_SET, LARGE_SET = 256, 4_096
