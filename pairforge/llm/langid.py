@@ -23,6 +23,8 @@ an empty table an empty one.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -45,7 +47,19 @@ SMOOTHING = 0.5
 EVIDENCE = 10.0
 CACHE_TOKENS = 300_000
 FLUSH_TERMS = 400_000
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _class(*kinds: str) -> str:
+    """Regex class items of all characters whose Unicode category starts with one of ``kinds``."""
+    found = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith(kinds)]
+    breaks = [i for i in range(1, len(found)) if found[i] != found[i - 1] + 1]
+    runs = zip([0, *breaks], [*breaks, len(found)])
+    return "".join(f"{chr(found[s])}-{chr(found[e - 1])}" for s, e in runs)
+
+
+#: A word: a letter, then letters and the marks that combine with them (number characters are no letters).
+_LETTERS, _MARKS = _class("L"), _class("M")
+_WORD = re.compile(f"[{_LETTERS}][{_LETTERS}{_MARKS}]*")
 
 
 def words(text: str) -> list[str]:

@@ -294,6 +294,33 @@ def test_license_gates_lose_no_detection(monkeypatch):
             assert licenses.detections(line) == ungated(line) != [], text
 
 
+def test_words_are_letters_and_marks():
+    words = lambda t: langid._WORD.findall(t)
+    assert words("\u00bd \u2167 \u00b2 12 _ !") == []
+    assert words("\u0939\u093f\u0928\u094d\u0926\u0940 na\u00efve cafe\u0301 a\u00b2b x_y \U00010400") == [
+        "\u0939\u093f\u0928\u094d\u0926\u0940", "na\u00efve", "cafe\u0301", "a", "b", "x", "y", "\U00010400"]
+    import regex
+    every = "".join(map(chr, [*range(0x20, 0xD800), *range(0xE000, 0x20000)]))
+    assert words(every) == regex.findall(r"\p{L}[\p{L}\p{M}]*", every) or unicodedata_differs(every)
+
+
+def unicodedata_differs(every):
+    """The two modules may know different Unicode versions: then only characters of theirs differ."""
+    import regex
+    import unicodedata
+    odd = {c for c in every if bool(regex.match(r"\p{L}", c)) != unicodedata.category(c).startswith("L")
+           or bool(regex.match(r"\p{M}", c)) != unicodedata.category(c).startswith("M")}
+    kept = "".join(c for c in every if c not in odd)
+    return langid._WORD.findall(kept) == regex.findall(r"\p{L}[\p{L}\p{M}]*", kept)
+
+
+def test_texts_without_letters_have_no_language(spark):
+    rows = [(i, t, lang, "a", 0) for i, (t, lang) in enumerate(
+        [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 6 + [("\u00bd \u2167", "en"), ("\u00b2 12!", "de"), (None, "en")])]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in (12, 13, 14)] == ["und"] * 3 and got[0] == "en" and got[1] == "de"
+
+
 def plain_suppress(found):
     return sorted((d for d in set(found) if d.priority == licenses.BASE_PRIORITY or not any(
         k.start <= d.start and d.end <= k.end and (k.priority > d.priority or k.priority == d.priority and k.end - k.start > d.end - d.start)
