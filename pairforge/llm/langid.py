@@ -11,8 +11,9 @@ evidence of a text tempered to at most ``EVIDENCE`` words, so that long texts do
 all score 1.
 
 The model is fitted on a bounded sample of labelled rows (``TRAIN_DOCS`` per
-language, chosen by a hash of the id) and keeps the ``MAX_TERMS`` most frequent
-words and n-grams, so that it may be broadcast; prediction covers every text.
+language, chosen by a hash of the id) and keeps, of every language, the ``MAX_TERMS``
+most frequent words and as many n-grams of each length, so that it may be broadcast and
+no language crowds out another; prediction covers every text.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0.  Without
 any training row everything is ``und``.  Equal scores go to the first language in
@@ -32,7 +33,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -41,8 +42,7 @@ from .common import held_out, small_batches
 UNKNOWN = "und"
 TRAIN_DOCS = 4_000
 MAX_GRAM = 5
-MAX_TERMS = 120_000
-LEAST_COUNT = 2
+MAX_TERMS = 8_000
 SMOOTHING = 0.5
 EVIDENCE = 10.0
 CACHE_TOKENS = 300_000
@@ -205,10 +205,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     parts = sample.mapInPandas(count, "n int, term string, lang string, count long")
     counts = parts.groupBy("n", "term", "lang").agg(F.sum("count").alias("count"))
-    terms = counts.groupBy("n", "term").agg(
-        F.collect_list(F.struct("lang", "count")).alias("langs"), F.sum("count").alias("total"))
-    kept = terms.where(F.col("total") >= LEAST_COUNT).orderBy(F.desc("total"), "n", "term").limit(max_terms)
-    rows = kept.select("n", "term", F.inline("langs")).toArrow()  # at most max_terms per language
+    place = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "term"))
+    terms = counts.withColumn("place", place).groupBy("n", "term").agg(
+        F.collect_list(F.struct("lang", "count")).alias("langs"), F.min("place").alias("place"))
+    kept = terms.where(F.col("place") <= max_terms)  # at most max_terms for each language and n
+    rows = kept.select("n", "term", F.inline("langs")).orderBy("n", "term", "lang").toArrow()
     return build_model(list(zip(*(rows.column(c).to_pylist() for c in ("n", "term", "lang", "count")))))
 
 
