@@ -8,7 +8,8 @@ Base kinds (leftmost non-overlapping per kind, failing matches dropped):
 * ``hex``: ``[0-9a-f]+`` of at least 16 characters.
 
 The battery adds kind ``random``: runs of ``[A-Za-z0-9+/_-]`` that touch no base span.  The encoding is the
-smallest alphabet that holds the run.  Tests of "every symbol is drawn evenly and independently" follow:
+smallest alphabet that holds the run.  A run that mixes ``+ /`` with ``- _`` (a key in a path or after a name with
+hyphens) is cut at either pair; of overlapping pieces the longest is judged.  Tests of "every symbol is drawn evenly and independently" follow:
 chi-squared over the alphabet and over its character classes, Wald-Wolfowitz runs around the alphabet's middle, and
 lag-1 serial correlation.  A run's p-value is the Bonferroni minimum of the four.  All runs of a text are judged together by the
 Benjamini-Hochberg step-up with weights in proportion to the run's length (a longer run has more power), at
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Callable
 
@@ -42,6 +44,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+_SLASHES, _DASHES = re.compile(r"[+/]"), re.compile(r"[_-]")
+_NO_SLASHES, _NO_DASHES = re.compile(r"[A-Za-z0-9_-]{20,}"), re.compile(r"[A-Za-z0-9+/]{20,}")
 _DIGITS, _LOW, _UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: (symbols, character classes that must occur, least length), smallest alphabet first.
 ENCODINGS = (
@@ -143,12 +147,26 @@ def rejected(p: list[float], lengths: list[int], fdr: float = FDR) -> list[bool]
     return out
 
 
+def pieces(run: str) -> list[tuple[int, str]]:
+    """(start, piece) of what is judged of a run: the run, or its longest pieces that don't mix ``+ /`` with ``- _``."""
+    if not (_SLASHES.search(run) and _DASHES.search(run)):
+        return [(0, run)]
+    cut = {(m.start(), m.group()) for part in (_NO_SLASHES, _NO_DASHES) for m in part.finditer(run) if infer_encoding(m.group())}
+    kept: list[tuple[int, str]] = []
+    for s, piece in sorted(cut, key=lambda x: (-len(x[1]), x[0])):
+        at = bisect(kept, (s, ""))
+        if (at == 0 or kept[at - 1][0] + len(kept[at - 1][1]) <= s) and (at == len(kept) or s + len(piece) <= kept[at][0]):
+            kept.insert(at, (s, piece))
+    return kept
+
+
 def random_spans(text: str, base: list[tuple[str, int, int]], fdr: float = FDR) -> list[tuple[str, int, int]]:
     found = []
     for m in _RUN.finditer(text):
-        run = m.group()
-        if (kind := infer_encoding(run)) and not any(s < m.end() and m.start() < e for _, s, e in base):
-            found.append((m.start(), m.end(), run, *kind))
+        for at, run in pieces(m.group()):
+            start, end = m.start() + at, m.start() + at + len(run)
+            if (kind := infer_encoding(run)) and not any(s < end and start < e for _, s, e in base):
+                found.append((start, end, run, *kind))
     if not found:
         return []
     drop = rejected([randomness_p(r, a) for _, _, r, a, _ in found], [len(f[2]) for f in found], fdr)
