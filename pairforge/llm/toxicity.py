@@ -2,21 +2,25 @@
 
 Labelled rows teach three things, all on a bounded sample (``TRAIN_ROWS`` per label, by a hash of the id):
 
-* the vocabulary: words and word beginnings (``PREFIXES`` letters) whose presence differs between the labels, beyond
-  chance (likelihood ratio at least ``LEAST_G2``) and by much (odds ratio at least ``LEAST_ODDS``; a language that is
-  toxic a little more often shall not bring in all its words), at most ``MAX_TERMS`` of them, with their idf;
+* the vocabulary: every word of the sample, with its idf times ``FLOOR`` + what it tells about the label (the log odds
+  ratio of its presence, less ``DOUBT`` standard errors, at least 0).  Ordinary words weigh little, but every
+  word counts, so every text that shares a word with an example has neighbours;
 * the examples: TF-IDF vectors over that vocabulary, in an inverted index in blocks of ``BLOCK`` examples with the
-  largest weight of every term in every block;
+  largest weight of every term in every block it occurs in;
 * the calibration: isotonic regression of the labels on leave-one-out votes.
 
+The sample's words and vectors pass through the driver once; their size is bounded by the sample's texts, whatever
+the size of the table.
+
 A label of more than ``TRAIN_ROWS`` rows is sampled, so an example counts as many rows as it stands for: all rows of its
 label / sampled ones (1 below the cap).  Votes, calibration, overall rate and idf use these weights, so scores
-follow the labels' real shares at every size.  Only the choice of terms, a test on the sample, uses plain counts.
+follow the labels' real shares at every size.  Only the log odds ratios, which do not depend on the shares, use
+plain counts.
 
 A text's neighbours are the ``K`` examples of the highest cosine: the blocks of the highest upper bounds (the text's
 weights times the block maxima) are opened first, and then every block whose bound reaches the K-th cosine so far, so
 neighbours are exact.  They vote with the weight of their label / (distance + ``SOFTEN``); the calibrated vote is the score, the
-neighbours are the evidence.  A text without any term of the vocabulary has no neighbours and gets the rate of such
+neighbours are the evidence.  A text without any word of the vocabulary has no neighbours and gets the rate of such
 examples.
 
 Rows: a null text is an empty text.  Rows without a label (or with a null one) teach nothing; if an id is labelled
@@ -27,10 +31,8 @@ results and an empty table an empty one.
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,13 +42,11 @@ from pyspark.sql import functions as F
 
 from .common import held_out, small_batches, written
 
-TRAIN_ROWS = 8_000
-MAX_TERMS = 4_096
-LEAST_G2 = 24.0
-LEAST_ODDS = 4.0
-PREFIXES = (4, 5, 6)
+TRAIN_ROWS = 1_000
+FLOOR = 0.05
+DOUBT = 2.0
 BLOCK = 64
-FIRST_BLOCKS = 4
+FIRST_BLOCKS = 2
 K = 15
 SOFTEN = 0.05
 PRIOR_WEIGHT = 1.0
@@ -56,17 +56,20 @@ FLUSH_TERMS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def token_terms(token: str) -> list[str]:
-    """Terms of a lower-cased token: its words, and their beginnings marked with a star."""
-    out = []
-    for w in _WORD.findall(token):
-        out.append(w)
-        out += [w[:n] + "*" for n in PREFIXES if len(w) >= n]
-    return out
+def words(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
+
+
+def telling(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """What each word's presence tells about the label: |log odds ratio| less ``DOUBT`` standard errors, at least 0.
+    A lower bound of an effect does not grow with the sample as a test statistic does."""
+    cells = [with_toxic + 0.5, toxic - with_toxic + 0.5, with_clean + 0.5, clean - with_clean + 0.5]
+    odds = np.log(cells[0] * cells[3] / (cells[1] * cells[2]))
+    return np.maximum(np.abs(odds) - DOUBT * np.sqrt(sum(1 / c for c in cells)), 0.0)
 
 
 class Vectorizer:
-    """Texts to unit TF-IDF vectors over the chosen vocabulary."""
+    """Texts to unit TF-IDF vectors over the vocabulary."""
 
     def __init__(self, idf: dict[str, float]):
         self.at = {t: i for i, t in enumerate(idf)}
@@ -76,28 +79,33 @@ class Vectorizer:
     def _hits(self, token: str) -> tuple[int, ...]:
         if len(self.known) > CACHE_TOKENS:
             self.known.clear()
-        self.known[token] = hits = tuple(i for t in token_terms(token) if (i := self.at.get(t)) is not None)
+        self.known[token] = hits = tuple(i for t in _WORD.findall(token) if (i := self.at.get(t)) is not None)
         return hits
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, weights); empty if the text has no term of the vocabulary."""
-        counts: Counter = Counter()
+        found: list[int] = []
         get = self.known.get
         for token in (text or "").lower().split():
             hits = get(token)
-            if hits is None:
-                hits = self._hits(token)
-            if hits:
-                counts.update(hits)
-        if not counts:
+            found += self._hits(token) if hits is None else hits
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.array(sorted(counts), np.int64)
-        w = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms]
+        terms, counts = np.unique(np.array(found, np.int64), return_counts=True)
+        w = (1 + np.log(counts)) * self.idf[terms]
         return terms, w / np.sqrt((w ** 2).sum())
 
 
+def _spread(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of the ranges start..stop, one after the other, and the range each belongs to)"""
+    n = stop - start
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(of)) + (start - np.concatenate(([0], np.cumsum(n)[:-1])))[of], of
+
+
 class BlockMaxIndex:
-    """Inverted index of unit vectors; postings of a term are cut at block bounds."""
+    """Inverted index of unit vectors.  A term's postings are cut at block bounds; each such segment knows its
+    block and its largest weight."""
 
     def __init__(self, n_terms: int, vectors: list[tuple[np.ndarray, np.ndarray]]):
         self.n = len(vectors)
@@ -106,42 +114,55 @@ class BlockMaxIndex:
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         order = np.lexsort((ex, term))
-        self.ex, self.weight = ex[order], weight[order]
-        self.block = self.ex // BLOCK
-        self.start = np.searchsorted(term[order], np.arange(n_terms + 1)).tolist()
-        self.max = np.zeros((n_terms, max(self.blocks, 1)))
-        np.maximum.at(self.max, (term[order], self.block), self.weight)
+        self.ex, self.weight, term = ex[order], weight[order], term[order]
+        block = self.ex // BLOCK
+        new = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else [])
+        self.first = np.concatenate((new, [len(term)])).astype(np.int64)  # postings of segment s: first[s] to first[s + 1]
+        self.block = block[new]
+        self.max = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.start = np.searchsorted(term[new], np.arange(n_terms + 1))  # segments of term t: start[t] to start[t + 1]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
         """(examples, cosines) of the k nearest with a positive cosine, and the number of opened blocks.
 
         The blocks of the highest bounds are opened first; their k-th cosine then tells which others can matter."""
-        bound = weights @ self.max[terms]
+        segment, of = _spread(self.start[terms], self.start[terms + 1])
+        weight, block = weights[of], self.block[segment]
+        bound = np.bincount(block, weight * self.max[segment], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        cos = np.zeros(self.n)
-
-        def open_blocks(blocks: np.ndarray) -> None:
-            chosen = np.zeros(self.blocks, bool)
-            chosen[blocks] = True
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                own = slice(self.start[t], self.start[t + 1])
-                at = chosen[self.block[own]]
-                cos[self.ex[own][at]] += w * self.weight[own][at]
+
+        def cosines(blocks: np.ndarray) -> np.ndarray:
+            if 4 * len(blocks) > self.blocks:  # whole lists are cheaper than many of their segments
+                start, stop = self.first[self.start[terms]], self.first[self.start[terms + 1]]
+                lists = list(map(slice, start.tolist(), stop.tolist()))
+                ex, w = np.concatenate([self.ex[x] for x in lists]), np.concatenate([self.weight[x] for x in lists])
+                w *= np.repeat(weights, stop - start)
+            else:
+                chosen = np.zeros(self.blocks, bool)
+                chosen[blocks] = True
+                own = np.flatnonzero(chosen[block])
+                posting, at = _spread(self.first[segment[own]], self.first[segment[own] + 1])
+                ex, w = self.ex[posting], weight[own][at] * self.weight[posting]
+            cos = np.bincount(ex, w, self.n)
             if leave >= 0:
                 cos[leave] = 0
+            return cos
 
-        open_blocks(order[:FIRST_BLOCKS])
+        cos = cosines(order[:FIRST_BLOCKS])
         found = cos[cos > 0]
         least = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
         rest = order[FIRST_BLOCKS:]
         rest = rest[bound[rest] >= least - 1e-9]
-        if len(rest):
-            open_blocks(rest)
-        near = np.flatnonzero(cos > 0)
-        exact = np.round(cos[near], 12)
-        best = np.lexsort((near, -exact))[:k]
-        return near[best], exact[best], len(order[:FIRST_BLOCKS]) + len(rest)
+        if 4 * len(rest) > self.blocks:
+            cos = cosines(order)
+        elif len(rest):
+            cos = cos + cosines(rest)
+        exact = np.round(cos, 12)
+        least = np.partition(exact, self.n - k)[self.n - k] if self.n > k else 0.0
+        near = np.flatnonzero((exact > 0) & (exact >= least))
+        best = near[np.lexsort((near, -exact[near]))[:k]]
+        return best, exact[best], len(order[:FIRST_BLOCKS]) + len(rest)
 
 
 def vote(cosines: np.ndarray, labels: np.ndarray, stands_for: np.ndarray) -> float:
@@ -181,11 +202,11 @@ class Model:
         self.ids = [str(x[0]) for x in examples]
         self.labels = np.array([x[1] for x in examples], np.float64)
         self.stands_for = np.where(self.labels > 0, stands_for[1], stands_for[0])
-        self.vectors = [(np.asarray(x[2], np.int64), np.asarray(x[3], np.float64)) for x in examples]
-        self.index = BlockMaxIndex(len(idf), self.vectors)
+        vectors = [(np.asarray(x[2], np.int64), np.asarray(x[3], np.float64)) for x in examples]
+        self.index = BlockMaxIndex(len(idf), vectors)
         toxic, n = without
         self.rate_without = (toxic + PRIOR_WEIGHT * prior) / (n + PRIOR_WEIGHT)
-        votes = [self._vote(*v, leave=i)[0] for i, v in enumerate(self.vectors)]
+        votes = [self._vote(*v, leave=i)[0] for i, v in enumerate(vectors)]
         seen = np.array([v is not None for v in votes], bool)
         self.from_vote, self.rate = isotonic(np.array([v for v in votes if v is not None], np.float64), self.labels[seen], prior,
                                              self.stands_for[seen])
@@ -242,37 +263,34 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
         for batch in batches:
             for y, t in zip(batch["_y"].tolist(), batch["_text"].tolist()):
-                own: set[str] = set()
-                for token in set((t or "").lower().split()):
-                    own.update(token_terms(token))
-                for term in own:
+                for term in set(words(t)):
                     seen.setdefault(term, [0, 0])[1 - y] += 1
                 if len(seen) > FLUSH_TERMS:
                     yield flush()
         yield flush()
 
     terms = rows.mapInPandas(count, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(F.lit(0.0))
-    a, df = F.col("a"), F.col("a") + F.col("b")
-    g2 = 2 * (part(a, df * (toxic / n)) + part(F.col("b"), df * (1 - toxic / n))
-              + part(F.lit(toxic) - a, (F.lit(n) - df) * (toxic / n)) + part(F.lit(n - toxic) - F.col("b"), (F.lit(n) - df) * (1 - toxic / n)))
-    odds = (a + 0.5) * (F.lit(n - toxic) - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (F.lit(toxic) - a + 0.5))
-    tells = (F.col("g2") >= LEAST_G2) & ((odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS))
-    kept = terms.withColumn("g2", g2).where(tells).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
-    idf = {r["term"]: math.log((clean_rows + toxic_rows + 1) / (r["a"] * stands_for[1] + r["b"] * stands_for[0] + 1)) + 1 for r in kept}
+    found = terms.orderBy("term").toArrow()  # bounded by the sample's texts
+    a, b = (found.column(c).to_numpy().astype(np.float64) for c in ("a", "b"))
+    weight = (np.log((clean_rows + toxic_rows + 1) / (a * stands_for[1] + b * stands_for[0] + 1)) + 1) \
+        * (FLOOR + telling(a, b, toxic, n - toxic))
+    shared = rows.sparkSession.sparkContext.broadcast(dict(zip(found.column("term").to_pylist(), weight.tolist())))
+    idf = shared.value
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Vectorizer(idf)
+        own = Vectorizer(shared.value)
         for batch in batches:
             made = [own.vector(t) for t in batch["_text"].tolist()]
             yield pd.DataFrame({"_id": batch["_id"].astype(str), "_y": batch["_y"], "terms": [t.tolist() for t, _ in made],
                                 "weights": [w.tolist() for _, w in made]})
 
     made = rows.mapInPandas(vectors, "_id string, _y int, terms array<long>, weights array<double>")
-    full = made.where(F.size("terms") > 0).collect()  # bounded by the sample
-    examples = [(r["_id"], r["_y"], r["terms"], r["weights"]) for r in full]
-    toxic_without = (toxic - sum(r["_y"] for r in full)) * stands_for[1]
-    clean_without = (n - toxic - sum(1 - r["_y"] for r in full)) * stands_for[0]
+    full = made.where(F.size("terms") > 0).toArrow()  # bounded by the sample's texts
+    ids, ys = full.column("_id").to_pylist(), full.column("_y").to_pylist()
+    examples = [(i, y, t.values.to_numpy(), w.values.to_numpy())
+                for i, y, t, w in zip(ids, ys, full.column("terms"), full.column("weights"))]
+    toxic_without = (toxic - sum(ys)) * stands_for[1]
+    clean_without = (n - toxic - len(ys) + sum(ys)) * stands_for[0]
     return Model(idf, examples, (toxic_without, toxic_without + clean_without), prior, stands_for)
 
 

@@ -61,6 +61,14 @@ def test_language_id_edges(spark):
     assert (nothing["lang_pred"], nothing["score"]) == ("und", 0.0)
 
 
+def test_a_small_language_keeps_its_words(spark):
+    """A cap on the model's terms is one for each language: a large language doesn't crowd out a small one."""
+    rows = [(i, f"alpha{i % 40} beta{i % 37} gamma", "aa", "a", 9) for i in range(400)] + [(1000 + i, "zuk zok", "zz", "a", 7) for i in range(6)]
+    model = langid.fit(spark.createDataFrame(rows, SCHEMA), max_terms=5)
+    assert {(0, "zuk"), (0, "zok")} <= set(model.row)
+    assert langid.Scorer(model).predict(["zuk zok zuk"])[0][0] == "zz"
+
+
 def test_language_id_backs_off_to_the_longest_known_grams():
     counts = [(0, "haus", "de", 5), (3, "<ha", "de", 5), (3, "hab", "es", 5), (1, "z", "es", 4), (1, "h", "de", 9)]
     scorer = langid.Scorer(langid.build_model(counts))
@@ -172,6 +180,22 @@ def test_randomness_battery_tells_noise_from_words():
     assert secrets.runs_p([0, 61] * 20, 62) < 1e-6
 
 
+def test_keys_in_paths_and_after_hyphens_are_judged():
+    import random
+
+    rng = random.Random(23)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for more in ("", "-_", "+/"):
+        keys = ["".join(rng.choices(alphabet + more, k=40)) for _ in range(100)]
+        whole = [k for k in keys if k[0].isalnum() and k[-1].isalnum() and secrets.infer_encoding(k)]
+        for before in ("/my-app/keys/", "a-b/") if more != "+/" else ("a-b_", "x/y-"):
+            found = [[(s, e) for kind, s, e in secrets.all_spans(f"see {before}{k} there") if kind == "random"] for k in whole]
+            near = sum(any(s <= 4 + len(before) + 2 and e >= 4 + len(before) + 38 for s, e in f) for f in found)
+            assert near >= 0.9 * len(whole), (more, before)
+    assert not secrets.all_spans("see src/main-app/java/com_example/service/impl/user-account-manager there")
+    assert secrets.pieces("abc") == [(0, "abc")] and secrets.pieces("a-b/c") == []
+
+
 def test_weighted_step_up_is_benjamini_hochberg_for_equal_lengths():
     p = [0.001, 0.008, 0.039, 0.041, 0.3]
     assert secrets.rejected(p, [10] * 5, 0.05) == [True, True, False, False, False]
@@ -410,6 +434,56 @@ def test_toxicity_on_held_out_rows(spark):
     toxic = [got[x["doc_id"]]["predicted"] for x in out if x["toxic"]]
     clean = [got[x["doc_id"]]["predicted"] for x in out if not x["toxic"]]
     assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.03 * len(clean)
+    texts = {d["doc_id"]: d["text"] for d in documents(SF_ORACLE)}
+    assert all(r["evidence"] for i, r in got.items() if len(toxicity.words(texts[i])) >= 20)  # no text with words is left unsearched
+
+
+def plain_toxicity(taught, text):
+    """Vote of the nearest examples by plain dictionaries; ``taught``: (text, label) of all labelled rows."""
+    import math
+
+    n = len(taught)
+    toxic = sum(y for _, y in taught)
+    sets = [(set(toxicity.words(t)), y) for t, y in taught]
+    weight = {}
+    for term in set().union(*(s for s, _ in sets)):
+        a, b = (sum(term in s and y == k for s, y in sets) for k in (1, 0))
+        cells = [a + 0.5, toxic - a + 0.5, b + 0.5, n - toxic - b + 0.5]
+        odds = abs(math.log(cells[0] * cells[3] / (cells[1] * cells[2])))
+        told = max(odds - toxicity.DOUBT * math.sqrt(sum(1 / c for c in cells)), 0)
+        weight[term] = (math.log((n + 1) / (a + b + 1)) + 1) * (toxicity.FLOOR + told)
+
+    def vector(t):
+        own = [w for w in toxicity.words(t) if w in weight]
+        out = {w: (1 + math.log(own.count(w))) * weight[w] for w in set(own)}
+        norm = math.sqrt(sum(x * x for x in out.values()))
+        return {w: x / norm for w, x in out.items()}
+
+    query = vector(text)
+    cosines = [(round(sum(x * query.get(w, 0) for w, x in vector(t).items()), 9), y) for t, y in taught]
+    return sorted((c for c in cosines if c[0] > 0), reverse=True)[:toxicity.K]
+
+
+def test_toxicity_query_equals_plain_search(spark):
+    """Evidence of the operator against all examples compared one by one."""
+    docs = [d for d in documents(SF_SMALL)]
+    labels = {}
+    for x in pq.read_table(f"{SF_SMALL}/labels.parquet").to_pylist():
+        if x["toxic"] is not None:
+            labels[x["doc_id"]] = max(labels.get(x["doc_id"], 0), int(x["toxic"] > 0))
+    taught = [(d["text"], labels[d["doc_id"]]) for d in docs
+              if d["doc_id"] in labels and zlib.crc32(str(d["doc_id"]).encode()) % 3 != 1]
+    assert 0 < sum(y for _, y in taught) < len(taught)
+    from pairforge.llm.queries import QUERIES
+
+    got = {r["doc_id"]: r for r in QUERIES["op7_toxicity"](spark, SF_SMALL).collect()}
+    for d in docs[::9]:
+        want = plain_toxicity(taught, d["text"])
+        found = [e.split(":") for e in got[d["doc_id"]]["evidence"].split(",") if e]
+        assert [float(c) for _, _, c in found] == pytest.approx([c for c, _ in want], abs=6e-4)
+        last = want[-1][0] if want else 0  # examples tied with the last one may be others of the same cosine
+        assert sorted(y for _, y, c in found if float(c) > last + 2e-3) == sorted(str(y) for c, y in want if c > last + 2e-3) \
+            or abs(sum(c > last + 2e-3 for c, _ in want) - sum(float(c) > last + 2e-3 for _, _, c in found)) <= 1
 
 
 def test_toxicity_edges(spark):
@@ -434,9 +508,9 @@ def test_calibration_rises():
 def test_toxicity_scores_follow_the_real_shares_beyond_the_cap(spark):
     """Clean rows beyond the cap are doubled: scores stay the rates among all rows, not those of the capped sample."""
     def tables(n_clean):
-        # of the rows with a mark, clean ones grow with ``n_clean``; "odd" rows have no telling word at all
-        rows = [(i, "vile vile stuff" if i % 10 < 8 else "odd", 1) for i in range(900)]
-        rows += [(1000 + i, "kind stuff" if i % 10 < 7 else "odd" if i % 10 < 9 else "vile stuff", 0) for i in range(n_clean)]
+        # of the rows with a mark, clean ones grow with ``n_clean``; "4711" rows have no word at all
+        rows = [(i, "vile vile stuff" if i % 10 < 8 else "4711", 1) for i in range(900)]
+        rows += [(1000 + i, "kind stuff" if i % 10 < 7 else "4711" if i % 10 < 9 else "vile stuff", 0) for i in range(n_clean)]
         df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
         return df.select("doc_id", "text"), df.select("doc_id", "toxic"), rows
 
@@ -448,7 +522,7 @@ def test_toxicity_scores_follow_the_real_shares_beyond_the_cap(spark):
         assert len(model.ids) < 700  # both labels are sampled
         assert model.prior == pytest.approx(rate(""), abs=1e-9)
         whole = toxicity.fit(docs, labels, per_label=10 ** 6)
-        for text in ("vile vile stuff", "kind stuff", "odd"):
+        for text in ("vile vile stuff", "kind stuff", "4711"):
             got, want = (m.score(*toxicity.Vectorizer(m.idf).vector(text))[0] for m in (model, whole))
             assert got == pytest.approx(want, abs=0.1)  # noise of a sample of 300
-        assert model.rate_without == pytest.approx(rate("odd"), abs=0.1)
+        assert model.rate_without == pytest.approx(rate("4711"), abs=0.1)
