@@ -51,14 +51,22 @@ def render_chat(messages: Column | str, bos: str = DEFAULT_BOS,
 
 def render_long(messages, key: str = "row_id", order: str = "turn", role: str = "role",
                 content: str = "content", bos: str = DEFAULT_BOS, add_generation_prompt: bool = False,
-                out: str = "text"):
+                out: str = "text", span: int = 256):
     """P1/P2 from a long message table (one row per message): each message is
     rendered by plain column expressions (whole-stage codegen, no lambda), then
-    the rendered pieces of a conversation are gathered in ``order`` and joined --
-    one shuffle on ``key``.  Equal to ``render_chat`` over the collected list;
-    BOS goes in front of the first message of each conversation."""
-    pieces = messages.select(key, order, render_message(F.col(role), F.col(content)).alias("_p"))
-    joined = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_p"))).alias("_ps"))
+    the rendered pieces of a conversation are gathered in ``order`` and joined.
+    Equal to ``render_chat`` over the collected list; BOS goes in front of the first
+    message of each conversation.
+
+    ``order`` is a number.  Joining takes two levels: runs of ``span`` order values first, each
+    in a group of its own, then a conversation's runs.  So the turns of a hot conversation
+    are sorted and joined by many tasks, and the last one only puts their texts one
+    after the other; the finished text is one value and has to fit in a row."""
+    pieces = messages.select(key, order, F.floor(F.col(order) / F.lit(span)).alias("_run"),
+                             render_message(F.col(role), F.col(content)).alias("_p"))
+    runs = pieces.groupBy(key, "_run").agg(F.array_sort(F.collect_list(F.struct(order, "_p"))).alias("_ps")) \
+        .select(key, "_run", F.array_join(F.col("_ps._p"), "").alias("_p"))
+    joined = runs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_run", "_p"))).alias("_ps"))
     text = F.concat(F.lit(bos), F.array_join(F.col("_ps._p"), ""))  # a key has a message at least
     if add_generation_prompt:
         text = F.concat(text, F.lit(GENERATION_HEADER))

@@ -34,7 +34,7 @@ from ..operators.summaries import shard_counts as shard_counts_op
 from ..schemas import SCORED
 from ..session import shared_dir
 from ..sources import fixtures as fx
-from ..sources.jsonl import (add_row_ids, read_jsonl, read_records, read_shard_files, read_shards,
+from ..sources.jsonl import (add_row_ids, read_jsonl, read_jsonl_at, read_records, read_shard_files, read_shards,
                              write_in_order, write_shard_files, write_sharded)
 from ..sources.tables import read_prompts, read_table
 from .iteration import IterationConfig, run_iterations
@@ -644,6 +644,21 @@ def jsonl_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_row_ids(scan).select("doc_id", "row_id")
 
 
+@query("jsonl_offsets")
+def jsonl_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by file and byte offset of whole documents, in one file per 10,000 ids; texts as hexadecimal digits."""
+    path = shared_dir(spark, "jsonl_offsets", unique=True)
+    docs = read_table(spark, sf_dir, "documents")
+    line = F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"text":"'),
+                    F.coalesce(F.hex(F.col("text").cast("binary")), F.lit("")), F.lit('"}'))
+    docs.select(line.alias("value"), F.floor(F.col("doc_id") / 10_000).alias("shard"), "doc_id") \
+        .repartition("shard").sortWithinPartitions("shard", "doc_id").select("value", "shard") \
+        .write.partitionBy("shard").text(path)
+    rows = read_jsonl_at(spark, f"{path}/shard=*/*.txt", "doc_id long, text string")
+    shard = F.regexp_extract("file", r"shard=(\d+)/", 1).cast("long")
+    return rows.select("doc_id", shard.alias("shard"), "offset", F.length("text").cast("long").alias("n_digits"))
+
+
 @query("ordered_sink")
 def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written in the order of a hash; each line's position in the concatenated files."""

@@ -612,6 +612,13 @@ FROM orders"""
 
 SQL["jsonl_file_order"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents"
 
+SQL["jsonl_offsets"] = """
+SELECT doc_id, shard, CAST(coalesce(sum(n_bytes) OVER (PARTITION BY shard ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                           AS BIGINT) AS "offset", n_digits
+FROM (SELECT doc_id, doc_id // 10000 AS shard, length(hex(coalesce(text, ''))) AS n_digits,
+             length('{"doc_id":,"text":""}') + length(CAST(doc_id AS VARCHAR)) + length(hex(coalesce(text, ''))) + 1 AS n_bytes
+      FROM documents) t"""
+
 SQL["read_prompts"] = with_ctes(PROMPT_MSGS) + """
 SELECT row_id, count(*) AS n_messages, CAST(sum(length(content)) AS BIGINT) AS n_chars FROM prompt_msgs GROUP BY row_id"""
 

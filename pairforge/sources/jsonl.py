@@ -10,13 +10,20 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import shared_dir
+
+
+#: Splits whose byte counts are broadcast: about 150 bytes each, so 30 MB at most.
+SPLITS_BROADCAST = 200_000
+
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
     """Typed JSONL read; a bad line fails the job."""
@@ -38,6 +45,46 @@ def add_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
     return global_positions(placed, ["_len", "_file", "_start", "_line"], name).drop("_len", "_file", "_start", "_line")
 
 
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file, offset, value``: every line of the files with the byte at which it starts, however the files are split.
+
+    Lines end at ``\\n`` only.  A first pass counts the bytes of each split's lines (one row per split); a second one runs
+    over the splits in reading order and adds up within them.  No line is shuffled unless there are more than
+    ``SPLITS_BROADCAST`` splits, whose counts are then joined instead of broadcast.  Compressed files count their
+    uncompressed bytes.  Ids exist before anything is sorted, and a later line moves no earlier id.
+    """
+    p = [paths] if isinstance(paths, str) else list(paths)
+    scan = spark.read.option("lineSep", "\n").text(p)
+    lines = scan.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), "value",
+                        (F.octet_length("value") + F.lit(1)).cast("long").alias("_bytes"))
+    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "_start").agg(F.sum("_bytes").alias("_n")) \
+        .select("file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    splits = materialise(splits, shared_dir(spark, "line_splits", unique=True))
+    side = F.broadcast(splits) if splits.count() <= SPLITS_BROADCAST else splits
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, upto = None, 0
+        for batch in batches:
+            file, start, value, n = (batch.column(c) for c in ("file", "_start", "value", "_bytes"))
+            sizes, offsets = n.to_numpy(zero_copy_only=False), []
+            for place, size in zip(zip(file.to_pylist(), start.to_pylist()), sizes.tolist()):
+                if place != at:
+                    at, upto = place, 0
+                offsets.append(upto)
+                upto += size
+            yield pa.RecordBatch.from_arrays([file, start, value, pa.array(offsets, pa.int64())], ["file", "_start", "value", "_in"])
+
+    placed = lines.mapInArrow(within, "file string, _start long, value string, _in long")
+    return placed.join(side, ["file", "_start"]).select("file", (F.col("_base") + F.col("_in")).alias("offset"), "value")
+
+
+def read_jsonl_at(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
+    """S1 with ids: ``file, offset`` and the fields of every JSON line; blank lines give no row, a bad line fails the job."""
+    lines = read_lines(spark, paths).where(F.trim("value", F.lit(" \t\r")) != "")
+    return lines.select("file", "offset", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_row")).select("file", "offset", "_row.*")
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Whole-output overwrite; null fields kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

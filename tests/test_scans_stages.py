@@ -189,3 +189,43 @@ def test_rank_pairing_has_no_exchange_on_the_batch_alone(spark):
     import re
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert keys and all("rank" in k or "_range" in k for k in keys)
+
+
+def test_line_offsets_are_the_same_for_every_split(spark, tmp_path):
+    """Ids are the real byte offsets, with multi-byte letters, blank lines, carriage returns, no last newline, any split size."""
+    lines = [f'{{"k": {i}, "s": "{"é日" * (i % 7)}"}}' + ("\r" if i % 5 == 0 else "") for i in range(200)]
+    lines[17] = lines[90] = ""
+    want = set()
+    for name in ("a", "b"):
+        data = "\n".join(lines[:150] if name == "a" else lines).encode()
+        (tmp_path / f"{name}.json").write_bytes(data + (b"\n" if name == "a" else b""))
+        at = 0
+        for line in data.split(b"\n"):
+            if line:
+                want.add((name, at, jsonl.json.loads(line)["k"]))
+            at += len(line) + 1
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("134217728", "333", "64"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0" if size != "134217728" else before["spark.sql.files.openCostInBytes"])
+            rows = jsonl.read_jsonl_at(spark, str(tmp_path / "*.json"), "k long, s string").collect()
+            assert {(r.file.rsplit("/", 1)[1][0], r.offset, r.k) for r in rows} == want and len(rows) == len(want)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        (tmp_path / "c.json").write_text('{"k": ')
+        jsonl.read_jsonl_at(spark, str(tmp_path / "c.json"), "k long").collect()
+
+
+def test_hot_conversation_is_joined_in_runs(spark):
+    from pairforge.functions.chat import render_long
+
+    rows = [(1, t, "user", f"m{t}") for t in range(-5, 2000)] + [(i, t, "user", f"x{i}{t}") for i in range(2, 30) for t in (3, 1, 2)]
+    long = spark.createDataFrame(rows, "row_id long, turn int, role string, content string").repartition(7)
+    one = {r.row_id: r.text for r in render_long(long, span=10 ** 9).collect()}
+    two = {r.row_id: r.text for r in render_long(long, span=16).collect()}
+    assert one == two and len(two) == 29 and two[1].index("m-5<") < two[1].index("m0<") < two[1].index("m1999<")
+    groups = render_long(long, span=16)._jdf.queryExecution().executedPlan().toString()
+    assert groups.count("Exchange hashpartitioning(row_id") >= 1 and "_run" in groups
