@@ -31,12 +31,12 @@ null id takes no part in links and gets a null component.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +55,8 @@ SMALL_SET, LARGE_SET = 256, 4_096
 MARGIN = 4
 #: Shingles per group of the counting step, about.
 GROUP_SHINGLES = 1 << 19
-CACHE_WORDS = 500_000
+#: Marks per heavy shingle, at least, of the table that tells most light ones.
+MARKS = 16
 FLUSH_PAIRS = 200_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -68,20 +69,11 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    """Word -> 64-bit hash, computed once."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
 class Shingler:
     """Texts to sorted arrays of distinct 64-bit shingle hashes."""
 
     def __init__(self, n: int = N):
         self.n = n
-        self.known = _WordHashes()
         # a shingle hashes to a weighted sum of its words' hashes, mixed; the weights tell the places apart
         self.weights = [np.uint64(x) for x in mix64(np.arange(1, n + 1, dtype=np.uint64), 99) | np.uint64(1)]
 
@@ -89,9 +81,7 @@ class Shingler:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         span = min(self.n, len(words))
         out = np.full(len(h) - span + 1, span, np.uint64)
         for i in range(span):
@@ -113,14 +103,27 @@ class Orders:
     def __init__(self, heavy: np.ndarray, counts: np.ndarray, shift: int):
         order = np.argsort(heavy)
         self.heavy, self.counts, self.shift = heavy[order], np.minimum(counts[order], (1 << 31) - 1).astype(np.int32), np.uint64(shift)
+        self.marks: np.ndarray | None = None
+
+    def _marked(self, shingles: np.ndarray) -> np.ndarray:
+        """Places of the shingles whose top bits some heavy one has; the table of these bits is made once per worker."""
+        bits = min((MARKS * len(self.heavy)).bit_length(), 64 - int(self.shift))
+        if self.marks is None:
+            top = self.heavy >> np.uint64(64 - int(self.shift) - bits)
+            self.marks = np.zeros(max(1, 1 << bits >> 3), np.uint8)
+            np.bitwise_or.at(self.marks, (top >> np.uint64(3)).astype(np.int64), np.uint8(1) << (top & np.uint64(7)).astype(np.uint8))
+        top = shingles >> np.uint64(64 - bits)
+        return np.flatnonzero(self.marks[(top >> np.uint64(3)).astype(np.int64)] >> (top & np.uint64(7)).astype(np.uint8) & 1)
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
         """Count of heavy shingles, 0 for the others."""
-        if not len(self.heavy):
-            return np.zeros(len(shingles), np.int32)
-        keys = shingles >> self.shift
-        at = np.minimum(np.searchsorted(self.heavy, keys), len(self.heavy) - 1)
-        return np.where(self.heavy[at] == keys, self.counts[at], 0)
+        out = np.zeros(len(shingles), np.int32)
+        if len(self.heavy):
+            marked = self._marked(shingles)
+            keys = shingles[marked] >> self.shift
+            at = np.minimum(np.searchsorted(self.heavy, keys), len(self.heavy) - 1)
+            out[marked] = np.where(self.heavy[at] == keys, self.counts[at], 0)
+        return out
 
     def prefixes(self, shingles: np.ndarray, orders: range, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
         """(shingles, weights) of the prefix under each order."""

@@ -241,6 +241,16 @@ def test_filters_never_drop_a_link(a, b, heavy):
         assert ngram_join.may_link(len(x), len(y), len(a ^ b))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, (1 << 64) - 1)), st.dictionaries(st.integers(0, (1 << 30) - 1), st.integers(3, 1 << 40), max_size=50), st.integers(34, 60))
+def test_weights_are_the_counts_of_heavy_shingles(plain, heavy, shift):
+    heavy = {k % (1 << 64 - shift): c for k, c in heavy.items()}
+    shingles = np.array(sorted(plain | {k << shift for k in heavy}), np.uint64)
+    orders = ngram_join.Orders(np.array(list(heavy), np.uint64), np.array(list(heavy.values()), np.int64), shift)
+    due = [min(heavy.get(int(x) >> shift, 0), (1 << 31) - 1) for x in shingles]
+    assert orders.weights(shingles).tolist() == due
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, (1 << 24) - 1), min_size=1))
 def test_packed_gaps_round_trip(numbers):
