@@ -358,7 +358,7 @@ def _policy_with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     pol = _token_pairs(spark, sf_dir).select(
         "pair_id",
         idiv(F.col("pair_id"), fx.PAIRS_PER_BATCH).alias("batch_id"),
-        F.col("chosen_logps").alias(LS.PC), F.col("rejected_logps").alias(LS.PR))
+        F.col("chosen_logps").alias(LS.PC), F.col("rejected_logps").alias(LS.PR), "chosen_tokens", "rejected_tokens")
     return LS.with_reference(pol, fx.logps(spark, sf_dir))
 
 
@@ -372,9 +372,15 @@ def _nll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TK.batch_nll(fx.with_pair_keys(fx.tokens(spark, sf_dir)))
 
 
+def _token_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Losses of the token table's pairs; it may end inside the last pair, whose loss is then null."""
+    whole = F.col("chosen_tokens").isNotNull() & F.col("rejected_tokens").isNotNull()
+    return LS.preference_loss(_policy_with_reference(spark, sf_dir), "sigmoid", beta=BETA, whole=whole)
+
+
 @query("loss_rpo")
 def loss_rpo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    losses = LS.preference_loss(_policy_with_reference(spark, sf_dir), "sigmoid", beta=BETA)
+    losses = _token_losses(spark, sf_dir)
     out = LS.add_rpo(losses, _nll(spark, sf_dir), RPO_ALPHA)
     return out.select("pair_id", "batch_id", r6("loss").alias("loss"))
 

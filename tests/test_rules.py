@@ -203,3 +203,35 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d)))
+
+
+def oracle_rows(name, path):
+    import duckdb
+
+    from pairforge.plans.oracle import SQL
+    con = duckdb.connect()
+    for table in ("events", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}/{table}.parquet/*.parquet')")
+    return con.execute(SQL[name]).fetchall()
+
+
+@pytest.mark.parametrize("name", ["loss_rpo"])
+@pytest.mark.parametrize("positions", [82, 84, 104, 111])
+def test_a_token_table_that_ends_inside_a_pair(spark, tmp_path, name, positions):
+    """The last pair has no rejected half: its row stays, as in the SQL, and fails nothing."""
+    from pairforge.plans.catalog import QUERIES
+    spark.range(64).selectExpr("id AS event_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(positions).selectExpr("id AS vec_id", "CAST(id % 4 AS INT) AS label", "transform(sequence(0, 3), x -> CAST((id * 7 + x * 3) % 5 AS FLOAT)) AS embedding") \
+        .write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(map(str, map(tuple, QUERIES[name](spark, str(tmp_path)).collect())))
+    assert got == sorted(map(str, oracle_rows(name, tmp_path))) and any("None" in r for r in got)
+
+
+def test_whole_pairs_still_need_every_log_prob(spark):
+    df = logps_rows(spark, [(1, 0, -1.0, None, -1.0, -1.0), (2, 0, -1.0, -2.0, -1.0, -1.0)])
+    got = {r.pair_id: r.loss for r in LS.preference_loss(df, "sigmoid", whole=F.col("pair_id") == 2).collect()}
+    assert got[1] is None and got[2] is not None
+    with pytest.raises(Exception, match="must not be null"):
+        LS.preference_loss(df, "sigmoid", whole=F.col("pair_id") > 0).collect()
+    with pytest.raises(ValueError, match="both halves"):
+        LS.preference_loss(df, "bco_pair", whole=F.col("pair_id") == 2)
