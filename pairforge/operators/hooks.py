@@ -28,6 +28,9 @@ LONG_SCHEMA = "row_id long, k int, response string, prompt_chars int"
 # with its closure, so loaders made by one factory are told apart; a worker keeps
 # at most ``KEPT_MODELS`` models.
 KEPT_MODELS = 2
+#: What a tokeniser gets at once.
+TOKENISED_ROWS = 256
+TOKENISED_BYTES = 1 << 20
 _WORKER_MODELS: dict[str, object] = {}
 
 
@@ -170,29 +173,51 @@ def score_wide(df: DataFrame, scorer: Callable, texts: Column, out: str = "rewar
     return df.withColumn(out, score(texts))
 
 
+def _text_parts(batch, text: str) -> Iterator:
+    """The batch in parts of at most ``TOKENISED_ROWS`` rows and, of more rows than one, ``TOKENISED_BYTES`` of text."""
+    import pyarrow.compute as pc
+
+    start = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column(batch.schema.get_field_index(text))).to_pylist()):
+        if i > start and (i - start == TOKENISED_ROWS or held + (n or 0) > TOKENISED_BYTES):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n or 0
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def tokenise(df: DataFrame, tokeniser: Callable[..., list], text: str = "text", out: str = "tokens",
              setup: Callable[[], object] | None = None) -> DataFrame:
     """Appends ``out array<long>``, the token ids of ``text``, to every row: P14, T8 and T9 take this column.
 
-    ``tokeniser`` gets the texts of an Arrow batch at once and must return a list of ids for each; a null text
-    isn't handed over and has null ids.  ``setup`` loads a vocabulary once per Python worker (``model=``).
+    ``tokeniser`` gets up to ``TOKENISED_ROWS`` texts at once, about ``TOKENISED_BYTES`` of them (a longer text alone),
+    and must return a list of ids for each; a null text isn't handed over and has null ids.  So a worker holds the ids
+    of that many texts, whatever the table's size.  The session's Arrow batches are lowered to as many rows (never
+    raised).  ``setup`` loads a vocabulary once per Python worker (``model=``).
     """
     import pyarrow as pa
     from pyspark.sql import types as T
 
+    spark, batch_rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch_rows)) <= TOKENISED_ROWS:
+        spark.conf.set(batch_rows, str(TOKENISED_ROWS))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.LongType()))])
     loader = _loader(setup)
 
     def run(batches):
         extra = _model(loader)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            asked = [t for t in texts if t is not None]
-            ids = list(tokeniser(asked, **extra)) if asked else []
-            if len(ids) != len(asked):
-                raise ValueError(f"the tokeniser got {len(asked)} texts and returned {len(ids)} lists")
-            got = iter(ids)
-            yield batch.append_column(out, pa.array([None if t is None else next(got) for t in texts], type=pa.list_(pa.int64())))
+            for part in _text_parts(batch, text):
+                yield part.append_column(out, encoded(part.column(part.schema.get_field_index(text)).to_pylist(), extra))
+
+    def encoded(texts, extra):
+        asked = [t for t in texts if t is not None]
+        ids = list(tokeniser(asked, **extra)) if asked else []
+        if len(ids) != len(asked):
+            raise ValueError(f"the tokeniser got {len(asked)} texts and returned {len(ids)} lists")
+        got = iter(ids)
+        return pa.array([None if t is None else next(got) for t in texts], type=pa.list_(pa.int64()))
 
     return df.mapInArrow(run, schema)
 

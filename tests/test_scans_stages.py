@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairforge.operators import losses as LS
 from pairforge.operators import tokens as TK
+from pairforge.operators import hooks
 from pairforge.operators.hooks import tokenise
 from pairforge.plans.iteration import IterationConfig, run_iteration
 from pairforge.plans.stand_ins import echo_generator, md5_scorer, trigram_tokeniser
@@ -149,6 +150,18 @@ def test_tokeniser_hook(spark):
     assert [r.label for r in masked] == [-100] * 3 and [r.token_id for r in masked] == rows[1]
 
 
+def test_a_tokeniser_gets_few_texts_at_once(spark):
+    """However many rows a partition has; a text longer than the bound goes alone, and every row keeps its own ids."""
+    texts = ["x" * (i % 5) if i % 7 else None for i in range(2000)]
+    texts[1000:1003] = ["y" * hooks.TOKENISED_BYTES, "z" * (hooks.TOKENISED_BYTES // 2), "w" * hooks.TOKENISED_BYTES]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string").coalesce(1)
+    sizes = lambda given: [[len(given), sum(map(len, given)), len(t)] for t in given]
+    rows = {r.row_id: r.tokens for r in tokenise(df, sizes).collect()}
+    assert {i: t and t[2] for i, t in rows.items()} == {i: None if t is None else len(t) for i, t in enumerate(texts)}
+    assert all(t[0] <= hooks.TOKENISED_ROWS and (t[0] == 1 or t[1] <= hooks.TOKENISED_BYTES) for t in rows.values() if t)
+    assert rows[1000][0] == 1 and rows[1002][0] == 1
+
+
 @pytest.mark.parametrize("chunk", [1, 2, 3, 128])
 def test_array_layout_equals_the_token_table(spark, chunk):
     rng = random.Random(4)
