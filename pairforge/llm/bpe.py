@@ -12,7 +12,7 @@ pattern; all new pieces of a chunk of texts are merged together:
 
 Applying a rank everywhere at once equals merging piece by piece because a
 merge's parts are always made by lower ranks; ``Vocabulary`` refuses a file
-where that does not hold.  Encoded pieces are kept per Python worker in a cache
+where that does not hold.  Encoded pieces are kept per Python worker and query in a cache
 of at most ``CACHE_PIECES`` pieces; chunks hold about ``CHUNK_CHARS`` characters, so
 memory does not grow with a partition.
 
@@ -32,10 +32,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import BATCH_ROWS, small_batches
 
-CHUNK_CHARS = 4_000_000
-CACHE_PIECES = 400_000
+#: A piece takes about 650 bytes in the cache, and merging a chunk's new pieces several times its text.
+CHUNK_CHARS = 2_000_000
+CACHE_PIECES = 100_000
 # The pattern that cuts text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
@@ -171,7 +172,9 @@ class _Cache(dict):
 
 
 class Coder:
-    """Encodes and decodes chunks of texts; keeps what it has learned about pieces."""
+    """Encodes and decodes chunks of texts; keeps what it has learned about pieces.
+
+    It goes out as a broadcast variable, so a worker that lives on drops it, and the pieces, with its next task of another stage."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
@@ -241,15 +244,10 @@ class Coder:
         return b"".join([own[i] for i in ids])
 
 
-_CODERS: dict[str, Coder] = {}
-
-
-def coder(path: str) -> Coder:
-    """One coder per Python worker and file."""
-    if path not in _CODERS:
-        _CODERS.clear()
-        _CODERS[path] = Coder(Vocabulary.load(path))
-    return _CODERS[path]
+def _int_lists(joined: list[str]) -> pa.ListArray:
+    """Decimal ids joined by commas -> lists of ints, without a Python object for each id."""
+    rows = [np.fromstring(x, np.int32, sep=",") if x else np.zeros(0, np.int32) for x in joined]
+    return pa.ListArray.from_arrays(np.cumsum([0, *map(len, rows)], dtype=np.int32), np.concatenate([np.zeros(0, np.int32), *rows]))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,20 +269,24 @@ def bpe_round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "t
     the ids are decoded, and both are hashed."""
     small_batches(df.sparkSession)
     id_type = df.schema[key].dataType.simpleString()
+    shared = df.sparkSession.sparkContext.broadcast(Coder(Vocabulary.load(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path)
+        code = shared.value
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for chunk in _chunks(batches):
             rows = code.rows(chunk.column(1).to_pylist())
-            ids = [code.joined_ids(row) for row in rows]
-            out = [chunk.column(0), pa.array(map(code.n_tokens, rows), pa.int64()), pa.array(map(sha, ids), pa.string()),
-                   pa.array([sha(code.text(row)) for row in rows], pa.string())]
-            names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                out.append(pa.array([[int(i) for i in x.split(",")] if x else [] for x in ids], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+            for at in range(0, len(rows), BATCH_ROWS):  # ids and decoded texts of a few rows at once
+                some = rows[at:at + BATCH_ROWS]
+                ids = [code.joined_ids(row) for row in some]
+                out = [chunk.column(0).slice(at, len(some)), pa.array(map(code.n_tokens, some), pa.int64()), pa.array(map(sha, ids), pa.string()),
+                       pa.array([sha(code.text(row)) for row in some], pa.string())]
+                names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    out.append(_int_lists(ids))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(out, names=names)
+            pa.default_memory_pool().release_unused()
 
     schema = f"`{key}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return df.select(df[key].alias("_key"), df[text].alias("_text")).mapInArrow(run, schema)

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
@@ -91,6 +92,20 @@ def check_bpe(vocabulary, tokenizer, texts):
         assert coder.text(row) == tokenizer.decode(want, skip_special_tokens=False) == (text or "")
 
 
+def test_a_worker_drops_the_coder_after_its_stage(spark):
+    """Python workers live on through later stages and queries; the pieces that the coder has learned in them must not."""
+    df = spark.createDataFrame([(i, f"alpha{i} beta") for i in range(80)], "doc_id long, text string").repartition(8)
+    assert bpe.bpe_round_trip(df, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True).where("size(ids) = n_tokens").count() == 80
+
+    def held(batches):
+        import gc
+        rows = sum(len(b) for b in batches)
+        yield pd.DataFrame({"n": [sum(type(x).__name__ == "Coder" for x in gc.get_objects())], "rows": [rows]})
+
+    got = spark.range(0, 400, 1, 8).mapInPandas(held, "n long, rows long").collect()
+    assert sum(r["rows"] for r in got) == 400 and [r["n"] for r in got] == [0] * 8
+
+
 def test_bpe_equals_the_tokenizers_library(vocabulary, tokenizer):
     every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
     check_bpe(vocabulary, tokenizer, [d["text"] for d in documents(SF_SMALL)] + [
